@@ -10,6 +10,9 @@ Every link is confirmed on the full shingle sets.
 
 Groups of copies cost no pairs: equal sets are one node; a bucket links its members to one centre,
 and only members that are still apart afterwards meet others, in blocks that emit near pairs alone.
+Beside the symbols each signature has the parities of its shingles in ``PARITY_BITS`` cells. Each
+shingle that only one of two sets has flips one cell, so the cells that differ bound the symmetric
+difference from below and rule out, without error, most near pairs that aren't links.
 """
 
 from __future__ import annotations
@@ -28,6 +31,10 @@ from .components import connected_components
 CHUNKS, WIDTH = 20, 5
 SYMBOLS = CHUNKS * WIDTH
 MOST_APART = 2 * CHUNKS - 1
+PARITY_BITS = 2048
+#: Bytes of the symbols, padded to whole 64-bit words, and of a signature.
+PADDED = -(-SYMBOLS // 8) * 8
+SIGNATURE = PADDED + PARITY_BITS // 8
 BLOCK = 1024
 #: Ids up to this count (about 32 MB as a hash table) are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -57,14 +64,17 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarr
 
 
 def signatures(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """MinHash symbols of the non-empty sets that ``first`` bounds."""
+    """MinHash symbols and parities of the non-empty sets that ``first`` bounds."""
     x = (sets >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(first) - 1, SYMBOLS), dtype=np.uint8)
+    out = np.zeros((len(first) - 1, SIGNATURE), dtype=np.uint8)
     for j in range(SYMBOLS):
         v = x * _MUL[j] + _ADD[j]
         v ^= v >> np.uint32(15)
         v *= np.uint32(0x2C1B3C6D)
         out[:, j] = np.minimum.reduceat(v, first[:-1]) & np.uint32(0xFF)
+    rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    cells = np.bincount(rows * PARITY_BITS + (sets & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=(len(first) - 1) * PARITY_BITS)
+    out[:, PADDED:] = np.packbits((cells & 1).astype(np.uint8).reshape(-1, PARITY_BITS), axis=1)
     return out
 
 
@@ -104,7 +114,7 @@ def _sign(k: int):
                 sizes = np.diff(first)
                 some = np.flatnonzero(sizes)
                 edges = np.append(first[some], len(sets))
-                sig = np.zeros((hi - lo, SYMBOLS), dtype=np.uint8)
+                sig = np.zeros((hi - lo, SIGNATURE), dtype=np.uint8)
                 marks = np.zeros((hi - lo, 2), dtype=np.uint64)
                 if len(some):
                     sig[some] = signatures(sets, edges)
@@ -122,7 +132,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             part = batch.slice(at, 2000)
-            keys = bucket_keys(_matrix(part.column("sig"), SYMBOLS))
+            keys = bucket_keys(_matrix(part.column("sig"), SIGNATURE)[:, :SYMBOLS])
             every = np.repeat(np.arange(part.num_rows), SYMBOLS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()), part.column("rep").take(pa.array(every)), part.column("n").take(pa.array(every))], names=["key", "rep", "n"]
@@ -156,23 +166,32 @@ def _confirm(percent: int):
     return run
 
 
-def _words(sig: np.ndarray) -> np.ndarray:
-    """Signatures as rows of 64-bit words, padded with equal bytes."""
-    return np.pad(sig, ((0, 0), (0, -SYMBOLS % 8))).view(np.uint64)
+def _words(column: pa.Array) -> np.ndarray:
+    """Signatures as rows of 64-bit words."""
+    return _matrix(column, SIGNATURE).view(np.uint64)
 
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Symbols that differ, counted as the non-zero bytes of the words' exclusive or."""
-    x = a ^ b
+def _may_link(a: np.ndarray, b: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether signatures are within the distance and their parities allow a link of sets of ``both`` shingles together.
+
+    Symbols that differ are counted as the non-zero bytes of the words' exclusive or. A similarity of at least
+    s means a symmetric difference of at most both * (1 - s) / (1 + s).
+    """
     low = np.uint64(0x7F7F7F7F7F7F7F7F)
-    return np.bitwise_count((((x & low) + low) | x) & ~low).sum(axis=1, dtype=np.int64)
+    x = a[..., : PADDED // 8] ^ b[..., : PADDED // 8]
+    apart = np.bitwise_count((((x & low) + low) | x) & ~low).sum(axis=-1, dtype=np.int64)
+    flipped = np.bitwise_count(a[..., PADDED // 8 :] ^ b[..., PADDED // 8 :]).sum(axis=-1, dtype=np.int64)
+    return (apart <= MOST_APART) & (flipped * (100 + percent) <= both * (100 - percent))
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = (_words(_matrix(batch.column(c), SYMBOLS)) for c in ("sig_u", "sig_v"))
-        near = _apart(a, b) <= MOST_APART
-        yield batch.select(["u", "v"]).filter(pa.array(near))
+def _near(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column("n").to_numpy() + batch.column("n_v").to_numpy()
+            near = _may_link(_words(batch.column("sig_u")), _words(batch.column("sig_v")), both, percent)
+            yield batch.select(["u", "v"]).filter(pa.array(near))
+
+    return run
 
 
 def _block_pairs(percent: int):
@@ -184,14 +203,14 @@ def _block_pairs(percent: int):
     def pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         asks = table.column("asks").to_numpy().astype(bool)
         ids, comp, n = (table.column(c).to_numpy() for c in ("rep", "component", "n"))
-        sig = _words(_matrix(table.column("sig"), SYMBOLS))
+        sig = _words(table.column("sig"))
         edges = np.append(_block_starts(table), len(ids))
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             told = lo + np.flatnonzero(~asks[lo:hi])
             for i in lo + np.flatnonzero(asks[lo:hi]):
                 fits = (comp[told] != comp[i]) & (100 * np.minimum(n[told], n[i]) >= percent * np.maximum(n[told], n[i]))
                 others = told[fits]
-                others = others[_apart(sig[others], sig[i]) <= MOST_APART]
+                others = others[_may_link(sig[others], sig[i], n[others] + n[i], percent)]
                 if len(others):
                     yield np.full(len(others), ids[i]), ids[others]
 
@@ -251,14 +270,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         return pairs
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        close = pairs.join(nodes.select(F.col("rep").alias("u"), F.col("sig").alias("sig_u")), "u").join(nodes.select(F.col("rep").alias("v"), F.col("sig").alias("sig_v")), "v").mapInArrow(_near, "u long, v long")
+        close = pairs.join(nodes.select(F.col("rep").alias("u"), F.col("sig").alias("sig_u")), "u").join(nodes.select(F.col("rep").alias("v"), F.col("sig").alias("sig_v")), "v").mapInArrow(_near(percent), "u long, v long")
         return with_sets(close).mapInArrow(_confirm(percent), "u long, v long")
 
     sizes = nodes.select(F.col("rep").alias("v"), F.col("n").alias("n_v"))
 
     def fitting(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose set sizes allow the similarity."""
-        return pairs.distinct().join(sizes, "v").filter(F.expr(f"100 * least(n, n_v) >= {percent} * greatest(n, n_v)")).select("u", "v")
+        return pairs.distinct().join(sizes, "v").filter(F.expr(f"100 * least(n, n_v) >= {percent} * greatest(n, n_v)"))
 
     stars = members.filter("rep <> centre").select(F.col("rep").alias("u"), F.col("centre").alias("v"), "n")
     components = scratch.save(connected_components(confirmed(fitting(stars)), scratch), "components")

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import format_chats, read_loss, read_turns
+from .decontaminate import decontaminate
+from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
+from .quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +22,42 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"), ["doc_id"]).drop("clean_text")
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    chats = format_chats(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more))
+    read = chats.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+    joined = F.array_join(F.col("items").cast("array<string>"), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(joined, 256).alias("items_sha256"), "contaminated")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup(_table(spark, sf_dir, "documents"), columns=["doc_id"])
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op5_chat_format": op5_chat_format,
+    "op6_decontaminate": op6_decontaminate,
+    "op8_line_dedup": op8_line_dedup,
 }
 
 _OP1 = r"""
@@ -53,4 +91,80 @@ SELECT n.doc_id, n.n AS n_shingles, min(reach.c) AS component_id, min(reach.c) =
 FROM n JOIN reach USING (doc_id) GROUP BY n.doc_id, n.n
 """
 
-ORACLES: dict[str, str] = {"op1_near_dedup": _OP1}
+_SPACE = r"[\x20\x09-\x0D]"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str, gap: str = _SPACE) -> str:
+    return f"list_filter(regexp_split_to_array({text}, '{gap}+'), lambda x: x <> '')"
+
+
+def _chars(text: str, kinds: str) -> str:
+    return f"length(regexp_replace({text}, '[^{kinds}]', '', 'g'))"
+
+
+_OP2 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_words("coalesce(text, '')")} AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM d WHERE len(ws) >= 3),
+win2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM win),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win2 WHERE c > 1) GROUP BY doc_id),
+l0 AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d),
+l AS (SELECT doc_id, l, len({_words("l")}) AS nw, {_chars("l", r"^\x20\x09-\x0D").replace("[^^", "[")} AS cps FROM l0),
+f AS (
+  SELECT doc_id, l, cps,
+    (nw >= 10 AND NOT regexp_matches(l, '[.,;:!?]')) OR (nw >= 3 AND {_chars("l", "!?")} > nw) OR 10 * {_chars("l", "#*$%&|<>")} > cps
+    OR ({_chars("l", "|")} >= 3 AND 4 * {_chars("l", "|")} >= nw)
+    OR (nw <= {BOILERPLATE_WORDS} AND regexp_matches({_LOWER.format("l")}, '{"|".join(BOILERPLATE)}')) AS bad
+  FROM l WHERE nw > 0),
+g AS (SELECT doc_id, count(*) - count(DISTINCT l) AS dup, sum(CASE WHEN bad THEN cps ELSE 0 END) AS lost, count(*) FILTER (bad) AS failed FROM f GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, len(ws)::BIGINT AS n_words, {_chars("t", r"^\x20\x09-\x0D").replace("[^^", "[")}::BIGINT AS word_chars, {_chars("t", "#*$%&|<>")}::BIGINT AS n_symbols,
+    coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lost, 0)::BIGINT AS lost_chars, coalesce(failed, 0)::BIGINT AS n_failed_lines
+  FROM d LEFT JOIN g USING (doc_id) LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND 100 * lost_chars <= {MOST_LOST_PERCENT} * word_chars AS kept FROM b
+"""
+
+_OP5 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (
+  SELECT *, length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) AS n, coalesce(lag(role) OVER w = role, false) AS goes_on
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(n + CASE WHEN goes_on THEN 10 ELSE 24 + length(role) END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+_ALNUM_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+_OP6 = rf"""
+WITH d AS (SELECT doc_id, {_words(_LOWER.format("coalesce(text, '')"), _ALNUM_GAP)} AS ws FROM documents),
+b AS (SELECT item_id, {_words(_LOWER.format("coalesce(text, '')"), _ALNUM_GAP)} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS g
+  FROM (SELECT item_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM (SELECT *, least(13, len(ws)) AS k FROM b WHERE len(ws) > 0))),
+dw AS (
+  SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(ws) >= k)),
+h AS (SELECT doc_id, k, i, item_id FROM dw JOIN bw USING (k, g)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(hits.n > 0 AND 20 * hits.n >= len(ws), false) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_OP8 = rf"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM s),
+k AS (SELECT *, {_LOWER.format(f"regexp_replace(l, '^{_SPACE}+|{_SPACE}+$', '', 'g')")} AS key FROM l),
+c AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT k.*, coalesce(c.top <> k.doc_id, false) AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_near_dedup": _OP1, "op2_quality_rules": _OP2, "op5_chat_format": _OP5, "op6_decontaminate": _OP6, "op8_line_dedup": _OP8}
