@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import os
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._shared import Scratch
 from .chat_format import format_chats, read_loss, read_turns
 from .decontaminate import decontaminate
 from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
+from .quality_classifier import draw, fit_quality, score_quality
 from .quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, quality_rules
+from .sentencepiece_codec import decode, encode_batches, load_model
+from .warc import read_warc, write_warc
+
+TOKENIZERS = os.environ.get("SPARKLOOM_TOKENIZERS", "/opt/tokenizers")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,12 +62,50 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = load_model(spark, f"{TOKENIZERS}/piece_bpe_32k.model")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, ids, first in encode_batches(batches, shared.value):
+            buf, offsets = decode(shared.value, ids, first)
+            texts = rows.column("text")
+            back = [(t.as_buffer().to_pybytes() if t.is_valid else b"").replace(b"\xe2\x96\x81", b" ") == buf[a:b].tobytes() for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True)]
+            raw = np.ascontiguousarray(ids, "<i4")
+            digests = [hashlib.sha256(raw[a:b].data).hexdigest() for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(first)), pa.array(digests), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "round_trip"])
+
+    return _table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean")
+
+
+def _remainder(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).filter(_remainder(5) != 0)
+    scored = score_quality(docs, fit_quality(draw(docs, labels)), ["doc_id"])
+    return scored.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    folder = scratch.path("archives")
+    files = scratch.save(write_warc(_table(spark, sf_dir, "pages"), folder), "files")
+    page = lambda name: F.nullif(F.regexp_extract(name, "^<urn:page:(.*)>$", 1), F.lit("")).cast("long")
+    read = read_warc(files, folder, with_payload=False).filter("kind in ('response', 'revisit')")
+    return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), page("refers_to").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op5_chat_format": op5_chat_format,
     "op6_decontaminate": op6_decontaminate,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_line_dedup": op8_line_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_warc": op10_warc,
 }
 
 _OP1 = r"""
