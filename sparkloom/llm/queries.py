@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from ._shared import Scratch
 from .chat_format import format_chats, read_loss, read_turns
 from .decontaminate import decontaminate
+from .hmm import score_texts
 from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
 from .quality_classifier import draw, fit_quality, score_quality
 from .quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, quality_rules
 from .sentencepiece_codec import decode, encode_batches, load_model
+from .token_counts import count_edited
 from .warc import read_warc, write_warc
 
 TOKENIZERS = os.environ.get("SPARKLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -36,6 +38,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"), ["doc_id"]).drop("clean_text")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits to every document: words put in, a stretch taken out, a stretch replaced."""
+    at = lambda share: F.floor(F.length(F.coalesce("text", F.lit(""))) * F.lit(share)).cast("int")
+    edit = lambda place, removed, added: F.struct(place.alias("at"), F.lit(removed).alias("removed"), added.alias("added"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    edits = F.array(edit(at(0.3), 0, F.concat(F.lit(" (see entry "), F.col("doc_id").cast("string"), F.lit(") "))), edit(at(0.6), 40, F.lit("")), edit(at(0.9), 12, F.lit("\n\nAddendum: it's 2024. ")))
+    counted = count_edited(docs.withColumn("edits", edits), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return counted.select("doc_id", "n_tokens_before", "n_tokens", "n_leaves", "reencoded_chars", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"), _remainder(7) == 2)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -100,6 +116,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_token_counts": op3_token_counts,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_chat_format": op5_chat_format,
     "op6_decontaminate": op6_decontaminate,
     "op7_sentencepiece": op7_sentencepiece,
@@ -205,6 +223,20 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_OP10 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, encode(coalesce(html, '')) AS b FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM p),
+bits AS (
+  SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + bin_at, 1), '' ORDER BY g) AS d
+  FROM (
+    SELECT page_id, g, (((('0x' || substr(sha1(h), 1 + 10 * (g // 8), 10))::BIGINT) >> (35 - 5 * (g % 8))) & 31)::INTEGER AS bin_at
+    FROM (SELECT page_id, h, unnest(range(32)) AS g FROM p))
+  GROUP BY page_id)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, d AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f JOIN bits USING (page_id)
+"""
+
 _OP8 = rf"""
 WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM s),
@@ -215,4 +247,4 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(
 FROM j GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_near_dedup": _OP1, "op2_quality_rules": _OP2, "op5_chat_format": _OP5, "op6_decontaminate": _OP6, "op8_line_dedup": _OP8}
+ORACLES: dict[str, str] = {"op1_near_dedup": _OP1, "op2_quality_rules": _OP2, "op5_chat_format": _OP5, "op6_decontaminate": _OP6, "op8_line_dedup": _OP8, "op10_warc": _OP10}
