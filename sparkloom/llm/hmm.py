@@ -28,7 +28,7 @@ STATES, CLASSES = 4, 1024
 LENGTH = 64
 ROUNDS = 5
 #: Tokens that share a list of distinct words.
-BATCH_TOKENS = 4_000_000
+BATCH_TOKENS = 1_500_000
 END = np.uint64(0x5DEECE66D)
 _DOCS = "kind int, batch long, doc_id long, held_out boolean, n_tokens long, classes binary, bag binary, token long, place long, n long, class int"
 
