@@ -172,12 +172,12 @@ def extract_pages(spark, d):
 
 
 def rewrite_cascades(spark, d):
-    """The cascades over titles; some of their patterns take time in the square of a long Latin text."""
+    """The cascades over the benchmark's texts; some of their patterns take time in the square of a long Latin text."""
     from .functions.rules import cna, epochtimes, ettoday, ntdtv, storm
 
     packs = {"cna": cna, "epochtimes": epochtimes, "ettoday": ettoday, "ntdtv": ntdtv, "storm": storm}
-    rows = _documents(spark, d).withColumn("title", F.concat(F.lit("【快訊】"), F.substring_index("title", ".", 1), F.lit("★(更新)●")))
-    return rows.select("id", *[arrow.rewrite(F.col("title"), pack.ARTICLE + pack.TITLE).alias(name) for name, pack in packs.items()])
+    rows = _table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.concat(F.lit("【快訊】"), F.coalesce("text", F.lit("")), F.lit("★(更新)●")).alias("text"))
+    return rows.select("id", *[arrow.rewrite(F.col("text"), pack.ARTICLE + pack.TITLE).alias(name) for name, pack in packs.items()])
 
 
 _WORDS = {"the": "ORG", "de": "GPE", "快訊": "ORG"}
