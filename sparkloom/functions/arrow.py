@@ -5,8 +5,11 @@ All are marked as not deterministic: else a filter on a result is pushed below a
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
+from re import _constants as sre
+from re import _parser
 
 import pandas as pd
 from pyspark.sql import Column
@@ -65,10 +68,62 @@ def number_text(text: str, tags: tuple[str, ...] = ()) -> str:
     return NUMBER.sub(one, text)
 
 
-def cascade_text(text: str, rules: list[tuple[re.Pattern, str]]) -> str:
-    """Every rule in order, each followed by NFKC and collapsing."""
-    for pattern, by in rules:
-        text = nfkc_text(pattern.sub(by, text))
+def _needs(parsed) -> list[set[str]]:
+    """Sets of characters of which a text must hold one each, for the pattern to match anywhere in it."""
+    out: list[set[str]] = []
+    for op, arg in parsed:
+        if op is sre.LITERAL:
+            out.append({chr(arg)})
+        elif op is sre.IN and all(kind is sre.LITERAL for kind, _ in arg):
+            out.append({chr(value) for _, value in arg})
+        elif op is sre.SUBPATTERN and not arg[1] & re.IGNORECASE:
+            out += _needs(arg[3])
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0]:
+            out += _needs(arg[2])
+        elif op is sre.BRANCH:
+            branches = [_needs(b) for b in arg[1]]
+            if all(branches):
+                out.append(set().union(*(min(b, key=lambda s: (sum(c.isascii() for c in s), len(s))) for b in branches)))
+    return out
+
+
+class Rule:
+    """A pattern and its replacement, in time linear in most texts that the pattern can't match.
+
+    A text that lacks a character that each match holds is left alone without a search, and a run of a class at
+    the end is looked for from the end. Neither changes a result.
+    """
+
+    def __init__(self, pattern: str, by: str):
+        self.pattern, self.by = re.compile(pattern), by
+        parsed = _parser.parse(pattern)
+        self.needs = [] if self.pattern.flags & re.IGNORECASE else _needs(parsed)
+        self.tail = None
+        if by == "" and pattern.endswith("+$") and len(parsed) == 2 and parsed[1] == (sre.AT, sre.AT_END) and parsed[0][0] is sre.MAX_REPEAT:
+            least, most, body = parsed[0][1]
+            if least == 1 and most is sre.MAXREPEAT and len(body) == 1 and body[0][0] is sre.IN:
+                self.tail = re.compile(pattern[:-2])
+
+    def __call__(self, text: str, held: set[str]) -> str:
+        if any(held.isdisjoint(need) for need in self.needs):
+            return text
+        if self.tail and not text.endswith("\n"):
+            end = len(text)
+            while end and self.tail.fullmatch(text, end - 1, end):
+                end -= 1
+            return text[:end]
+        return self.pattern.sub(self.by, text)
+
+
+def cascade_text(text: str, rules: list[Rule]) -> str:
+    """Every rule in order, each followed by NFKC and collapsing (which change nothing the second time)."""
+    held, normal = set(text), False
+    for rule in rules:
+        after = rule(text, held)
+        if normal and after == text:
+            continue
+        text, normal = nfkc_text(after), True
+        held = set(text)
     return text
 
 
@@ -105,7 +160,11 @@ def mask_guillemets(text: Column, unclosed: str = "reference") -> Column:
     return strip_delimited(text, "《", "》", "<unk>", True, unclosed)
 
 
+@functools.cache
+def _compiled(rules: tuple[tuple[str, str], ...]) -> list[Rule]:
+    return [Rule(p, by) for p, by in rules]
+
+
 def rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
     """A whole cascade of (pattern, replacement) in one function."""
-    compiled = [(re.compile(p), by) for p, by in rules]
-    return _mapped(lambda t: cascade_text(t, compiled))(text)
+    return _mapped(lambda t: cascade_text(t, _compiled(tuple(rules))))(text)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import html
-from ..functions.arrow import cascade_text, nfkc_text
+from ..functions.arrow import Rule, cascade_text, nfkc_text
 from ..functions.rules import chinatimes, cna, epochtimes, ettoday, ftv, ltn, ntdtv, setn, storm, tvbs, udn
 from ..schemas import COMPANIES, PARSED
 
@@ -61,7 +61,7 @@ def plain(text: str) -> str:
 
 
 def _rules(listed: list) -> list:
-    return [(re.compile(x[0]), x[1]) if isinstance(x, tuple) else re.compile(x) for x in listed]
+    return [Rule(*x) if isinstance(x, tuple) else re.compile(x) for x in listed]
 
 
 def _texts(page: Page, selector: str, strip: bool = True) -> list[str]:
@@ -273,7 +273,7 @@ class Ettoday(Cascade):
     def reporter_of(self, page):
         _harvest(page, self.reporters)
         steps = [("[、]+", ","), (r"([a-zA-Z\d])\s+(?=\w)", r"\1-"), (r"(?<=\w)\s+([a-zA-Z\d])", r"-\1"), (r"\s+", ",")]
-        page.reporter = cascade_text(",".join(map(nfkc_text, page.found)), [(re.compile(p), by) for p, by in steps]).removesuffix(",")
+        page.reporter = cascade_text(",".join(map(nfkc_text, page.found)), _rules(steps)).removesuffix(",")
 
 
 class Ftv(Extractor):

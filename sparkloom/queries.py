@@ -172,11 +172,10 @@ def extract_pages(spark, d):
 
 
 def rewrite_cascades(spark, d):
-    """The cascades over the benchmark's texts; some of their patterns take time in the square of a long Latin text."""
     from .functions.rules import cna, epochtimes, ettoday, ntdtv, storm
 
     packs = {"cna": cna, "epochtimes": epochtimes, "ettoday": ettoday, "ntdtv": ntdtv, "storm": storm}
-    rows = _table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.concat(F.lit("【快訊】"), F.coalesce("text", F.lit("")), F.lit("★(更新)●")).alias("text"))
+    rows = _table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.concat(F.lit("【快訊】"), F.coalesce("text", F.lit("")), F.lit("★(更新)●")).alias("text"))
     return rows.select("id", *[arrow.rewrite(F.col("text"), pack.ARTICLE + pack.TITLE).alias(name) for name, pack in packs.items()])
 
 
@@ -254,13 +253,13 @@ def latest_id(spark, d):
 def api_urls(spark, d):
     one = F.concat(F.lit('{"data":[{"url":"u'), F.col("seq").cast("string"), F.lit('"}]}'))
     two = F.concat(F.lit('{"data":{"20":{"url":"v'), F.col("seq").cast("string"), F.lit('"},"21":{"url":"w"}}}'))
-    rows = _events(spark, d).filter("seq < 500").select("seq", F.when(F.col("seq") % 2 == 0, one).otherwise(two).alias("body"))
+    rows = _events(spark, d).select("seq", F.when(F.col("seq") % 2 == 0, one).otherwise(two).alias("body"))
     return frontier.listed_urls(rows).select("seq", "url")
 
 
 def api_items(spark, d):
     body = F.concat(F.lit('{"lists":[{"time":{"date":"2021-10-12 08:00"},"titleLink":"/news/story/1/'), F.col("seq").cast("string"), F.lit('?from=x"}]}'))
-    return frontier.listed_items(_events(spark, d).filter("seq < 500").select("seq", body.alias("body"))).select("seq", "url", "day")
+    return frontier.listed_items(_events(spark, d).select("seq", body.alias("body"))).select("seq", "url", "day")
 
 
 def url_date(spark, d):
@@ -298,7 +297,7 @@ QUERIES: dict[str, Query] = {
     "english_replacer": _text(arrow.mask_english),
     "number_replacer": _text(lambda c: arrow.mask_numbers(c)),
     "guillemet_replacer": _text(arrow.mask_guillemets),
-    "end_sentence": _text(lambda c: columns.end_sentence(F.trim(F.substring(c, 1, 50)))),
+    "end_sentence": _text(lambda c: columns.end_sentence(F.trim(c))),
     "dedup_first": dedup_first,
     "dedup_target": dedup_target,
     "merge_by_time": merge_by_time,
@@ -369,7 +368,7 @@ ORACLES: dict[str, str] = {
     "english_replacer": _article_sql(_gone(_ARTICLE, r"[a-zA-z][a-zA-z\s\d\p{Z}\p{Nd}]+", "<en>")),
     "number_replacer": _article_sql(_gone(_ARTICLE, r"\p{Nd}+", "<num>")),
     "guillemet_replacer": _article_sql(_gone(_ARTICLE, "《[^《》]*》", "《<unk>》")),
-    "end_sentence": f"SELECT id, CASE WHEN a <> '' AND NOT regexp_matches(a, '[。!?]$') THEN a || '。' ELSE a END AS article FROM (SELECT doc_id AS id, trim(substr({_ARTICLE}, 1, 50)) AS a FROM documents)",
+    "end_sentence": f"SELECT id, CASE WHEN a <> '' AND NOT regexp_matches(a, '[。!?]$') THEN a || '。' ELSE a END AS article FROM (SELECT doc_id AS id, trim({_ARTICLE}) AS a FROM documents)",
     "dedup_first": "SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS r FROM documents) WHERE r = 1",
     "dedup_target": f"""WITH r AS (SELECT id, company_id, (id % 300)::VARCHAR AS url_pattern FROM {_PARSED})
         SELECT id, company_id, url_pattern FROM (SELECT *, row_number() OVER (PARTITION BY company_id, url_pattern ORDER BY id) AS n FROM r WHERE id % 2 = 0) a
@@ -412,8 +411,8 @@ ORACLES: dict[str, str] = {
     "status_class": "SELECT ['ok', 'banned', 'not found', 'not found', 'too many requests', 'weird status'][event_id % 6 + 1] AS label, count(*) AS n FROM events GROUP BY 1",
     "api_ids": "SELECT DISTINCT unnest([event_id % 97, user_id % 89]) AS idx FROM events",
     "latest_id": "SELECT coalesce(max(CASE WHEN event_id BETWEEN 10 AND 777 THEN event_id END), 10) AS latest FROM events",
-    "api_urls": "SELECT event_id AS seq, unnest(CASE WHEN event_id % 2 = 0 THEN ['u' || event_id] ELSE ['v' || event_id, 'w'] END) AS url FROM events WHERE event_id < 500",
-    "api_items": "SELECT event_id AS seq, 'https://udn.com/news/story/1/' || event_id AS url, DATE '2021-10-12' AS day FROM events WHERE event_id < 500",
+    "api_urls": "SELECT event_id AS seq, unnest(CASE WHEN event_id % 2 = 0 THEN ['u' || event_id] ELSE ['v' || event_id, 'w'] END) AS url FROM events",
+    "api_items": "SELECT event_id AS seq, 'https://udn.com/news/story/1/' || event_id AS url, DATE '2021-10-12' AS day FROM events",
     "url_date": "SELECT event_id AS seq, make_date(2021, event_id % 12 + 1, event_id % 28 + 1) AS day FROM events",
     "json_field": "SELECT event_id, json_extract_string(props, '$.k') AS k, length(props)::INTEGER AS n FROM events",
     "local_epoch": "SELECT event_id AS seq, (epoch(make_timestamp(2021, 11, 1 + (event_id % 9)::INTEGER, 0, 0, 0.0)) - 28800)::BIGINT AS epoch FROM events",

@@ -1,7 +1,11 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.functions import arrow, columns, html
+from sparkloom.functions.rules import cna, epochtimes, ettoday, ntdtv, storm
 from sparkloom.operators import entities
 from sparkloom.schemas import COMPANIES
 
@@ -82,3 +86,20 @@ def test_entities():
     assert entities.date_mask("1月2日") == "<num>月<num>日"
     with pytest.raises(ValueError, match="both"):
         entities.tag_config({"ORG": "x"}, {"GPE": "x"})
+
+
+def plain_cascade(text, rules):
+    for pattern, by in rules:
+        text = arrow.nfkc_text(re.sub(pattern, by, text))
+    return text
+
+
+def test_cascade_shortcuts():
+    """Searches that are left out change nothing."""
+    packs = [p.ARTICLE + p.TITLE for p in (cna, epochtimes, ettoday, ntdtv, storm)]
+    parts = [x for pack in packs for pattern, _ in pack for x in re.findall(r"[\u3000-\u9fff]+|[^\w\s]|[a-zA-Z]+", pattern)]
+    draw = random.Random(7)
+    for _ in range(400):
+        text = "".join(draw.choice([draw.choice(parts), " ", "\n", "1", "ab ", "①"]) for _ in range(draw.randrange(1, 25)))
+        for pack in packs:
+            assert arrow.cascade_text(text, [arrow.Rule(*x) for x in pack]) == plain_cascade(text, pack)
