@@ -21,6 +21,8 @@ from ._frames import passed
 from ._shared import Scratch
 
 BATCHES, FANOUT = 4, 2
+#: Lines held by over this share of all (line, document) rows are fewer than its inverse; they are broadcast.
+HOT_SHARE = 1 / 1000
 _KEY = ["h1", "h2"]
 MADE = T.StructType([T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_text", T.StringType())])
 
@@ -130,8 +132,12 @@ def line_dedup(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, colu
     runs = LineRuns(scratch)
     for i in range(BATCHES):
         runs.add(lines.filter(F.col("batch") == i).drop("batch"))
-    common = runs.keys().filter(F.col("n_docs") >= least_docs).select(*_KEY, "top_doc")
-    gone = lines.join(common, _KEY).filter("doc_id <> top_doc").groupBy("doc_id").agg(F.collect_set(F.struct(*_KEY)).alias("_gone"))
+    common = scratch.save(runs.keys().filter(F.col("n_docs") >= least_docs).select(*_KEY, "n_docs", "top_doc"), "common")
+    hot = F.col("n_docs") > lines.count() * HOT_SHARE
+    often, rarer = common.filter(hot), common.filter(~hot)
+    rest = lines.join(F.broadcast(often.select(*_KEY)), _KEY, "left_anti").join(rarer, _KEY)
+    found = lines.join(F.broadcast(often), _KEY).unionByName(rest).filter("doc_id <> top_doc")
+    gone = found.groupBy("doc_id").agg(F.collect_set(F.struct(*_KEY)).alias("_gone"))
     gone = scratch.save(gone.withColumnRenamed("doc_id", "_doc"), "gone")
     whole = docs.withColumn("_doc", F.col("doc_id").cast("long")).join(gone, "_doc", "left")
     return whole.select(*dict.fromkeys([*kept, "text", "_gone"])).mapInArrow(_apply(kept), schema)
