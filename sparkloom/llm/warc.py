@@ -1,8 +1,8 @@
 """WARC archives of pages, and a salvage reader.
 
-Archives are files of one gzip member for each record. The reader checks each member or plain record; where
-a check fails it looks for the next valid member or version line, goes on there, and logs the bytes between
-as a gap. Files are written by the executors through Arrow's file systems into a folder that all share;
+Archives are files of one gzip member for each record. The reader checks each record; where a check fails it
+looks for the next valid member or version line, in a member's content too, goes on there, and logs the bytes
+between as a gap. Files are written by the executors through Arrow's file systems into a folder that all share;
 a table lists the files of the tasks that succeeded, so that files of lost or repeated tasks are not read.
 """
 
@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VERSION = b"WARC/1.1\r\n"
+VERSIONS = (b"WARC/1.0\r\n", VERSION)
+CUT_OFF = "member is cut off"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 64 << 20
 CHUNK = 1 << 20
@@ -101,15 +103,15 @@ class Damaged(Exception):
     pass
 
 
-def _parse(raw: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Fields, block and end of the record at the start of ``raw``; raises Damaged where a check fails."""
-    if not raw.startswith((b"WARC/1.0\r\n", b"WARC/1.1\r\n")):
+def _parse(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int, bool]:
+    """Fields, block and end of the record at ``at``, and whether a digest vouches for its block; raises Damaged where a check fails."""
+    if not raw.startswith(VERSIONS, at):
         raise Damaged("no version line")
-    end = raw.find(b"\r\n\r\n")
+    end = raw.find(b"\r\n\r\n", at)
     if end < 0:
         raise Damaged("header without end")
     fields = {}
-    for line in raw[:end].split(b"\r\n")[1:]:
+    for line in raw[at:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("bad header line")
@@ -117,29 +119,86 @@ def _parse(raw: bytes) -> tuple[dict[str, str], bytes, int]:
     length = fields.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Damaged("no content length")
-    block = raw[end + 4 : end + 4 + int(length)]
     after = end + 4 + int(length)
-    if len(block) < int(length) or raw[after : after + 4] != b"\r\n\r\n":
+    if raw[after : after + 4] != b"\r\n\r\n":
         raise Damaged("block does not end where it should")
+    block = raw[end + 4 : after]
     said = fields.get("warc-block-digest", "")
-    if said.startswith("sha1:") and said[5:] != digest(block):
+    vouched = said.startswith("sha1:")
+    if vouched and said[5:] != digest(block):
         raise Damaged("block digest differs")
-    return fields, block, after + 4
+    return fields, block, after + 4, vouched
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``."""
-    opened, out, here = zlib.decompressobj(31), [], at
+def _before_fault(opened, part: bytes) -> bytes:
+    """What ``opened`` makes of ``part`` up to the fault in it."""
+    out = []
     try:
-        while not opened.eof:
-            part = window.get(here, here + 65536)
-            if not part:
-                raise Damaged("member is cut off")
+        for i in range(len(part)):
+            rest = part[i : i + 1]
+            while made := opened.decompress(rest, 1):
+                out.append(made)
+                rest = opened.unconsumed_tail
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def _member(window: _Window, at: int) -> tuple[bytes, int, str | None]:
+    """Content, end and fault of the gzip member at ``at``; content and end are those before the fault, if there is one."""
+    opened, out, here = zlib.decompressobj(31), [], at
+    while not opened.eof:
+        part = window.get(here, here + 65536)
+        if not part:
+            return b"".join(out), here, CUT_OFF
+        before = opened.copy()
+        try:
             out.append(opened.decompress(part))
-            here += len(part)
-    except zlib.error as e:
-        raise Damaged(f"member: {e}") from e
-    return b"".join(out), here - len(opened.unused_data)
+        except zlib.error as e:
+            return b"".join([*out, _before_fault(before, part)]), here, f"member: {e}"
+        here += len(part)
+    return b"".join(out), here - len(opened.unused_data), None
+
+
+def _consumed(window: _Window, at: int, size: int) -> int:
+    """Where the bytes end that make the first ``size`` bytes, but for the last, of the content of the member at ``at``;
+    with the last, zlib would go on to what follows it."""
+    opened, here, left = zlib.decompressobj(31), at, size - 1
+    while left > 0:
+        part = window.get(here, here + 65536)
+        left -= len(opened.decompress(part, left))
+        here += len(part) - len(opened.unconsumed_tail)
+    return here
+
+
+def _version(raw: bytes, at: int) -> int:
+    """The first version line from ``at`` on, or the end."""
+    found = [i for mark in VERSIONS if (i := raw.find(mark, at)) >= 0]
+    return min(found, default=len(raw))
+
+
+def _contents(raw: bytes, fault: str | None) -> Iterator[tuple[int, int, dict[str, str], bytes] | tuple[int, int, str]]:
+    """Records of a member's content (start, end, fields, block) and the gaps (start, end, reason) between them.
+
+    After a fault other than a cut any byte may be wrong, so that a record without a digest isn't taken.
+    """
+    here, bad = 0, None
+    while here < len(raw):
+        try:
+            fields, block, end, vouched = _parse(raw, here)
+            if not vouched and fault not in (None, CUT_OFF):
+                raise Damaged(f"no digest to go by; {fault}")
+        except Damaged as e:
+            bad = bad or (here, str(e))
+            here = _version(raw, here + 1)
+            continue
+        if bad:
+            yield bad[0], here, bad[1]
+            bad = None
+        yield here, end, fields, block
+        here = end
+    if bad:
+        yield bad[0], here, bad[1]
 
 
 def _plain(window: _Window, at: int) -> tuple[bytes, int]:
@@ -163,7 +222,7 @@ def _plain(window: _Window, at: int) -> tuple[bytes, int]:
 def _opens(window: _Window, at: int) -> bool:
     """Whether a record seems to begin at ``at``."""
     raw = window.get(at, at + 512)
-    if raw.startswith((b"WARC/1.0\r\n", b"WARC/1.1\r\n")):
+    if raw.startswith(VERSIONS):
         return True
     if not raw.startswith(b"\x1f\x8b\x08"):
         return False
@@ -190,31 +249,53 @@ def _next(window: _Window, at: int) -> int | None:
             window.forget(at)
 
 
+def _of_member(window: _Window, at: int) -> Iterator[Record | Gap]:
+    """Records and gaps of the gzip member at ``at``; the last ends where the reader goes on."""
+    raw, end, fault = _member(window, at)
+    found = _contents(raw, fault)
+    if fault:
+        found = list(found)
+        good = max((x[1] for x in found if len(x) == 4), default=0)
+        while found and found[-1][1] > good:
+            found.pop()
+        end = _consumed(window, at, good)
+    for x in found:
+        if len(x) == 4:
+            yield Record(at, end, *x[2:])
+        else:
+            yield Gap(at, end, f"{x[2]} (bytes {x[0]} to {x[1]} of the member's content)")
+    if fault:
+        later = _next(window, max(end, at + 1))
+        yield Gap(end, window.base + len(window.data) if later is None else later, fault)
+    elif not raw:
+        yield Gap(at, end, "empty member")
+
+
 def salvage(stream) -> Iterator[Record | Gap]:
     """All records of an archive that pass the checks, and the gaps between them, in order.
 
-    Memory holds one record. Members may hold several records; if one of them is bad, the whole member is a gap
-    and its good records are left out, as their places in it can't be trusted.
+    Memory holds one record or member. The records and gaps of a member have the member's place; of a damaged one the
+    records that were decompressed before the damage have the place up to the last of them, and a gap follows. Where a
+    member's own check fails, those of its records that have no block digest are gaps.
     """
     window, at = _Window(stream), 0
     while window.upto(at + 1):
         window.forget(at)
+        if window.get(at, at + 2) == b"\x1f\x8b":
+            for x in _of_member(window, at):
+                yield x
+                last = x.until
+            at = last
+            continue
         try:
-            raw, end = (_member if window.get(at, at + 2) == b"\x1f\x8b" else _plain)(window, at)
-            found, here = [], 0
-            while here < len(raw):
-                fields, block, size = _parse(raw[here:] if here else raw)
-                found.append(Record(at, end, fields, block))
-                here += size
-            if not found:
-                raise Damaged("empty member")
-            yield from found
-            at = end
+            raw, _ = _plain(window, at)
+            fields, block, size, _ = _parse(raw)
+            yield Record(at, at + size, fields, block)
+            at += size
         except Damaged as e:
-            reason, start = str(e), at
-            later = _next(window, at + 1)
+            start, later = at, _next(window, at + 1)
             at = window.base + len(window.data) if later is None else later
-            yield Gap(start, at, reason)
+            yield Gap(start, at, str(e))
 
 
 def _write(folder: str):
@@ -307,8 +388,9 @@ def _read(folder: str | None, with_payload: bool):
 def read_warc(files: DataFrame, folder: str | None = None, with_payload: bool = True) -> DataFrame:
     """Records and gaps of the archives that ``files`` (path) lists; ``folder`` names their file system.
 
-    A row for each record (kind is its type) or gap (kind ``gap``, with the reason), by READ_SCHEMA. A damaged archive
-    costs the records whose bytes are damaged and no others. A missing file is an error. One task reads a file.
+    A row for each record (kind is its type) or gap (kind ``gap``, with the reason), by READ_SCHEMA. Damage costs the records
+    it hits; in a gzip member of several records also those that can't be decompressed after it, or have no digest (``salvage``).
+    A missing file is an error. One task reads a file.
     """
     spark = files.sparkSession
     spread = files.select("path").repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))

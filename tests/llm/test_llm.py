@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import io
 import random
+import zlib
 from collections import Counter as Bag
 
 import numpy as np
@@ -318,6 +319,38 @@ def test_salvage_of_empty_and_foreign_files():
     assert len(list(warc.salvage(io.BytesIO(gzip.compress(both))))) == 6
 
 
+def _salvaged(raw):
+    found = list(warc.salvage(io.BytesIO(raw)))
+    assert found[-1].until == len(raw)
+    return [int(x.fields["warc-record-id"][10:-1]) for x in found if isinstance(x, warc.Record)], [x for x in found if isinstance(x, warc.Gap)]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_of_a_damaged_member_of_several_records(level):
+    rng = random.Random(2)
+    payloads = [rng.randbytes(3000).hex().encode() for _ in range(60)]
+    parts = [warc.page_record(str(i), f"http://x/{i}", p, warc.digest(p), None) for i, p in enumerate(payloads)]
+    flipped = [p.replace(payloads[i][:9], b"?" * 9) if i in (20, 21) else p for i, p in enumerate(parts)]
+    ids, gaps = _salvaged(gzip.compress(b"".join(flipped), level))
+    assert ids == [i for i in range(60) if i not in (20, 21)] and len(gaps) == 1 and "block digest differs" in gaps[0].reason
+    whole, other = gzip.compress(b"".join(parts), level), warc.member(warc.page_record("99", None, b"z", warc.digest(b"z"), None))
+    cut = len(whole) * 2 // 3
+    content = zlib.decompressobj(31).decompress(whole[:cut])
+    complete = sum(len(b"".join(parts[: i + 1])) <= len(content) for i in range(60))
+    assert 30 < complete < 50
+    ids, gaps = _salvaged(whole[:cut])
+    assert ids == list(range(complete)) and [g.reason for g in gaps] == ["member is cut off"]
+    assert _salvaged(whole[:-8] + bytes(8) + other)[0] == [*range(60), 99]
+    bad = bytearray(whole)
+    bad[cut] ^= 255
+    ids, gaps = _salvaged(bytes(bad) + other)
+    assert set(range(complete - 1)) <= set(ids) and ids[-1] == 99 and len(ids) == len(set(ids)) and gaps
+    bare = b"".join(p.replace(b"WARC-Block-Digest", b"X-Digest") for p in parts)
+    assert len(_salvaged(gzip.compress(bare, level)[:cut])[0]) >= complete - 1
+    ids, gaps = _salvaged(gzip.compress(bare, 6)[:-8] + bytes(8) + other)
+    assert ids == [99] and len(gaps) == 1
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a/ü\n", "<p>é</p>", "z"), (2, None, "<p>é</p>", "z"), (3, "u", None, "z"), (4, "u", "", "z"), (None, "u", "<p>é</p>", "z"), (1, "http://a/ü\n", "<p>é</p>", "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload string")
