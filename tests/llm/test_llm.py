@@ -351,6 +351,25 @@ def test_salvage_of_a_damaged_member_of_several_records(level):
     assert ids == [99] and len(gaps) == 1
 
 
+def test_foreign_digests(spark, tmp_path):
+    payload = b"foreign payload"
+    sha1, sha256 = hashlib.sha1(payload), hashlib.sha256(payload)
+    good = [
+        f"sha1:{warc.digest(payload).lower()}", f"sha1:{sha1.hexdigest()}", f"SHA-256:{sha256.hexdigest().upper()}", f"sha256:{base64.b32encode(sha256.digest()).decode()}",
+        f"sha512:{base64.b64encode(hashlib.sha512(payload).digest()).decode()}", f"md5:{hashlib.md5(payload).hexdigest()}", "blake3:00ff", "sha1:short",
+    ]
+    bad = [f"sha1:{warc.digest(b'x')}", f"sha256:{hashlib.sha256(b'x').hexdigest()}", f"md5:{hashlib.md5(b'x').hexdigest()}"]
+    raws = [warc.page_record(str(i), None, payload, "here", None).replace(b"sha1:here", said.encode()) for i, said in enumerate(good + bad)]
+    (tmp_path / "a.warc").write_bytes(b"".join(raws))
+    got = warc.read_warc(spark.createDataFrame([(str(tmp_path / "a.warc"),)], "path string")).collect()
+    assert [r["record_id"] for r in got if r["kind"] == "response"] == [f"<urn:page:{i}>" for i in range(len(good))]
+    assert [r["reason"] for r in got if r["kind"] == "gap"] == ["payload digest differs"] * len(bad)
+    block = warc.record("resource", {}, payload)
+    for said, kind in ((good[1], warc.Record), (good[2], warc.Record), (good[6], warc.Record), (bad[1], warc.Gap)):
+        raw = block.replace(f"sha1:{warc.digest(payload)}".encode(), said.encode())
+        assert [type(x) for x in warc.salvage(io.BytesIO(raw))] == [kind]
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "http://a/ü\n", "<p>é</p>", "z"), (2, None, "<p>é</p>", "z"), (3, "u", None, "z"), (4, "u", "", "z"), (None, "u", "<p>é</p>", "z"), (1, "http://a/ü\n", "<p>é</p>", "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload string")
