@@ -199,15 +199,15 @@ def day_frontier(spark, d):
 
 
 def index_frontier(spark, d):
-    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-11", "2021-10-12"), "cna", 500).select("day", "idx", "url")
+    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-11", "2021-10-12"), "cna").select("day", "idx", "url")
 
 
 def grid_frontier(spark, d):
-    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "chinatimes", 20).select("idx", "rank", "url")
+    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "chinatimes").select("idx", "rank", "url")
 
 
 def hex_frontier(spark, d):
-    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "ftv", 50).select("category", "idx", "url")
+    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "ftv").select("category", "idx", "url")
 
 
 def first_hit(spark, d):

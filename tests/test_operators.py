@@ -1,12 +1,13 @@
 import json
 import random
 import sqlite3
+import zlib
 from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom import schemas
+from sparkloom import queries, schemas
 from sparkloom.operators import extract, frontier, relops
 from sparkloom.plans import jobs
 from sparkloom.sources import newsdb
@@ -154,6 +155,27 @@ def test_frontier(spark):
     assert frontier.listed_items(items).first()["url"] == "https://udn.com/n/1"
 
 
+def test_frontier_queries_cover_the_days(spark):
+    days, cna = ("2021-10-11", "2021-10-12"), "https://www.cna.com.tw/news/aipl/"
+    want = {(day, i, f"{cna}{day.replace('-', '')}{i:04}.aspx") for day in days for i in range(10_000)}
+    got = queries.index_frontier(spark, "").collect()
+    assert len(got) == len(want) and {(str(r["day"]), r["idx"], r["url"]) for r in got} == want
+    want = {(c, i, f"https://www.ftvnews.com.tw/news/detail/2021A12{c}{i:0{4 if c == 'W' else 2}}") for c in "ACFIJLNPRSUW" for i in range(1, 10_000 if c == "W" else 31)}
+    got = queries.hex_frontier(spark, "").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    grid, choices = queries.grid_frontier(spark, ""), [(p, c) for c in frontier.CATEGORIES["chinatimes"] for p in frontier.PATHS["chinatimes"]]
+    make = lambda i, rank: f"https://www.chinatimes.com/{choices[rank][0]}/20211012{i:06}-{choices[rank][1]}"
+    by_rank = {r["rank"]: tuple(r)[1:] for r in grid.groupBy("rank").agg(F.count("*"), F.countDistinct("idx"), F.min("idx"), F.max("idx"), F.sum(F.crc32("url"))).collect()}
+    assert by_rank == {rank: (100_000, 100_000, 0, 99_999, sum(zlib.crc32(make(i, rank).encode()) for i in range(100_000))) for rank in range(60)}
+
+
+@pytest.mark.parametrize(("name", "within"), [("index_frontier", "idx < 500"), ("grid_frontier", "idx < 20"), ("hex_frontier", "idx < 50")])
+def test_frontier_queries_match_sql_in_its_range(spark, name, within):
+    duckdb = pytest.importorskip("duckdb")
+    got = queries.QUERIES[name](spark, "").filter(within).collect()
+    assert sorted(map(tuple, got)) == sorted(duckdb.sql(queries.ORACLES[name]).fetchall())
+
+
 def test_stream_adds_each_key_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "id long, company_id int, url_pattern string"
