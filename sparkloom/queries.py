@@ -164,11 +164,31 @@ def page_links(spark, d):
     return extract.listing_links(rows, "nav li > a[href^='/']").groupBy("page_id").agg(F.count("*").alias("n_links"), F.min_by("link", "place").alias("first_link"))
 
 
+#: By company: an address with the page's id, and what stands before and after the page in the source's own markup.
+_MARKUP = {
+    0: ("20141108{}-260407", '<h1 class="article-title">t</h1><header class="article-header"><time datetime="2014-11-08 08:00"></time></header><div class="article-body"><p>', "</p></div>"),
+    1: ("20141108{}", '<div class="centralContent"><h1><span>t</span></h1><div class="paragraph"><p>', "</p></div></div>"),
+    2: ("14-11-08-{}", '<h1 class="title">t</h1><div id="artbody"><p>', "</p></div>"),
+    3: ("{}", '<meta name="pubdate" content="2014-11-08T08:00:00+08:00"><h1 class="title">t</h1><div class="story"><p>', "</p></div>"),
+    4: ("2014B08W{}", '<div class="col-article"><h1 class="text-center">t</h1></div><div id="newscontent"><p>', "</p></div>"),
+    5: ("life-{}", '<div class="whitecon"><h1>t</h1></div><div itemprop="articleBody"><div class="text boxTitle boxText"><span class="time"> 2014/11/08 08:00</span><p>', "</p></div></div>"),
+    6: ("2014-11-08-{}", '<div class="article_title"><h1>t</h1></div><div class="article_content"><p>', "</p></div>"),
+    7: ("{}", '<input type="hidden" id="pageGroupID" value="6"><time class="page-date">2014/11/08 08:00:00</time><h1 class="news-title-3">t</h1><div id="Content1"><p>', "</p></div>"),
+    8: ("{}", '<h1 id="article_title">t</h1><span id="info_time">2014-11-08 08:00</span><div id="CMS_wrapper"><p aid="1">', "</p></div>"),
+    9: ("life-{}", '<meta name="pubdate" content="2014-11-08T08:00:00+08:00"><div class="title_box"><h1 class="title">t</h1></div><div id="news_detail_div"><html><body><p>', "</p></body></html></div>"),
+    10: ("7001-{}", '<h1 class="article-content__title">t</h1><section class="authors"><time class="article-content__time">2014-11-08 08:00</time></section><section class="article-content__editor"><p>', "</p></section>"),
+}
+
+
 def extract_pages(spark, d):
-    rows = _table(spark, d, "pages")
-    wrapped = F.concat(F.lit('<div class="article-body"><p>'), F.coalesce("html", F.lit("")), F.lit('</p></div><h1 class="article-title">t</h1><div class="centralContent"><h1><span>t</span></h1></div>'))
-    raw = rows.select(F.col("page_id").alias("id"), (F.col("page_id") % 12).cast("int").alias("company_id"), wrapped.alias("raw_xml"), F.lit("20141108").alias("url_pattern"))
-    return extract.extract(raw)
+    """Pages in the markup of the eleven sources by turns; every twelfth belongs to none."""
+    company, page, key = F.col("page_id") % 12, F.coalesce("html", F.lit("")), F.col("page_id").cast("string")
+    raw, url = page, key
+    for i, (form, before, after) in _MARKUP.items():
+        a, b = form.split("{}")
+        raw = F.when(company == i, F.concat(F.lit(before), page, F.lit(after))).otherwise(raw)
+        url = F.when(company == i, F.concat(F.lit(a), key, F.lit(b))).otherwise(url)
+    return extract.extract(_table(spark, d, "pages").select(F.col("page_id").alias("id"), company.cast("int").alias("company_id"), raw.alias("raw_xml"), url.alias("url_pattern")))
 
 
 def rewrite_cascades(spark, d):

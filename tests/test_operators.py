@@ -176,6 +176,17 @@ def test_frontier_queries_match_sql_in_its_range(spark, name, within):
     assert sorted(map(tuple, got)) == sorted(duckdb.sql(queries.ORACLES[name]).fetchall())
 
 
+def test_extract_pages_query_reads_every_source(spark, tmp_path):
+    pages = [(i, f"<!DOCTYPE html><html><body><p>今天天氣好{i}度。<p>明天也好。<b>後天</body></html>") for i in range(24)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    for r in queries.extract_pages(spark, str(tmp_path)).collect():
+        if r["company_id"] == 11:
+            assert r["error"] == "unknown: unknown company 11"
+        else:
+            assert r["error"] is None and r["title"] == "t" and r["timestamp"] // 86400 in (16381, 16382), r
+            assert f"今天天氣好{r['id']}度" in r["article"] and "明天也好" in r["article"] and ("後天" in r["article"]) == (r["company_id"] not in (3, 9)), r
+
+
 def test_stream_adds_each_key_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "id long, company_id int, url_pattern string"
