@@ -34,9 +34,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that 5-word shingles link at 0.8; of rows that share a doc_id, one."""
-    kept = near_duplicates(docs, k=5, percent=80).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One row of each group that 5-word shingles link at 0.8, the one with the least doc_id; rows without doc_id or with one
+    that others share too are rows of their own, behind all others."""
+    scratch = Scratch(spark, "near-rows")
+    shared = scratch.save(docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select(F.col("doc_id").alias("_id")), "shared")
+    rows = docs.withColumn("_row", F.col("doc_id").cast("long"))
+    if not shared.isEmpty():
+        top = max(docs.agg(F.max("doc_id")).first()[0] or 0, 0)
+        same = F.col("doc_id").eqNullSafe(F.col("_id"))
+        odd = scratch.save(docs.join(shared, same, "left_semi").withColumn("_row", F.monotonically_increasing_id() + F.lit(top + 1)), "odd")
+        rows = rows.join(shared, same, "left_anti").unionByName(odd)
+    kept = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80).filter("kept").select(F.col("doc_id").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def clean_of_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -154,6 +154,15 @@ def test_pipeline_matches_plain_version(spark, planted, library):
         assert r["ids"] == library.encode(want[doc]) and r["n_chars"] == len(want[doc]) and r["n_tokens"] == len(r["ids"])
 
 
+def test_near_stage_keeps_unlinked_rows_without_an_id_of_their_own(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcde")
+    rows = [(1, a), (1, b), (1, a), (None, c), (None, c), (None, d), (3, e), (2, e), (None, e)]
+    docs = spark.createDataFrame([(i, t, "xx", "src1", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in pipeline.near(spark, docs, "").collect()]
+    assert Bag(got) == Bag([(1, a), (1, b), (None, c), (None, d), (2, e)])
+
+
 def test_pipeline_of_empty_tables(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     for name in ("documents", "benchmark"):
