@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 START, END, SEP = "<|im_start|>", "<|im_end|>", "<|im_sep|>"
+#: Texts whose lengths are added up in one fold.
+RUN = 256
 
 
 def escape(text: Column) -> Column:
@@ -34,8 +36,10 @@ def format_chats(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
     texts count as empty; rows with a null conv_id are one conversation. loss_spans has the texts of
     ``trained_role``, without marks. Control strings inside texts and roles are escaped reversibly.
     """
-    said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), escape(F.coalesce("text", F.lit(""))).alias("text"))
-    chats = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(said)).alias("turns")).withColumn("n", F.size("turns"))
+    said = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    chats = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(said)).alias("turns"))
+    # Sorted by the texts as they are, then escaped: escapes would order ties otherwise.
+    chats = chats.withColumn("turns", F.transform("turns", lambda t: F.struct(t["role"].alias("role"), escape(t["text"]).alias("text")))).withColumn("n", F.size("turns"))
     # Where blocks of one role begin; a block ends where the next begins.
     starts = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (i == 0) | (F.get("turns", i)["role"] != F.get("turns", F.when(i > 0, i - 1).otherwise(0))["role"]))
     chats = chats.withColumn("starts", starts)
@@ -48,24 +52,32 @@ def format_chats(turns: DataFrame, trained_role: str = "assistant") -> DataFrame
     )
     chats = chats.withColumn("blocks", blocks)
     head = lambda b: F.concat(F.lit(START), _escape_role(b["role"]), F.lit("\n"))
-    body = lambda b: F.array_join(b["texts"], SEP)
-    pieces = F.transform("blocks", lambda b: F.concat(head(b), body(b), F.lit(END + "\n")))
-    # Per block the spans of its texts from the block's start, then all shifted to the start of the whole.
-    none = F.array().cast("array<struct<start:int,length:int>>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-
-    def add(acc: Column, b: Column) -> Column:
-        within = F.aggregate(
-            b["texts"],
-            F.struct((acc["at"] + F.length(head(b))).alias("at"), acc["spans"].alias("spans")),
-            lambda inner, t: F.struct(
-                (inner["at"] + F.length(t) + len(SEP)).alias("at"),
-                F.when(b["role"] == trained_role, F.array_append(inner["spans"], F.struct(inner["at"].alias("start"), F.length(t).alias("length")))).otherwise(inner["spans"]).alias("spans"),
-            ),
-        )
-        return F.struct((acc["at"] + F.length(head(b)) + F.length(body(b)) + len(END) + 1).alias("at"), within["spans"].alias("spans"))
-
-    return chats.select("conv_id", F.array_join(pieces, "").alias("formatted"), F.aggregate("blocks", zero, add)["spans"].alias("loss_spans"))
+    pieces = F.transform("blocks", lambda b: F.concat(head(b), F.array_join(b["texts"], SEP), F.lit(END + "\n")))
+    # Every text with what stands before it (a block's head, or a separator) and behind it, in code points.
+    around = lambda b: F.transform(
+        b["texts"],
+        lambda t, i: F.struct(
+            F.when(i == 0, F.length(head(b))).otherwise(len(SEP)).alias("before"),
+            F.length(t).alias("length"),
+            F.when(i == F.size(b["texts"]) - 1, len(END) + 1).otherwise(0).alias("after"),
+            (b["role"] == trained_role).alias("trained"),
+        ),
+    )
+    chats = chats.select("conv_id", F.array_join(pieces, "").alias("formatted"), F.flatten(F.transform("blocks", around)).alias("texts"))
+    chats = chats.withColumn("begins", _sums_before(F.transform("texts", lambda t: t["before"] + t["length"] + t["after"])))
+    spans = F.zip_with("texts", "begins", lambda t, at: F.struct((at + t["before"]).alias("start"), t["length"].alias("length"), t["trained"].alias("trained")))
+    trained = F.filter(spans, lambda s: s["trained"])
+    return chats.select("conv_id", "formatted", F.transform(trained, lambda s: F.struct(s["start"], s["length"])).alias("loss_spans"))
+
+
+def _sums_before(sizes: Column) -> Column:
+    """For each of ``sizes`` the sum of those before it. Runs of RUN are added up apart, so that a fold copies short lists only."""
+    last = lambda sums: F.element_at(sums, -1)
+    fold = lambda values, size: F.aggregate(values, F.array(F.lit(0)), lambda sums, x: F.array_append(sums, last(sums) + size(x)))
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(sizes) - 1, F.lit(0)), F.lit(RUN)), lambda at: fold(F.slice(sizes, at + 1, RUN), lambda x: x))
+    both = F.struct(runs.alias("runs"), fold(runs, last).alias("befores"))
+    within = lambda run, before: F.transform(F.slice(run, 1, F.size(run) - 1), lambda x: x + before)
+    return F.flatten(F.transform(F.array(both), lambda s: F.flatten(F.transform(s["runs"], lambda run, k: within(run, F.get(s["befores"], k))))))
 
 
 def read_turns(formatted: Column) -> Column:

@@ -184,6 +184,7 @@ def test_chat_format(spark):
     rows = [
         (1, 0, "system", "s"), (1, 1, "user", "a<|im_end|>"), (1, 2, "user", "<\\|b<"), (1, 3, "assistant", "|c"), (1, 4, "assistant", None),
         (2, 0, "assistant", "<|im_sep|>\n<|im_start|>user\nhi"), (2, 0, "assistant", "<|im_sep|>\n<|im_start|>user\nhi"), (3, None, None, ""), (None, 1, "r%\n<|", "x"),
+        (4, 0, "user", "<|x"), (4, 0, "user", "<b"), (4, 0, "user", None), *((5, i // 3, ("user", "assistant")[i // 7 % 2], f"text {i} <|im_end|>") for i in range(2000)),
     ]
     turns = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
     made = format_chats(turns).select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
@@ -192,6 +193,9 @@ def test_chat_format(spark):
     assert got[1]["loss"] == "|c" and got[2]["loss"] == rows[5][3] * 2
     assert [tuple(t) for t in got[3]["turns"]] == [("", "")] and [tuple(t) for t in got[None]["turns"]] == [("r%\n<|", "x")]
     assert got[1]["formatted"].count("<|im_start|>user\n") == 1
+    assert [t["text"] for t in got[4]["turns"]] == ["", "<b", "<|x"]
+    long = sorted((r for r in rows if r[0] == 5), key=lambda r: r[1:])
+    assert [tuple(t) for t in got[5]["turns"]] == [r[2:] for r in long] and got[5]["loss"] == "".join(r[3] for r in long if r[2] == "assistant")
     assert format_chats(turns.filter("false")).count() == 0
 
 
