@@ -15,9 +15,19 @@ from ._frames import passed
 SYMBOLS = b"#*$%&|<>"
 #: A document goes when its failed lines hold more than this share of its words' code points.
 MOST_LOST_PERCENT = 30
-#: Phrases of boilerplate lines, for lines of at most BOILERPLATE_WORDS words, lower-cased.
+#: Marks that end or part sentences, in Latin and other scripts; shouted ones; what parts the items of a menu.
+STOPS = ".,;:!?" + "。！？；，：、．…।॥؟؛،۔։՞՜་།፡።፣、។៕၊။"
+SHOUTS = "!?！？"
+SEPARATORS = "|›»·•▸→"
+#: Phrases of boilerplate lines, for lines of at most BOILERPLATE_WORDS words, with A-Z lower-cased.
 BOILERPLATE_WORDS = 25
-BOILERPLATE = ("all rights reserved", "accept cookies", "cookie policy", "privacy policy", "terms of use", "terms of service", "javascript is disabled", "enable javascript", "lorem ipsum", "skip to content")
+BOILERPLATE = (
+    "all rights reserved", "accept cookies", "accept all cookies", "cookie policy", "cookie settings", "uses cookies", "privacy policy", "terms of use", "terms of service",
+    "terms and conditions", "javascript is disabled", "enable javascript", "lorem ipsum", "skip to content", "skip to main content", "click here to subscribe", "sign up for our newsletter",
+    "alle rechte vorbehalten", "cookies akzeptieren", "verwendet cookies", "datenschutzerklärung", "allgemeine geschäftsbedingungen", "zum inhalt springen", "newsletter abonnieren",
+    "tous droits réservés", "accepter les cookies", "utilise des cookies", "politique de confidentialité", "mentions légales", "conditions générales", "aller au contenu",
+    "todos los derechos reservados", "aceptar cookies", "utiliza cookies", "política de privacidad", "política de cookies", "aviso legal", "términos y condiciones", "ir al contenido",
+)
 
 MADE = T.StructType(
     [
@@ -35,7 +45,7 @@ def _is(chars: bytes) -> np.ndarray:
     return table
 
 
-_SYMBOL, _STOP, _SHOUT, _BAR = _is(SYMBOLS), _is(b".,;:!?"), _is(b"!?"), _is(b"|")
+_SYMBOL = _is(SYMBOLS)
 
 
 def _count(buf: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -45,6 +55,30 @@ def _count(buf: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Marks:
+    """A set of characters, found by their UTF-8 bytes."""
+
+    def __init__(self, chars: str):
+        self.ascii = _is(bytes(ord(c) for c in chars if c.isascii()))
+        self.lead = _is(bytes({c.encode()[0] for c in chars if not c.isascii()}))
+        self.codes = np.array(sorted(int.from_bytes(c.encode().ljust(3, b"\0"), "big") for c in chars if not c.isascii()))
+
+    def running(self, buf: np.ndarray) -> np.ndarray:
+        """Running count before each byte, with the total at the end."""
+        seen = self.ascii[buf]
+        at = np.flatnonzero(self.lead[buf])
+        if len(at):
+            padded = np.append(buf, np.zeros(2, np.uint8)).astype(np.int64)
+            third = np.where(buf[at] < 0xE0, 0, padded[at + 2])
+            seen[at] = np.isin((padded[at] << 16) | (padded[at + 1] << 8) | third, self.codes)
+        out = np.zeros(len(buf) + 1, dtype=np.int64)
+        np.cumsum(seen, out=out[1:])
+        return out
+
+
+_STOP, _SHOUT, _SEPARATOR = _Marks(STOPS), _Marks(SHOUTS), _Marks(SEPARATORS)
+
+
 def _equal_earlier(groups: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which (group, hash) pairs occur more than once."""
     keys = tb.splitmix(hashes + tb.splitmix(groups.astype(np.uint64) + np.uint64(1)))
@@ -84,13 +118,15 @@ def measure(buf: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray]
     a, b = np.searchsorted(starts, line_starts), np.searchsorted(starts, line_ends)
     n_words = b - a
     chars = words_before[b] - words_before[a]
-    within = lambda table: (lambda c: c[line_ends] - c[line_starts])(_count(buf, table))
-    bars, shouts = within(_BAR), within(_SHOUT)
+    within = lambda marks: (lambda c: c[line_ends] - c[line_starts])(marks.running(buf))
+    slashes = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.cumsum((ends - starts == 1) & (buf[starts] == 47), out=slashes[1:])
+    parts, shouts = within(_SEPARATOR) + slashes[b] - slashes[a], within(_SHOUT)
     symbols = _count(buf, _SYMBOL)
     failed = (n_words >= 10) & (within(_STOP) == 0)
     failed |= (n_words >= 3) & (shouts > n_words)
     failed |= 10 * (symbols[line_ends] - symbols[line_starts]) > chars
-    failed |= (bars >= 3) & (4 * bars >= n_words)
+    failed |= (parts >= 3) & (4 * parts >= n_words)
     low = tb.LOWER[buf].tobytes()
     for phrase in BOILERPLATE:
         wanted, at = phrase.encode(), low.find(phrase.encode())
@@ -145,15 +181,15 @@ def _run(columns: list[str]):
 def quality_rules(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Figures, verdict and cleaned text of every row of ``docs`` (text, and what else is passed through).
 
-    Words are ``[^\\x20\\x09-\\x0D]+``. A line with a word fails when it has ten words and none of ``.,;:!?``, or
-    more ``!?`` than words (three words or more), or symbols ``[#*$%&|<>]`` over a tenth of its words' code
-    points (all: punctuation), or three bars for at most four words each (navigation), or is short and
-    holds a phrase of BOILERPLATE. ``clean_text`` is the text without failed lines. ``kept`` is false for
+    Words are ``[^\\x20\\x09-\\x0D]+``. A line with a word fails when it has ten words and none of STOPS, or
+    more of SHOUTS than words (three words or more), or symbols ``[#*$%&|<>]`` over a tenth of its words' code
+    points (all: punctuation), or three of SEPARATORS or lone slashes for at most four words each (navigation),
+    or is short and holds a phrase of BOILERPLATE. ``clean_text`` is the text without failed lines. ``kept`` is false for
     base failures (under 50 words, or over half of the words in repeated 3-word windows) and for texts
     whose failed lines hold over MOST_LOST_PERCENT of the words' code points.
 
     A null or empty text has no word: it fails the base and its clean text is empty. Rows are judged one
-    by one, so repeated rows and null ids are no matter. A passed column named like a made one is replaced.
+    by one, so repeated rows and null ids are no matter; a table without rows gives none. A passed column named like a made one is replaced.
     """
     kept, schema = passed(docs, columns, MADE)
     return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(_run(kept), schema)

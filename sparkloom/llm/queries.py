@@ -18,7 +18,7 @@ from .hmm import score_texts
 from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
 from .quality_classifier import draw, fit_quality, score_quality
-from .quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, quality_rules
+from .quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, SEPARATORS, SHOUTS, STOPS, quality_rules
 from .sentencepiece_codec import decode, encode_batches, load_model
 from .token_counts import count_edited
 from .warc import read_warc, write_warc
@@ -176,11 +176,12 @@ win AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM d WHERE len(w
 win2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM win),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM win2 WHERE c > 1) GROUP BY doc_id),
 l0 AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d),
-l AS (SELECT doc_id, l, len({_words("l")}) AS nw, {_chars("l", r"^\x20\x09-\x0D").replace("[^^", "[")} AS cps FROM l0),
+l1 AS (SELECT doc_id, l, {_words("l")} AS lw FROM l0),
+l AS (SELECT doc_id, l, len(lw) AS nw, {_chars("l", SEPARATORS)} + len(list_filter(lw, lambda x: x = '/')) AS parts, {_chars("l", r"^\x20\x09-\x0D").replace("[^^", "[")} AS cps FROM l1),
 f AS (
   SELECT doc_id, l, cps,
-    (nw >= 10 AND NOT regexp_matches(l, '[.,;:!?]')) OR (nw >= 3 AND {_chars("l", "!?")} > nw) OR 10 * {_chars("l", "#*$%&|<>")} > cps
-    OR ({_chars("l", "|")} >= 3 AND 4 * {_chars("l", "|")} >= nw)
+    (nw >= 10 AND NOT regexp_matches(l, '[{STOPS}]')) OR (nw >= 3 AND {_chars("l", SHOUTS)} > nw) OR 10 * {_chars("l", "#*$%&|<>")} > cps
+    OR (parts >= 3 AND 4 * parts >= nw)
     OR (nw <= {BOILERPLATE_WORDS} AND regexp_matches({_LOWER.format("l")}, '{"|".join(BOILERPLATE)}')) AS bad
   FROM l WHERE nw > 0),
 g AS (SELECT doc_id, count(*) - count(DISTINCT l) AS dup, sum(CASE WHEN bad THEN cps ELSE 0 END) AS lost, count(*) FILTER (bad) AS failed FROM f GROUP BY doc_id),

@@ -109,6 +109,19 @@ def test_quality_rules(spark):
         assert r["base_failed"] == (len(words) < 50 or 100 * len(covered) > 50 * len(words))
 
 
+def test_quality_rules_in_other_scripts(spark):
+    word = lambda base, i: chr(base + i % 20) + chr(base + i % 7) + chr(base + i // 7 % 11)
+    bodies = [" ".join(word(base, i) for i in range(60)) + stop for base, stop in ((0x0905, "।"), (0x0628, "؟"), (0x4E00, "。"), (0x0561, "։"), (0x1780, "។"))]
+    bare = " ".join(word(0x0905, i) for i in range(12))
+    menus = ["Start › Politik › Sport › Kultur", "inicio · deportes · cine · radio", "a / b / c / d", "Alle Rechte vorbehalten", "© 2024 Tous droits réservés", "Política de privacidad"]
+    wide = "一 二 三！！！？"
+    texts = [*bodies, *(f"{bodies[0]}\n{x}" for x in (bare, *menus, wide)), f"{bodies[0]}\n1/2/3/4 is no menu"]
+    rows = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [rows[i]["n_failed_lines"] for i in range(len(texts))] == [0] * len(bodies) + [1] * (len(menus) + 2) + [0]
+    assert all(rows[i]["kept"] and rows[i]["clean_text"] == bodies[i] for i in range(len(bodies)))
+    assert quality_rules(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_token_counts_after_edits(spark):
     counter = token_counts.Counter(token_counts.load_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken"))
     rng = random.Random(5)

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from sparkloom.llm import queries, token_counts
-from sparkloom.llm.quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT
+from sparkloom.llm.quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, SEPARATORS, SHOUTS, STOPS
 
 SF_DIR = "/root/testdata/sf0.001"
 TOKENIZERS = queries.TOKENIZERS
@@ -60,11 +60,12 @@ def _bad_line(line):
     words = _words(line)
     chars = sum(len(w.decode()) for w in words)
     count = lambda kinds: sum(line.count(c) for c in kinds)
+    parts = count(SEPARATORS) + words.count(b"/")
     return bool(words) and (
-        (len(words) >= 10 and not count(".,;:!?"))
-        or (len(words) >= 3 and count("!?") > len(words))
+        (len(words) >= 10 and not count(STOPS))
+        or (len(words) >= 3 and count(SHOUTS) > len(words))
         or 10 * count("#*$%&|<>") > chars
-        or (count("|") >= 3 and 4 * count("|") >= len(words))
+        or (parts >= 3 and 4 * parts >= len(words))
         or (len(words) <= BOILERPLATE_WORDS and any(p in line.encode().lower().decode() for p in BOILERPLATE))
     )
 
