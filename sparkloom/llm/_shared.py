@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only where that is unset (tests)."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's ``spark.checkpoint.dir``; a temporary folder only where that is unset and the master is local (tests)."""
+    sc = spark.sparkContext
+    place = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not place:
-        sc = spark.sparkContext
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparkloom-"))
         place = sc.getCheckpointDir()
-        if not place:
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparkloom-"))
-            place = sc.getCheckpointDir()
     return place.rstrip("/")
 
 
@@ -37,11 +37,21 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def save_bucketed(self, df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+        """A table in ``buckets`` parts by the hash of ``keys``, each sorted by them: joins on the keys don't shuffle it."""
+        path, table = self.path(name), f"sparkloom_{name}_{uuid.uuid4().hex}"
+        df.write.format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+        out = self.spark.table(table)
+        out._scratch_path, out._scratch_table = path, table
+        return out
+
     def path(self, name: str) -> str:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
     def drop(self, df_or_path: DataFrame | str) -> None:
+        if table := getattr(df_or_path, "_scratch_table", None):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         path = df_or_path if isinstance(df_or_path, str) else df_or_path._scratch_path
         jvm = self.spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)

@@ -1,8 +1,10 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-Documents come in batches. A batch's lines are counted, merge-anti-joined against the runs so far (which
-tells the lines that are new) and stored as a sorted run of its own; when a level has FANOUT runs they are
-compacted into one of the next level. Runs and lists of lines are tables in the shared folder.
+Documents come in batches. A batch's keys (hashes of lines) are counted and merge-anti-joined with the runs so far:
+those that no run has are stored as a sorted run of their own, the others only as updates of counts. When a level
+has FANOUT runs they are compacted into one of the next level. A key thus stands in one run, with what its first batch
+held, and in an update for each later batch that has it. Runs are bucketed and sorted by the key, so that joins
+don't shuffle them; all are tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from pyspark.sql import types as T
 from ._frames import passed
 from ._shared import Scratch
 
-BATCHES, FANOUT = 4, 2
+#: (line, document) rows of a batch, and bounds of the number of batches.
+BATCH_LINES, LEAST_BATCHES, MOST_BATCHES = 4_000_000, 2, 8
+FANOUT = 2
 #: Lines held by over this share of all (line, document) rows are fewer than its inverse; they are broadcast.
 HOT_SHARE = 1 / 1000
 _KEY = ["h1", "h2"]
@@ -78,10 +82,14 @@ def _apply(columns: list[str]):
 
 
 class LineRuns:
-    """Levels of sorted runs (h1, h2, n_docs, top_doc, n_new); a key's figures are summed over the runs."""
+    """Levels of sorted runs (h1, h2, n_docs, top_doc), each key in one run, and updates of the same form."""
 
     def __init__(self, scratch: Scratch, fanout: int = FANOUT):
-        self.scratch, self.fanout, self.levels = scratch, fanout, [[]]
+        self.scratch, self.fanout, self.levels, self.updates = scratch, fanout, [[]], []
+        self.buckets = max(1, int(scratch.spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def _save(self, df: DataFrame, name: str) -> DataFrame:
+        return self.scratch.save_bucketed(df, name, _KEY, self.buckets)
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -89,30 +97,44 @@ class LineRuns:
     def add(self, lines: DataFrame) -> None:
         """A batch of (h1, h2, doc_id). No document may come in two batches."""
         own = lines.groupBy(*_KEY, "doc_id").count().groupBy(*_KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("top_doc"))
-        if runs := self.runs():
-            known = reduce(DataFrame.union, [r.filter("n_new > 0").select(*_KEY) for r in runs])
-            own = own.join(known.withColumn("_known", F.lit(0)), _KEY, "left").select(*_KEY, "n_docs", "top_doc", F.coalesce("_known", F.lit(1)).cast("long").alias("n_new"))
-        else:
-            own = own.withColumn("n_new", F.lit(1).cast("long"))
-        self._put(0, own)
-
-    def _put(self, level: int, run: DataFrame) -> None:
-        run = self.scratch.save(run.sortWithinPartitions(*_KEY), f"run{level}")
-        if len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(run)
-        if len(self.levels[level]) >= self.fanout:
-            old, self.levels[level] = self.levels[level], []
-            self._put(level + 1, self._merged(old))
-            for x in old:
-                self.scratch.drop(x)
-
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.union, runs).groupBy(*_KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("top_doc").alias("top_doc"), F.sum("n_new").alias("n_new"))
+        self._compact()
+        if not (runs := self.runs()):
+            self.levels[0].append(self._save(own, "run"))
+            return
+        own = self._save(own, "batch")
+        fresh = self._save(reduce(lambda left, run: left.join(run.select(*_KEY), _KEY, "left_anti"), runs, own), "run")
+        # Updates aren't bucketed: Spark 4.1 sums over a union of bucketed tables without a shuffle, and then reads them unbucketed.
+        self.updates.append(self.scratch.save(own.join(fresh.select(*_KEY), _KEY, "left_anti"), "update"))
+        self.levels[0].append(fresh)
+        self.scratch.drop(own)
+
+    def _compact(self) -> None:
+        """Full levels become one run of the next; no key is in two runs, so rows are merged as they are."""
+        level = 0
+        while level < len(self.levels):
+            if len(self.levels[level]) >= self.fanout:
+                old, self.levels[level] = self.levels[level], []
+                merged = self._save(reduce(DataFrame.union, old).repartition(self.buckets, *_KEY), "run")
+                if level + 1 == len(self.levels):
+                    self.levels.append([])
+                self.levels[level + 1].append(merged)
+                for x in old:
+                    self.scratch.drop(x)
+            level += 1
 
     def keys(self) -> DataFrame:
-        return self._merged(self.runs())
+        """Every key with its figures over all batches."""
+        runs = self.runs()
+        if not self.updates:
+            return reduce(DataFrame.union, runs)
+        more = reduce(DataFrame.union, self.updates).groupBy(*_KEY).agg(F.sum("n_docs").alias("more"), F.max("top_doc").alias("later"))
+        more = self._save(more, "more")
+        whole = [run.join(more, _KEY, "left").select(*_KEY, (F.col("n_docs") + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("top_doc", "later").alias("top_doc")) for run in runs]
+        return reduce(DataFrame.union, whole)
+
+    def drop(self) -> None:
+        for x in [*self.runs(), *self.updates]:
+            self.scratch.drop(x)
 
 
 def line_dedup(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, columns: list[str] | None = None) -> DataFrame:
@@ -128,12 +150,15 @@ def line_dedup(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, colu
     kept, schema = passed(docs, columns, MADE)
     lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     lines = lines.mapInArrow(_lines(least_chars), "h1 long, h2 long, doc_id long")
-    lines = scratch.save(lines.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(BATCHES))), "lines")
+    lines = scratch.save(lines, "lines")
+    total = lines.count()
+    batches = min(max(-(-total // BATCH_LINES), LEAST_BATCHES), MOST_BATCHES)
     runs = LineRuns(scratch)
-    for i in range(BATCHES):
-        runs.add(lines.filter(F.col("batch") == i).drop("batch"))
-    common = scratch.save(runs.keys().filter(F.col("n_docs") >= least_docs).select(*_KEY, "n_docs", "top_doc"), "common")
-    hot = F.col("n_docs") > lines.count() * HOT_SHARE
+    for i in range(batches):
+        runs.add(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
+    common = scratch.save(runs.keys().filter(F.col("n_docs") >= least_docs), "common")
+    runs.drop()
+    hot = F.col("n_docs") > total * HOT_SHARE
     often, rarer = common.filter(hot), common.filter(~hot)
     rest = lines.join(F.broadcast(often.select(*_KEY)), _KEY, "left_anti").join(rarer, _KEY)
     found = lines.join(F.broadcast(often), _KEY).unionByName(rest).filter("doc_id <> top_doc")

@@ -17,6 +17,7 @@ from sparkloom.llm import hmm, near_dedup, token_counts, warc
 from sparkloom.llm import quality_classifier as qc
 from sparkloom.llm import sentencepiece_codec as codec
 from sparkloom.llm.chat_format import format_chats, read_loss, read_turns
+from sparkloom.llm import _shared, line_dedup as lines
 from sparkloom.llm.line_dedup import line_dedup
 from sparkloom.llm.quality_rules import quality_rules
 
@@ -282,6 +283,37 @@ def test_line_dedup(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_line_runs_hold_each_key_once(spark):
+    rng = random.Random(9)
+    runs, held = lines.LineRuns(_shared.Scratch(spark, "test")), {}
+    for batch in range(6):
+        rows = [(rng.randrange(40) + 30 * batch, k % 3, 10 * doc + batch) for doc in range(5) for k in range(30)]
+        for h1, h2, doc in rows:
+            held.setdefault((h1, h2), set()).add(doc)
+        runs.add(spark.createDataFrame(rows, "h1 long, h2 long, doc_id long"))
+    assert len(runs.runs()) == 3 and len(runs.updates) == 5
+    stored = [(r["h1"], r["h2"]) for run in runs.runs() for r in run.collect()]
+    assert len(stored) == len(set(stored)) == len(held)
+    assert sum(u.count() for u in runs.updates) > 0
+    assert sorted(map(tuple, runs.keys().collect())) == sorted((*k, len(v), max(v)) for k, v in held.items())
+    plan = runs.runs()[0].join(runs.runs()[1].hint("merge"), ["h1", "h2"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    runs.drop()
+
+
+def test_line_dedup_in_many_batches(spark, monkeypatch):
+    rng = random.Random(10)
+    texts = ["\n".join(f"this is line number {int(rng.paretovariate(0.7))} of some" for _ in range(6)) for _ in range(300)]
+    want = {r["doc_id"]: r["kept_text"] for r in line_dedup(_docs(spark, texts)).filter("doc_id is not null").collect()}
+    monkeypatch.setattr(lines, "BATCH_LINES", 200)
+    assert {r["doc_id"]: r["kept_text"] for r in line_dedup(_docs(spark, texts)).filter("doc_id is not null").collect()} == want
+    held = {}
+    for doc, text in enumerate(texts):
+        for x in text.split("\n"):
+            held.setdefault(x, set()).add(doc)
+    assert want == {doc: "\n".join(x for x in text.split("\n") if len(held[x]) < 3 or max(held[x]) == doc) for doc, text in enumerate(texts)}
+
+
 def test_classifier_slopes_and_held_out(spark):
     rng = random.Random(8)
     good = [_sentences(rng, 200) for _ in range(200)]
