@@ -1,14 +1,23 @@
-"""Tables cut out of the lineage, in the folder that driver and executors share."""
+"""Tables cut out of the lineage, in the folder that driver and executors share, and values that tasks share."""
 
 from __future__ import annotations
 
 import atexit
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shipped(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A function for tasks that returns ``value``, which is broadcast with its classes where workers can't import them."""
+    raw = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(raw.value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a temporary folder only where that is unset and the master is local (tests)."""
     sc = spark.sparkContext

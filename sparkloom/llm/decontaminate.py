@@ -1,8 +1,9 @@
 """Benchmark decontamination by Wu-Manber search over words.
 
-The patterns are windows of benchmark words. A shift table, keyed by the hash of the last two words at
-a position, tells how far the search may move on; where it says none, the hash of the whole window selects
-test strings, which are compared word by word. The search runs over many stretches of text in step.
+The patterns are windows of benchmark words. A shift table, keyed by the hash of the block of two words that ends at
+a position, tells how far the search may move on. Where it says none, the block's hash selects a bucket of test
+strings, those of them that begin with the same block as the window here are picked, and their bytes are compared
+with the text's. The search runs over many stretches of text in step.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from . import _bytes as tb
 from ._frames import passed
-from ._shared import Scratch
+from ._shared import Scratch, shipped
 
 WINDOW = 13
 #: Contaminated from one hit word in this many.
@@ -26,6 +27,8 @@ SHARE = 20
 #: Benchmark bytes searched for in one pass; a larger benchmark takes more passes.
 PASS_BYTES = 16 << 20
 STRETCH = 1024
+#: Bytes of windows that are compared at a time.
+COMPARED = 4 << 20
 _STATE = T.StructType([T.StructField("_hits", T.BinaryType()), T.StructField("_items", T.ArrayType(T.LongType()))])
 MADE = T.StructType(
     [
@@ -37,45 +40,97 @@ MADE = T.StructType(
 )
 
 
-def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low = tb.LOWER[buf]
-    starts, ends, first = tb.spans(low, offsets, tb.ALNUM)
-    return tb.range_hashes(low, starts, ends), first
+class Words:
+    """Lower-cased words of texts: their hashes, their bytes with a space after each, and where each begins."""
+
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray):
+        low = tb.LOWER[buf]
+        starts, ends, self.first = tb.spans(low, offsets, tb.ALNUM)
+        self.hashes = tb.range_hashes(low, starts, ends)
+        sizes = ends - starts
+        self.at = np.concatenate([[0], np.cumsum(sizes + 1)])
+        self.raw = np.full(self.at[-1], 32, dtype=np.uint8)
+        self.raw[np.repeat(self.at[:-1] - starts, sizes) + np.flatnonzero(tb.ALNUM[low])] = low[tb.ALNUM[low]]
+
+    def blocks(self, at: np.ndarray, block: int) -> np.ndarray:
+        """Hashes of the blocks that end with the words at ``at``."""
+        if block == 1:
+            return self.hashes[at]
+        return tb.splitmix(self.hashes[at - 1] * np.uint64(0xD1342543DE82EF95) + self.hashes[at])
+
+
+def _runs(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of ``sizes``."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
+
+
+def equal_windows(a: Words, at: np.ndarray, b: Words, other: np.ndarray, k: int) -> np.ndarray:
+    """Whether the ``k`` words from ``at`` on in ``a`` are, byte by byte, those from ``other`` on in ``b``."""
+    sizes = a.at[at + k] - a.at[at]
+    same = sizes == b.at[other + k] - b.at[other]
+    left = np.flatnonzero(same)
+    ends = np.cumsum(sizes[left])
+    lo = 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + COMPARED, side="right")))
+        rows = left[lo:hi]
+        steps, n = _runs(sizes[rows]), sizes[rows]
+        agree = a.raw[np.repeat(a.at[at[rows]], n) + steps] == b.raw[np.repeat(b.at[other[rows]], n) + steps]
+        same[rows] = np.logical_and.reduceat(agree, np.cumsum(n) - n)
+        lo = hi
+    return same
+
+
+def _bound(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndarray:
+    """In each stretch from ``lo`` to ``hi`` of ``values``, sorted there, the first place not before ``wanted``, or behind it."""
+    lo, hi = lo.copy(), hi.copy()
+    while (open_ := lo < hi).any():
+        middle = np.where(open_, (lo + hi) // 2, 0)
+        right = (values[middle] <= wanted if after else values[middle] < wanted) & open_
+        lo = np.where(right, middle + 1, lo)
+        hi = np.where(open_ & ~right, middle, hi)
+    return lo
 
 
 class Patterns:
-    """The windows of one length: their words, whole hashes, items, and the shift table."""
-
-    def __init__(self, words: np.ndarray, items: list[list[int]]):
-        self.length = words.shape[1]
-        self.block = min(2, self.length)
-        self.hashes = _chained(words, np.arange(len(words)) * self.length, self.length)
-        order = np.argsort(self.hashes, kind="stable")
-        self.hashes, self.words, self.items = self.hashes[order], words[order], [items[i] for i in order]
-        bits = max(12, math.ceil(math.log2(len(words) * self.length + 1)) + 3)
+    """The windows of one length: the shift table, and buckets of test strings by the hash of their last block."""
+
+    def __init__(self, words: Words, starts: np.ndarray, items: np.ndarray, length: int):
+        """``starts`` are first words of windows, which stand in ``items``; equal windows become one pattern."""
+        self.words, self.length, self.block = words, length, min(2, length)
+        chained = tb.chain(words.hashes, length)[starts]
+        _, one, which = np.unique(chained, return_index=True, return_inverse=True)
+        alike = equal_windows(words, starts, words, starts[one][which], length)
+        which[~alike] = len(one) + np.arange((~alike).sum())  # hashes that meet by chance: patterns of their own
+        firsts = np.concatenate([starts[one], starts[~alike]])
+        suffix, prefix = words.blocks(firsts + length - 1, self.block), words.blocks(firsts + self.block - 1, self.block)
+        order = np.lexsort((prefix, suffix))
+        self.firsts, suffix, self.prefixes = firsts[order], suffix[order], prefix[order]
+        self.suffixes, begins = np.unique(suffix, return_index=True)
+        self.begins = np.append(begins, len(suffix))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        pairs = np.unique(np.stack([place[which], items], axis=1), axis=0)
+        self.items, self.items_at = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(order) + 1))
+        bits = max(12, math.ceil(math.log2(len(firsts) * length + 1)) + 3)
         self.right = np.uint64(64 - bits)
-        most = self.length - self.block + 1
-        self.shift = np.full(1 << bits, min(most, 127), dtype=np.int8)
-        for end in range(self.block - 1, self.length):
-            cells = (self.block_hash(words.ravel(), np.arange(len(words)) * self.length + end) >> self.right).astype(np.int64)
-            np.minimum.at(self.shift, cells, np.int8(min(self.length - 1 - end, 127)))
-
-    def block_hash(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        if self.block == 1:
-            return words[at]
-        return tb.splitmix(words[at - 1] * np.uint64(0xD1342543DE82EF95) + words[at])
-
-    def find(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.shift = np.full(1 << bits, min(length - self.block + 1, 127), dtype=np.int8)
+        for end in range(self.block - 1, length):
+            cells = (words.blocks(firsts + end, self.block) >> self.right).astype(np.int64)
+            np.minimum.at(self.shift, cells, np.int8(min(length - 1 - end, 127)))
+
+    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Last word and pattern of each occurrence."""
-        a, b = first[:-1] + self.length - 1, first[1:]
+        a, b = words.first[:-1] + self.length - 1, words.first[1:]
         long = a < b
         a, b = a[long], b[long]
         counts = -(-(b - a) // STRETCH)
-        at = np.repeat(a, counts) + STRETCH * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+        at = np.repeat(a, counts) + STRETCH * _runs(counts)
         end = np.minimum(at + STRETCH, np.repeat(b, counts))
         stops = []
         while len(at):
-            move = self.shift[(self.block_hash(words, at) >> self.right).astype(np.int64)]
+            move = self.shift[(words.blocks(at, self.block) >> self.right).astype(np.int64)]
             stops.append(at[move == 0])
             at = at + np.maximum(move, 1)
             going = at < end
@@ -83,57 +138,54 @@ class Patterns:
         stop = np.concatenate(stops) if stops else np.empty(0, np.int64)
         if not len(stop):
             return stop, stop
-        whole = _chained(words, stop - self.length + 1, self.length)
-        pattern = np.minimum(np.searchsorted(self.hashes, whole), len(self.hashes) - 1)
-        same = self.hashes[pattern] == whole
-        stop, pattern = stop[same], pattern[same]
-        exact = (words[stop[:, None] - np.arange(self.length - 1, -1, -1)] == self.words[pattern]).all(axis=1)
+        suffix = words.blocks(stop, self.block)
+        bucket = np.minimum(np.searchsorted(self.suffixes, suffix), len(self.suffixes) - 1)
+        some = self.suffixes[bucket] == suffix
+        stop, bucket = stop[some], bucket[some]
+        prefix = words.blocks(stop - self.length + self.block, self.block)
+        lo, hi = self.begins[bucket], self.begins[bucket + 1]
+        lo, hi = _bound(self.prefixes, lo, hi, prefix, False), _bound(self.prefixes, lo, hi, prefix, True)
+        stop, pattern = np.repeat(stop, hi - lo), np.repeat(lo, hi - lo) + _runs(hi - lo)
+        exact = equal_windows(words, stop - self.length + 1, self.words, self.firsts[pattern], self.length)
         return stop[exact], pattern[exact]
 
 
-def _chained(words: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
-    flat = words.ravel()
-    acc = flat[starts] + np.uint64(k)
-    for j in range(1, k):
-        acc = acc * np.uint64(0xD1342543DE82EF95) + flat[starts + j]
-    return tb.splitmix(acc)
-
-
 def build_patterns(ids: list[int], texts: list[str | None]) -> list[Patterns]:
-    words, first = word_hashes(*tb.utf8(pa.array(texts, pa.large_string())))
-    windows: dict[int, dict[bytes, list[int]]] = {}
-    for item, a, b in zip(ids, first[:-1].tolist(), first[1:].tolist(), strict=True):
-        k = min(WINDOW, b - a)
-        for at in range(a, b - k + 1) if k else ():
-            own = windows.setdefault(k, {}).setdefault(words[at : at + k].tobytes(), [])
-            if item not in own[-1:]:
-                own.append(item)
-    return [Patterns(np.frombuffer(b"".join(found), dtype=np.uint64).reshape(-1, k), list(found.values())) for k, found in sorted(windows.items())]
+    words = Words(*tb.utf8(pa.array(texts, pa.large_string())))
+    first, sizes, ids = words.first[:-1], np.diff(words.first), np.array(ids, np.int64)
+    length = np.minimum(sizes, WINDOW)
+    out = []
+    for k in np.unique(length[length > 0]).tolist():
+        own = np.flatnonzero(length == k)
+        per = sizes[own] - k + 1
+        out.append(Patterns(words, np.repeat(first[own], per) + _runs(per), np.repeat(ids[own], per), k))
+    return out
 
 
 def _search(shared, columns: list[str], last: bool):
     names = (MADE if last else _STATE).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns: list[Patterns] = shared.value
+        patterns: list[Patterns] = shared()
         for batch in batches:
             buf, offsets = tb.utf8(batch.column("text"))
             before = "_hits" in batch.schema.names
             for lo, hi, part, own in tb.slices(buf, offsets):
-                words, first = word_hashes(part, own)
-                hit = np.zeros(len(words) + 1, dtype=bool)
+                words = Words(part, own)
+                first = words.first
+                hit = np.zeros(first[-1] + 1, dtype=bool)
                 items: list[set[int]] = [set() for _ in range(hi - lo)]
                 if before:
                     known, ends = tb.utf8(batch.column("_hits").slice(lo, hi - lo))
                     hit[: len(known)] = known
                     items = [set(x or ()) for x in batch.column("_items").slice(lo, hi - lo).to_pylist()]
                 for p in patterns:
-                    stop, pattern = p.find(words, first)
+                    stop, pattern = p.find(words)
                     for back in range(p.length):
                         hit[stop - back] = True
                     texts = np.searchsorted(first, stop, side="right") - 1
                     for text, k in {*zip(texts.tolist(), pattern.tolist(), strict=True)}:
-                        items[text].update(p.items[k])
+                        items[text].update(p.items[p.items_at[k] : p.items_at[k + 1]].tolist())
                 rows = [batch.column(c).slice(lo, hi - lo) for c in columns]
                 if last:
                     total = np.zeros(len(hit) + 1, dtype=np.int64)
@@ -155,7 +207,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, columns: list[str] | No
     document's word inside any occurrence is hit; ``items`` are the items whose windows occur, by their ids
     as strings; contaminated from one hit word in twenty. Null texts have no word and aren't contaminated;
     benchmark rows without item_id are left out; rows of one item_id count as one item. The benchmark goes to the
-    executors PASS_BYTES at a time; a larger one is searched for in several passes over the documents.
+    executors PASS_BYTES at a time; a larger one is searched for in several passes over the documents. Rows of ``docs``
+    are taken one by one, repeated ones too; a passed column named like a made one is replaced; without rows there is none.
     """
     spark = docs.sparkSession
     kept, schema = passed(docs, columns, MADE)
@@ -166,7 +219,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, columns: list[str] | No
     through = [c for c in frame.columns]
     for i in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == i).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(build_patterns([r[0] for r in part], [r[1] for r in part]))
+        shared = shipped(spark, build_patterns([r[0] for r in part], [r[1] for r in part]))
         last = i == passes - 1
         if last:
             return frame.mapInArrow(_search(shared, kept, True), schema)

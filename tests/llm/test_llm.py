@@ -238,6 +238,17 @@ def test_wu_manber_matches_plain_search(monkeypatch, spark):
         rows = dc.decontaminate(_docs(spark, texts), table).filter("doc_id is not null").collect()
         assert all((r["n_words"], r["n_hit"], r["items"], r["contaminated"]) == want[r["doc_id"]] for r in rows) and len(rows) == len(texts) + 1
     assert dc.decontaminate(_docs(spark, texts), table.filter("false")).filter("contaminated").count() == 0
+    assert dc.decontaminate(_docs(spark, texts).filter("false"), table).count() == 0
+
+
+def test_test_strings_are_compared_by_bytes(monkeypatch):
+    """With every hash equal, all positions stop and one bucket holds all; only the bytes tell."""
+    monkeypatch.setattr(tb, "range_hashes", lambda buf, starts, ends: np.zeros(len(starts), np.uint64))
+    patterns = dc.build_patterns([1, 2, 3], ["a b c", "a b d", "a b c"])
+    assert [len(p.firsts) for p in patterns] == [2]
+    stop, found = patterns[0].find(dc.Words(*tb.utf8(pa.array(["x a b c", "A-B d", "a bc b"]))))
+    items = [patterns[0].items[patterns[0].items_at[k] : patterns[0].items_at[k + 1]].tolist() for k in found]
+    assert sorted(zip(stop.tolist(), items, strict=True)) == [(3, [1, 3]), (6, [2])]
 
 
 def test_sentencepiece_matches_library(spark):
