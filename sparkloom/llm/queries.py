@@ -83,8 +83,9 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = load_model(spark, f"{TOKENIZERS}/piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, ids, first in encode_batches(batches, shared.value):
-            buf, offsets = decode(shared.value, ids, first)
+        pieces = shared()
+        for rows, ids, first in encode_batches(batches, pieces):
+            buf, offsets = decode(pieces, ids, first)
             texts = rows.column("text")
             back = [(t.as_buffer().to_pybytes() if t.is_valid else b"").replace(b"\xe2\x96\x81", b" ") == buf[a:b].tobytes() for t, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True)]
             raw = np.ascontiguousarray(ids, "<i4")

@@ -1,16 +1,20 @@
-"""SentencePiece encoding and decoding in numpy, many words at a time.
+"""SentencePiece encoding and decoding by a batched Viterbi recursion in numpy.
 
-Texts are cut into segments that no piece can span. Equal segments are encoded once for each batch, and
-segments of equal length advance together: substring hashes probe the sorted piece keys. A unigram model
-takes the Viterbi recursion, whose vectorised maxima store backpointers. A BPE model is defined by greedy
-merges, which no best path reproduces; there the vectorised maxima pick each segment's best
-merge, and since each step takes one symbol from each, the segments stay equally long.
+Texts are cut into segments that no piece can span. Equal segments are encoded once for each batch, and segments of
+equal length advance together: substring hashes probe the sorted piece keys, and vectorised maxima store
+backpointers. A unigram model gains a piece's score at each step. A BPE model is defined by greedy merges; there a
+step gains nothing if merging would leave the piece before it and this one side by side, and is ruled out else. Merges
+across a border of two pieces depend on these two alone, so exactly one path is left, which is the merges' result.
+
+That holds where equal scores are those of equal pieces. Segments that can hold a piece whose score another
+piece has too, and those of over LONG characters, are merged one by one, with linked symbols and a heap.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +24,16 @@ from pyspark.sql import types as T
 
 from . import _bytes as tb
 from ._frames import passed
+from ._shared import shipped
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 SLICE = 1 << 21
+LONG = 48
+#: Segments that advance together, at most.
+ROWS = 20_000
+#: A rank that no merge has.
+NEVER = 1 << 30
 MADE = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType())])
 
 
@@ -53,6 +63,70 @@ def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+@dataclass
+class Bigrams:
+    """A set of pairs of characters."""
+
+    ascii: np.ndarray
+    other: np.ndarray
+
+    @classmethod
+    def of(cls, pairs: set[str]) -> Bigrams:
+        table = np.zeros((128, 128), dtype=bool)
+        for p in pairs:
+            if p.isascii():
+                table[ord(p[0]), ord(p[1])] = True
+        return cls(table, np.sort(hash_all([p.encode() for p in sorted(pairs)])))
+
+
+@dataclass
+class Merges:
+    """By place of a piece among the sorted keys: its rank (that of its score; -1 for a character), the two pieces that
+    merge into it last, and whether merging its text gives it at all. ``pairs`` are left * n + right of all pieces that
+    make a piece together, sorted, and ``makes`` the ranks of what they make."""
+
+    rank: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    whole: np.ndarray
+    pairs: np.ndarray
+    makes: np.ndarray
+    seen: np.ndarray = field(default_factory=lambda: np.full(1 << 18, -1, np.int64))
+    held: np.ndarray = field(default_factory=lambda: np.zeros(1 << 18, bool))
+
+    def stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging leaves pieces ``a`` and ``b`` as they are where they stand side by side; answers are kept."""
+        key = a * len(self.rank) + b
+        slot = (tb.splitmix(key.astype(np.uint64)) >> np.uint64(46)).astype(np.int64)
+        out, fresh = self.held[slot], np.flatnonzero(self.seen[slot] != key)
+        if len(fresh):
+            kinds, which = np.unique(key[fresh], return_inverse=True)
+            answer = self._stay(kinds // len(self.rank), kinds % len(self.rank))[which]
+            out[fresh] = answer
+            self.seen[slot[fresh]], self.held[slot[fresh]] = key[fresh], answer
+        return out
+
+    def _stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Undoes the merges of both from the last to the first; between two of them the pieces at the border were there,
+        and would have merged if what they make came before the merge that is undone. Of equal ranks the left one is first.
+        """
+        out = np.ones(len(a), dtype=bool)
+        rows, n = np.arange(len(a)), len(self.rank)
+        limit = np.full(len(a), 2 * NEVER)
+        while len(rows):
+            key = a * n + b
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            made = np.where(self.pairs[at] == key, self.makes[at], NEVER)
+            broken = 2 * made < limit
+            out[rows[broken]] = False
+            going = ~broken & ((self.rank[a] >= 0) | (self.rank[b] >= 0))
+            rows, a, b = rows[going], a[going], b[going]
+            right = self.rank[b] >= self.rank[a]
+            limit = np.where(right, 2 * self.rank[b] + 1, 2 * self.rank[a])
+            a, b = np.where(right, a, self.right[a]), np.where(right, self.left[b], b)
+        return out
+
+
 @dataclass
 class Pieces:
     """The pieces that texts are made of, by sorted hash, and what ids stand for."""
@@ -61,8 +135,10 @@ class Pieces:
     keys: np.ndarray
     ids: np.ndarray
     scores: np.ndarray
-    pairs: np.ndarray
-    joins: np.ndarray
+    joins: Bigrams
+    tied: Bigrams
+    merges: Merges | None
+    ranks: dict[bytes, int]
     byte_ids: np.ndarray
     unknown: int
     longest: int
@@ -87,24 +163,21 @@ class Pieces:
     def build(cls, kind: int, listed: list[tuple[str, float, int]]) -> Pieces:
         """From (piece, score, type) by id; types as in the format: 1 normal, 2 unknown, 3 control, 6 byte."""
         normal = [(p.replace(MARK, " ").encode(), s, i) for i, (p, s, t) in enumerate(listed) if t == 1]
-        keys = hash_all([p for p, _, _ in normal])
-        order = np.argsort(keys)
-        chars = [p.decode() for p, _, _ in normal]
-        bigrams = sorted({c[i : i + 2] for c in chars for i in range(len(c) - 1)})
-        joins = np.zeros((128, 128), dtype=bool)
-        for b in bigrams:
-            if b.isascii():
-                joins[ord(b[0]), ord(b[1])] = True
+        normal = [normal[i] for i in np.argsort(hash_all([p for p, _, _ in normal]))]
         byte_ids = np.full(256, -1, dtype=np.int32)
         for i, (p, _, t) in enumerate(listed):
             if t == 6:
                 byte_ids[int(p[3:5], 16)] = i
         unknown = next((i for i, (_, _, t) in enumerate(listed) if t == 2), 0)
         texts = [p.replace(MARK, " ").encode() if t == 1 else bytes([int(p[3:5], 16)]) if t == 6 else " ⁇ ".encode() if t == 2 else b"" for p, _, t in listed]
+        chars = [p.decode() for p, _, _ in normal]
+        falling = {s: rank for rank, s in enumerate(sorted({s for _, s, _ in normal}, reverse=True))}
+        ranks = {p: falling[s] for p, s, _ in normal}
+        merges, tied = _merges(ranks) if kind == BPE else (None, set())
         return cls(
-            kind, keys[order], np.array([i for _, _, i in normal], np.int32)[order], np.array([s for _, s, _ in normal])[order],
-            np.sort(hash_all([b.encode() for b in bigrams])), joins, byte_ids, unknown, max((len(p) for p, _, _ in normal), default=1),
-            np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]),
+            kind, hash_all([p for p, _, _ in normal]), np.array([i for _, _, i in normal], np.int32), np.array([s for _, s, _ in normal]),
+            Bigrams.of({c[i : i + 2] for c in chars for i in range(len(c) - 1)}), Bigrams.of(tied), merges, ranks,
+            byte_ids, unknown, max(map(len, chars), default=1), np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]),
         )
 
     def probe(self, hashes: np.ndarray) -> np.ndarray:
@@ -120,6 +193,68 @@ def hash_all(texts: list[bytes]) -> np.ndarray:
     return tb.range_hashes(np.frombuffer(b"".join(texts), np.uint8), ends[:-1], ends[1:])
 
 
+def merged(ranks: dict[bytes, int], parts: list[bytes]) -> tuple[list[bytes], int]:
+    """Greedy merges of ``parts``, the best rank first and of equal ones the leftmost, and the size of the last merge's left part.
+
+    Symbols are linked and pairs wait in a heap, so time grows with n log n.
+    """
+    n = len(parts)
+    parts, after, before = list(parts), list(range(1, n + 1)), list(range(-1, n - 1))
+    waiting = [ranks.get(parts[i] + parts[i + 1], NEVER) for i in range(n - 1)] + [NEVER] * min(n, 1)
+    heap = [r << 32 | i for i, r in enumerate(waiting) if r < NEVER]
+    heapq.heapify(heap)
+    last = 0
+
+    def renew(i: int) -> None:
+        j = after[i]
+        waiting[i] = ranks.get(parts[i] + parts[j], NEVER) if j < n else NEVER
+        if waiting[i] < NEVER:
+            heapq.heappush(heap, waiting[i] << 32 | i)
+
+    while heap:
+        rank, i = divmod(heapq.heappop(heap), 1 << 32)
+        if waiting[i] != rank:
+            continue
+        j = after[i]
+        last = len(parts[i])
+        parts[i] += parts[j]
+        after[i], waiting[j], parts[j] = after[j], NEVER, b""
+        if after[i] < n:
+            before[after[i]] = i
+        renew(i)
+        if before[i] >= 0:
+            renew(before[i])
+    return [p for p in parts if p], last
+
+
+def _merges(ranks: dict[bytes, int]) -> tuple[Merges, set[str]]:
+    """How pieces (in the order of ``ranks``) merge, and the first two characters of those that have no rank of their own, or
+    not one behind those of their parts, on which the recursion doesn't rely."""
+    names = list(ranks)
+    place = {p: i for i, p in enumerate(names)}
+    rank, left, right, whole, tied = [], [], [], [], set()
+    pairs, shared = [], {}
+    for p in names:
+        shared.setdefault(ranks[p], []).append(p)
+    for p in names:
+        text = p.decode()
+        single = len(text) == 1
+        done, at = merged(ranks, [c.encode() for c in text])
+        parts = [place.get(p[:at], -1), place.get(p[at:], -1)] if not single and len(done) == 1 else [-1, -1]
+        whole.append(single or len(done) == 1)
+        rank.append(-1 if single else ranks[p])
+        left.append(parts[0])
+        right.append(parts[1])
+        if not single and (len(shared[ranks[p]]) > 1 or whole[-1] and (min(parts) < 0 or any(len(x.decode()) > 1 and ranks[x] >= ranks[p] for x in (p[:at], p[at:])))):
+            tied.add(text[:2])
+        for cut in range(1, len(text)):
+            a, b = place.get(text[:cut].encode()), place.get(text[cut:].encode())
+            if a is not None and b is not None:
+                pairs.append((a * len(names) + b, ranks[p]))
+    keys, makes = np.array(sorted(pairs) or [(-1, NEVER)], np.int64).T
+    return Merges(np.array(rank, np.int64), np.array(left, np.int64), np.array(right, np.int64), np.array(whole, bool), np.ascontiguousarray(keys), np.ascontiguousarray(makes)), tied
+
+
 def _runs(sizes: np.ndarray) -> np.ndarray:
     """0, 1, ... for each of ``sizes``."""
     ends = np.cumsum(sizes)
@@ -134,28 +269,49 @@ def encode(pieces: Pieces, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     sums, down = tb.prefix_sums(buf)
     chars = np.flatnonzero((buf & 0xC0) != 0x80)
     char_ends = np.append(chars[1:], n)
+    def pairs_in(bigrams: Bigrams) -> np.ndarray:
+        """Which neighbouring characters are a pair of the set."""
+        a, b = buf[chars[:-1]], buf[chars[1:]]
+        ascii_ = (a < 128) & (b < 128)
+        out = bigrams.ascii[a & 127, b & 127] & ascii_
+        other = np.flatnonzero(~ascii_)
+        if len(other) and len(bigrams.other):
+            h = tb.ranged(sums, down, chars[other], char_ends[other + 1])
+            out[other] = bigrams.other[np.minimum(np.searchsorted(bigrams.other, h), len(bigrams.other) - 1)] == h
+        return out
+
     # Cut between neighbouring characters that no piece holds side by side, and between texts.
     cut = np.ones(len(chars), dtype=bool)
-    a, b = buf[chars[:-1]], buf[chars[1:]]
-    ascii_ = (a < 128) & (b < 128)
-    cut[1:] = ~pieces.joins[a & 127, b & 127] | ~ascii_
-    other = np.flatnonzero(~ascii_)
-    if len(other) and len(pieces.pairs):
-        h = tb.ranged(sums, down, chars[other], char_ends[other + 1])
-        cut[other + 1] = pieces.pairs[np.minimum(np.searchsorted(pieces.pairs, h), len(pieces.pairs) - 1)] != h
+    cut[1:] = ~pairs_in(pieces.joins)
     cut[np.searchsorted(chars, offsets[:-1][offsets[:-1] < n])] = True
     first = np.flatnonzero(cut)
     sizes = np.diff(np.append(first, len(chars)))
     starts, ends = chars[first], np.append(chars[first[1:]], n)
     _, kinds, which = np.unique(tb.ranged(sums, down, starts, ends), return_index=True, return_inverse=True)
-    counts = np.zeros(len(kinds), np.int64)
     parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for size in np.unique(sizes[kinds]).tolist():
-        own = np.flatnonzero(sizes[kinds] == size)
+    alone = np.zeros(len(kinds), dtype=bool)
+    if pieces.kind == BPE:
+        ties = np.concatenate([[0], np.cumsum(pairs_in(pieces.tied)), [0]])
+        lo, hi = first[kinds], first[kinds] + sizes[kinds] - 1
+        alone = (sizes[kinds] > LONG) | (ties[hi] > ties[lo])
+    for size in np.unique(sizes[kinds[~alone]]).tolist():
+        own = np.flatnonzero((sizes[kinds] == size) & ~alone)
         at = first[kinds[own]]
         edges = np.concatenate([chars[at[:, None] + np.arange(size)], char_ends[at + size - 1][:, None]], axis=1)
-        for rows, lo, hi in (_viterbi if pieces.kind == UNIGRAM else _merge)(pieces, sums, down, edges):
-            parts.append((own[rows], lo, hi))
+        for lo in range(0, len(own), ROWS):
+            left = own[lo : lo + ROWS]
+            for rows, begins, stops in _viterbi(pieces, sums, down, edges[lo : lo + ROWS]):
+                if begins is None:
+                    alone[left[rows]] = True
+                else:
+                    parts.append((left[rows], begins, stops))
+    for kind in np.flatnonzero(alone).tolist():
+        at = first[kinds[kind]] + np.arange(sizes[kinds[kind]])
+        raw, base = buf[chars[at[0]] : char_ends[at[-1]]].tobytes(), int(chars[at[0]])
+        places = (chars[at] - base).tolist() + [len(raw)]
+        done, _ = merged(pieces.ranks, [raw[a:b] for a, b in zip(places, places[1:], strict=False)])
+        stops = base + np.cumsum([0, *map(len, done)])
+        parts.append((np.array([kind]), stops[None, :-1], stops[None, 1:]))
     flat_of, flat_ids = [], []
     for own, lo, hi in parts:
         per = np.repeat(own, lo.shape[1])
@@ -182,61 +338,45 @@ def encode(pieces: Pieces, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     return out, ends_at[np.searchsorted(starts, offsets)]
 
 
-def _merge(pieces: Pieces, sums: np.ndarray, down: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Greedy merges of segments with as many symbols each; yields (rows, starts, ends) as segments are done."""
-
-    def score(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        at = pieces.probe(tb.ranged(sums, down, lo, hi))
-        return np.where(at >= 0, pieces.scores[at] if len(pieces.scores) else 0.0, -np.inf)
-
-    rows = np.arange(len(edges))
-    gains = score(edges[:, :-2], edges[:, 2:]) if edges.shape[1] > 2 else np.empty((len(edges), 0))
-    while gains.shape[1] and len(rows):
-        best = gains.argmax(axis=1)
-        line = np.arange(len(rows))
-        going = gains[line, best] > -np.inf
-        if not going.all():
-            yield rows[~going], edges[~going, :-1], edges[~going, 1:]
-            rows, edges, gains, best = rows[going], edges[going], gains[going], best[going]
-            line = np.arange(len(rows))
-            if not len(rows):
-                return
-        width = edges.shape[1]
-        edges = edges[np.arange(width) != (best + 1)[:, None]].reshape(len(rows), width - 1)
-        gains = gains[np.arange(width - 2) != best[:, None]].reshape(len(rows), width - 3)
-        left, right = np.flatnonzero(best > 0), np.flatnonzero(best < width - 3)
-        if len(left):
-            at = best[left]
-            gains[left, at - 1] = score(edges[left, at - 1], edges[left, at + 1])
-        if len(right):
-            at = best[right]
-            gains[right, at] = score(edges[right, at], edges[right, at + 2])
-    if len(rows):
-        yield rows, edges[:, :-1], edges[:, 1:]
-
-
-def _viterbi(pieces: Pieces, sums: np.ndarray, down: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Best paths of segments with as many characters each; yields (rows, starts, ends), by number of pieces."""
+def _viterbi(pieces: Pieces, sums: np.ndarray, down: np.ndarray, edges: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray | None]]:
+    """Best paths of segments with as many characters each; yields (rows, starts, ends), by number of pieces, and rows
+    without a path, which only a BPE model can have, with None."""
     n, size = len(edges), edges.shape[1] - 1
     total = np.full((n, size + 1), -np.inf)
     total[:, 0] = 0
     back = np.zeros((n, size + 1), np.int64)
+    last = np.full((n, size + 1), -1)
     lost = (pieces.scores.min() if len(pieces.scores) else 0.0) - 10
+    line = np.arange(n)
     for end in range(1, size + 1):
-        for begin in range(max(0, end - pieces.longest), end):
-            at = pieces.probe(tb.ranged(sums, down, edges[:, begin], edges[:, end]))
-            gain = np.where(at >= 0, pieces.scores[at] if len(pieces.scores) else 0.0, lost if begin == end - 1 else -np.inf)
-            better = total[:, begin] + gain > total[:, end]
-            total[better, end] = (total[:, begin] + gain)[better]
-            back[better, end] = begin
+        begins = np.arange(max(0, end - pieces.longest), end)
+        at = pieces.probe(tb.ranged(sums, down, edges[:, begins], edges[:, end][:, None]))
+        if pieces.merges is None:
+            gain = np.where(at >= 0, pieces.scores[at] if len(pieces.scores) else 0.0, -np.inf)
+            gain[:, -1] = np.where(at[:, -1] >= 0, gain[:, -1], lost)
+        else:
+            gain = np.full(at.shape, -np.inf)
+            fits = (at >= 0) & pieces.merges.whole[at] & (total[:, begins] > -np.inf)
+            if begins[0] == 0:
+                gain[fits[:, 0], 0] = 0.0
+                fits[:, 0] = False
+            row, col = np.nonzero(fits)
+            if len(row):
+                gain[row, col] = np.where(pieces.merges.stay(last[row, begins[col]], at[row, col]), 0.0, -np.inf)
+        reach = total[:, begins] + gain
+        best = reach.argmax(axis=1)
+        total[:, end], back[:, end], last[:, end] = reach[line, best], begins[best], at[line, best]
     stops = np.zeros((n, size + 1), dtype=bool)
     at = np.full(n, size)
     for _ in range(size + 1):
-        stops[np.arange(n), at] = True
-        at = back[np.arange(n), at]
-    sizes = stops.sum(axis=1)
+        stops[line, at] = True
+        at = back[line, at]
+    sizes = np.where(total[:, size] > -np.inf, stops.sum(axis=1), 0)
     for k in np.unique(sizes).tolist():
         rows = np.flatnonzero(sizes == k)
+        if not k:
+            yield rows, None, None
+            continue
         ends = edges[rows][stops[rows]].reshape(len(rows), k)
         yield rows, ends[:, :-1], ends[:, 1:]
 
@@ -271,7 +411,7 @@ def encode_batches(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterato
 
 def _encode(shared, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, ids, first in encode_batches(batches, shared.value):
+        for rows, ids, first in encode_batches(batches, shared()):
             made = [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids)), pa.array(np.diff(first))]
             yield pa.RecordBatch.from_arrays([rows.column(c) for c in columns] + made, names=columns + MADE.names)
 
@@ -280,11 +420,12 @@ def _encode(shared, columns: list[str]):
 
 def _decode(shared, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: Pieces = shared()
         for batch in batches:
             lists = pc.fill_null(batch.column("ids"), pa.scalar([], batch.column("ids").type)) if batch.column("ids").null_count else batch.column("ids")
             sizes = lists.value_lengths().to_numpy()
             first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            buf, offsets = decode(shared.value, lists.flatten().to_numpy(), first)
+            buf, offsets = decode(pieces, lists.flatten().to_numpy(), first)
             texts = [buf[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + [pa.array(texts, pa.string())], names=[*columns, "text"])
 
@@ -292,9 +433,9 @@ def _decode(shared, columns: list[str]):
 
 
 def load_model(spark, model_path: str):
-    """The model as a broadcast, read once on the driver; it is some megabytes at most."""
+    """A function for tasks that returns the model, which is read once on the driver; it is some megabytes at most."""
     with open(model_path, "rb") as f:
-        return spark.sparkContext.broadcast(Pieces.load(f.read()))
+        return shipped(spark, Pieces.load(f.read()))
 
 
 def sentencepiece_encode(docs: DataFrame, model_path: str, columns: list[str] | None = None) -> DataFrame:
