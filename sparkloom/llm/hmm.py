@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes as tb
-from ._shared import Scratch
+from ._shared import Scratch, shipped
 
 STATES, CLASSES = 4, 1024
 LENGTH = 64
 ROUNDS = 5
 #: Tokens that share a list of distinct words.
-BATCH_TOKENS = 1_500_000
+BATCH_TOKENS = 1_000_000
 END = np.uint64(0x5DEECE66D)
 _DOCS = "kind int, batch long, doc_id long, held_out boolean, n_tokens long, classes binary, bag binary, token long, place long, n long, class int"
 
@@ -268,7 +268,7 @@ def _chunks(first: np.ndarray, most: int = 400_000) -> Iterator[tuple[int, int]]
 
 def _expect(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model: Model = shared()
         sums = np.zeros(STATES + STATES * STATES + STATES * CLASSES + 1)
         for batch in batches:
             classes, first = _sequences(batch.column("classes"))
@@ -285,7 +285,7 @@ def train(sequences: DataFrame, class_counts: np.ndarray, rounds: int = ROUNDS)
     spark = sequences.sparkSession
     model, seen = Model.first(class_counts), []
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(model)
+        shared = shipped(spark, model)
         sums = np.zeros(STATES + STATES * STATES + STATES * CLASSES + 1)
         for row in sequences.select("classes").mapInArrow(_expect(shared), "cell long, x double").groupBy("cell").agg(F.sum("x").alias("x")).collect():
             sums[row["cell"]] = row["x"]
@@ -297,7 +297,7 @@ def train(sequences: DataFrame, class_counts: np.ndarray, rounds: int = ROUNDS)
 
 def _forward(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model: Model = shared()
         for batch in batches:
             classes, first = _sequences(batch.column("classes"))
             logs = [model.log_likelihoods(classes[first[lo] : first[hi]], first[lo : hi + 1] - first[lo]) for lo, hi in _chunks(first)]
@@ -335,7 +335,9 @@ def score_texts(docs: DataFrame, held_out: Column, rounds: int = ROUNDS) -> Data
     Tokens are words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased and one end; a null or empty text is its end alone.
     doc_id, held_out, n_tokens, n_known (tokens seen in training), train_tokens, base_score (log10 by smoothed
     token counts) and score (log10 by the model). Rows count one by one, repeated ones too; a null
-    ``held_out`` counts as false. Without a training row the model keeps its first, noisy state.
+    ``held_out`` counts as false, a row without doc_id is scored like others. Columns other than these two are ignored, whatever
+    their names. Without a training row the model keeps its first, noisy state. Sums over tasks are added in any order, so scores
+    may differ in their last digits from run to run.
     """
     scratch = Scratch(docs.sparkSession, "hmm")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
@@ -347,13 +349,15 @@ def score_texts(docs: DataFrame, held_out: Column, rounds: int = ROUNDS) -> Data
     if rows.limit(1).isEmpty():
         return texts.select("doc_id", "held_out", "n_tokens", F.col("n_tokens").alias("n_known"), F.col("n_tokens").alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
     words = spark.read.schema(schema).parquet(f"{gathered}/kind=1").select("batch", "place", "token", "n", F.col("class"))
-    totals = words.selectExpr("batch", "place", "class", "sum(n) over (partition by token) as c", "batch = min(batch) over (partition by token) as first")
-    totals = scratch.save(totals, "counts")
-    scratch.drop(f"{gathered}/kind=1")
+    # A token has a row in a batch, so none holds more of the rows than one in the distinct tokens of a batch.
+    counts = scratch.save(words.groupBy("token").agg(F.sum("n").alias("c"), F.min("class").alias("class")), "counts")
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
-    for row in totals.filter("first").groupBy("class").agg(F.sum("c").alias("n"), F.sum(F.expr("int(c > 0)")).alias("v")).collect():
+    for row in counts.groupBy("class").agg(F.sum("c").alias("n"), F.sum(F.expr("int(c > 0)")).alias("v")).collect():
         class_tokens[row["class"]], class_words[row["class"]] = row["n"], row["v"]
+    totals = scratch.save(words.select("batch", "place", "token", "class").join(counts.select("token", "c"), "token").drop("token"), "totals")
+    scratch.drop(f"{gathered}/kind=1")
+    scratch.drop(counts)
     model, _ = train(texts.filter("not held_out"), class_tokens, rounds)
-    scored = texts.select("batch", "doc_id", "held_out", "n_tokens", "classes", "bag").mapInArrow(_forward(spark.sparkContext.broadcast(model)), "batch long, doc_id long, held_out boolean, n_tokens long, bag binary, log_class double")
+    scored = texts.select("batch", "doc_id", "held_out", "n_tokens", "classes", "bag").mapInArrow(_forward(shipped(spark, model)), "batch long, doc_id long, held_out boolean, n_tokens long, bag binary, log_class double")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return scored.groupBy("batch").cogroup(totals.select("batch", "place", "class", "c").groupBy("batch")).applyInArrow(_score(class_tokens, class_words), out)

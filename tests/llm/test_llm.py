@@ -171,19 +171,41 @@ def test_hmm_recursions_match_plain_ones():
     assert all(np.allclose(g, w) for g, w in zip(got, (starts, moves, emits, total), strict=True))
 
 
-def test_hmm_scores(spark):
+def test_hmm_scores(spark, monkeypatch):
     rng = random.Random(2)
     texts = [*ODD, *(_sentences(rng, 50) for _ in range(40))]
-    docs = _docs(spark, texts).filter("doc_id is not null").dropDuplicates(["doc_id"])
-    got = {r["doc_id"]: r for r in hmm.score_texts(docs, F.col("doc_id") % 4 == 1, rounds=2).collect()}
-    words = {i: [*(t or "").encode().lower().split(), None] for i, t in enumerate(texts)}
-    seen = Bag(w for i, x in words.items() if i % 4 != 1 for w in x)
+    docs = _docs(spark, texts).withColumnRenamed("kept", "score")
+    models, train = [], hmm.train
+    monkeypatch.setattr(hmm, "train", lambda *args: models.append(train(*args)) or models[-1])
+    monkeypatch.setattr(hmm, "BATCH_TOKENS", 20_000)
+    rows = hmm.score_texts(docs, F.col("doc_id") % 4 == 1, rounds=2).collect()
+    assert len(rows) == len(texts) + 2
+    got = {r["doc_id"]: r for r in rows}
+    model = models[0][0]
+    words = {i: [*(t or "").encode().lower().split(), None] for i, t in enumerate(texts)} | {None: [b"null", b"id", None]}
+    seen = Bag(w for i, x in words.items() if i is None or i % 4 != 1 for w in x)
+    seen.update(words[0])  # the repeated row
     n, v = seen.total(), len(seen)
+    kind = lambda w: 0 if w is None else int(hmm.tokens(*tb.utf8(pa.array([w.decode()])))[1][0])
+    kinds = {w: kind(w) for x in words.values() for w in x}
+    room = Bag()
+    for w, c in seen.items():
+        room[kinds[w]] += c + 1
+
+    def score(x):
+        weights, total = None, 0.0
+        for w in x:
+            weights = (model.start if weights is None else weights @ model.move) * model.emit[:, kinds[w]]
+            total += np.log10(weights.sum()) + np.log10((seen[w] + 1) / (room[kinds[w]] + 1))
+            weights = weights / weights.sum()
+        return total
+
     for i, x in words.items():
         base = sum(np.log10((seen[w] + 1) / (n + v + 1)) for w in x)
         r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(x), sum(seen[w] > 0 for w in x), n, i % 4 == 1)
-        assert abs(r["base_score"] - base) < 1e-6 * max(1, abs(base)) and r["score"] < 0
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(x), sum(seen[w] > 0 for w in x), n, i is not None and i % 4 == 1)
+        assert abs(r["base_score"] - base) < 1e-6 * max(1, abs(base))
+        assert abs(r["score"] - score(x)) < 1e-6 * abs(r["score"])
     assert hmm.score_texts(docs.filter("false"), F.lit(False)).count() == 0
 
 
@@ -364,6 +386,11 @@ def test_classifier_slopes_and_held_out(spark):
     scored = qc.score_quality(docs, fitted).filter("doc_id % 3 = 0").collect()
     assert np.mean([(r["score"] >= 0.3) == (r["doc_id"] < 200) for r in scored]) >= 0.97
     assert {r["score"] for r in qc.score_quality(docs, qc.fit_quality(docs.filter("false"))).collect()} == {0.5}
+    again = docs.union(docs.withColumn("text", F.lit("zzz")))
+    drawn = qc.draw(again, docs.select("doc_id", "label").union(docs.select("doc_id", "label")), sample=50).collect()
+    assert len(drawn) == 50 and "zzz" not in {r["text"] for r in drawn}
+    far = spark.createDataFrame([(" ".join(map(str, range(64 * 1000))), 1), ("x", 0)], "text string, label int").mapInArrow(qc._features(10), "label int, x binary")
+    assert sorted(len(r["x"]) // (4 * qc.N_FEATURES) for r in far.collect()) == [1, 10]
     assert qc.score_quality(_docs(spark, ODD), fitted).filter("score between 0 and 1").count() == len(ODD) + 2
 
 
