@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 
 from . import _bytes as tb
 from ._frames import passed
+from ._shared import shipped
 
-#: Labelled texts that the model is fitted on, at most.
-SAMPLE = 2000
+#: Labelled texts that the model is fitted on, at most, and passages of each, spread evenly over the whole text.
+SAMPLE, SAMPLE_PASSAGES = 2000, 256
 PASSAGE = 64
 HASHED, CODE, GATE = 64, 24, 16
 STEPS, RATE, DECAY = 200, 0.02, 1e-4
@@ -136,18 +137,21 @@ class Model:
         return self
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        buf, offsets = tb.utf8(batch.column("text"))
-        for lo, hi, part, own in tb.slices(buf, offsets):
-            x, first = encode_passages(part, own)
-            blobs = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("label").slice(lo, hi - lo), pa.array(blobs, pa.binary())], names=["label", "x"])
+def _features(passages: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buf, offsets = tb.utf8(batch.column("text"))
+            for lo, hi, part, own in tb.slices(buf, offsets):
+                x, first = encode_passages(part, own)
+                spread = [np.unique(np.linspace(a, b - 1, min(b - a, passages)).astype(np.int64)) for a, b in zip(first[:-1], first[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("label").slice(lo, hi - lo), pa.array([x[at].tobytes() for at in spread], pa.binary())], names=["label", "x"])
+
+    return run
 
 
 def _score(shared, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model | None = shared.value
+        model: Model | None = shared()
         for batch in batches:
             buf, offsets = tb.utf8(batch.column("text"))
             for lo, hi, part, own in tb.slices(buf, offsets):
@@ -160,12 +164,13 @@ def _score(shared, columns: list[str]):
     return run
 
 
-def fit_quality(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
+def fit_quality(labelled: DataFrame, sample: int = SAMPLE, passages: int = SAMPLE_PASSAGES) -> Model | None:
     """A model from at most ``sample`` rows of ``labelled`` (text, label 0 or 1), or None without any row.
 
-    The caller draws the rows; see ``draw``. Rows with a null label are left out.
+    The caller draws the rows; see ``draw``. Rows with a null label are left out. The driver gets the features of at
+    most ``passages`` passages of a text, 312 bytes each.
     """
-    rows = labelled.filter("label is not null").select("text", F.col("label").cast("int").alias("label")).mapInArrow(_features, "label int, x binary").limit(sample).collect()
+    rows = labelled.filter("label is not null").select("text", F.col("label").cast("int").alias("label")).mapInArrow(_features(passages), "label int, x binary").limit(sample).collect()
     if not rows:
         return None
     rows = sorted(rows, key=lambda r: (bytes(r["x"]), r["label"]))
@@ -175,10 +180,13 @@ def fit_quality(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
 
 
 def draw(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``sample`` of the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, label) marks, by the hash of doc_id."""
+    """``sample`` of the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, label) marks, by the hash of doc_id.
+
+    Of rows that share a doc_id the least label and the least text count, nulls first.
+    """
     marked = labels.filter("label is not null and doc_id is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
     marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("text", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("row")).select("row.text", "row.label")
 
 
 def score_quality(docs: DataFrame, model: Model | None, columns: list[str] | None = None) -> DataFrame:
@@ -188,4 +196,4 @@ def score_quality(docs: DataFrame, model: Model | None, columns: list[str] | Non
     is replaced.
     """
     kept, schema = passed(docs, columns, MADE)
-    return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), kept), schema)
+    return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(_score(shipped(docs.sparkSession, model), kept), schema)

@@ -2,15 +2,18 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter as Bag
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from sparkloom.llm import queries, token_counts
+from sparkloom.llm import _bytes as tb
+from sparkloom.llm import quality_classifier, queries, token_counts
 from sparkloom.llm.quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, SEPARATORS, SHOUTS, STOPS
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -48,6 +51,26 @@ def test_sentencepiece_query(spark, texts, library):
         assert r["round_trip"] and (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest())
 
 
+def test_classifier_query_on_held_out_rows(spark):
+    """Every text's score is that of the gated attention, and held-out labels are met."""
+    sf_dir = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in queries.op9_quality_classifier(spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality is not null").collect()}
+    assert len(got) == docs.count() and all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and r["predicted"] == int(r["score"] >= 0.3) for i, r in got.items())
+    held = [i for i, r in got.items() if r["held_out"] and i in label]
+    assert len(held) > 30 and np.mean([got[i]["predicted"] == label[i] for i in held]) >= 0.9
+    labels = spark.createDataFrame([(i, y) for i, y in label.items() if zlib.crc32(str(i).encode()) % 5], "doc_id long, label int")
+    model = quality_classifier.fit_quality(quality_classifier.draw(docs, labels))
+    p = model.weights
+    for r in docs.limit(100).collect():
+        x, _ = quality_classifier.encode_passages(*tb.utf8(pa.array([r["text"]], pa.string())))
+        codes = [np.tanh(np.clip((row - model.mean) / model.spread, -8, 8) @ p["W"] + p["b"]) for row in x.astype(float)]
+        gates = [np.exp((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"]) for h in codes]
+        bag = sum(g * h for g, h in zip(gates, codes, strict=True)) / sum(gates)
+        assert abs(got[r["doc_id"]]["score"] - 1 / (1 + np.exp(-(bag @ p["c"] + p["d"][0])))) < 1e-6
+
+
 def _words(text):
     return text.encode().split()
 
