@@ -27,6 +27,7 @@ CUT_OFF = "member is cut off"
 DATE = "2024-01-01T00:00:00Z"
 FILE_BYTES = 64 << 20
 CHUNK = 1 << 20
+HOT_SHARE = 1 / 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 READ_SCHEMA = "path string, at long, until long, kind string, reason string, record_id string, url string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 
@@ -346,8 +347,11 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
-    first = rows.filter(F.length("payload") >= least_bytes).groupBy("sha").agg(F.min("page_id").alias("first_id"))
-    rows = rows.join(first, "sha", "left").withColumn("revisit", F.coalesce(F.col("page_id") > F.col("first_id"), F.lit(False)))
+    # Payloads of over HOT_SHARE of the rows are fewer than its inverse; broadcast, they need no shuffle by their digest.
+    first = rows.filter(F.length("payload") >= least_bytes).groupBy("sha").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+    hot = F.col("n") > pages.count() * HOT_SHARE
+    often, rarer = F.broadcast(first.filter(hot).drop("n")), first.filter(~hot).drop("n")
+    rows = rows.join(often, "sha").unionByName(rows.join(often.select("sha"), "sha", "left_anti").join(rarer, "sha", "left")).withColumn("revisit", F.coalesce(F.col("page_id") > F.col("first_id"), F.lit(False)))
     rows = rows.select("page_id", "url", "payload", F.col("first_id").alias("refers_to"), "revisit")
     return rows.mapInArrow(_write(folder), "path string, records long, bytes long")
 
