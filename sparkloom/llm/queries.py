@@ -20,7 +20,7 @@ from .near_dedup import near_duplicates
 from .quality_classifier import draw, fit_quality, score_quality
 from .quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, SEPARATORS, SHOUTS, STOPS, quality_rules
 from .sentencepiece_codec import decode, encode_batches, load_model
-from .token_counts import count_edited
+from .token_counts import build_trees, edit_trees
 from .warc import read_warc, write_warc
 
 TOKENIZERS = os.environ.get("SPARKLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -39,12 +39,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three edits to every document: words put in, a stretch taken out, a stretch replaced."""
+    """Trees of all documents, and three edits to each: words put in, a stretch taken out, a stretch replaced."""
     at = lambda share: F.floor(F.length(F.coalesce("text", F.lit(""))) * F.lit(share)).cast("int")
     edit = lambda place, removed, added: F.struct(place.alias("at"), F.lit(removed).alias("removed"), added.alias("added"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     edits = F.array(edit(at(0.3), 0, F.concat(F.lit(" (see entry "), F.col("doc_id").cast("string"), F.lit(") "))), edit(at(0.6), 40, F.lit("")), edit(at(0.9), 12, F.lit("\n\nAddendum: it's 2024. ")))
-    counted = count_edited(docs.withColumn("edits", edits), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    vocabulary = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    counted = edit_trees(build_trees(docs, vocabulary).withColumn("edits", edits), vocabulary, ["doc_id"])
     return counted.select("doc_id", "n_tokens_before", "n_tokens", "n_leaves", "reencoded_chars", F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -1,17 +1,18 @@
 """Edit-aware token counts.
 
-A document is cut into pre-tokens by the tokenizer's pattern; LEAF of them make a leaf, and a tree of sums
-over the leaves' token counts stands above. An edit re-encodes the leaves it touches, from LEAD
-pre-tokens before it, to the first place behind it where new and old pre-tokens begin together: from
-there on the pattern, which never looks back, cuts as before. Only the sums above changed leaves are renewed.
+A document is cut into pre-tokens by the tokenizer's pattern; LEAF of them make a leaf of a segment tree, whose nodes hold
+the code points and tokens below them. Trees are a column: ``build_trees`` makes them once, ``edit_trees`` takes them
+with edits and gives them back renewed, encoding only leaves that an edit touches, from LEAD code points before it
+to the first leaf behind it that begins where a pre-token ends: from there on the pattern, which never looks back, cuts
+as before. Only the sums on the paths from these leaves to the root change.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -20,13 +21,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._frames import passed
+from ._shared import shipped
 
+#: Pre-tokens of a new leaf; code points that the pattern looks ahead, at most.
 LEAF, LEAD = 64, 3
 CACHE = 200_000
 #: The pre-token pattern of the byte-level BPE vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 EDIT = T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("removed", T.IntegerType()), T.StructField("added", T.StringType())]))
-MADE = T.StructType([T.StructField(n, k) for n, k in (("text", T.StringType()), ("n_tokens_before", T.LongType()), ("n_tokens", T.LongType()), ("n_leaves", T.LongType()), ("reencoded_chars", T.LongType()))])
+TREE = T.StructType([T.StructField("chars", T.ArrayType(T.LongType(), False)), T.StructField("tokens", T.ArrayType(T.LongType(), False))])
+BUILT = T.StructType([T.StructField("tree", TREE), T.StructField("n_tokens", T.LongType())])
+MADE = T.StructType(
+    [T.StructField("text", T.StringType()), T.StructField("tree", TREE), *(T.StructField(n, T.LongType()) for n in ("n_tokens_before", "n_tokens", "n_leaves", "reencoded_chars"))]
+)
 
 
 class Counter:
@@ -52,73 +59,90 @@ class Counter:
 
 
 class CountTree:
-    """Sums over leaves: ``levels[0]`` are the leaves' counts, each level above adds up pairs of the one below."""
-
-    def __init__(self, counter: Counter, text: str):
-        self.counter, self.text = counter, text
-        chars, counts = self._leaves(counter.find(text))
-        self.chars, self.levels = chars, [counts]
-        self._renew(0, len(counts), True)
-
-    def _leaves(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Code points and token counts of the leaves that pre-tokens make."""
-        if not pieces:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        cuts = np.arange(0, len(pieces), LEAF)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        return np.add.reduceat(sizes, cuts), np.add.reduceat(np.array(self.counter.counts(pieces), np.int64), cuts)
-
-    def _renew(self, lo: int, hi: int, moved: bool) -> None:
-        """Renews the sums above leaves ``lo`` to ``hi``, or above all from ``lo`` on where leaves moved."""
-        level = 0
-        while len(self.levels[level]) > 1:
-            below = self.levels[level]
-            size = (len(below) + 1) // 2
-            lo, hi = lo // 2, size if moved else (hi + 1) // 2
-            if level + 1 == len(self.levels):
-                self.levels.append(np.zeros(0, np.int64))
-            up = np.zeros(size, np.int64) if moved else self.levels[level + 1]
-            if moved:
-                up[:lo] = self.levels[level + 1][:lo]
-                self.levels[level + 1] = up
-            up[lo:hi] = np.add.reduceat(below[2 * lo : 2 * hi], np.arange(0, len(below[2 * lo : 2 * hi]), 2)) if hi > lo else 0
-            level += 1
-        del self.levels[level + 1 :]
+    """Sums over leaves: node i has the children 2 i and 2 i + 1, node 1 is the root, the second half of the nodes are the leaves."""
+
+    def __init__(self, counter: Counter, text: str, chars: list[int] | None = None, tokens: list[int] | None = None):
+        """A new tree, or the kept one of ``text`` that ``chars`` and ``tokens`` are the sums of."""
+        self.counter = counter
+        if chars is None or tokens is None:
+            self._grow(*self._leaves(counter.find(text), 0))
+            return
+        self.chars, self.tokens = list(chars), list(tokens)
+        ends = list(accumulate(self.chars[len(self.chars) // 2 :]))
+        self.leaves = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _leaves(self, pieces: list[str], least: int) -> tuple[list[str], list[int]]:
+        """Texts and token counts of leaves that hold ``pieces``; ``least`` of them where that leaves none with over 2 LEAF."""
+        n = least if len(pieces) <= 2 * LEAF * least else -(-len(pieces) // LEAF)
+        cuts = [len(pieces) * i // n for i in range(n + 1)] if n else [0]
+        counts = self.counter.counts(pieces)
+        return ["".join(pieces[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], [sum(counts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _grow(self, leaves: list[str], tokens: list[int]) -> None:
+        size = 1 << max(len(leaves) - 1, 0).bit_length()
+        spare = size - len(leaves)
+        self.leaves = leaves + [""] * spare
+        self.chars, self.tokens = [0] * size + [*map(len, self.leaves)], [0] * size + tokens + [0] * spare
+        self._renew(range(size, 2 * size))
+
+    def _renew(self, nodes: Iterable[int]) -> None:
+        """Sums above ``nodes``, which are neighbours of one level."""
+        lo, hi = min(nodes) // 2, max(nodes) // 2
+        while lo:
+            for i in range(lo, hi + 1):
+                self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
+                self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
+            lo, hi = lo // 2, hi // 2
+
+    @property
+    def text(self) -> str:
+        return "".join(self.leaves)
 
     @property
     def total(self) -> int:
-        return int(self.levels[-1].sum())
+        return self.tokens[1]
+
+    def _find(self, at: int) -> tuple[int, int]:
+        """The leaf that holds the code point ``at``, or the last one, and where it begins."""
+        node, start = 1, 0
+        while node < len(self.leaves):
+            node *= 2
+            if at - start >= self.chars[node]:
+                start += self.chars[node]
+                node += 1
+        return node - len(self.leaves), start
 
     def edit(self, at: int, removed: int, added: str) -> int:
         """Replaces ``removed`` code points from ``at`` on by ``added``; returns the code points encoded anew."""
-        at = min(max(at, 0), len(self.text))
-        tail = min(at + max(removed, 0), len(self.text))
-        new = self.text[:at] + added + self.text[tail:]
-        shift = len(new) - len(self.text)
-        ends = np.cumsum(self.chars)
+        n = len(self.leaves)
+        at = min(max(at, 0), self.chars[1])
+        tail = min(at + max(removed, 0), self.chars[1])
         # A pre-token sees at most two code points behind its end, so those that end LEAD before the edit stay.
-        leaf = int(np.searchsorted(ends, at - LEAD, side="right"))
-        here = start = int(ends[leaf - 1]) if leaf else 0
-        until = int(np.searchsorted(ends, tail, side="left"))
-        pieces = []
-        while here < len(new):
-            while until < len(ends) and ends[until] + shift < here:
-                until += 1
-            if until < len(ends) and ends[until] + shift == here:
-                until += 1
+        lo, start = self._find(max(at - LEAD, 0))
+        hi = self._find(tail)[0] + 1
+        old = "".join(self.leaves[lo:hi])
+        text = old[: at - start] + added + old[tail - start :]
+        border, ahead, step, here, pieces = len(text), hi, 1, 0, []
+        while True:
+            while border < here:
+                border += len(self.leaves[hi])
+                hi += 1
+            if here == border and (here or hi == n) or here == len(text) and ahead == n:
                 break
-            piece = self.counter.at(new, here).group()
-            pieces.append(piece)
-            here += len(piece)
+            piece = self.counter.at(text, here)
+            if ahead < n and (piece is None or piece.end() + LEAD > len(text)):
+                text += "".join(self.leaves[ahead : ahead + step])
+                ahead, step = min(ahead + step, n), 2 * step
+                continue
+            pieces.append(piece.group())
+            here = piece.end()
+        leaves, tokens = self._leaves(pieces, hi - lo)
+        if len(leaves) == hi - lo:
+            self.leaves[lo:hi], self.chars[n + lo : n + hi], self.tokens[n + lo : n + hi] = leaves, map(len, leaves), tokens
+            self._renew(range(n + lo, n + hi))
         else:
-            until = len(ends)
-        chars, counts = self._leaves(pieces)
-        moved = len(counts) != until - leaf
-        self.chars = np.concatenate([self.chars[:leaf], chars, self.chars[until:]])
-        self.levels[0] = np.concatenate([self.levels[0][:leaf], counts, self.levels[0][until:]])
-        self.text = new
-        self._renew(leaf, leaf + len(counts), moved)
-        return here - start
+            self._grow(self.leaves[:lo] + leaves + self.leaves[hi:], self.tokens[n : n + lo] + tokens + self.tokens[n + hi :])
+        return here
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -126,34 +150,71 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _run(shared, columns: list[str]):
+_NODES = pa.struct([("chars", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+ROWS = 1000
+
+
+def _build(shared, columns: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(shared())
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                trees = [CountTree(counter, text.as_py() or "") for text in part.column("text")]
+                made = [pa.array([(t.chars, t.tokens) for t in trees], _NODES), pa.array([t.total for t in trees], pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in columns] + made, names=columns + BUILT.names)
+
+    return run
+
+
+def _edit(shared, columns: list[str]):
+    kinds = (pa.string(), _NODES, *[pa.int64()] * 4)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = Counter(shared())
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
                 made = []
-                for text, edits in zip(part.column("text"), part.column("edits"), strict=True):
-                    tree = CountTree(counter, text.as_py() or "")
+                for text, kept, edits in zip(part.column("text"), part.column("tree"), part.column("edits"), strict=True):
+                    kept = kept.as_py() or {}
+                    tree = CountTree(counter, text.as_py() or "", kept.get("chars"), kept.get("tokens"))
                     before = tree.total
                     anew = sum(tree.edit(e["at"] or 0, e["removed"] or 0, e["added"] or "") for e in (edits.as_py() or ()) if e is not None)
-                    made.append((tree.text, before, tree.total, len(tree.levels[0]), anew))
-                own = [pa.array(x, t) for x, t in zip(zip(*made, strict=True), (pa.string(), *[pa.int64()] * 4), strict=True)]
+                    made.append((tree.text, (tree.chars, tree.tokens), before, tree.total, len(tree.leaves), anew))
+                own = [pa.array(x, t) for x, t in zip(zip(*made, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in columns] + own, names=columns + MADE.names)
 
     return run
 
 
-def count_edited(docs: DataFrame, vocabulary: str, columns: list[str] | None = None) -> DataFrame:
-    """Token counts before and after the edits of every row of ``docs`` (text, edits, and what else is passed through).
+def build_trees(docs: DataFrame, vocabulary: str, columns: list[str] | None = None) -> DataFrame:
+    """``tree`` and ``n_tokens`` for every row of ``docs`` (text, and what else is passed through, the text too if named or all is).
+
+    Null texts are empty. Rows are taken one by one, repeated ones too; a passed column named like a made one is
+    replaced; a table without rows gives none.
+    """
+    kept, schema = passed(docs, columns, BUILT)
+    rows = docs.select(*dict.fromkeys([*kept, "text"]))
+    return rows.mapInArrow(_build(shipped(docs.sparkSession, load_ranks(vocabulary)), kept), schema)
+
+
+def edit_trees(docs: DataFrame, vocabulary: str, columns: list[str] | None = None) -> DataFrame:
+    """Texts, trees and counts after the edits of every row of ``docs`` (text, tree, edits, and what else is passed through).
 
     ``edits`` is an array of (at, removed, added) in code points, applied in order to the text as it then is; places
-    outside the text are moved to its ends, nulls count as 0 or empty. Null texts are empty, null edits none.
-    The edited text comes back as ``text``, with n_leaves and the code points that edits encoded anew.
+    outside the text are moved to its ends, nulls count as 0 or empty. Null texts are empty, null edits none; for a null
+    tree one is built. The edited ``text`` and ``tree`` come back, with n_leaves and the code points that edits
+    encoded anew. Rows are taken one by one, repeated ones too; a passed column named like a made one is replaced;
+    a table without rows gives none.
     """
     kept, schema = passed(docs, columns, MADE)
     kept = [c for c in kept if c != "edits"]
     schema = T.StructType([f for f in schema.fields if f.name != "edits"])
-    rows = docs.withColumn("edits", F.col("edits").cast(EDIT)).select(*dict.fromkeys([*kept, "text", "edits"]))
-    return rows.mapInArrow(_run(docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary)), kept), schema)
+    rows = docs.withColumn("edits", F.col("edits").cast(EDIT)).select(*dict.fromkeys([*kept, "text", "tree", "edits"]))
+    return rows.mapInArrow(_edit(shipped(docs.sparkSession, load_ranks(vocabulary)), kept), schema)
 
+
+def count_edited(docs: DataFrame, vocabulary: str, columns: list[str] | None = None) -> DataFrame:
+    """``edit_trees`` of ``docs`` (text, edits, and what else is passed through) with trees made for the purpose."""
+    return edit_trees(build_trees(docs, vocabulary), vocabulary, columns)

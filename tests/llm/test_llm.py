@@ -132,11 +132,26 @@ def test_token_counts_after_edits(spark):
         for _ in range(3):
             tree.edit(rng.randint(-1, len(tree.text) + 2), rng.randint(0, 40), "".join(rng.choice(chars) for _ in range(rng.randint(0, 30))))
             assert tree.total == len(counter.encoding.encode_ordinary(tree.text))
-            assert sum(tree.chars) == len(tree.text)
+            assert tree.chars[1] == len(tree.text)
+            tree = token_counts.CountTree(counter, tree.text, tree.chars, tree.tokens)
+            assert all(x[i] == x[2 * i] + x[2 * i + 1] for x in (tree.chars, tree.tokens) for i in range(1, len(tree.leaves)))
     long = token_counts.CountTree(counter, "word and more " * 5000)
-    assert long.edit(30_000, 2, "x") < 3000
+    was = list(long.tokens)
+    assert long.edit(30_000, 2, "x") < 1000
+    assert len(was) == len(long.tokens) and sum(a != b for a, b in zip(was, long.tokens, strict=True)) <= 2 * len(long.leaves).bit_length()
+    for text in ("x" * 300_000, "a b" + " " * 300_000 + "c", "\n" * 1000 + "z"):
+        tree = token_counts.CountTree(counter, text)
+        for at, removed, added in ((5, 0, "y"), (150_000, 3, " q "), (0, 1, ""), (2, 10**6, "end")):
+            tree.edit(at, removed, added)
+            assert tree.total == len(counter.encoding.encode_ordinary(tree.text))
     docs = _docs(spark, ODD).withColumn("edits", F.expr("array(struct(1 as at, 2 as removed, 'new text' as added), null)"))
-    got = token_counts.count_edited(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken").filter("doc_id is not null").collect()
+    path = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    assert token_counts.count_edited(docs.filter("false"), path).count() == 0
+    got = token_counts.count_edited(docs, path).filter("doc_id is not null").collect()
+    assert len(got) == len(ODD) + 1
+    again = token_counts.edit_trees(token_counts.count_edited(docs, path).withColumn("edits", F.expr("array(struct(2 as at, 1 as removed, 'Z' as added))")), path)
+    for r in again.filter("doc_id is not null").collect():
+        assert r["n_tokens"] == len(counter.encoding.encode_ordinary(r["text"])) and r["reencoded_chars"] <= len(r["text"])
     for r in got:
         old = ODD[r["doc_id"]] or ""
         assert r["text"] == old[:1] + "new text" + old[3:]
