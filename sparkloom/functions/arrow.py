@@ -8,14 +8,16 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+from collections.abc import Callable
+from re import _compiler, _parser
 from re import _constants as sre
-from re import _parser
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WS = re.compile(r"\s+")
+from . import columns
+
 # What the english and number replacers look for.
 ENGLISH = re.compile(r"[a-zA-z][a-zA-z\s\d]+")
 NUMBER = re.compile(r"\d+")
@@ -23,7 +25,21 @@ NUMBER = re.compile(r"\d+")
 
 def nfkc_text(text: str) -> str:
     """Compatibility composition, then white space collapsed."""
-    return _WS.sub(" ", unicodedata.normalize("NFKC", text)).strip()
+    return " ".join((text if text.isascii() else unicodedata.normalize("NFKC", text)).split())
+
+
+def _python(pattern: str) -> re.Pattern:
+    """A pattern of ``columns`` in Python's notation."""
+    pattern = pattern.replace(columns.WS[:-1], r"\s").replace(r"\p{Nd}", r"\d")
+    return re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), pattern))
+
+
+URL, EMOJI, NOT_KEPT = map(_python, (columns.URL, columns.EMOJI, columns.NOT_KEPT))
+
+
+@functools.cache
+def _either(left: str, right: str) -> re.Pattern:
+    return re.compile(f"[{re.escape(left + right)}]")
 
 
 def delimited_text(text: str, left: str, right: str, by: str = "", keep: bool = False, unclosed: str = "reference") -> str:
@@ -32,13 +48,16 @@ def delimited_text(text: str, left: str, right: str, by: str = "", keep: bool =
     A closing delimiter without an opening one stays. For an opening one that never closes, ``unclosed`` is
     ``keep`` (it stays) or ``reference``: what stands between the last stretch and it comes out twice.
     """
+    if left not in text:
+        return text
     out, done, depth, opened = [], 0, 0, 0
-    for i, char in enumerate(text):
-        if char == left:
+    for m in _either(left, right).finditer(text):
+        i = m.start()
+        if m.group() == left:
             if not depth:
                 opened = i
             depth += 1
-        elif char == right and depth:
+        elif depth:
             depth -= 1
             if not depth:
                 out += [text[done:opened], left + by + right if keep else by]
@@ -68,51 +87,117 @@ def number_text(text: str, tags: tuple[str, ...] = ()) -> str:
     return NUMBER.sub(one, text)
 
 
-def _needs(parsed) -> list[set[str]]:
-    """Sets of characters of which a text must hold one each, for the pattern to match anywhere in it."""
-    out: list[set[str]] = []
-    for op, arg in parsed:
-        if op is sre.LITERAL:
-            out.append({chr(arg)})
-        elif op is sre.IN and all(kind is sre.LITERAL for kind, _ in arg):
-            out.append({chr(value) for _, value in arg})
+Need = frozenset[str]
+
+
+def _best(needs: list[Need]) -> Need:
+    """The need that fewest texts meet, as far as can be told."""
+    return max(needs, key=lambda need: (min(map(len, need)), not any(x.isascii() for x in need), -len(need)))
+
+
+def _needs(parsed, folded: bool) -> list[Need]:
+    """Sets of strings of which a text must hold one each, for the pattern to match anywhere in it. Where case is folded,
+    characters that have one are passed over."""
+    out: list[Need] = []
+    run = ""
+    plain = lambda code: not folded or chr(code).lower() == chr(code).upper()
+    for op, arg in [*parsed, (None, None)]:
+        if op is sre.LITERAL and plain(arg):
+            run += chr(arg)
+            continue
+        if run:
+            out.append(frozenset([run]))
+            run = ""
+        if op is sre.IN and all(kind is sre.LITERAL and plain(value) for kind, value in arg):
+            out.append(frozenset(chr(value) for _, value in arg))
         elif op is sre.SUBPATTERN and not arg[1] & re.IGNORECASE:
-            out += _needs(arg[3])
+            out += _needs(arg[3], folded)
         elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0]:
-            out += _needs(arg[2])
+            out += _needs(arg[2], folded)
         elif op is sre.BRANCH:
-            branches = [_needs(b) for b in arg[1]]
+            branches = [_needs(b, folded) for b in arg[1]]
             if all(branches):
-                out.append(set().union(*(min(b, key=lambda s: (sum(c.isascii() for c in s), len(s))) for b in branches)))
+                out.append(frozenset().union(*map(_best, branches)))
     return out
 
 
+def _needs_of_some(parsed, folded: bool) -> list[Need]:
+    """The same for a pattern that can match nothing, to match something: one of its parts must."""
+    parts: list[Need] = []
+    for op, arg in parsed:
+        if op in (sre.AT, sre.ASSERT, sre.ASSERT_NOT):
+            continue
+        body = arg[2] if op in (sre.MAX_REPEAT, sre.MIN_REPEAT) else arg[3] if op is sre.SUBPATTERN and not arg[1] & re.IGNORECASE else None
+        own = [] if body is None else _needs(body, folded) or (_needs_of_some(body, folded) if body.getwidth()[0] == 0 else [])
+        if not own:
+            return []
+        parts.append(_best(own))
+    return [frozenset().union(*parts)] if parts else []
+
+
+def _met(text: str, held: set[str], needs: list[Need]) -> bool:
+    return all(any(x[0] in held and x in text for x in need) for need in needs)
+
+
 class Rule:
     """A pattern and its replacement, in time linear in most texts that the pattern can't match.
 
-    A text that lacks a character that each match holds is left alone without a search, and a run of a class at
-    the end is looked for from the end. Neither changes a result.
+    A text that lacks a string that each match holds is left alone without a search; of a pattern with many branches only
+    those that the text can match are tried; a run of a class at the end is looked for from the end. None changes a result.
     """
 
+    #: Branches from which on a pattern is cut down to a text.
+    MANY = 6
+
     def __init__(self, pattern: str, by: str):
         self.pattern, self.by = re.compile(pattern), by
-        parsed = _parser.parse(pattern)
-        self.needs = [] if self.pattern.flags & re.IGNORECASE else _needs(parsed)
+        self.parsed = _parser.parse(pattern)
+        folded = bool(self.pattern.flags & re.IGNORECASE)
+        self.needs = _needs(self.parsed, folded)
+        if by == "" and self.parsed.getwidth()[0] == 0:
+            self.needs = _needs_of_some(self.parsed, folded)
+        self.needs.sort(key=len)
+        self.branches, self.cut_down = None, {}
+        for i, (op, arg) in enumerate(self.parsed):
+            inner = arg[3] if op is sre.SUBPATTERN and not arg[1] & re.IGNORECASE else None
+            if inner is not None and len(inner) == 1 and inner[0][0] is sre.BRANCH and len(inner[0][1][1]) >= self.MANY:
+                self.branches = (i, inner[0][1][1], [_needs(b, folded) for b in inner[0][1][1]])
+                break
         self.tail = None
-        if by == "" and pattern.endswith("+$") and len(parsed) == 2 and parsed[1] == (sre.AT, sre.AT_END) and parsed[0][0] is sre.MAX_REPEAT:
-            least, most, body = parsed[0][1]
+        if by == "" and pattern.endswith("+$") and len(self.parsed) == 2 and self.parsed[1] == (sre.AT, sre.AT_END) and self.parsed[0][0] is sre.MAX_REPEAT:
+            least, most, body = self.parsed[0][1]
             if least == 1 and most is sre.MAXREPEAT and len(body) == 1 and body[0][0] is sre.IN:
                 self.tail = re.compile(pattern[:-2])
 
+    def _with(self, alive: tuple[int, ...]) -> re.Pattern:
+        """The pattern with some of its branches alone."""
+        if alive not in self.cut_down:
+            if len(self.cut_down) > 1000:
+                self.cut_down.clear()
+            i, branches, _ = self.branches
+            state, items = self.parsed.state, list(self.parsed)
+            group, on, off, _ = items[i][1]
+            inner = _parser.SubPattern(state, [(sre.BRANCH, (None, [branches[k] for k in alive]))])
+            items[i] = (sre.SUBPATTERN, (group, on, off, inner))
+            self.cut_down[alive] = _compiler.compile(_parser.SubPattern(state, items), self.pattern.flags)
+        return self.cut_down[alive]
+
     def __call__(self, text: str, held: set[str]) -> str:
-        if any(held.isdisjoint(need) for need in self.needs):
+        if not _met(text, held, self.needs):
             return text
         if self.tail and not text.endswith("\n"):
             end = len(text)
             while end and self.tail.fullmatch(text, end - 1, end):
                 end -= 1
             return text[:end]
-        return self.pattern.sub(self.by, text)
+        pattern = self.pattern
+        if self.branches:
+            alive = tuple(i for i, needs in enumerate(self.branches[2]) if _met(text, held, needs))
+            if not alive:
+                return text
+            if len(alive) < len(self.branches[1]):
+                pattern = self._with(alive)
+        return pattern.sub(self.by, text)
 
 
 def cascade_text(text: str, rules: list[Rule]) -> str:
@@ -135,6 +220,11 @@ def _mapped(function):
     return run.asNondeterministic()
 
 
+def chained(text: Column, steps: list[Callable[[str], str]]) -> Column:
+    """Steps on texts in order, as one function."""
+    return _mapped(lambda t: functools.reduce(lambda x, step: step(x), steps, t))(text)
+
+
 def nfkc(text: Column) -> Column:
     return _mapped(nfkc_text)(text)
 

@@ -115,6 +115,11 @@ def ordered_distinct_join(parts: Column) -> Column:
     return F.concat_ws(",", F.array_distinct(parts))
 
 
+def json_field(text: Column, name: str) -> Column:
+    """A member of a JSON object, as text; null where there is none or the text is no object."""
+    return F.get_json_object(text, f"$['{name}']")
+
+
 def status_class(status: Column) -> Column:
     """What a fetch came to, by its HTTP status."""
     return (

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import html
 from ..functions.arrow import Rule, cascade_text, nfkc_text
 from ..functions.rules import chinatimes, cna, epochtimes, ettoday, ftv, ltn, ntdtv, setn, storm, tvbs, udn
-from ..schemas import COMPANIES, PARSED
+from ..schemas import COMPANIES, PARSED, SHORT_NAMES
 
 RESULT = T.StructType([*[T.StructField(f.name, f.dataType) for f in PARSED.fields], T.StructField("error", T.StringType())])
 
@@ -489,17 +489,20 @@ def extract_one(company: int | None, raw: str | None, url: str | None, options:
 
 
 def extract(raw: DataFrame, options: Options | None = None) -> DataFrame:
-    """Articles of raw pages, with ``error`` where a page could not be read; no page is left out."""
+    """Articles of raw pages, with ``error`` where a page could not be read; no page is left out. file_ord is kept where ``raw`` has it."""
     options = options or Options()
+    ordinal = [c for c in ("file_ord",) if c in raw.columns]
+    names, schema = [*RESULT.names, *ordinal], T.StructType([*RESULT.fields, *(T.StructField(c, T.IntegerType()) for c in ordinal)])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [extract_one(None if pd.isna(c) else int(c), r, u, options) for c, r, u in zip(frame["company_id"], frame["raw_xml"], frame["url_pattern"], strict=True)]
             made = pd.DataFrame(rows, columns=["article", "category", "reporter", "timestamp", "title", "error"])
             made["timestamp"] = made["timestamp"].astype("Int64")
-            yield pd.DataFrame({"id": frame["id"].astype("Int64"), "company_id": frame["company_id"].astype("Int32"), "url_pattern": frame["url_pattern"], **{c: made[c].values for c in made}})[RESULT.names]
+            kept = {"id": frame["id"].astype("Int64"), "company_id": frame["company_id"].astype("Int32"), "url_pattern": frame["url_pattern"], **{c: frame[c].astype("Int32") for c in ordinal}}
+            yield pd.DataFrame({**kept, **{c: made[c].values for c in made}})[names]
 
-    return raw.select("id", "company_id", "raw_xml", "url_pattern").mapInPandas(run, RESULT)
+    return raw.select("id", "company_id", "raw_xml", "url_pattern", *(F.col(c).cast("int").alias(c) for c in ordinal)).mapInPandas(run, schema)
 
 
 def readable(extracted: DataFrame) -> DataFrame:
@@ -508,7 +511,7 @@ def readable(extracted: DataFrame) -> DataFrame:
 
 def quarantine(extracted: DataFrame) -> DataFrame:
     """Pages that could not be read, with the reason."""
-    return extracted.filter("error is not null").select("id", "company_id", "url_pattern", "error")
+    return extracted.filter("error is not null").select("id", "company_id", "url_pattern", "error", *[c for c in ("file_ord",) if c in extracted.columns])
 
 
 def listing_links(pages: DataFrame, selector: str, column: str = "raw_xml") -> DataFrame:
@@ -521,7 +524,7 @@ def listing_links(pages: DataFrame, selector: str, column: str = "raw_xml") -> D
     return pages.select("*", F.posexplode(links.asNondeterministic()(column)).alias("place", "link"))
 
 
-def page_not_found(pages: DataFrame, source: str) -> DataFrame:
+def page_not_found(pages: DataFrame, source: str, column: str = "raw_xml") -> DataFrame:
     """``missing`` for pages that say with status 200 that there is none: a script that alerts, or no title."""
     tests = {"ftv": lambda root: (x := root.first("script")) is not None and x.text.startswith("alert"), "storm": lambda root: root.first("h1#article_title") is None}
     test = tests[source]
@@ -530,7 +533,7 @@ def page_not_found(pages: DataFrame, source: str) -> DataFrame:
     def missing(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: bool(test(html.parse(t or ""))))
 
-    return pages.withColumn("missing", missing.asNondeterministic()("raw_xml"))
+    return pages.withColumn("missing", missing.asNondeterministic()(column))
 
 
 def max_page(html_text: str) -> int:
@@ -539,5 +542,17 @@ def max_page(html_text: str) -> int:
     return int(numbers[-2].text.replace(",", "")) if len(numbers) > 1 else 1
 
 
+def day_of_url(url: str, source: str) -> datetime | None:
+    """The day in an address of epochtimes or ntdtv, as ``columns.url_date`` has it; None without one."""
+    m = re.match(re.escape(COMPANIES[SHORT_NAMES.index(source)][2]) + r"(\d+)/(\d+)/(\d+)/[an]\d+\.htm", url)
+    if not m:
+        return None
+    year, month, day = map(int, m.groups())
+    try:
+        return datetime(year + 2000 if source == "epochtimes" else year, month, day, tzinfo=UTC)
+    except ValueError:
+        return None
+
+
 def utc(seconds: int) -> datetime:
     return datetime.fromtimestamp(seconds, UTC)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime, timedelta
 
@@ -95,7 +96,7 @@ def index_frontier(days: DataFrame, source: str, most: int | None = None) -> Dat
         rows = days.withColumn("category", F.explode(F.array(*[F.lit(c) for c in CATEGORIES[source]])))
         last = F.when(F.col("category") == "W", F.lit(most - 1)).otherwise(F.lit(30))
         rows = rows.withColumn("idx", F.explode(F.sequence(F.lit(1), last))).withColumn("rank", F.lit(0))
-        width = F.when(F.col("category") == "W", F.lpad(F.col("idx").cast("string"), 4, "0")).otherwise(F.lpad(F.col("idx").cast("string"), 2, "0"))
+        width = F.when(F.col("category") == "W", F.lpad(F.col("idx").cast("string"), 4, "0")).otherwise(F.concat(F.lpad(F.col("idx").cast("string"), 2, "0"), F.lit("M1")))
         code = F.concat(F.date_format("day", "yyyy"), F.conv(F.month("day").cast("string"), 10, 16), F.date_format("day", "dd"), "category", width)
         return rows.withColumn("url", F.concat(F.lit(base), code))
     raise ValueError(f"{source} has no numbered addresses by day")
@@ -127,20 +128,61 @@ def index_chunks(first: int, latest: int, chunk: int, fetch: Callable[[int, int]
         at = end
 
 
+def index_chunks_down(first: int, latest: int, chunk: int) -> Iterator[tuple[int, int]]:
+    """Ranges of ids, both ends included, from the newest down; as the source has it, a range reaches one below its part."""
+    if first <= 0 or latest < first:
+        raise ValueError("first must be positive and latest at least first")
+    for at in range(latest, first - 1, -chunk):
+        yield max(at - chunk, first - 1), at
+
+
+def walk_ids(first: int, latest: int, ask: Callable[[int], list[int]], most: int = 500) -> list[int]:
+    """Ids from ``first`` to ``latest`` of lists that ``ask`` gives for the id to go on from: the smallest one seen, downwards.
+
+    It ends where a list is empty or has no smaller id, or after ``most`` failures in a row.
+    """
+    found, at, failed = {latest}, latest, 0
+    while first <= at <= latest and failed < most:
+        try:
+            got = ask(at)
+        except Exception:  # noqa: BLE001 - a failed request is asked again
+            failed += 1
+            continue
+        own = [x for x in got if first <= x <= latest]
+        found |= set(own)
+        if not own or min(own) >= at:
+            break
+        at, failed = min(own), 0
+    return sorted(found)
+
+
 def fetch_pages(urls: DataFrame, fetcher: Fetcher) -> DataFrame:
-    """status, body and error for every row of ``urls`` (seq, url); a request that raises has status 0."""
+    """status, body and error for every row of ``urls`` (seq, and url or choices); a request that raises has status 0.
+
+    Of choices, which are tried in order, the first that answers counts, else the last.
+    """
+    tried = F.col("choices") if "choices" in urls.columns else F.array("url")
+
+    def ask(url: str) -> tuple:
+        try:
+            return (url, *fetcher(url), None)
+        except Exception as e:  # noqa: BLE001 - a failed request is a row
+            return url, 0, "", str(e) or "request failed"
+
+    def first(choices: list[str]) -> tuple:
+        got = (None, 0, "", "nothing to fetch")
+        for url in choices:
+            got = ask(url)
+            if got[1] == 200:
+                break
+        return got
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for seq, url in zip(frame["seq"], frame["url"], strict=True):
-                try:
-                    rows.append((seq, url, *fetcher(url), None))
-                except Exception as e:  # noqa: BLE001 - a failed request is a row
-                    rows.append((seq, url, 0, "", str(e) or "request failed"))
+            rows = [(seq, *first(list(choices))) for seq, choices in zip(frame["seq"], frame["choices"], strict=True)]
             yield pd.DataFrame(rows, columns=["seq", "url", "status", "body", "error"])
 
-    got = urls.select("seq", "url").mapInPandas(run, "seq long, url string, status int, body string, error string")
+    got = urls.select("seq", tried.alias("choices")).mapInPandas(run, "seq long, url string, status int, body string, error string")
     label = F.when(F.col("status") == 0, F.col("error")).otherwise(F.nullif(status_class(F.col("status")), F.lit("ok")))
     return got.withColumn("error", label).withColumn("ok", label.isNull())
 
@@ -180,25 +222,43 @@ def last_available(has_items: Callable[[int], bool], most: int = 1 << 16) -> int
     return low
 
 
+def last_where(holds: Callable[[int], bool], most: int) -> int:
+    """The last of the pages 1 to ``most`` that a test holds for which, once it fails, fails for all later ones; 0 without any."""
+    low, high = 0, most + 1
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if holds(middle) else (low, middle)
+    return low
+
+
 def latest_id(ids: DataFrame, first: int, bound: int) -> DataFrame:
     """latest: the largest id from ``first`` to ``bound``, or ``first``."""
     return ids.agg(F.coalesce(F.max(F.when(F.col("idx").between(first, bound), F.col("idx"))), F.lit(first)).alias("latest"))
 
 
+def quoted_ids(text: str | None) -> list[str]:
+    """The ids of a list such as ``,'12','34'``."""
+    return re.findall(r"\d+", text or "")
+
+
 def listed_ids(api: DataFrame, column: str = "news_id_list") -> DataFrame:
     """Distinct ids of quoted lists such as ``,'12','34'``."""
     return api.select(F.explode(F.regexp_extract_all(F.col(column), F.lit(r"(\d+)"), F.lit(1))).alias("idx")).select(F.col("idx").cast("long").alias("idx")).distinct()
 
 
-def listed_urls(api: DataFrame, column: str = "body") -> DataFrame:
+def _items(api: DataFrame, items: Column, place: bool) -> DataFrame:
+    return api.select("*", F.posexplode(items).alias("place", "item")) if place else api.withColumn("item", F.explode(items))
+
+
+def listed_urls(api: DataFrame, column: str = "body", place: bool = False) -> DataFrame:
     """Addresses of a listing's ``data``, which is an array of objects or, on later pages, a map of them."""
     as_list = F.from_json(F.col(column), "data array<struct<url:string>>")["data"]
     as_map = F.map_values(F.from_json(F.col(column), "data map<string,struct<url:string>>")["data"])
-    return api.withColumn("item", F.explode(F.coalesce(as_list, as_map))).withColumn("url", F.col("item.url")).drop("item")
+    return _items(api, F.coalesce(as_list, as_map), place).withColumn("url", F.col("item.url")).drop("item")
 
 
-def listed_items(api: DataFrame, host: str = "https://udn.com", column: str = "body") -> DataFrame:
-    """url (without its query, with the host) and day of a timed listing's ``lists``."""
+def listed_items(api: DataFrame, host: str = "https://udn.com", column: str = "body", place: bool = False) -> DataFrame:
+    """url (without its query, with the host), stamp and day of a timed listing's ``lists``."""
     lists = F.from_json(F.col(column), "lists array<struct<time:struct<date:string>,titleLink:string>>")["lists"]
-    rows = api.withColumn("item", F.explode(lists))
-    return rows.withColumn("url", F.concat(F.lit(host), F.substring_index("item.titleLink", "?", 1))).withColumn("day", F.try_to_timestamp("item.time.date", F.lit("yyyy-MM-dd HH:mm")).cast("date")).drop("item")
+    rows = _items(api, lists, place).withColumn("stamp", F.try_to_timestamp("item.time.date", F.lit("yyyy-MM-dd HH:mm")))
+    return rows.withColumn("url", F.concat(F.lit(host), F.substring_index("item.titleLink", "?", 1))).withColumn("day", F.col("stamp").cast("date")).drop("item")

@@ -13,7 +13,8 @@ from ..schemas import KEY
 def dedup_first(df: DataFrame, order: list[str], key: tuple[str, ...] = KEY, target: DataFrame | None = None) -> DataFrame:
     """The first row of each key by ``order`` (a total order); keys that ``target`` holds already are left out.
 
-    Nulls in a key are equal to each other here, and come first in the order.
+    Nulls in a key are equal to each other here, and come first in the order. Spark keeps the first row of a key in each
+    task already before the shuffle (WindowGroupLimit), so that a frequent key sends one row a task.
     """
     kept = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("_rank = 1").drop("_rank")
     if target is None:
@@ -53,7 +54,8 @@ def numbered(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
     """Rows numbered from 1 in a total order, whose first column is a number, without gathering them in one task.
 
     Cut points from the first column's quantiles deal the rows out; each part's count tells where the next
-    begins. A row's part follows from its values alone, so a part that is computed again is the same.
+    begins. A row's part follows from its values alone, so a part that is computed again is the same. Rows equal in the
+    first column share a part: it should have few of them, as ids do.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = F.col(order[0])

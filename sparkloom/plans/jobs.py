@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from ..operators.extract import Options, extract, quarantine, readable
 from ..operators.relops import dedup_first, merge_parsed, merge_raw, reject_nulls, split_chunks
 
 Stage = Callable[[DataFrame], DataFrame]
+TextStep = Callable[[str], str]
 
 
 @dataclass(frozen=True)
@@ -34,65 +34,83 @@ class Preprocess:
     recogniser: Recogniser | None = None
     tags: dict[str, Tag] = field(default_factory=dict)
     dates: bool = False
+    batch_size: int = 8
     english: bool = False
     guillemets: bool = False
     numbers: bool = False
     unclosed: str = "reference"
 
 
-def _both(change: Callable) -> Stage:
-    return lambda df: df.withColumn("title", change(F.col("title"))).withColumn("article", change(F.col("article")))
+def _texts(df: DataFrame, chain: list[TextStep], first: bool) -> DataFrame:
+    """Title and article through ``chain``, each in one function, and with the first chain category and reporter through NFKC."""
+    new = {c: arrow.chained(F.col(c), chain) for c in ("title", "article")}
+    if first:
+        new |= {c: arrow.nfkc_if_any(F.col(c)) for c in ("category", "reporter")}
+    return df.withColumns(new)
 
 
-def normalise(df: DataFrame) -> DataFrame:
-    df = _both(arrow.nfkc)(df)
-    return df.withColumn("category", arrow.nfkc_if_any(F.col("category"))).withColumn("reporter", arrow.nfkc_if_any(F.col("reporter")))
-
-
-def stages(p: Preprocess) -> list[tuple[str, Stage]]:
-    """The stages asked for, in their fixed order; NFKC is always the first."""
-    strip = lambda a, b: _both(lambda c: arrow.strip_delimited(c, a, b, unclosed=p.unclosed))
+def stages(p: Preprocess) -> list[tuple[str, TextStep | None, Stage | None]]:
+    """The stages asked for, in their fixed order, each on texts or on the table; NFKC is always the first."""
+    strip = lambda a, b: lambda t: arrow.delimited_text(t, a, b, unclosed=p.unclosed)
+    gone = lambda pattern: lambda t: pattern.sub("", t)
     entities = bool(p.tags or p.dates)
     if entities and p.recogniser is None:
         raise ValueError("entities need a recogniser")
+    tags = tuple(t.tag for t in p.tags.values())
     listed = [
-        ("nfkc", True, normalise),
-        ("url", p.urls, _both(columns.strip_urls)),
-        ("paren", p.parens, strip("(", ")")),
-        ("bracket", p.brackets, strip("[", "]")),
-        ("curly", p.curlies, strip("{", "}")),
-        ("lenticular", p.lenticulars, strip("【", "】")),
-        ("emoji", p.emoji, _both(columns.strip_emoji)),
-        ("non_cjk", p.non_cjk, _both(columns.strip_non_cjk)),
-        ("length", p.least != 0 or p.most != -1, lambda df: df.filter(columns.length_between(F.col("article"), p.least, p.most))),
-        ("entities", entities, lambda df: replace_entities(recognise(df, p.recogniser), p.tags, p.dates)),
-        ("english", p.english, _both(arrow.mask_english)),
-        ("guillemet", p.guillemets, _both(lambda c: arrow.mask_guillemets(c, p.unclosed))),
-        ("number", p.numbers, _both(lambda c: arrow.mask_numbers(c, tuple(t.tag for t in p.tags.values())))),
+        ("nfkc", True, arrow.nfkc_text, None),
+        ("url", p.urls, gone(arrow.URL), None),
+        ("paren", p.parens, strip("(", ")"), None),
+        ("bracket", p.brackets, strip("[", "]"), None),
+        ("curly", p.curlies, strip("{", "}"), None),
+        ("lenticular", p.lenticulars, strip("【", "】"), None),
+        ("emoji", p.emoji, gone(arrow.EMOJI), None),
+        ("non_cjk", p.non_cjk, gone(arrow.NOT_KEPT), None),
+        ("length", p.least != 0 or p.most != -1, None, lambda df: df.filter(columns.length_between(F.col("article"), p.least, p.most))),
+        ("entities", entities, None, lambda df: replace_entities(recognise(df, p.recogniser, p.batch_size), p.tags, p.dates)),
+        ("english", p.english, arrow.english_text, None),
+        ("guillemet", p.guillemets, lambda t: arrow.delimited_text(t, "《", "》", "<unk>", True, p.unclosed), None),
+        ("number", p.numbers, lambda t: arrow.number_text(t, tags), None),
     ]
-    return [(name, stage) for name, wanted, stage in listed if wanted]
+    return [(name, change, stage) for name, wanted, change, stage in listed if wanted]
 
 
 def preprocess(parsed: DataFrame, config: Preprocess) -> DataFrame:
-    return reduce(DataFrame.transform, [stage for _, stage in stages(config)], parsed)
+    """All stages; those on texts that follow each other are one function, so that texts go to Python as seldom as possible."""
+    chain, first = [], True
+    for _, change, stage in [*stages(config), ("end", None, lambda df: df)]:
+        if change is not None:
+            chain.append(change)
+            continue
+        if chain:
+            parsed, chain, first = _texts(parsed, chain, first), [], False
+        parsed = stage(parsed)
+    return parsed
+
+
+def _order(df: DataFrame) -> list[str]:
+    """Files in their order, and ids within a file: which row of a key is the first."""
+    return ["file_ord", "id"] if "file_ord" in df.columns else ["id"]
 
 
-def parse(raw: DataFrame, options: Options | None = None, order: tuple[str, ...] = ("file_ord", "id")) -> tuple[DataFrame, DataFrame]:
-    """Articles, the first of each key, and the pages that could not be read.
+def parse(raw: DataFrame, options: Options | None = None) -> tuple[DataFrame, DataFrame]:
+    """Articles, the first of each key by file and id, and the pages that could not be read.
 
     Both come from one extraction; save or cache it where both are wanted.
     """
-    done = extract(raw if "file_ord" in raw.columns else raw, options)
+    done = extract(raw, options)
     good, bad = reject_nulls(readable(done), ["article", "company_id", "timestamp", "title", "url_pattern"])
-    lost = quarantine(done).unionByName(bad.select("id", "company_id", "url_pattern", F.lit("null in a required column").alias("error")))
-    return dedup_first(good, ["id"]), lost
+    lost = quarantine(done)
+    lost = lost.unionByName(bad.withColumn("error", F.lit("null in a required column")).select(*lost.columns))
+    return dedup_first(good, _order(good)), lost
 
 
 def migrate_v1(legacy: DataFrame) -> DataFrame:
     """Raw rows of a table with names and whole addresses."""
     company = columns.company_id(F.col("company"))
-    out = legacy.select("id", company.alias("company_id"), columns.collapse_ws(F.col("raw_xml")).alias("raw_xml"), "url")
-    return out.select("id", "company_id", "raw_xml", columns.compress_url(F.col("company_id"), F.col("url")).alias("url_pattern"))
+    ordinal = [c for c in ("file_ord",) if c in legacy.columns]
+    out = legacy.select("id", company.alias("company_id"), columns.collapse_ws(F.col("raw_xml")).alias("raw_xml"), "url", *ordinal)
+    return out.select("id", "company_id", "raw_xml", columns.compress_url(F.col("company_id"), F.col("url")).alias("url_pattern"), *ordinal)
 
 
 MIGRATIONS: dict[str, Stage] = {"v1": migrate_v1}
@@ -101,7 +119,8 @@ MIGRATIONS: dict[str, Stage] = {"v1": migrate_v1}
 def migrate(legacy: DataFrame, version: str) -> DataFrame:
     if version not in MIGRATIONS:
         raise ValueError(f"unknown version {version}; known: {sorted(MIGRATIONS)}")
-    return dedup_first(MIGRATIONS[version](legacy), ["id"])
+    rows = MIGRATIONS[version](legacy)
+    return dedup_first(rows, _order(rows))
 
 
 def merge(frames: list[DataFrame], kind: str, target: DataFrame | None = None) -> DataFrame | None:

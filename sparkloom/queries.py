@@ -79,26 +79,56 @@ def dedup_first(spark, d):
     return relops.dedup_first(docs, ["doc_id"], ("source", "text")).select("doc_id", "source")
 
 
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three documents share a key, whatever their number; ``half`` deals them out regardless of it."""
+    key = F.floor(F.col("id") / 3)
+    return _documents(spark, sf_dir).withColumn("url_pattern", key.cast("string")).withColumn("company_id", (key % 11).cast("int")).withColumn("half", F.md5(F.col("id").cast("string")) < "8")
+
+
 def dedup_target(spark, d):
-    rows = _documents(spark, d).withColumn("url_pattern", (F.col("id") % 300).cast("string"))
-    return relops.dedup_first(rows.filter("id % 2 = 0"), ["id"], target=rows.filter("id % 2 = 1")).select("id", "company_id", "url_pattern")
+    rows = _keyed(spark, d)
+    return relops.dedup_first(rows.filter("half"), ["id"], target=rows.filter("not half")).select("id", "company_id", "url_pattern")
 
 
 def _cut_in_two(rows: DataFrame) -> list[DataFrame]:
-    rows = rows.withColumn("url_pattern", (F.col("id") % 400).cast("string"))
-    return [rows.filter("company_id < 5"), rows.filter("company_id >= 5").unionByName(rows.filter("id % 9 = 0"))]
+    return [rows.filter("half"), rows.filter("not half").unionByName(rows.filter("id % 9 = 0"))]
 
 
 def merge_by_time(spark, d):
-    return relops.merge_parsed(_cut_in_two(_documents(spark, d))).select("id", "company_id", "url_pattern", "timestamp", "file_ord")
+    return relops.merge_parsed(_cut_in_two(_keyed(spark, d))).select("id", "company_id", "url_pattern", "timestamp", "file_ord")
 
 
 def merge_raw(spark, d):
-    return relops.merge_raw(_cut_in_two(_documents(spark, d))).select("id", "company_id", "url_pattern", "file_ord")
+    return relops.merge_raw(_cut_in_two(_keyed(spark, d))).select("id", "company_id", "url_pattern", "file_ord")
+
+
+_KEYED = f"""(SELECT id, ((id // 3) % 11)::INTEGER AS company_id, (id // 3)::VARCHAR AS url_pattern, "timestamp", md5(id::VARCHAR) < '8' AS half FROM {_PARSED})"""
+_TWO = f"""WITH r AS (SELECT * FROM {_KEYED}),
+u AS (SELECT *, 0 AS file_ord FROM r WHERE half UNION ALL SELECT *, 1 FROM r WHERE NOT half UNION ALL SELECT *, 1 FROM r WHERE id % 9 = 0)"""
+
+
+def _two_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` as rows of two files, whose ids are the same; six pages share a key."""
+    page = F.col("page_id")
+    return _table(spark, sf_dir, "pages").select(F.floor(page / 2).alias("id"), (1 - page % 2).cast("int").alias("file_ord"), F.floor(page / 6).alias("_key"), page, "html")
+
+
+def parse_files(spark, d):
+    """Articles of two files of one source: of a key the first of the first file."""
+    _, before, after = _MARKUP[1]
+    rows = _two_files(spark, d)
+    head, tail = before.split("<span>t</span>")
+    raw = F.concat(F.lit(f"{head}<span>t"), F.col("page_id").cast("string"), F.lit(f"</span>{tail}"), F.coalesce("html", F.lit("")), F.lit(after))
+    done, _ = jobs.parse(rows.select("id", "file_ord", F.lit(1).alias("company_id"), raw.alias("raw_xml"), F.concat(F.lit("20141108"), F.col("_key").cast("string")).alias("url_pattern")))
+    return done.select("id", "file_ord", "url_pattern", "title", "timestamp")
 
 
-_TWO = f"""WITH r AS (SELECT id, company_id, (id % 400)::VARCHAR AS url_pattern, "timestamp" FROM {_PARSED}),
-u AS (SELECT *, 0 AS file_ord FROM r WHERE company_id < 5 UNION ALL SELECT *, 1 FROM r WHERE company_id >= 5 UNION ALL SELECT *, 1 FROM r WHERE id % 9 = 0)"""
+def migrate_files(spark, d):
+    """Legacy rows of two files: of a key the first of the first file."""
+    rows = _two_files(spark, d)
+    names = F.lit(COMPANIES[1][0])
+    url = F.concat(F.lit(COMPANIES[1][2]), F.col("_key").cast("string"), F.lit(".aspx"))
+    return jobs.migrate(rows.select("id", "file_ord", names.alias("company"), F.coalesce("html", F.lit("")).alias("raw_xml"), url.alias("url")), "v1").select("id", "file_ord", "url_pattern", F.md5("raw_xml").alias("digest"))
 
 
 def split_chunks(spark, d):
@@ -207,8 +237,8 @@ def entity_tags(spark, d):
     return entities.replace_entities(rows, entities.tag_config({"GPE": "loc"}, {"ORG": "org"}), dates=True).select("id", "title", "article")
 
 
-def preprocess_native(spark, d):
-    """The flagship: NFKC, native strippers, length filter, masks and first-wins dedup."""
+def preprocess_news(spark, d):
+    """The flagship: NFKC, strippers, length filter, masks and first-wins dedup."""
     config = jobs.Preprocess(urls=True, parens=True, brackets=True, curlies=True, lenticulars=True, emoji=True, least=200, most=5000, english=True, guillemets=True, numbers=True)
     done = jobs.preprocess(_documents(spark, d), config)
     return relops.dedup_first(done, ["id"]).select("id", "company_id", "title", "article")
@@ -223,7 +253,9 @@ def index_frontier(spark, d):
 
 
 def grid_frontier(spark, d):
-    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "chinatimes").select("idx", "rank", "url")
+    """The whole grid of a day, of whose addresses some answer: the first that does for each number."""
+    grid = frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "chinatimes")
+    return frontier.first_hit(grid.withColumn("ok", (F.col("idx") * 31 + F.col("rank") * 17) % 97 == 0), ["idx"])
 
 
 def hex_frontier(spark, d):
@@ -294,7 +326,7 @@ def ordered_distinct_join(spark, d):
 
 def json_field(spark, d):
     events = _table(spark, d, "events")
-    return events.select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").alias("n"))
+    return events.select("event_id", columns.json_field(F.col("props"), "k").alias("k"), F.length("props").alias("n"))
 
 
 def local_epoch(spark, d):
@@ -303,13 +335,13 @@ def local_epoch(spark, d):
 
 
 QUERIES: dict[str, Query] = {
-    "preprocess_native": preprocess_native,
+    "preprocess_news": preprocess_news,
     "collapse_ws": _text(columns.collapse_ws),
     "nfkc": _text(arrow.nfkc),
     "url_filter": _text(columns.strip_urls),
     "paren_filter": _text(lambda c: arrow.strip_delimited(c, "(", ")", unclosed="keep")),
-    "bracket_filter": _text(lambda c: columns.strip_flat_brackets(c, "bracket")),
-    "curly_filter": _text(lambda c: columns.strip_flat_brackets(c, "curly")),
+    "bracket_filter": _text(lambda c: arrow.strip_delimited(c, "[", "]", unclosed="keep")),
+    "curly_filter": _text(lambda c: arrow.strip_delimited(c, "{", "}", unclosed="keep")),
     "lenticular_filter": _text(lambda c: arrow.strip_delimited(c, "【", "】")),
     "emoji_filter": _text(columns.strip_emoji),
     "non_cjk_filter": _text(columns.strip_non_cjk),
@@ -333,6 +365,8 @@ QUERIES: dict[str, Query] = {
     "company_lookup": company_lookup,
     "compress_url": compress_url,
     "migrate_v1": migrate_v1,
+    "parse_files": parse_files,
+    "migrate_files": migrate_files,
     "page_title": page_title,
     "page_links": page_links,
     "extract_pages": extract_pages,
@@ -390,9 +424,9 @@ ORACLES: dict[str, str] = {
     "guillemet_replacer": _article_sql(_gone(_ARTICLE, "《[^《》]*》", "《<unk>》")),
     "end_sentence": f"SELECT id, CASE WHEN a <> '' AND NOT regexp_matches(a, '[。!?]$') THEN a || '。' ELSE a END AS article FROM (SELECT doc_id AS id, trim({_ARTICLE}) AS a FROM documents)",
     "dedup_first": "SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS r FROM documents) WHERE r = 1",
-    "dedup_target": f"""WITH r AS (SELECT id, company_id, (id % 300)::VARCHAR AS url_pattern FROM {_PARSED})
-        SELECT id, company_id, url_pattern FROM (SELECT *, row_number() OVER (PARTITION BY company_id, url_pattern ORDER BY id) AS n FROM r WHERE id % 2 = 0) a
-        WHERE n = 1 AND NOT EXISTS (SELECT 1 FROM r b WHERE b.id % 2 = 1 AND b.company_id IS NOT DISTINCT FROM a.company_id AND b.url_pattern = a.url_pattern)""",
+    "dedup_target": f"""WITH r AS (SELECT * FROM {_KEYED})
+        SELECT id, company_id, url_pattern FROM (SELECT *, row_number() OVER (PARTITION BY company_id, url_pattern ORDER BY id) AS n FROM r WHERE half) a
+        WHERE n = 1 AND NOT EXISTS (SELECT 1 FROM r b WHERE NOT b.half AND b.company_id = a.company_id AND b.url_pattern = a.url_pattern)""",
     "merge_by_time": f"""{_TWO} SELECT id, company_id, url_pattern, "timestamp", file_ord FROM (SELECT *, row_number() OVER (PARTITION BY company_id, url_pattern ORDER BY "timestamp", file_ord, id) AS n FROM u) WHERE n = 1""",
     "merge_raw": f"""{_TWO} SELECT id, company_id, url_pattern, file_ord FROM (SELECT *, row_number() OVER (PARTITION BY company_id, url_pattern ORDER BY file_ord, id) AS n FROM u) WHERE n = 1""",
     "split_chunks": """SELECT id, chunk, chunk * 64 + 1 AS start, least((chunk + 1) * 64, total) AS "end" FROM (SELECT doc_id AS id, (row_number() OVER (ORDER BY doc_id) - 1) // 64 AS chunk, count(*) OVER () AS total FROM documents)""",
@@ -415,11 +449,11 @@ ORACLES: dict[str, str] = {
     "migrate_v1": f"""SELECT id, company_id, raw_xml, url_pattern FROM (SELECT page_id AS id, (page_id % 11)::INTEGER AS company_id, trim({_gone("html", _WS + "+", " ")}) AS raw_xml, {_COMPRESSED} AS url_pattern,
         row_number() OVER (PARTITION BY page_id % 11, {_COMPRESSED} ORDER BY page_id) AS n FROM pages) WHERE n = 1""",
     "day_frontier": "SELECT (row_number() OVER (ORDER BY d DESC) - 1)::INTEGER AS place, d::DATE AS day FROM generate_series(DATE '2021-09-28', DATE '2021-10-12', INTERVAL 1 DAY) t(d)",
-    "index_frontier": "SELECT d::DATE AS day, i::INTEGER AS idx, 'https://www.cna.com.tw/news/aipl/' || strftime(d, '%Y%m%d') || lpad(i::VARCHAR, 4, '0') || '.aspx' AS url FROM generate_series(DATE '2021-10-11', DATE '2021-10-12', INTERVAL 1 DAY) t(d), range(500) r(i)",
-    "grid_frontier": "SELECT i::INTEGER AS idx, (2 * c + p)::INTEGER AS rank, 'https://www.chinatimes.com/' || ['newspapers', 'realtimenews'][p + 1] || '/20211012' || lpad(i::VARCHAR, 6, '0') || '-' || ["
+    "index_frontier": "SELECT d::DATE AS day, i::INTEGER AS idx, 'https://www.cna.com.tw/news/aipl/' || strftime(d, '%Y%m%d') || lpad(i::VARCHAR, 4, '0') || '.aspx' AS url FROM generate_series(DATE '2021-10-11', DATE '2021-10-12', INTERVAL 1 DAY) t(d), range(10000) r(i)",
+    "grid_frontier": "SELECT idx, min(rank) AS rank, arg_min(url, rank) AS url FROM (SELECT i::INTEGER AS idx, (2 * c + p)::INTEGER AS rank, 'https://www.chinatimes.com/' || ['newspapers', 'realtimenews'][p + 1] || '/20211012' || lpad(i::VARCHAR, 6, '0') || '-' || ["
     + ", ".join(f"'{c}'" for c in frontier.CATEGORIES["chinatimes"])
-    + "][c + 1] AS url FROM range(20) r(i), range(30) s(c), range(2) t(p)",
-    "hex_frontier": "SELECT category, i::INTEGER AS idx, 'https://www.ftvnews.com.tw/news/detail/2021A12' || category || lpad(i::VARCHAR, CASE WHEN category = 'W' THEN 4 ELSE 2 END, '0') AS url FROM (SELECT unnest(string_split('A C F I J L N P R S U W', ' ')) AS category), range(1, 50) r(i) WHERE i <= CASE WHEN category = 'W' THEN 49 ELSE 30 END",
+    + "][c + 1] AS url FROM range(100000) r(i), range(30) s(c), range(2) t(p) WHERE (i * 31 + (2 * c + p) * 17) % 97 = 0) GROUP BY idx",
+    "hex_frontier": "SELECT category, i::INTEGER AS idx, 'https://www.ftvnews.com.tw/news/detail/2021A12' || category || lpad(i::VARCHAR, CASE WHEN category = 'W' THEN 4 ELSE 2 END, '0') || CASE WHEN category = 'W' THEN '' ELSE 'M1' END AS url FROM (SELECT unnest(string_split('A C F I J L N P R S U W', ' ')) AS category), range(1, 10000) r(i) WHERE i <= CASE WHEN category = 'W' THEN 9999 ELSE 30 END",
     "first_hit": f"SELECT user_id, 'u' || min(seq) AS url, min(seq) AS rank FROM {_EVENTS} WHERE ok GROUP BY user_id",
     "start_page": f"""WITH b AS (SELECT max(seq) AS top, min(day) + 10 AS past, max(day) - 10 AS now FROM {_EVENTS}),
         g AS (SELECT (top - seq) // 20 + 1 AS page, max(day) AS newest, bool_or(day BETWEEN past AND now) AS hit, any_value(past) AS past FROM {_EVENTS}, b GROUP BY 1),
@@ -436,7 +470,15 @@ ORACLES: dict[str, str] = {
     "url_date": "SELECT event_id AS seq, make_date(2021, event_id % 12 + 1, event_id % 28 + 1) AS day FROM events",
     "json_field": "SELECT event_id, json_extract_string(props, '$.k') AS k, length(props)::INTEGER AS n FROM events",
     "local_epoch": "SELECT event_id AS seq, (epoch(make_timestamp(2021, 11, 1 + (event_id % 9)::INTEGER, 0, 0, 0.0)) - 28800)::BIGINT AS epoch FROM events",
+    "page_links": """SELECT page_id, len(links) AS n_links, links[1] AS first_link FROM (SELECT page_id, list_transform(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href="(/[^"]*)"', 1), lambda x: replace(x, '&amp;', '&')) AS links FROM pages) WHERE len(links) > 0""",
+    "ordered_distinct_join": f"""SELECT id, string_agg(x, ',' ORDER BY p) AS joined FROM (SELECT id, x, min(p) AS p FROM (SELECT id, unnest(xs) AS x, generate_subscripts(xs, 1) AS p FROM (SELECT id, string_split(title, ' ') AS xs FROM {_PARSED})) GROUP BY id, x) GROUP BY id""",
+    "entity_tags": f"""SELECT id, replace(replace(title, 'the', '<org0>'), 'de', '<loc>') AS title,
+        replace(replace(replace(article, 'the', '<org0>'), 'de', '<loc>'), '快訊', CASE WHEN contains(article, 'the') THEN '<org1>' ELSE '<org0>' END) AS article FROM {_PARSED}""",
+    "parse_files": """SELECT id, file_ord, '20141108' || k AS url_pattern, 't' || page_id AS title, (epoch(TIMESTAMP '2014-11-08') - 28800)::BIGINT AS "timestamp"
+        FROM (SELECT page_id, page_id // 2 AS id, (1 - page_id % 2)::INTEGER AS file_ord, page_id // 6 AS k, row_number() OVER (PARTITION BY page_id // 6 ORDER BY 1 - page_id % 2, page_id // 2) AS n FROM pages) WHERE n = 1""",
+    "migrate_files": f"""SELECT id, file_ord, k::VARCHAR AS url_pattern, md5(trim({_gone("coalesce(html, '')", _WS + "+", " ")})) AS digest
+        FROM (SELECT html, page_id // 2 AS id, (1 - page_id % 2)::INTEGER AS file_ord, page_id // 6 AS k, row_number() OVER (PARTITION BY page_id // 6 ORDER BY 1 - page_id % 2, page_id // 2) AS n FROM pages) WHERE n = 1""",
     "page_title": "SELECT page_id, nullif(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '') AS title FROM pages",
-    "preprocess_native": f"""WITH p AS (SELECT id, company_id, url_pattern, {_masked(_prepared("title"))} AS title, {_prepared("article")} AS a FROM {_PARSED})
+    "preprocess_news": f"""WITH p AS (SELECT id, company_id, url_pattern, {_masked(_prepared("title"))} AS title, {_prepared("article")} AS a FROM {_PARSED})
         SELECT id, company_id, title, {_masked("a")} AS article FROM p WHERE length(a) BETWEEN 200 AND 5000""",
 }

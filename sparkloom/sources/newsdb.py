@@ -2,7 +2,8 @@
 
 Options: paths (a JSON list of files and folders, walked in order) or path, table (raw_news, parsed_news,
 preprocessed_news or news), chunk (rows of a partition; files are cut by rowid). Rows carry their
-file's place as file_ord. Writing appends with the first row of a key winning.
+file's place as file_ord. Only the columns of the schema that is asked for are read (``columns`` of
+``read_databases``). Writing appends with the first row of a key winning.
 """
 
 from __future__ import annotations
@@ -117,10 +118,11 @@ class _Reader(DataSourceReader):
             return
         names = [f.name for f in self.schema.fields if f.name != "file_ord"]
         whole = [f.dataType.typeName() in ("long", "integer") for f in self.schema.fields if f.name != "file_ord"]
+        ordinal = (part.ordinal,) if "file_ord" in self.schema.names else ()
         with sqlite3.connect(f"file:{part.path}?mode=ro", uri=True) as c:
-            for row in c.execute(f"SELECT {', '.join(names)} FROM {self.table} WHERE rowid >= ? AND rowid < ? ORDER BY rowid", (part.low, part.high)):
+            for row in c.execute(f"SELECT {', '.join(names) or '1'} FROM {self.table} WHERE rowid >= ? AND rowid < ? ORDER BY rowid", (part.low, part.high)):
                 # A missing time may stand as an empty text in an integer column: it is 0 here.
-                yield (*(int(v or 0) if w and v is not None else v for v, w in zip(row, whole, strict=True)), part.ordinal)
+                yield (*(int(v or 0) if w and v is not None else v for v, w in zip(row, whole, strict=False)), *ordinal)
 
 
 @dataclass
@@ -179,12 +181,16 @@ class NewsDB(DataSource):
         return _Writer(dict(self.options), schema)
 
 
-def read_databases(spark: SparkSession, paths: list[str], table: str, chunk: int = 100_000) -> DataFrame:
-    """All rows of a table in the SQLite files at ``paths``, with file_ord."""
+def read_databases(spark: SparkSession, paths: list[str], table: str, chunk: int = 100_000, columns: list[str] | None = None) -> DataFrame:
+    """All rows of a table in the SQLite files at ``paths``, with file_ord; only ``columns`` where they are given."""
     for path in paths:
         checked_name(path)
     spark.dataSource.register(NewsDB)
-    return spark.read.format("newsdb").option("paths", json.dumps(paths)).option("table", table).option("chunk", str(chunk)).load()
+    reader = spark.read.format("newsdb").option("paths", json.dumps(paths)).option("table", table).option("chunk", str(chunk))
+    if columns is not None:
+        fields = {f.name: T.StructField(f.name, f.dataType) for f in [*TABLES[table].fields, T.StructField("file_ord", T.IntegerType())]}
+        reader = reader.schema(T.StructType([fields[c] for c in columns]))
+    return reader.load()
 
 
 def write_database(df: DataFrame, path: str, table: str, order: list[str]) -> None:

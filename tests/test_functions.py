@@ -103,3 +103,33 @@ def test_cascade_shortcuts():
         text = "".join(draw.choice([draw.choice(parts), " ", "\n", "1", "ab ", "①"]) for _ in range(draw.randrange(1, 25)))
         for pack in packs:
             assert arrow.cascade_text(text, [arrow.Rule(*x) for x in pack]) == plain_cascade(text, pack)
+
+
+def test_cascades_over_the_whole_table(spark):
+    pq = pytest.importorskip("pyarrow.parquet")
+    texts = [f"【快訊】{t or ''}★(更新)●" for t in pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()]
+    for pack in (p.ARTICLE + p.TITLE for p in (cna, epochtimes, ettoday, ntdtv, storm)):
+        rules = [arrow.Rule(*x) for x in pack]
+        for text in texts:
+            if len(text) < 4000:  # the plain version takes time in the square of the length
+                assert arrow.cascade_text(text, rules) == plain_cascade(text, pack)
+
+
+def test_needs_of_patterns():
+    needs = lambda pattern, by="x": arrow.Rule(pattern, by).needs
+    assert needs("ab[cd]+(e|fgh)") == [{"ab"}, {"c", "d"}, {"e", "fgh"}]
+    assert needs("(?i)甲乙a(b|中)?") == [{"甲乙"}] and needs(r"\d*") == []
+    assert needs("(a|b*)c?", "") == [] and needs("(甲|乙丙)?#*", "") == [{"甲", "乙丙", "#"}]
+    rule = arrow.Rule("(one|two|three|four|five|six|se(ve)n).*$", r"<\1>")
+    for text in ("a two b", "x seven six", "none", "five\n", ""):
+        assert rule(text, set(text)) == re.sub(rule.pattern, rule.by, text)
+    assert len(rule.cut_down) == 4
+
+
+@pytest.mark.parametrize("pattern", ["URL", "EMOJI", "NOT_KEPT"])
+def test_patterns_agree_in_both_notations(spark, pattern):
+    draw = random.Random(3)
+    pool = list("ab 1.,<>。、《》①😀🇹中\u3000\x1c\x85\u2028()[]【】+%/:~-!?*「」é٣") + ["http://", "https://a.b/c?d=1 "]
+    texts = ["".join(draw.choice(pool) for _ in range(30)) for _ in range(300)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.regexp_replace("t", getattr(columns, pattern), "").alias("u")).collect()
+    assert all(getattr(arrow, pattern).sub("", r["t"]) == r["u"] for r in rows)

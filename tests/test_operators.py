@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkloom import queries, schemas
 from sparkloom.operators import extract, frontier, relops
-from sparkloom.plans import jobs
+from sparkloom.plans import cli, crawl, jobs
 from sparkloom.sources import newsdb
 from sparkloom.streaming.ingest import append_stream
 
@@ -126,7 +126,7 @@ def test_database_round_trip(spark, tmp_path):
 
 def test_preprocess_order(spark):
     config = jobs.Preprocess(numbers=True, english=True, parens=True, least=1)
-    assert [n for n, _ in jobs.stages(config)] == ["nfkc", "paren", "length", "english", "number"]
+    assert [n for n, *_ in jobs.stages(config)] == ["nfkc", "paren", "length", "english", "number"]
     row = (1, "看(圖)Hello ①2", None, 1, "", 0, "題(x)", "u")
     done = jobs.preprocess(spark.createDataFrame([row], schemas.PARSED), config).first()
     assert (done["article"], done["title"], done["category"], done["reporter"]) == ("看<en>", "題", None, "")
@@ -160,20 +160,135 @@ def test_frontier_queries_cover_the_days(spark):
     want = {(day, i, f"{cna}{day.replace('-', '')}{i:04}.aspx") for day in days for i in range(10_000)}
     got = queries.index_frontier(spark, "").collect()
     assert len(got) == len(want) and {(str(r["day"]), r["idx"], r["url"]) for r in got} == want
-    want = {(c, i, f"https://www.ftvnews.com.tw/news/detail/2021A12{c}{i:0{4 if c == 'W' else 2}}") for c in "ACFIJLNPRSUW" for i in range(1, 10_000 if c == "W" else 31)}
+    want = {(c, i, f"https://www.ftvnews.com.tw/news/detail/2021A12{c}{i:0{4 if c == 'W' else 2}}{'' if c == 'W' else 'M1'}") for c in "ACFIJLNPRSUW" for i in range(1, 10_000 if c == "W" else 31)}
     got = queries.hex_frontier(spark, "").collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
-    grid, choices = queries.grid_frontier(spark, ""), [(p, c) for c in frontier.CATEGORIES["chinatimes"] for p in frontier.PATHS["chinatimes"]]
+    grid = frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "chinatimes").select("idx", "rank", "url")
+    choices = [(p, c) for c in frontier.CATEGORIES["chinatimes"] for p in frontier.PATHS["chinatimes"]]
     make = lambda i, rank: f"https://www.chinatimes.com/{choices[rank][0]}/20211012{i:06}-{choices[rank][1]}"
     by_rank = {r["rank"]: tuple(r)[1:] for r in grid.groupBy("rank").agg(F.count("*"), F.countDistinct("idx"), F.min("idx"), F.max("idx"), F.sum(F.crc32("url"))).collect()}
     assert by_rank == {rank: (100_000, 100_000, 0, 99_999, sum(zlib.crc32(make(i, rank).encode()) for i in range(100_000))) for rank in range(60)}
 
 
-@pytest.mark.parametrize(("name", "within"), [("index_frontier", "idx < 500"), ("grid_frontier", "idx < 20"), ("hex_frontier", "idx < 50")])
-def test_frontier_queries_match_sql_in_its_range(spark, name, within):
+@pytest.mark.parametrize("name", ["index_frontier", "grid_frontier", "hex_frontier"])
+def test_frontier_queries_match_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
-    got = queries.QUERIES[name](spark, "").filter(within).collect()
-    assert sorted(map(tuple, got)) == sorted(duckdb.sql(queries.ORACLES[name]).fetchall())
+    got = queries.QUERIES[name](spark, "")
+    columns = sorted(got.columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(duckdb.sql(f"SELECT {', '.join(columns)} FROM ({queries.ORACLES[name]})").fetchall())
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_first_row_of_a_key_over_files(spark, turned):
+    """The first file wins with its first row, in whatever order rows arrive."""
+    page = lambda t: CNA.replace("標題★", t)
+    rows = [(1, 1, page("二"), "202110120001", 1), (2, 1, page("三"), "202110120001", 0), (1, 1, page("一"), "202110120001", 0), (1, 1, page("四"), "202110120002", 1)]
+    raw = spark.createDataFrame(rows[::-1] if turned else rows, "id long, company_id int, raw_xml string, url_pattern string, file_ord int").coalesce(1)
+    done, lost = jobs.parse(raw)
+    assert sorted((r["url_pattern"], r["title"], r["file_ord"]) for r in done.collect()) == [("202110120001", "一", 0), ("202110120002", "四", 1)]
+    assert lost.count() == 0
+    legacy = raw.select("id", F.lit("中央社").alias("company"), F.col("raw_xml"), F.concat(F.lit("https://www.cna.com.tw/news/aipl/"), "url_pattern", F.lit(".aspx")).alias("url"), "file_ord")
+    assert sorted((r["url_pattern"], r["id"], r["file_ord"]) for r in jobs.migrate(legacy, "v1").collect()) == [("202110120001", 1, 0), ("202110120002", 1, 1)]
+
+
+def _site(pages):
+    """Pages by address; every other address is missing."""
+    return lambda url: (200, pages[url]) if url in pages else (404, "")
+
+
+def _crawled(spark, source, pages, **more):
+    found = []
+    crawl.crawl(spark, source, lambda rows: found.append([(r["company_id"], r["url_pattern"], r["raw_xml"]) for r in rows.orderBy("id").collect()]), _site(pages), **more)
+    return found
+
+
+def _links(urls, css):
+    return css.format("".join(f'<div class="one_post"><div class="text"><div class="title"><a href="{u}">x</a></div></div></div>' for u in urls))
+
+
+def test_crawl_by_page_stops_a_category_at_an_empty_commit(spark, monkeypatch):
+    monkeypatch.setitem(crawl.PAGES_A_COMMIT, "ntdtv", 2)
+    monkeypatch.setitem(frontier.CATEGORIES, "ntdtv", ["202", "205"])
+    base = "https://www.ntdtv.com/b5/"
+    day = lambda d, n: f"{base}2021/10/{d:02}/a{n}.html"
+    wrap = '<div class="post_list"><div class="list_wrapper">{}</div></div><a class="page-numbers">1</a><a class="page-numbers">6</a><a class="page-numbers">next</a>'
+    listed = {1: [day(20, 1)], 2: [day(12, 2), day(11, 3)], 3: [day(11, 4)], 4: [day(2, 5)], 5: [day(2, 6)], 6: [day(11, 7)]}
+    pages = {f"{base}prog202/{p}": _links(urls, wrap) for p, urls in listed.items()} | {u: f"<p> {u[-7:]} </p>" for urls in listed.values() for u in urls}
+    found = _crawled(spark, "ntdtv", pages, past="2021-10-10+0000", current="2021-10-13+0000")
+    assert [[x[1] for x in commit] for commit in found] == [["2021-10-12-2", "2021-10-11-3", "2021-10-11-4"]]
+    assert found[0][0][::2] == (6, "<p> a2.html </p>")
+
+
+def test_crawl_of_listings(spark, monkeypatch):
+    monkeypatch.setitem(frontier.LISTING_PAGES, "setn", 2)
+    monkeypatch.setitem(frontier.LISTING_PAGES, "ltn", 2)
+    monkeypatch.setitem(frontier.CATEGORIES, "setn", ["6", "41", "5"])
+    base = "https://www.setn.com/"
+    item = '<div class="newsItems"><h3 class="view-li-title"><a href="/News.aspx?NewsID={}">x</a></h3></div>'
+    pages = {f"{base}ViewAll.aspx?PageGroupID={c}&p={p}": item.format(n) for c, p, n in (("6", 1, 1), ("6", 2, 2), ("5", 1, 3))} | {f"{base}News.aspx?NewsID={n}": str(n) for n in (1, 2, 3)}
+    assert [[x[1] for x in c] for c in _crawled(spark, "setn", pages)] == [["1", "2"]]  # 41 has none: the rest is left
+    monkeypatch.setitem(frontier.CATEGORIES, "ltn", ["politics", "society", "life"])
+    base, news = "https://news.ltn.com.tw/ajax/breakingnews/", "https://news.ltn.com.tw/news/life/breakingnews/"
+    pages = {f"{base}politics/1": json.dumps({"data": [{"url": f"{news}1"}]}), f"{base}politics/2": json.dumps({"data": {"20": {"url": f"{news}2"}}}), f"{base}life/1": json.dumps({"data": [{"url": f"{news}3"}]})}
+    pages |= {f"{news}{n}": str(n) for n in (1, 2, 3)}
+    assert [[x[1] for x in c] for c in _crawled(spark, "ltn", pages)] == [["life-1", "life-2"], ["life-3"]]
+
+
+def test_crawl_by_id_and_list(spark, monkeypatch):
+    monkeypatch.setitem(frontier.CHUNK, "ettoday", 10)
+    pages = {f"https://star.ettoday.net/news/{i}": str(i) for i in (1, 4, 15, 31)}
+    assert [[x[1] for x in c] for c in _crawled(spark, "ettoday", pages)] == [["1", "4"], ["15"]]  # nothing from 21 to 30
+    monkeypatch.setitem(frontier.CHUNK, "tvbs", 10)
+    monkeypatch.setitem(frontier.CATEGORIES, "tvbs", ["1"])
+    monkeypatch.setattr(crawl, "TVBS_NAMES", ["local"])
+    base = "https://news.tvbs.com.tw/"
+    ids = [3, 7, 8, 12, 19, 20]
+    lists = {crawl.TVBS_LIST.format(base=base, number="1", category="local", idx=i): json.dumps({"news_id_list": "".join(f",'{x}'" for x in sorted(ids, reverse=True) if x < i)[:11]}) for i in range(30)}
+    got = _crawled(spark, "tvbs", lists | {f"{base}local/{i}": str(i) for i in ids}, first=1, latest=20)
+    assert [sorted({x[1] for x in c}) for c in got] == [["local-12", "local-19", "local-20"], ["local-3", "local-7", "local-8"]]
+    assert list(frontier.index_chunks_down(5, 25, 10)) == [(15, 25), (5, 15), (4, 5)]
+
+
+def test_crawl_by_day_and_time(spark, monkeypatch):
+    pages = {f"https://www.ftvnews.com.tw/news/detail/2021A12{x}": "<p>x</p>" for x in ("A01M1", "A30M1", "W0002")} | {"https://www.ftvnews.com.tw/news/detail/2021A12C01M1": "<script>alert(1)</script>"}
+    got = _crawled(spark, "ftv", pages, past="2021-10-12+0000", current="2021-10-12+0000")
+    assert [[x[1] for x in c] for c in got] == [["2021A12A01M1", "2021A12A30M1", "2021A12W0002"]]
+    make, days = crawl.LISTINGS["udn"][0], {1: "2021-10-14", 2: "2021-10-13", 3: "2021-10-12", 4: "2021-10-11", 5: "2021-10-09"}
+    pages = {make.format(base="https://udn.com/", category="", page=p): json.dumps({"lists": [{"time": {"date": f"{d} 08:00"}, "titleLink": f"/news/story/1/{p}?from=x"}]}) for p, d in days.items()}
+    pages |= {f"https://udn.com/news/story/1/{p}": str(p) for p in days}
+    got = _crawled(spark, "udn", pages, past="2021-10-11+0000", current="2021-10-13+0800")
+    assert [[x[1] for x in c] for c in got] == [["1-3", "1-4"]]
+    monkeypatch.setitem(frontier.PER_DAY, "chinatimes", 3)
+    monkeypatch.setitem(frontier.CATEGORIES, "chinatimes", ["260407", "260405"])
+    url = "https://www.chinatimes.com/{}/20211012{:06}-{}"
+    pages = {url.format(*x): str(x) for x in (("realtimenews", 0, "260407"), ("newspapers", 2, "260405"), ("realtimenews", 2, "260405"))}
+    got = _crawled(spark, "chinatimes", pages, past="2021-10-12+0000", current="2021-10-12+0000")
+    assert [[x[1] for x in c] for c in got] == [["r-20211012000000-260407", "n-20211012000002-260405"]]
+    with pytest.raises(ValueError, match="unknown source"):
+        crawl.crawl(spark, "nobody", print)
+    assert frontier.last_where(lambda p: p <= 3, 9) == 3 and frontier.last_where(lambda p: True, 4) == 4
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    monkeypatch.syspath_prepend(str(tmp_path))
+    (tmp_path / "own_ner.py").write_text("from sparkloom.operators.entities import dictionary_recogniser\ndef make():\n    return dictionary_recogniser({'甲': 'ORG', '丙': 'GPE'})\n")
+    rows = [(i, f"甲在丙,1月{i}日,甲走(圖)", None, 1, None, i, "題", f"u{i}") for i in range(1, 6)]
+    source = str(tmp_path / "in.db")
+    newsdb.write_database(spark.createDataFrame(rows, schemas.PARSED), source, "parsed_news", ["id"])
+    cli.main(["preprocess", "--db", source, "--save", str(tmp_path / "out.db"), "--parens", "--recogniser", "own_ner:make", "--tag-org-with-id", "org", "--tag-gpe", "loc", "--dates"])
+    got = newsdb.read_databases(spark, [str(tmp_path / "out.db")], "preprocessed_news", columns=["id", "article"])
+    assert got.columns == ["id", "article"]
+    assert [r["article"] for r in got.orderBy("id").collect()] == ["<org0>在<loc>,<num>月<num>日,<org0>走"] * 5
+    cli.main(["split", "--db", source, "--save", str(tmp_path / "parts"), "--kind", "parsed", "--per-chunk", "2", "--root", str(tmp_path)])
+    parts = [f"{tmp_path}/parts/in__{a}_{b}.db" for a, b in ((1, 2), (3, 4), (5, 5))]
+    assert sorted(newsdb.find_databases([str(tmp_path / "parts")])) == parts
+    assert [[r["url_pattern"] for r in newsdb.read_databases(spark, [p], "parsed_news").orderBy("id").collect()] for p in parts] == [["u1", "u2"], ["u3", "u4"], ["u5"]]
+    cli.main(["merge", "--db", *reversed(parts), "--save", str(tmp_path / "all.db"), "--kind", "parsed"])
+    assert [r["url_pattern"] for r in newsdb.read_databases(spark, [str(tmp_path / "all.db")], "parsed_news").orderBy("id").collect()] == [f"u{i}" for i in range(1, 6)]
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["preprocess", "--db", "a", "--save", "b", "--tag-org", "x", "--tag-org-with-id", "y"])
+    assert newsdb.resolve("a.db", "raw", "/r") == "/r/data/raw/a.db" and newsdb.resolve("/x/a.db", "raw", "/r") == "/x/a.db"
+    assert newsdb.read_databases(spark, [source], "parsed_news", columns=["id", "timestamp"]).agg(F.sum("timestamp")).first()[0] == 15
 
 
 def test_extract_pages_query_reads_every_source(spark, tmp_path):
