@@ -8,8 +8,12 @@ At a Jaccard similarity of 0.8 a symbol differs with probability 0.2: a pair of
 is further apart than 39 of 100 symbols once in about 500,000 pairs, a closer pair more rarely still.
 Every link is confirmed on the full shingle sets.
 
-Groups of copies cost no pairs: equal sets are one node; a bucket links its members to one centre,
-and only members that are still apart afterwards meet others, in blocks that emit near pairs alone.
+Groups of copies cost no pairs: equal sets are one node; a bucket links its members to one centre, and
+then those still apart to another. Members of buckets that are in several parts even then meet by size-sorted
+prefixes: with shingles in one fixed order, the rarest first, two sets of that similarity, the smaller one y, share a
+shingle among the first n - ceil(s n) + 1 of the larger and the first m - ceil(2 s m / (1 + s)) + 1 of y. Pages of
+one template that differ in a ninth of their shingles thus never meet, however many they are. Where sets do meet, it
+is in blocks that emit near pairs alone, and not within the largest part.
 Beside the symbols each signature has the parities of its shingles in ``PARITY_BITS`` cells. Each
 shingle that only one of two sets has flips one cell, so the cells that differ bound the symmetric
 difference from below and rule out, without error, most near pairs that aren't links.
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _bytes as tb
-from ._shared import Scratch
+from ._shared import Scratch, shipped
 from .components import connected_components
 
 CHUNKS, WIDTH = 20, 5
@@ -36,6 +40,8 @@ PARITY_BITS = 2048
 PADDED = -(-SYMBOLS // 8) * 8
 SIGNATURE = PADDED + PARITY_BITS // 8
 BLOCK = 1024
+#: Cells in which shingles are counted, to tell rare from frequent ones.
+CELLS = 1 << 18
 #: Ids up to this count (about 32 MB as a hash table) are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -194,8 +200,45 @@ def _near(percent: int):
     return run
 
 
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        buf, _ = tb.utf8(batch.column("shingles"))
+        counts += np.bincount(_cell(np.frombuffer(np.ascontiguousarray(buf).data, np.uint64)), minlength=CELLS)
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["cell", "n"])
+
+
+def _cell(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+
+
+def _prefixes(percent: int, counts):
+    """A row for each shingle of a set's prefix; ``tells`` for those of the prefix that counts for the smaller set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = counts()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                keys, sizes, tells = [], [], []
+                for blob in part.column("shingles"):
+                    own = np.frombuffer(blob.as_buffer(), np.uint64)
+                    n = len(own)
+                    asking, telling = n + (-percent * n) // 100 + 1, n + (-2 * percent * n) // (100 + percent) + 1
+                    keys.append(own[np.lexsort((own, often[_cell(own)]))[:asking]])
+                    sizes.append(asking)
+                    tells.append(np.arange(asking) < telling)
+                if keys:
+                    every = pa.array(np.repeat(np.arange(part.num_rows), sizes))
+                    made = [pa.array(np.concatenate(keys).view(np.int64)), *(part.column(c).take(every) for c in ("rep", "n", "component")), pa.array(np.concatenate(tells).astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(made, names=["key", "rep", "n", "component", "tells"])
+
+    return run
+
+
 def _block_pairs(percent: int):
-    """Of each bucket's block of askers against some of its members: the pairs that are near and apart.
+    """Of each key's block of larger sets, which ask, and smaller ones, which tell: the pairs that are near and apart.
 
     The rows come sorted by block; a block that a batch cuts waits for the next batch.
     """
@@ -206,10 +249,12 @@ def _block_pairs(percent: int):
         sig = _words(table.column("sig"))
         edges = np.append(_block_starts(table), len(ids))
         for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            told = lo + np.flatnonzero(~asks[lo:hi])
-            for i in lo + np.flatnonzero(asks[lo:hi]):
-                fits = (comp[told] != comp[i]) & (100 * np.minimum(n[told], n[i]) >= percent * np.maximum(n[told], n[i]))
-                others = told[fits]
+            few, many = lo + np.flatnonzero(asks[lo:hi]), lo + np.flatnonzero(~asks[lo:hi])
+            if turned := len(few) > len(many):
+                few, many = many, few
+            for i in few if len(many) else ():
+                larger, smaller = (n[many], n[i]) if turned else (n[i], n[many])
+                others = many[(comp[many] != comp[i]) & (smaller <= larger) & (100 * smaller >= percent * larger)]
                 others = others[_may_link(sig[others], sig[i], n[others] + n[i], percent)]
                 if len(others):
                     yield np.full(len(others), ids[i]), ids[others]
@@ -238,6 +283,30 @@ def _block_starts(table: pa.Table) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (ask[1:] != ask[:-1]) | (told[1:] != told[:-1])])[: len(key)])
 
 
+def _meetings(prefixes: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Near pairs (u, v) of sets in different parts that a shingle of their prefixes brings together.
+
+    Of a shingle's sets those outside its largest part ask all that tell, and those in it only the ones outside.
+    """
+    parts = prefixes.groupBy("key", "component").agg(F.count("*").alias("asks"), F.sum("tells").alias("tells"))
+    keys = parts.groupBy("key").agg(F.max(F.struct("asks", "component", "tells")).alias("top"), F.sum("asks").alias("asks"), F.sum("tells").alias("tells"), F.count("*").alias("parts"))
+    keys = keys.filter("parts > 1 and tells > 0").select(
+        "key",
+        F.col("top.component").alias("top"),
+        F.array(F.struct((F.col("asks") - F.col("top.asks")).alias("asks"), F.col("tells").alias("tells")), F.struct(F.col("top.asks").alias("asks"), (F.col("tells") - F.col("top.tells")).alias("tells"))).alias("sizes"),
+    )
+    rows = prefixes.join(keys, "key").withColumn("in_top", (F.col("component") == F.col("top")).cast("int"))
+    asking = rows.withColumn("phase", F.col("in_top")).withColumn("asks", F.lit(1))
+    telling = rows.filter("tells = 1").withColumn("phase", F.explode(F.when(F.col("in_top") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1))))).withColumn("asks", F.lit(0))
+    rows = asking.unionByName(telling).withColumn("size", F.get("sizes", F.col("phase"))).filter("size.asks > 0 and size.tells > 0")
+    rows = rows.withColumn("ask_blocks", F.expr(f"size.asks div {BLOCK} + 1")).withColumn("told_blocks", F.expr(f"size.tells div {BLOCK} + 1"))
+    rows = rows.withColumn("own", F.expr("if(asks = 1, pmod(xxhash64(rep, 7), ask_blocks), pmod(xxhash64(rep, 11), told_blocks))"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, if(asks = 1, told_blocks, ask_blocks) - 1)")))
+    rows = rows.withColumn("ask", F.expr("2 * if(asks = 1, own, other) + phase")).withColumn("told", F.expr("if(asks = 1, other, own)"))
+    blocks = rows.select("key", "ask", "told", "rep", "n", "component", "asks").join(signatures, "rep").repartition("key", "ask", "told").sortWithinPartitions("key", "ask", "told")
+    return blocks.mapInArrow(_block_pairs(percent), "u long, v long").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text).
 
@@ -282,32 +351,36 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     stars = members.filter("rep <> centre").select(F.col("rep").alias("u"), F.col("centre").alias("v"), "n")
     components = scratch.save(connected_components(confirmed(fitting(stars)), scratch), "components")
 
-    # Members of a bucket that the first centre left apart: another centre, then everyone outside the largest part.
-    for last in (False, True):
+    def labelled() -> DataFrame:
+        """Members of larger buckets with the part that they are in."""
         labels = components.select(F.col("node").alias("rep"), "component")
-        apart = members.filter("size > 2").select("key", "rep", "n").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        open_keys = apart.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min(F.struct(F.xxhash64("rep", "key"), "rep", "component")).alias("pick")).filter("a <> b")
-        if last:
-            parts = apart.groupBy("key", "component").agg(F.count("*").alias("size"))
-            largest = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("top.component").alias("top"), (F.floor(F.col("top.size") / BLOCK) + 1).alias("blocks"))
-            rows = apart.join(largest, "key").join(nodes.select("rep", "sig"), "rep")
-            asking = rows.filter("component <> top")
-            counted = asking.groupBy("key").agg((F.floor(F.count("*") / BLOCK) + 1).alias("ask_blocks"))
-            asking = asking.join(counted, "key").withColumn("ask", F.expr("pmod(xxhash64(rep, 7), ask_blocks)")).withColumn("told", F.explode(F.expr("sequence(0L, blocks + ask_blocks - 1)")))
-            telling = rows.join(counted, "key").withColumn("told", F.expr("pmod(xxhash64(rep, 11), blocks + ask_blocks)")).withColumn("ask", F.explode(F.expr("sequence(0L, ask_blocks - 1)")))
-            columns = ["key", "ask", "told", "rep", "n", "component", "sig"]
-            blocks = asking.select(*columns, F.lit(1).alias("asks")).union(telling.select(*columns, F.lit(0).alias("asks")))
-            blocks = blocks.repartition("key", "ask", "told").sortWithinPartitions("key", "ask", "told")
-            pairs = blocks.mapInArrow(_block_pairs(percent), "u long, v long").distinct()
-            more = with_sets(pairs).mapInArrow(_confirm(percent), "u long, v long")
-        else:
-            stars = apart.join(open_keys.select("key", "pick"), "key").filter("component <> pick.component").select(F.col("rep").alias("u"), F.col("pick.rep").alias("v"), "n")
-            more = confirmed(fitting(stars))
+        return members.filter("size > 2").select("key", "rep", "n").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    def open_keys(apart: DataFrame) -> DataFrame:
+        """Buckets in several parts, with a member to be the next centre."""
+        return apart.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min(F.struct(F.xxhash64("rep", "key"), "rep", "component")).alias("pick")).filter("a <> b")
+
+    def joined(components: DataFrame, more: DataFrame) -> DataFrame:
         more = scratch.save(more, "more")
         if more.isEmpty():
-            continue
-        joined = components.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)
-        components = scratch.save(connected_components(joined, scratch), "components")
+            return components
+        return scratch.save(connected_components(components.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more), scratch), "components")
+
+    # Members of a bucket that the first centre left apart: another centre, then all that are still apart by their prefixes.
+    apart = labelled()
+    stars = apart.join(open_keys(apart).select("key", "pick"), "key").filter("component <> pick.component").select(F.col("rep").alias("u"), F.col("pick.rep").alias("v"), "n")
+    components = joined(components, confirmed(fitting(stars)))
+
+    apart = labelled()
+    still = scratch.save(apart.join(open_keys(apart).select("key"), "key").select("rep", "n", "component").distinct(), "still")
+    if not still.isEmpty():
+        own = still.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        often = np.zeros(CELLS, np.int64)
+        for row in own.select("shingles").mapInArrow(_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            often[row["cell"]] = row["n"]
+        prefixes = own.mapInArrow(_prefixes(percent, shipped(spark, often)), "key long, rep long, n long, component long, tells long")
+        prefixes = scratch.save(prefixes, "prefixes")
+        components = joined(components, with_sets(_meetings(prefixes, nodes.select("rep", "sig"), percent)).mapInArrow(_confirm(percent), "u long, v long"))
 
     labels = nodes.select("h1", "h2", F.col("n").alias("n_shingles"), "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("found"))
     out = signed.select("doc_id", "n_shingles", "h1", "h2").join(labels, ["h1", "h2", "n_shingles"], "left")

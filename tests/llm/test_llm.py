@@ -77,6 +77,44 @@ def test_near_duplicates(spark, k):
             assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]] and r["kept"] == (r["component_id"] == r["doc_id"])
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_near_duplicates_of_templates(spark, monkeypatch, block):
+    """Pages of one template just under the threshold meet nobody; linked ones among them, and long texts, are found."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(4)
+    base = [f"t{i}" for i in range(90)]
+    texts = [" ".join(base + [f"p{i}w{j}" for j in range(14)]) for i in range(3000 if block > 7 else 300)]
+    n = len(texts)
+    texts += [f"{texts[i]} more" for i in range(0, n, 50)]
+    texts += [" ".join(base + [f"q{i // 3}w{j}" for j in range(12)] + [f"r{i}"]) for i in range(60)]
+    huge = [str(rng.randrange(10**6)) for _ in range(60_000)]
+    texts += [" ".join(huge), " ".join(huge[:-3000]), " ".join(huge[20_000:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, 2).collect()}
+    want = {i: i for i in range(len(texts))} | {n + i // 50: i for i in range(0, n, 50)}
+    at = n + len(range(0, n, 50))
+    want |= {at + i: at + i // 3 * 3 for i in range(60)} | {len(texts) - 2: len(texts) - 3}
+    assert got == want
+
+
+def test_prefixes_meet_every_linked_pair():
+    rng = np.random.default_rng(3)
+    often = rng.integers(0, 50, near_dedup.CELLS)
+    run = near_dedup._prefixes(80, lambda: often)
+    for _ in range(300):
+        pool = tb.splitmix(rng.integers(1, 2**60, 400).astype(np.uint64))
+        a = np.unique(rng.choice(pool, rng.integers(1, 300), replace=False))
+        extra, fewer = rng.integers(0, len(a) // 5 + 1), rng.integers(0, len(a) // 5 + 1)
+        b = np.unique(np.concatenate([rng.permutation(a)[fewer:], tb.splitmix(rng.integers(2**61, 2**62, extra).astype(np.uint64))]))
+        common = len(np.intersect1d(a, b))
+        if not len(b) or 100 * common < 80 * (len(a) + len(b) - common):
+            continue
+        large, small = sorted((a, b), key=len, reverse=True)
+        batch = pa.RecordBatch.from_pydict({"rep": [1, 2], "n": [len(large), len(small)], "component": [1, 2], "shingles": [large.tobytes(), small.tobytes()]})
+        rows = next(run(iter([batch]))).to_pylist()
+        assert {r["key"] for r in rows if r["rep"] == 1} & {r["key"] for r in rows if r["rep"] == 2 and r["tells"]}
+
+
 def test_near_duplicates_empty(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
