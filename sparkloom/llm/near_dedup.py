@@ -214,7 +214,12 @@ def _cell(shingles: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(percent: int, counts):
-    """A row for each shingle of a set's prefix; ``tells`` for those of the prefix that counts for the smaller set."""
+    """A row for each shingle of a set's prefix; ``tells`` for those of the prefix that counts for the smaller set.
+
+    Keys are those of a shingle and a band of sizes: a set tells in its own band and asks in this and the one below,
+    in which all smaller sets are that could be linked with it. Bands are a little wider than the sizes allow.
+    """
+    width = np.log(100.001 / percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts()
@@ -231,8 +236,12 @@ def _prefixes(percent: int, counts):
                     tells.append(np.arange(asking) < telling)
                 if keys:
                     every = pa.array(np.repeat(np.arange(part.num_rows), sizes))
-                    made = [pa.array(np.concatenate(keys).view(np.int64)), *(part.column(c).take(every) for c in ("rep", "n", "component")), pa.array(np.concatenate(tells).astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(made, names=["key", "rep", "n", "component", "tells"])
+                    band = (np.log(part.column("n").to_numpy()) / width).astype(np.int64)[every]
+                    shingles, telling = np.concatenate(keys), np.concatenate(tells).astype(np.int64)
+                    for below in (0, 1):
+                        own = tb.splitmix(shingles + tb.splitmix((band - below).view(np.uint64)))
+                        made = [pa.array(own.view(np.int64)), *(part.column(c).take(every) for c in ("rep", "n", "component")), pa.array(telling * (1 - below))]
+                        yield pa.RecordBatch.from_arrays(made, names=["key", "rep", "n", "component", "tells"])
 
     return run
 
@@ -328,19 +337,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     buckets = keys.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("size")).filter("size > 1")
     members = scratch.save(keys.join(buckets, "key"), "members")
 
-    found = members.select("rep").distinct()
-    if found.count() <= BROADCAST_IDS:
-        found = F.broadcast(found)
+    def bounded(ids: DataFrame) -> DataFrame:
+        """Broadcast where their number, which is counted, allows it."""
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    found = bounded(members.select("rep").distinct())
     sets = scratch.save(docs.join(found.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
 
-    def with_sets(pairs: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Near pairs whose sets are as similar as wanted; only the sets that they name are shuffled."""
+        pairs = scratch.save(pairs, "near")
+        ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
+        own = sets.join(bounded(ids), "doc_id", "left_semi")
         for end in ("u", "v"):
-            pairs = pairs.join(sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"shingles_{end}")), end)
-        return pairs
+            pairs = pairs.join(own.select(F.col("doc_id").alias(end), F.col("shingles").alias(f"shingles_{end}")), end)
+        return pairs.mapInArrow(_confirm(percent), "u long, v long")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         close = pairs.join(nodes.select(F.col("rep").alias("u"), F.col("sig").alias("sig_u")), "u").join(nodes.select(F.col("rep").alias("v"), F.col("sig").alias("sig_v")), "v").mapInArrow(_near(percent), "u long, v long")
-        return with_sets(close).mapInArrow(_confirm(percent), "u long, v long")
+        return linked(close)
 
     sizes = nodes.select(F.col("rep").alias("v"), F.col("n").alias("n_v"))
 
@@ -348,6 +363,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         """Distinct pairs whose set sizes allow the similarity."""
         return pairs.distinct().join(sizes, "v").filter(F.expr(f"100 * least(n, n_v) >= {percent} * greatest(n, n_v)"))
 
+    def joined(components: DataFrame, more: DataFrame) -> DataFrame:
+        more = scratch.save(more, "more")
+        if more.isEmpty():
+            return components
+        return scratch.save(connected_components(components.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more), scratch), "components")
+
     stars = members.filter("rep <> centre").select(F.col("rep").alias("u"), F.col("centre").alias("v"), "n")
     components = scratch.save(connected_components(confirmed(fitting(stars)), scratch), "components")
 
@@ -360,12 +381,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         """Buckets in several parts, with a member to be the next centre."""
         return apart.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min(F.struct(F.xxhash64("rep", "key"), "rep", "component")).alias("pick")).filter("a <> b")
 
-    def joined(components: DataFrame, more: DataFrame) -> DataFrame:
-        more = scratch.save(more, "more")
-        if more.isEmpty():
-            return components
-        return scratch.save(connected_components(components.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more), scratch), "components")
-
     # Members of a bucket that the first centre left apart: another centre, then all that are still apart by their prefixes.
     apart = labelled()
     stars = apart.join(open_keys(apart).select("key", "pick"), "key").filter("component <> pick.component").select(F.col("rep").alias("u"), F.col("pick.rep").alias("v"), "n")
@@ -374,13 +389,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     apart = labelled()
     still = scratch.save(apart.join(open_keys(apart).select("key"), "key").select("rep", "n", "component").distinct(), "still")
     if not still.isEmpty():
-        own = still.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+        own = sets.withColumnRenamed("doc_id", "rep").join(bounded(still), "rep")
         often = np.zeros(CELLS, np.int64)
         for row in own.select("shingles").mapInArrow(_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
             often[row["cell"]] = row["n"]
         prefixes = own.mapInArrow(_prefixes(percent, shipped(spark, often)), "key long, rep long, n long, component long, tells long")
         prefixes = scratch.save(prefixes, "prefixes")
-        components = joined(components, with_sets(_meetings(prefixes, nodes.select("rep", "sig"), percent)).mapInArrow(_confirm(percent), "u long, v long"))
+        signatures = nodes.select("rep", "sig").join(bounded(still.select("rep")), "rep", "left_semi")
+        components = joined(components, linked(_meetings(prefixes, signatures, percent)))
 
     labels = nodes.select("h1", "h2", F.col("n").alias("n_shingles"), "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n_shingles", F.coalesce("component", "rep").alias("found"))
     out = signed.select("doc_id", "n_shingles", "h1", "h2").join(labels, ["h1", "h2", "n_shingles"], "left")

@@ -111,7 +111,7 @@ def test_prefixes_meet_every_linked_pair():
             continue
         large, small = sorted((a, b), key=len, reverse=True)
         batch = pa.RecordBatch.from_pydict({"rep": [1, 2], "n": [len(large), len(small)], "component": [1, 2], "shingles": [large.tobytes(), small.tobytes()]})
-        rows = next(run(iter([batch]))).to_pylist()
+        rows = pa.Table.from_batches(run(iter([batch]))).to_pylist()
         assert {r["key"] for r in rows if r["rep"] == 1} & {r["key"] for r in rows if r["rep"] == 2 and r["tells"]}
 
 
