@@ -324,6 +324,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     A text of fewer than k words has its whole word sequence as its one shingle; a null or wordless text
     has no shingle and stays alone. Repeated rows are copies of each other. A row without doc_id
     joins no group: its component_id is null and it is not kept. Other columns of ``docs`` are ignored.
+    A doc_id must stand for one text: where several texts share one, links are confirmed on the set of any of
+    them, so that callers give such rows ids of their own first.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
