@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ._shared import Scratch
 from .chat_format import format_chats, read_loss, read_turns
+from .cohort_matrix import cohort_matrix
 from .decontaminate import decontaminate
 from .hmm import score_texts
 from .line_dedup import line_dedup
@@ -116,6 +117,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), page("refers_to").alias("refers_to"))
 
 
+def op13_cohort_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was known before February 2024, and all."""
+    h = F.crc32(F.col("click_id").cast("string").cast("binary"))
+    late = F.when(h % 3 == 0, (h % 100).cast("int")).otherwise(0)
+    arrives = F.col("arrived_at") + F.make_dt_interval(F.coalesce(late, F.lit(0)))
+    known = [arrives < F.to_timestamp_ntz(F.lit("2024-02-01 00:00:00")), F.lit(True)]
+    return cohort_matrix(_table(spark, sf_dir, "clicks"), _table(spark, sf_dir, "clients"), known, F.col("kind") == "error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -127,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_warc": op10_warc,
+    "op13_cohort_retention": op13_cohort_retention,
 }
 
 _OP1 = r"""
@@ -251,4 +262,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(
 FROM j GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_near_dedup": _OP1, "op2_quality_rules": _OP2, "op5_chat_format": _OP5, "op6_decontaminate": _OP6, "op8_line_dedup": _OP8, "op10_warc": _OP10}
+_OP13 = """
+WITH table_rows AS (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM (SELECT unnest(range(256)) AS i)),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM table_rows),
+ids AS (SELECT DISTINCT click_id AS id FROM clicks WHERE click_id IS NOT NULL UNION SELECT client_id FROM clicks WHERE client_id IS NOT NULL),
+crc AS (
+  SELECT id, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+                             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM ids, crc_table),
+c AS (
+  SELECT e.client_id, epoch_us(ts) AS us, kind, coalesce(floor(100 * value + 0.5), 0)::BIGINT AS cents,
+    arrived_at + to_days(CASE WHEN h % 3 = 0 THEN (h % 100)::INTEGER ELSE 0 END) < TIMESTAMP '2024-02-01' AS early
+  FROM (SELECT DISTINCT * FROM clicks) e LEFT JOIN crc ON crc.id = e.click_id
+  WHERE ts IS NOT NULL AND e.client_id IS NOT NULL),
+k AS (SELECT 1 AS state, * FROM c UNION ALL SELECT 0, * FROM c WHERE early),
+starts AS (SELECT state, client_id, min(us) AS began FROM k WHERE kind = 'error' GROUP BY ALL),
+weeks AS (SELECT *, floor(floor(began / 86400000000.0) / 7.0)::BIGINT AS cohort FROM starts),
+two AS (SELECT client_id, (count(DISTINCT cohort) > 1)::BIGINT AS moved FROM weeks GROUP BY client_id),
+own AS (SELECT client_id, min(source) AS source FROM clients GROUP BY client_id),
+users AS (
+  SELECT k.state, coalesce(own.source, '') AS segment, cohort, (us - began) // 604800000000 AS period, k.client_id, moved, sum(cents) AS cents
+  FROM k JOIN weeks w ON w.state = k.state AND w.client_id = k.client_id AND us >= began JOIN two ON two.client_id = k.client_id LEFT JOIN own ON own.client_id = k.client_id
+  GROUP BY ALL)
+SELECT state::INTEGER AS state, segment, cohort, period, count(*) AS users, sum(h)::BIGINT AS users_crc32, sum(moved)::BIGINT AS moved, sum(cents)::BIGINT AS cents
+FROM users JOIN crc ON crc.id = users.client_id GROUP BY ALL
+"""
+
+ORACLES: dict[str, str] = {"op1_near_dedup": _OP1, "op2_quality_rules": _OP2, "op5_chat_format": _OP5, "op6_decontaminate": _OP6, "op8_line_dedup": _OP8, "op10_warc": _OP10, "op13_cohort_retention": _OP13}
