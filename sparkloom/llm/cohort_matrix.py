@@ -155,12 +155,13 @@ def cohort_matrix(
         "client", "segment", "moved", "at", "cents",
         F.explode(F.filter(F.array(*map(one, states)), lambda s: s["known"] & (s["start"] <= F.col("at")))).alias("s"),
     )
+    # By the number's text, which crc32 takes: what the join has in one place by client need not stay there, so Spark may split it.
     keys = [
-        F.col("client"), F.col("s.state").alias("state"), F.col("segment"), cohort(F.col("s.start")).alias("cohort"),
+        F.col("client").cast("string").alias("number"), F.col("s.state").alias("state"), F.col("segment"), cohort(F.col("s.start")).alias("cohort"),
         _floor_div(F.col("at") - F.col("s.start"), WEEK).alias("period"), F.col("moved"),
     ]
     periods = counted.groupBy(*keys).agg(F.sum("cents").alias("cents"))
-    crc = F.crc32(F.col("client").cast("string").cast("binary")).alias("users_crc32")
+    crc = F.crc32(F.col("number").cast("binary")).alias("users_crc32")
     partial = periods.select("state", "segment", "cohort", "period", F.lit(1).cast("long").alias("users"), crc, "moved", "cents").mapInArrow(_scatter, PARTIAL)
     whole = tree_merge(partial, int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cell = F.explode(F.arrays_zip("cells", *MEASURES)).alias("c")

@@ -16,11 +16,13 @@ from .chat_format import format_chats, read_loss, read_turns
 from .cohort_matrix import cohort_matrix
 from .decontaminate import decontaminate
 from .hmm import score_texts
+from .language_id import fit_languages, identify_languages
 from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
 from .quality_classifier import draw, fit_quality, score_quality
 from .quality_rules import BOILERPLATE, BOILERPLATE_WORDS, MOST_LOST_PERCENT, SEPARATORS, SHOUTS, STOPS, quality_rules
 from .sentencepiece_codec import decode, encode_batches, load_model
+from .token_alignment import DIGEST, align_tokenizers, digests
 from .token_counts import build_trees, edit_trees
 from .warc import read_warc, write_warc
 
@@ -117,6 +119,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), page("refers_to").alias("refers_to"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
+    return align_tokenizers(_table(spark, sf_dir, "documents"), a, b, ["doc_id"], digests, DIGEST)
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_languages(docs.filter(_remainder(5) != 0))
+    named = identify_languages(docs.select("doc_id", "text"), model, ["doc_id"], with_spans=False)
+    return named.select("doc_id", (_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op13_cohort_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was known before February 2024, and all."""
     h = F.crc32(F.col("click_id").cast("string").cast("binary"))
@@ -137,6 +151,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_warc": op10_warc,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_language_id": op12_language_id,
     "op13_cohort_retention": op13_cohort_retention,
 }
 
