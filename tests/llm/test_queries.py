@@ -241,7 +241,7 @@ def test_alignment_query(spark, texts):
 
 
 def test_alignment_of_odd_texts(spark, monkeypatch):
-    odd = ["", None, " ", "  a", "a  b \n\n  c", "▁x y", "it's  é　b c d e", "<|endoftext|> hi </s> <s> <0x41>", "\0 \x1f a", "ab" * 40_000, "日本 語 \U0001f600 x", "a   b c"]
+    odd = ["", None, " ", "  a", "a  b \n\n  c", "▁x y", "it's  é　b c d e", "<|endoftext|> hi </s> <s> <0x41>", "\0 \x1f a", "ab" * 700, "日本 語 \U0001f600 x", "a   b c"]
     rows = dict(enumerate(odd + ["the same again"] * 5))
     docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows.items()], "doc_id long, text string, block string, n_a int, pairs string").repartition(3)
     a, b = f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -252,7 +252,7 @@ def test_alignment_of_odd_texts(spark, monkeypatch):
         assert tuple(r[c] for c in ALIGNED[:-1]) == want[r["doc_id"]][:-1] and (r["block"], r["pairs"]) == ("x", "y")
         sides = [[(g, i) for i, g in zip(r[f"{s}_ids"], r[f"{s}_groups"], strict=True)] for s in "ab"]
         text = ";".join("|".join(",".join(str(i) for g, i in side if g == k) for side in sides) for k in range(r["n_groups"]))
-        assert (hashlib.sha256(text.encode()).hexdigest() if text else "") == want[r["doc_id"]][-1] or r["n_a"] > 10_000
+        assert (hashlib.sha256(text.encode()).hexdigest() if text else "") == want[r["doc_id"]][-1]
     empty = token_alignment.align_tokenizers(docs.limit(0), a, b)
     assert empty.columns == out[0].__fields__ and empty.count() == 0
 
