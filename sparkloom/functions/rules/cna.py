@@ -2,14 +2,14 @@
 
 # Patterns, replacements, selectors and names that the results depend on.
 
-ARTICLE_AT = (
-    r'div.author',
-    r'div.centralContent div:nth-child(1 of .paragraph) > p',
-    r'div.dictionary > span',
-)
-TITLE_AT = (
-    r'div.centralContent h1 span',
-)
+ARTICLE_AT = """
+    div.author,
+    div.centralContent div:nth-child(1 of .paragraph) > p,
+    div.dictionary > span
+"""
+TITLE_AT = """
+    div.centralContent h1 span
+"""
 REPORTERS = [
     r'^\(中?央社?(?:記者|網站)?\d*?日?([^)0-9]*?)\d*?\s*?年?\d*?\s*?月?\d*\s*?日?\d*?(?:綜合?)?(?:外|專)?(?:電|家)?(?:連線|更新)?(?:特稿|報導)?\)',
     r'\(\s?中?央社?(?:記者|網站)?\d*?日?([^)0-9]*?)\d*?年?\d*?月?\d*\s*?日?\d*?(?:日[^\)]*?)(?:綜合?)?(?:外|專)?(?:電|家)?(?:連線|更新)?(?:特稿|報導)?\)',

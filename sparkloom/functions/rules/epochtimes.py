@@ -2,18 +2,18 @@
 
 # Patterns, replacements, selectors and names that the results depend on.
 
-REMOVED_AT = (
-    r'figure',
-    r'figcaption',
-)
-ARTICLE_AT = (
-    r'div#artbody > :is(p, h2)',
-    r'div#article_wrap > :is(p, h2)',
-    r'div.whitebg > :is(p, h2)',
-)
-TITLE_AT = (
-    r'h1.title',
-)
+REMOVED_AT = """
+    figure,
+    figcaption
+"""
+ARTICLE_AT = """
+    div#artbody > :is(p, h2),
+    div#article_wrap > :is(p, h2),
+    div.whitebg > :is(p, h2)
+"""
+TITLE_AT = """
+    h1.title
+"""
 REPORTERS = [
     r'[\[\(]?\s*(?:[這这]是|英文)?[新大][紀纪]元(?:.{1,2}洲)?(?:[週周]刊\d*?期?,?)?(?:資深)?[記记]?者?站?(?:亞太)?(?:[電电][視视][台臺]?)?([\w、/\s]*?)[的综綜合整理採采訪访編编譯译報报導导道告訊讯]+?[,。]?(?:/\S+?)?\s*[\]\)]',
     r'[\(【]大[紀纪]元?[\w]*[記记]者([\w、,/\s]*?)(?:美國.*?)?(?:採訪|編譯)?(?:報導)?[\)】]',

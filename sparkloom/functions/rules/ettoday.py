@@ -2,49 +2,49 @@
 
 # Patterns, replacements, selectors and names that the results depend on.
 
-REMOVED_AT = (
-    r'b',
-    r'img',
-    r'iframe',
-    r'p:has(:is(img, iframe) + strong, strong + :is(img, iframe)) strong',
-    r'p:has(img, iframe):not(:has(strong)) + p:not( :has(img, iframe) ):not( :has(span[style*="color"]:has(strong)) ):not( :has(strong:has(span[style*="color"])) ):has(strong)',
-    r'p[style*="text-align: center"]',
-    r'p:not([class]):has(strong):has(a ~ a ~ a)',
-    r'div.fb-video',
-    r'div.ad_readmore',
-    r'div.ad_in_news',
-    r"div[class*='et_ad_group']",
-    r"div[class*='ad_txt']",
-    r"div[class^='ad']",
-    r'div.story > table',
-    r'div.story div.comment',
-    r'hr ~ p',
-    r"div[class*='et_social']",
-    r'blockquote',
-    r'p.note',
-    r'p:has(a[href*="ettoday" i]) a',
-    r'p:has(a[href*="dramaqueen"]) a',
-    r'p:has(a[href*="facebook.com/ettoday" i])',
-    r'p:has(a[href*="facebook.com/ettoday" i]) ~ p',
-    r'p:has(a[href*="businessweekly"])',
-    r'p:has(a[href*="businessweekly"]) ~ p',
-    r'p:has(a[href*="google.com/maps"])',
-    r'p:has(a[href*="bit.ly"]) a',
-    r'p:has(a[href*="vip"]) a',
-    r'p:has(a[href*="lihi.cc"]) a',
-    r'p:has(a[href*="mall"]) a',
-    r'p:has(a[href*="kkbox"]) a',
-    r'p:has(a[href*="blog"]) a',
-)
-ARTICLE_AT = (
-    r'div.story > p:not([class])',
-    r'div.story > link > p:not([class])',
-)
-TITLE_AT = (
-    r'h1.title',
-    r'h1.title_article',
-    r'div.subject_article > header > h1',
-)
+REMOVED_AT = """
+    b,
+    img,
+    iframe,
+    p:has(:is(img, iframe) + strong, strong + :is(img, iframe)) strong,
+    p:has(img, iframe):not(:has(strong)) + p:not( :has(img, iframe) ):not( :has(span[style*="color"]:has(strong)) ):not( :has(strong:has(span[style*="color"])) ):has(strong),
+    p[style*="text-align: center"],
+    p:not([class]):has(strong):has(a ~ a ~ a),
+    div.fb-video,
+    div.ad_readmore,
+    div.ad_in_news,
+    div[class*='et_ad_group'],
+    div[class*='ad_txt'],
+    div[class^='ad'],
+    div.story > table,
+    div.story div.comment,
+    hr ~ p,
+    div[class*='et_social'],
+    blockquote,
+    p.note,
+    p:has(a[href*="ettoday" i]) a,
+    p:has(a[href*="dramaqueen"]) a,
+    p:has(a[href*="facebook.com/ettoday" i]),
+    p:has(a[href*="facebook.com/ettoday" i]) ~ p,
+    p:has(a[href*="businessweekly"]),
+    p:has(a[href*="businessweekly"]) ~ p,
+    p:has(a[href*="google.com/maps"]),
+    p:has(a[href*="bit.ly"]) a,
+    p:has(a[href*="vip"]) a,
+    p:has(a[href*="lihi.cc"]) a,
+    p:has(a[href*="mall"]) a,
+    p:has(a[href*="kkbox"]) a,
+    p:has(a[href*="blog"]) a
+"""
+ARTICLE_AT = """
+    div.story > p:not([class]),
+    div.story > link > p:not([class])
+"""
+TITLE_AT = """
+    h1.title,
+    h1.title_article,
+    div.subject_article > header > h1
+"""
 REPORTERS = [
     r'^●\s(.*?)/.*?\s',
     r'^文(?:/?.*?教育學苑)?\.(.*?)\s',

@@ -2,14 +2,14 @@
 
 # Patterns, replacements, selectors and names that the results depend on.
 
-ARTICLE_AT = (
-    r'div[itemprop=articleBody].post_content > p:not(:has(a:has(img)))',
-    r'div.article_content > p',
-)
-TITLE_AT = (
-    r'div.article_title > h1',
-    r'div.main_title',
-)
+ARTICLE_AT = """
+    div[itemprop=articleBody].post_content > p:not(:has(a:has(img))),
+    div.article_content > p
+"""
+TITLE_AT = """
+    div.article_title > h1,
+    div.main_title
+"""
 REPORTERS = [
     r'\(?(?:[這这]是)?新[唐塘]人[記记]?者?(?:亞太)?(?:[電电][視视][台臺]?)?([\w、\s]*?)(?:的|在)?(?:香港|[综綜]合|整理|[採采][訪访])?(?:)[報报][導导道]?。?\)?',
     r'\(?(?:[這这]是|轉自)?新?[唐塘]?人?[記记]?者?(?:亞太|大紀元)?(?:[電电][視视][台臺]?)?([\w、\s]*?)的?(?:[综綜]合|整理|[採采][訪访])?[報报]?[導导道]?(?:/?責任編輯:[^\)]*)。?\)?',

@@ -2,18 +2,18 @@
 
 # Patterns, replacements, selectors and names that the results depend on.
 
-REMOVED_AT = (
-    r'div#CMS_wrapper > blockquote',
-    r'div#CMS_wrapper .related_copy_content',
-    r'div#CMS_wrapper > p[aid] > .typeform-share link',
-)
-ARTICLE_AT = (
-    r'div#CMS_wrapper p[aid]',
-    r'div#CMS_wrapper p[dir]',
-)
-TITLE_AT = (
-    r'h1#article_title',
-)
+REMOVED_AT = """
+    div#CMS_wrapper > blockquote,
+    div#CMS_wrapper .related_copy_content,
+    div#CMS_wrapper > p[aid] > .typeform-share link
+"""
+ARTICLE_AT = """
+    div#CMS_wrapper p[aid],
+    div#CMS_wrapper p[dir]
+"""
+TITLE_AT = """
+    h1#article_title
+"""
 ARTICLE = [
     (r'\*?作者(?:為|:)?[\s\w]*?$', r''),
     (r'\s*(?:責任|採訪|編輯|後製|撰稿)?(?:採訪|編輯|後製|撰稿)[:/]\w*', r''),

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions import html
 from ..functions.arrow import Rule, cascade_text, nfkc_text
 from ..functions.rules import chinatimes, cna, epochtimes, ettoday, ftv, ltn, ntdtv, setn, storm, tvbs, udn
+from ..functions.seek import Pack
 from ..schemas import COMPANIES, PARSED, SHORT_NAMES
 
 RESULT = T.StructType([*[T.StructField(f.name, f.dataType) for f in PARSED.fields], T.StructField("error", T.StringType())])
@@ -84,17 +85,25 @@ def _page_time(page: Page, text: str, form: str) -> int:
     return _local(page, stamp if page.options.corrected else stamp - timedelta(hours=8))
 
 
-def _harvest(page: Page, patterns: list[re.Pattern]) -> None:
+def _harvest(page: Page, pack: Pack) -> None:
     """Every pattern's finds are reporters and leave the article."""
-    for pattern in patterns:
-        page.found += [x if isinstance(x, str) else "".join(x) for x in pattern.findall(page.article)]
-        page.article = nfkc_text(pattern.sub("", page.article))
-
-
-def _cut_first(page: Page, patterns: list[re.Pattern], anchored: bool, strip: bool) -> None:
+    page.article = nfkc_text(page.article)
+    places = pack.places(page.article)
+    for i, sought in enumerate(pack.sought):
+        matches = list(sought.finditer(page.article, places[i]))
+        if matches:
+            page.found += ["".join(x or "" for x in m.groups()) if m.re.groups else m.group() for m in matches]
+            ends = [0, *(m.end() for m in matches)]
+            begins = [*(m.start() for m in matches), len(page.article)]
+            page.article = nfkc_text("".join(page.article[a:b] for a, b in zip(ends, begins, strict=True)))
+            places = pack.places(page.article)
+
+
+def _cut_first(page: Page, pack: Pack, anchored: bool, strip: bool) -> None:
     """The first pattern found names the reporter and leaves the article."""
-    for pattern in patterns:
-        if m := (pattern.match if anchored else pattern.search)(page.article):
+    places = None if anchored else pack.places(page.article)
+    for i, sought in enumerate(pack.sought):
+        if m := sought.pattern.match(page.article) if anchored else sought.search(page.article, places[i]):
             page.reporter = m.group(1)
             page.article = page.article[: m.start()] + page.article[m.end() :]
             if strip:
@@ -102,9 +111,10 @@ def _cut_first(page: Page, patterns: list[re.Pattern], anchored: bool, strip: bo
             return
 
 
-def _until(text: str, patterns: list[re.Pattern]) -> str:
+def _until(text: str, pack: Pack) -> str:
     """The text before what the first pattern found matches."""
-    return next((text[: m.start()] for p in patterns if (m := p.search(text))), text)
+    places = pack.places(text)
+    return next((text[: m.start()] for p, at in zip(pack.sought, places, strict=True) if (m := p.search(text, at))), text)
 
 
 def _softly(page: Page, name: str, read: Callable[[], object], default: object = "") -> None:
@@ -131,10 +141,12 @@ class Extractor:
     repair: Callable[[str], str] = staticmethod(lambda raw: raw)
 
     def __init__(self):
-        for key in ("REPORTERS", "REPORTERS_BEGIN", "REPORTERS_END", "ARTICLE", "TITLE", "ARTICLE_BAD", "TITLE_BAD", "ARTICLE_END", "ARTICLE_STOP", "ARTICLE_REMOVED"):
+        for key in ("REPORTERS_BEGIN", "ARTICLE", "TITLE", "ARTICLE_BAD", "TITLE_BAD", "ARTICLE_STOP", "ARTICLE_REMOVED"):
             setattr(self, key.lower(), _rules(getattr(self.rules, key, [])))
+        for key in ("REPORTERS", "REPORTERS_END", "ARTICLE_END"):
+            setattr(self, key.lower(), Pack(getattr(self.rules, key, [])))
         for key in ("ARTICLE_AT", "TITLE_AT", "REMOVED_AT"):
-            setattr(self, key.lower(), ", ".join(getattr(self.rules, key, ())))
+            setattr(self, key.lower(), getattr(self.rules, key, ""))
 
     def __call__(self, raw: str, url: str, options: Options) -> Page:
         page = Page(html.parse(self.repair(raw)), url, options)
@@ -197,11 +209,12 @@ class Cascade(Extractor):
 
 class Chinatimes(Extractor):
     name, rules = "chinatimes", chinatimes
+    bad = Pack(chinatimes.ARTICLE_BAD)
 
     def article_of(self, page):
         texts = _texts(page, "div.article-body > p")
         whole = " ".join(filter(None, texts)) if texts else _one(page, "div.article-body").text
-        page.article = _until(plain(whole), self.article_bad)
+        page.article = _until(plain(whole), self.bad)
 
     def category_of(self, page):
         return plain(_one(page, "nav.breadcrumb-wrapper > ol > li > a > span", -1).text)
@@ -252,16 +265,37 @@ class Epochtimes(Cascade):
         page.reporter = nfkc_text(re.sub(r"[\s、/]+", ",", ",".join(map(nfkc_text, page.found))))
 
 
+def hoist_images(raw: str) -> str:
+    """Images out of the strong text that they stand in, in one pass: an image goes before all tags of strong text that have
+    nothing but text between each other and it. Where a tag holds another's beginning, images move step by step."""
+    end = raw.rfind(">") + 1
+    tokens = list(re.finditer(r"(<strong[^>]*>)|(<img[^>]*>)|(<)|[^<]+", raw[:end]))
+    if any((m[1] or m[2] or "").count("<") > 1 for m in tokens):
+        step = re.compile(r"(<strong[^>]*>[^<]*)(<img[^>]*>)")
+        while (after := step.sub(r"\2\1", raw)) != raw:
+            raw = after
+        return raw
+    out, chain = [], []
+    for m in tokens:
+        if m[1] or chain and not (m[2] or m[3]):
+            chain.append(m[0])
+            continue
+        if m[3]:
+            out += chain
+            chain = []
+        out.append(m[0])
+    return "".join([*out, *chain, raw[end:]])
+
+
 class Ettoday(Cascade):
     name, rules, empty_as_null = "ettoday", ettoday, True
 
     @staticmethod
     def repair(raw):
-        raw = re.sub(r"(\s*<br\s*/>)+\s*", " ", raw)
-        hoisted = re.compile(r"(<strong[^>]*>[^<]*)(<img[^>]*>)([^<]*)")
-        while (after := hoisted.sub(r"\2\1\3", raw)) != raw:
-            raw = after
-        return raw
+        first, *parts = re.split(r"<br\s*/>", raw)
+        if parts:
+            raw = " ".join([first.rstrip(), *filter(None, map(str.strip, parts[:-1])), parts[-1].lstrip()])
+        return hoist_images(raw)
 
     def category_of(self, page):
         last = nfkc_text(_one(page, "div:is(.menu_bread_crumb, .part_breadcrumb) > div > a > span", -1).text)
@@ -294,8 +328,9 @@ class Ftv(Extractor):
             if m := pattern.match(page.article):
                 page.reporter, page.article = m.group(1).strip(), page.article[m.end() :].strip()
                 break
-        for pattern in () if page.reporter else self.reporters_end:
-            if m := pattern.search(page.article):
+        places = self.reporters_end.places(page.article)
+        for i, sought in enumerate([] if page.reporter else self.reporters_end.sought):
+            if m := sought.search(page.article, places[i]):
                 page.reporter, page.article = m.group(1).strip(), page.article[: m.start()].strip()
                 break
 
@@ -406,7 +441,7 @@ class Tvbs(Extractor):
         for x in body.select("div.img, div[style], span.endtext, b"):
             x.remove()
         parts = []
-        for child in body.children:
+        for child in filter(None, body.children):
             text = child.text if isinstance(child, html.Node) else child
             if any(p.match(text) for p in self.article_stop):
                 break

@@ -22,6 +22,8 @@ WAIT = {"chinatimes": 0.0, "cna": 0.0, "epochtimes": 0.0, "ettoday": 0.0, "ftv":
 WAIT_BANNED = {"chinatimes": 0.0, "cna": 0.0, "epochtimes": 0.0, "ettoday": 0.0, "ftv": 0.0, "ltn": 86400.0, "ntdtv": 0.0, "setn": 86400.0, "storm": 0.0, "tvbs": 120.0, "udn": 86400.0}
 WAIT_429 = {"chinatimes": 120.0, "cna": 0.0, "epochtimes": 120.0, "ettoday": 0.0, "ftv": 0.0, "ltn": 120.0, "ntdtv": 120.0, "setn": 120.0, "storm": 0.0, "tvbs": 120.0, "udn": 120.0}
 PATHS = {"chinatimes": ["newspapers", "realtimenews"]}
+TVBS_LISTS = {"local": "1", "life": "2", "world": "3", "entertainment": "5", "china": "6", "politics": "7", "sports": "8", "tech": "12", "focus": "41", "fun": "50", "travel": "260", "health": "262", "cars": "269", "money": "270"}
+# The lists of a source, by name and number.
 CATEGORIES = {
     "chinatimes": ["260407", "260405", "260410", "260402", "260404", "260409", "260403", "260408", "260421", "260412", "260418", "260423", "260417", "262301", "262101", "262102", "262113", "262103", "262104", "262114", "262106", "262107", "262110", "260113", "262404", "260111", "260819", "260809", "260812", "260102"],
     "epochtimes": ["nsc413", "nsc412", "ncid1349362", "nsc418", "ncid1349361", "nsc419", "nsc420", "nsc2007"],
@@ -29,7 +31,7 @@ CATEGORIES = {
     "ltn": ["politics", "society", "life", "world", "local", "novelty"],
     "ntdtv": ["202", "205", "208", "1255", "211", "203", "204", "647"],
     "setn": ["6", "41", "5", "4", "65", "34", "12", "97", "9", "42", "7", "2", "47"],
-    "tvbs": ["1", "2", "3", "5", "6", "7", "8", "12", "41", "50", "260", "262", "269", "270"],
+    "tvbs": [*TVBS_LISTS.values()],
 }
 LISTING_PAGES = {"ltn": 25, "setn": 20}
 

@@ -32,7 +32,6 @@ LISTINGS = {
     "udn": ("{base}api/more?page={page}&channelId=2&type=cate_latest_news&totalRecNo=100", 1, None),
 }
 TVBS_LIST = "{base}news/LoadMoreOverview?limit=100&offset=0&cateid={number}&cate={category}&newsid={idx}"
-TVBS_NAMES = ["local", "life", "world", "entertainment", "china", "politics", "sports", "tech", "focus", "fun", "travel", "health", "cars", "money"]
 BY_ID = {"ettoday": "{base}{idx}", "storm": "{base}{idx}?mode=whole"}
 
 
@@ -127,7 +126,7 @@ def by_id(run: Run) -> None:
 def by_list(run: Run) -> None:
     """Ranges of ids downwards; for each category the ids that the source lists in the range."""
     for lo, hi in frontier.index_chunks_down(run.first, run.latest, frontier.CHUNK[run.source]):
-        for category, number in zip(TVBS_NAMES, frontier.CATEGORIES[run.source], strict=True):
+        for category, number in frontier.TVBS_LISTS.items():
 
             def ask(idx: int, category=category, number=number) -> list[int]:
                 said = json.loads(run.page(TVBS_LIST.format(base=run.base, number=number, category=category, idx=idx)))
