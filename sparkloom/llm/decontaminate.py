@@ -9,6 +9,7 @@ with the text's. The search runs over many stretches of text in step.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,6 @@ PASS_BYTES = 16 << 20
 STRETCH = 1024
 #: Bytes of windows that are compared at a time.
 COMPARED = 4 << 20
-_STATE = T.StructType([T.StructField("_hits", T.BinaryType()), T.StructField("_items", T.ArrayType(T.LongType()))])
 MADE = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
@@ -162,39 +162,39 @@ def build_patterns(ids: list[int], texts: list[str | None]) -> list[Patterns]:
     return out
 
 
-def _search(shared, columns: list[str], last: bool):
-    names = (MADE if last else _STATE).names
+def _search(shared, columns: list[str], kind: pa.DataType, state: list[str], last: bool):
+    """``state``: the columns that passes before this one have left; their names are no passed column's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns: list[Patterns] = shared()
+        patterns, ids = shared()
         for batch in batches:
             buf, offsets = tb.utf8(batch.column("text"))
-            before = "_hits" in batch.schema.names
+            before = state[0] in batch.schema.names
             for lo, hi, part, own in tb.slices(buf, offsets):
                 words = Words(part, own)
                 first = words.first
                 hit = np.zeros(first[-1] + 1, dtype=bool)
-                items: list[set[int]] = [set() for _ in range(hi - lo)]
+                items: list[set[int] | set[str]] = [set() for _ in range(hi - lo)]
                 if before:
-                    known, ends = tb.utf8(batch.column("_hits").slice(lo, hi - lo))
+                    known, ends = tb.utf8(batch.column(state[0]).slice(lo, hi - lo))
                     hit[: len(known)] = known
-                    items = [set(x or ()) for x in batch.column("_items").slice(lo, hi - lo).to_pylist()]
+                    items = [set(x or ()) for x in batch.column(state[1]).slice(lo, hi - lo).to_pylist()]
                 for p in patterns:
                     stop, pattern = p.find(words)
                     for back in range(p.length):
                         hit[stop - back] = True
                     texts = np.searchsorted(first, stop, side="right") - 1
                     for text, k in {*zip(texts.tolist(), pattern.tolist(), strict=True)}:
-                        items[text].update(p.items[p.items_at[k] : p.items_at[k + 1]].tolist())
+                        items[text].update(ids[i] for i in p.items[p.items_at[k] : p.items_at[k + 1]].tolist())
                 rows = [batch.column(c).slice(lo, hi - lo) for c in columns]
                 if last:
                     total = np.zeros(len(hit) + 1, dtype=np.int64)
                     np.cumsum(hit, out=total[1:])
                     n_words, n_hit = np.diff(first), total[first[1:]] - total[first[:-1]]
-                    made = [pa.array(n_words), pa.array(n_hit), pa.array([sorted(x, key=str) for x in items], pa.list_(pa.int64())), pa.array((n_hit > 0) & (SHARE * n_hit >= n_words))]
+                    made = [pa.array(n_words), pa.array(n_hit), pa.array([sorted(x, key=str) for x in items], pa.list_(kind)), pa.array((n_hit > 0) & (SHARE * n_hit >= n_words))]
                 else:
-                    made = [pa.array([hit[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(rows + made, names=columns + names)
+                    made = [pa.array([hit[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary()), pa.array([sorted(x) for x in items], pa.list_(kind))]
+                yield pa.RecordBatch.from_arrays(rows + made, names=columns + (MADE.names if last else state))
 
     return run
 
@@ -205,24 +205,31 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, columns: list[str] | No
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A window is 13 consecutive words of a
     benchmark item (item_id, text), or all its words where it has fewer; an item without a word has none. A
     document's word inside any occurrence is hit; ``items`` are the items whose windows occur, by their ids
-    as strings; contaminated from one hit word in twenty. Null texts have no word and aren't contaminated;
+    as strings (longs where ``item_id`` is a whole number, else strings); contaminated from one hit word in twenty. Null texts have no word and aren't contaminated;
     benchmark rows without item_id are left out; rows of one item_id count as one item. The benchmark goes to the
     executors PASS_BYTES at a time; a larger one is searched for in several passes over the documents. Rows of ``docs``
-    are taken one by one, repeated ones too; a passed column named like a made one is replaced; without rows there is none.
+    are taken one by one, repeated ones too; a passed column named like a made one is replaced, and
+    no other name clashes; without rows there is none. Texts of any length are searched whole.
     """
     spark = docs.sparkSession
-    kept, schema = passed(docs, columns, MADE)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null")
+    own = benchmark.schema["item_id"].dataType
+    of = T.LongType() if isinstance(own, T.IntegralType) else T.StringType()
+    kind = pa.int64() if isinstance(own, T.IntegralType) else pa.string()
+    listed = T.ArrayType(of)
+    kept, schema = passed(docs, columns, T.StructType([T.StructField(f.name, listed) if f.name == "items" else f for f in MADE.fields]))
+    items = benchmark.select(F.col("item_id").cast(of).alias("item_id"), "text").filter("item_id is not null")
     passes = max(1, math.ceil((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / PASS_BYTES))
     scratch = Scratch(spark, "decontaminate") if passes > 1 else None
     frame = docs.select(*dict.fromkeys([*kept, "text"]))
     through = [c for c in frame.columns]
+    state = [f"{n}_{uuid.uuid4().hex}" for n in ("hits", "items")]
+    left = T.StructType([*(docs.schema[c] for c in through), T.StructField(state[0], T.BinaryType()), T.StructField(state[1], listed)])
     for i in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == i).orderBy("item_id", "text").collect()
-        shared = shipped(spark, build_patterns([r[0] for r in part], [r[1] for r in part]))
-        last = i == passes - 1
-        if last:
-            return frame.mapInArrow(_search(shared, kept, True), schema)
-        state = T.StructType([*(docs.schema[c] for c in through), *_STATE.fields])
-        frame = scratch.save(frame.mapInArrow(_search(shared, through, False), state))
+        ids = sorted({r[0] for r in part})
+        place = {x: j for j, x in enumerate(ids)}
+        shared = shipped(spark, (build_patterns([place[r[0]] for r in part], [r[1] for r in part]), ids))
+        if i == passes - 1:
+            return frame.mapInArrow(_search(shared, kept, kind, state, True), schema)
+        frame = scratch.save(frame.mapInArrow(_search(shared, through, kind, state, False), left))
     raise AssertionError

@@ -9,6 +9,7 @@ don't shuffle them; all are tables in the shared folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -59,11 +60,11 @@ def _lines(least: int):
     return run
 
 
-def _apply(columns: list[str]):
+def _apply(columns: list[str], gone_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_lines, n_dropped, kept = [], [], []
-            for text, gone in zip(batch.column("text"), batch.column("_gone"), strict=True):
+            for text, gone in zip(batch.column("text"), batch.column(gone_name), strict=True):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 total = raw.count(b"\n") + 1
                 if gone.is_valid and len(gone):
@@ -143,7 +144,8 @@ def line_dedup(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, colu
     Lines are split at newlines; a null or empty text is one empty line. Keys (lines stripped of outer white
     space, A-Z lower-cased) of ``least_chars`` code points, held by ``least_docs`` different doc_ids, lose all
     their lines except in the largest doc_id that holds them; the other lines stay, joined by newlines.
-    Rows of one doc_id count as one document. A row without doc_id neither counts nor loses lines.
+    Rows of one doc_id count as one document. A row without doc_id neither counts nor loses lines. An empty table gives
+    none. A passed column named like a made one is replaced, and no other name clashes. Texts of any length are taken whole.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lines")
@@ -162,7 +164,7 @@ def line_dedup(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, colu
     often, rarer = common.filter(hot), common.filter(~hot)
     rest = lines.join(F.broadcast(often.select(*_KEY)), _KEY, "left_anti").join(rarer, _KEY)
     found = lines.join(F.broadcast(often), _KEY).unionByName(rest).filter("doc_id <> top_doc")
-    gone = found.groupBy("doc_id").agg(F.collect_set(F.struct(*_KEY)).alias("_gone"))
-    gone = scratch.save(gone.withColumnRenamed("doc_id", "_doc"), "gone")
-    whole = docs.withColumn("_doc", F.col("doc_id").cast("long")).join(gone, "_doc", "left")
-    return whole.select(*dict.fromkeys([*kept, "text", "_gone"])).mapInArrow(_apply(kept), schema)
+    of, out = (f"{n}_{uuid.uuid4().hex}" for n in ("doc", "gone"))  # no passed column's names
+    gone = scratch.save(found.groupBy(F.col("doc_id").alias(of)).agg(F.collect_set(F.struct(*_KEY)).alias(out)), "gone")
+    whole = docs.withColumn(of, F.col("doc_id").cast("long")).join(gone, of, "left")
+    return whole.select(*dict.fromkeys([*kept, "text", out])).mapInArrow(_apply(kept, out), schema)

@@ -3,12 +3,13 @@
 A text is a bag of passages. Every passage is encoded by one tanh layer over its surface and hashed word
 features; a gated attention, learned from the labels of whole texts, weights the codes; the weighted
 code is scored by a logistic unit. All weights are fitted together by Adam on a bounded sample of
-labelled texts (SAMPLE, drawn by hash); scoring takes every passage of every text.
+labelled texts (SAMPLE, drawn by hash), each with every passage. Where their features are over IN_MEMORY bytes, tasks sum
+moments and slopes over the texts that they hold, and the driver gets sums alone; scoring takes every passage of every text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,10 +20,10 @@ from pyspark.sql import types as T
 
 from . import _bytes as tb
 from ._frames import passed
-from ._shared import shipped
+from ._shared import Scratch, shipped
 
-#: Labelled texts that the model is fitted on, at most, and passages of each, spread evenly over the whole text.
-SAMPLE, SAMPLE_PASSAGES = 2000, 256
+#: Labelled texts that the model is fitted on, at most; bytes of their features that are fitted on the driver; else partitions.
+SAMPLE, IN_MEMORY, PARTS = 2000, 64 << 20, 64
 PASSAGE = 64
 HASHED, CODE, GATE = 64, 24, 16
 STEPS, RATE, DECAY = 200, 0.02, 1e-4
@@ -94,12 +95,16 @@ class Model:
 
     @classmethod
     def start(cls, x: np.ndarray) -> Model:
+        return cls.around(x.mean(axis=0), x.std(axis=0))
+
+    @classmethod
+    def around(cls, mean: np.ndarray, spread: np.ndarray) -> Model:
         rng = np.random.default_rng(7)
         draw = lambda a, b: (rng.standard_normal((a, b)) / np.sqrt(a)).astype(np.float64)
         weights = {"W": draw(N_FEATURES, CODE), "b": np.zeros(CODE), "V": draw(CODE, GATE), "U": draw(CODE, GATE), "w": np.zeros(GATE), "c": np.zeros(CODE), "d": np.zeros(1)}
         weights["w"] += rng.standard_normal(GATE) * 0.1
         weights["c"] += rng.standard_normal(CODE) * 0.1
-        return cls(x.mean(axis=0), x.std(axis=0) + 1e-3, weights)
+        return cls(mean, spread + 1e-3, weights)
 
     def forward(self, x: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         p = self.weights
@@ -124,12 +129,12 @@ class Model:
         dh = (dh + dt @ p["V"].T + ds @ p["U"].T) * (1 - f["h"] ** 2)
         return {"W": f["z"].T @ dh, "b": dh.sum(axis=0), "V": f["h"].T @ dt, "U": f["h"].T @ ds, "w": (f["t"] * f["s"]).T @ de, "c": f["m"].T @ dy, "d": np.array([dy.sum()])}
 
-    def fit(self, x: np.ndarray, first: np.ndarray, label: np.ndarray) -> Model:
+    def fit(self, slopes_of: Callable[[Model], dict[str, np.ndarray]]) -> Model:
+        """Adam; ``slopes_of`` gives the slopes at a model's weights over all texts."""
         one = {k: np.zeros_like(v) for k, v in self.weights.items()}
         two = {k: np.zeros_like(v) for k, v in self.weights.items()}
         for step in range(1, STEPS + 1):
-            slopes = self.slopes(self.forward(x, first), first, label)
-            for k, g in slopes.items():
+            for k, g in slopes_of(self).items():
                 g = g + DECAY * self.weights[k]
                 one[k] = 0.9 * one[k] + 0.1 * g
                 two[k] = 0.999 * two[k] + 0.001 * g * g
@@ -137,16 +142,52 @@ class Model:
         return self
 
 
-def _features(passages: int):
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of all passages of each text, one after another."""
+    for batch in batches:
+        buf, offsets = tb.utf8(batch.column("text"))
+        for lo, hi, part, own in tb.slices(buf, offsets):
+            x, first = encode_passages(part, own)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label").slice(lo, hi - lo), pa.array([x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["label", "x"]
+            )
+
+
+def _bags(features: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    bags = [np.frombuffer(x, np.float32).reshape(-1, N_FEATURES) for x in features]
+    return np.concatenate(bags).astype(np.float64), np.cumsum([0, *map(len, bags)])
+
+
+def _summed(rows: DataFrame, of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sum of ``of`` (features, first passages, labels) over all texts, a text at a time in tasks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
         for batch in batches:
-            buf, offsets = tb.utf8(batch.column("text"))
-            for lo, hi, part, own in tb.slices(buf, offsets):
-                x, first = encode_passages(part, own)
-                spread = [np.unique(np.linspace(a, b - 1, min(b - a, passages)).astype(np.int64)) for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("label").slice(lo, hi - lo), pa.array([x[at].tobytes() for at in spread], pa.binary())], names=["label", "x"])
+            for x, label in zip(batch.column("x").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                own = of(*_bags([x]), np.array([label], float))
+                total = own if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    return run
+    return np.sum([np.frombuffer(r[0]) for r in rows.mapInArrow(run, "sums binary").collect()], axis=0)
+
+
+def _fit_in_tasks(rows: DataFrame, n: int) -> Model:
+    moments = _summed(rows, lambda x, first, label: np.concatenate([[len(x)], x.sum(axis=0)]))
+    mean = moments[1:] / moments[0]
+    spread = np.sqrt(_summed(rows, lambda x, first, label: ((x - mean) ** 2).sum(axis=0)) / moments[0])
+    model = Model.around(mean, spread)
+
+    def slopes_of(now: Model) -> dict[str, np.ndarray]:
+        def own(x: np.ndarray, first: np.ndarray, label: np.ndarray) -> np.ndarray:
+            return np.concatenate([g.ravel() for g in now.slopes(now.forward(x, first), first, label).values()])
+
+        flat = _summed(rows, own) / n  # a text at a time, slopes are those of that text alone
+        ends = np.cumsum([w.size for w in now.weights.values()])
+        return {k: part.reshape(w.shape) for (k, w), part in zip(now.weights.items(), np.split(flat, ends[:-1]), strict=True)}
+
+    return model.fit(slopes_of)
 
 
 def _score(shared, columns: list[str]):
@@ -164,19 +205,27 @@ def _score(shared, columns: list[str]):
     return run
 
 
-def fit_quality(labelled: DataFrame, sample: int = SAMPLE, passages: int = SAMPLE_PASSAGES) -> Model | None:
-    """A model from at most ``sample`` rows of ``labelled`` (text, label 0 or 1), or None without any row.
+def fit_quality(labelled: DataFrame, sample: int = SAMPLE, in_memory: int = IN_MEMORY) -> Model | None:
+    """A model from ``sample`` rows of ``labelled`` (text, label 0 or 1), or None without any row.
 
-    The caller draws the rows; see ``draw``. Rows with a null label are left out. The driver gets the features of at
-    most ``passages`` passages of a text, 312 bytes each.
+    Of more rows those with the least hash of text and label count, and all that equal the last of them; ``draw`` draws by doc_id.
+    Rows with a null label are left out. All passages of a text count, 312 bytes each; those of all texts go to the
+    driver if they are ``in_memory`` bytes at most, and stay in tasks otherwise, which changes sums in their last digits.
     """
-    rows = labelled.filter("label is not null").select("text", F.col("label").cast("int").alias("label")).mapInArrow(_features(passages), "label int, x binary").limit(sample).collect()
-    if not rows:
+    rows = labelled.filter("label is not null").select("text", F.col("label").cast("int").alias("label"))
+    drawn = F.xxhash64("text", "label")
+    last = rows.select(drawn.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = rows.filter(drawn <= F.lit(last)).mapInArrow(_features, "label int, x binary")
+    rows = Scratch(labelled.sparkSession, "quality").save(rows, "features")
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("x"))).first()
+    if not n:
         return None
-    rows = sorted(rows, key=lambda r: (bytes(r["x"]), r["label"]))
-    bags = [np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES) for r in rows]
-    x, first = np.concatenate(bags).astype(np.float64), np.cumsum([0, *map(len, bags)])
-    return Model.start(x).fit(x, first, np.array([r["label"] for r in rows], float))
+    if size > in_memory:
+        return _fit_in_tasks(rows.repartition(PARTS), n)
+    own = sorted(rows.collect(), key=lambda r: (bytes(r["x"]), r["label"]))
+    x, first = _bags([r["x"] for r in own])
+    label = np.array([r["label"] for r in own], float)
+    return Model.start(x).fit(lambda now: now.slopes(now.forward(x, first), first, label))
 
 
 def draw(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -193,7 +242,7 @@ def score_quality(docs: DataFrame, model: Model | None, columns: list[str] | Non
     """``score`` from 0 to 1 for every row of ``docs`` (text, and what else is passed through).
 
     Null and empty texts are one passage of zeros. Without a model every score is 0.5. A passed column named score
-    is replaced.
+    is replaced. Rows are taken one by one, with null or repeated ids as well; an empty table gives none.
     """
     kept, schema = passed(docs, columns, MADE)
     return docs.select(*dict.fromkeys([*kept, "text"])).mapInArrow(_score(shipped(docs.sparkSession, model), kept), schema)

@@ -29,7 +29,7 @@ from ._shared import Scratch, shipped
 from .token_counts import PATTERN
 
 #: Bytes of text of a block; parts that a pair's counts are first summed in; pieces encoded at once.
-BLOCK, SALTS, AT_ONCE = 1 << 22, 16, 50_000
+BLOCK, SALTS, AT_ONCE = 1 << 22, 16, 20_000
 MARK = "▁"
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 _IDS = T.ArrayType(T.IntegerType(), False)
@@ -174,10 +174,9 @@ def align(tools: Tokenizers, buf: np.ndarray, offsets: np.ndarray) -> Alignment:
     rank = np.empty_like(order)
     rank[order] = np.arange(len(order))
     which, distinct = rank[which], coded.dictionary.take(pa.array(order))
-    made = [tools.encode(distinct[i : i + AT_ONCE].to_pylist()) for i in range(0, len(distinct), AT_ONCE)]
-    sides = [[_flat(m[side]) for m in made] for side in (0, 1)]
+    made = [[_flat(side) for side in tools.encode(distinct[i : i + AT_ONCE].to_pylist())] for i in range(0, len(distinct), AT_ONCE)]
     empty = np.empty(0, np.int64)
-    (a_ids, a_sizes), (b_ids, b_sizes) = ([np.concatenate([x[j] for x in s] or [empty]) for j in (0, 1)] for s in sides)
+    (a_ids, a_sizes), (b_ids, b_sizes) = ([np.concatenate([m[side][j] for m in made] or [empty]) for j in (0, 1)] for side in (0, 1))
     text, text_at = tb.utf8(distinct)
     fit = _same(tools.a_bytes, a_ids, a_sizes, text, text_at) & _same(tools.b_bytes, b_ids, b_sizes, text, text_at)
     a_ids, b_ids = a_ids[np.repeat(fit, a_sizes)], b_ids[np.repeat(fit, b_sizes)]

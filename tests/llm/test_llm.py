@@ -442,11 +442,42 @@ def test_classifier_slopes_and_held_out(spark):
     again = docs.union(docs.withColumn("text", F.lit("zzz")))
     drawn = qc.draw(again, docs.select("doc_id", "label").union(docs.select("doc_id", "label")), sample=50).collect()
     assert len(drawn) == 50 and "zzz" not in {r["text"] for r in drawn}
-    far = spark.createDataFrame([(" ".join(map(str, range(64 * 1000))), 1), ("x", 0)], "text string, label int").mapInArrow(qc._features(10), "label int, x binary")
-    assert sorted(len(r["x"]) // (4 * qc.N_FEATURES) for r in far.collect()) == [1, 10]
+    far = spark.createDataFrame([(" ".join(map(str, range(64 * 1000))), 1), ("x", 0)], "text string, label int").mapInArrow(qc._features, "label int, x binary")
+    assert sorted(len(r["x"]) // (4 * qc.N_FEATURES) for r in far.collect()) == [1, 1000]
     assert qc.score_quality(_docs(spark, ODD), fitted).filter("score between 0 and 1").count() == len(ODD) + 2
 
 
+def test_classifier_in_tasks_is_that_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(qc, "STEPS", 4)
+    monkeypatch.setattr(qc, "PARTS", 3)
+    rows = spark.createDataFrame([(f"word {i} " * (i + 1), i % 2) for i in range(30)] + [(" ".join(map(str, range(9000))), 1), (None, 0), ("", 1), ("x", None)], "text string, label int")
+    here, there = qc.fit_quality(rows), qc.fit_quality(rows, in_memory=0)
+    assert np.allclose(here.mean, there.mean) and np.allclose(here.spread, there.spread)
+    assert all(np.allclose(here.weights[k], there.weights[k], atol=1e-7) for k in here.weights)
+    few = qc.fit_quality(rows.union(rows), sample=7)
+    assert all(np.array_equal(few.weights[k], v) for k, v in qc.fit_quality(rows.union(rows).repartition(5), sample=7).weights.items())
+
+
+def test_clashing_columns_and_ids_of_any_kind(spark):
+    said = " ".join(f"word{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, said, "a", 5, b"x", [7]), (2, "else", "b", 6, None, None)], "doc_id long, text string, _gone string, _doc long, _hits binary, _items array<long>")
+    tests = spark.createDataFrame([("b-2", said), ("a-1", said), (None, said), ("c", None)], "item_id string, text string")
+    got = {r["doc_id"]: r for r in dc.decontaminate(docs, tests).collect()}
+    assert got[1]["items"] == ["a-1", "b-2"] and got[1]["contaminated"] and got[2]["items"] == []
+    assert (got[1]["_hits"], got[1]["_items"], got[1]["_gone"]) == (bytearray(b"x"), [7], "a")
+    kept = {r["doc_id"]: r for r in line_dedup(docs).collect()}
+    assert (kept[1]["_gone"], kept[1]["_doc"], kept[1]["kept_text"]) == ("a", 5, said) and line_dedup(docs.limit(0)).count() == 0
+
+
+def test_string_ids_over_several_passes(spark, monkeypatch):
+    said = [" ".join(f"w{i}x{j}" for j in range(15)) for i in range(6)]
+    docs = spark.createDataFrame([(i, f"{said[i]} {said[(i + 1) % 6]}", "kept") for i in range(6)], "doc_id long, text string, _hits string")
+    tests = spark.createDataFrame([(f"item{i}", t) for i, t in enumerate(said)], "item_id string, text string")
+    once = {r["doc_id"]: tuple(r) for r in dc.decontaminate(docs, tests).collect()}
+    monkeypatch.setattr(dc, "PASS_BYTES", 200)
+    assert {r["doc_id"]: tuple(r) for r in dc.decontaminate(docs, tests).collect()} == once and all("kept" in r for r in once.values())
+
+
 def _archive(plain=False):
     raws = [warc.page_record(str(i), f"http://x/{i}", b"payload %d " % i * 50, warc.digest(b"payload %d " % i * 50), None) for i in range(6)]
     return [r if plain else warc.member(r) for r in raws]
