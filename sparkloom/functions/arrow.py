@@ -6,6 +6,7 @@ All are marked as not deterministic: else a filter on a result is pushed below a
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 from collections.abc import Callable
@@ -13,10 +14,13 @@ from re import _compiler, _parser
 from re import _constants as sre
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import columns
+from .delimiters import Strip
+from .seek import Sought
 
 # What the english and number replacers look for.
 ENGLISH = re.compile(r"[a-zA-z][a-zA-z\s\d]+")
@@ -37,35 +41,9 @@ def _python(pattern: str) -> re.Pattern:
 URL, EMOJI, NOT_KEPT = map(_python, (columns.URL, columns.EMOJI, columns.NOT_KEPT))
 
 
-@functools.cache
-def _either(left: str, right: str) -> re.Pattern:
-    return re.compile(f"[{re.escape(left + right)}]")
-
-
 def delimited_text(text: str, left: str, right: str, by: str = "", keep: bool = False, unclosed: str = "reference") -> str:
-    """Outermost balanced stretches from ``left`` to ``right`` replaced by ``by``, with their delimiters unless kept.
-
-    A closing delimiter without an opening one stays. For an opening one that never closes, ``unclosed`` is
-    ``keep`` (it stays) or ``reference``: what stands between the last stretch and it comes out twice.
-    """
-    if left not in text:
-        return text
-    out, done, depth, opened = [], 0, 0, 0
-    for m in _either(left, right).finditer(text):
-        i = m.start()
-        if m.group() == left:
-            if not depth:
-                opened = i
-            depth += 1
-        elif depth:
-            depth -= 1
-            if not depth:
-                out += [text[done:opened], left + by + right if keep else by]
-                done = i + 1
-    if depth and unclosed == "reference":
-        out.append(text[done : opened + keep])
-    out.append(text[done:])
-    return "".join(out)
+    """One text as ``delimiters.Strip`` has it."""
+    return Strip(left, right, by, keep, unclosed)(pa.array([text], pa.string()))[0].as_py()
 
 
 def english_text(text: str) -> str:
@@ -146,8 +124,8 @@ class Rule:
     those that the text can match are tried; a run of a class at the end is looked for from the end. None changes a result.
     """
 
-    #: Branches from which on a pattern is cut down to a text.
-    MANY = 6
+    #: Branches from which on a pattern is cut down to a text; texts that a pattern is tried on everywhere.
+    MANY, SHORT = 6, 10_000
 
     def __init__(self, pattern: str, by: str):
         self.pattern, self.by = re.compile(pattern), by
@@ -163,6 +141,7 @@ class Rule:
             if inner is not None and len(inner) == 1 and inner[0][0] is sre.BRANCH and len(inner[0][1][1]) >= self.MANY:
                 self.branches = (i, inner[0][1][1], [_needs(b, folded) for b in inner[0][1][1]])
                 break
+        self.sought = Sought(self.pattern)
         self.tail = None
         if by == "" and pattern.endswith("+$") and len(self.parsed) == 2 and self.parsed[1] == (sre.AT, sre.AT_END) and self.parsed[0][0] is sre.MAX_REPEAT:
             least, most, body = self.parsed[0][1]
@@ -182,33 +161,84 @@ class Rule:
             self.cut_down[alive] = _compiler.compile(_parser.SubPattern(state, items), self.pattern.flags)
         return self.cut_down[alive]
 
-    def __call__(self, text: str, held: set[str]) -> str:
+    def matches(self, text: str, held: set[str]) -> list[re.Match]:
+        """What ``re`` finds; ``held`` has all characters of the text."""
         if not _met(text, held, self.needs):
-            return text
+            return []
         if self.tail and not text.endswith("\n"):
             end = len(text)
             while end and self.tail.fullmatch(text, end - 1, end):
                 end -= 1
-            return text[:end]
-        pattern = self.pattern
+            return [m] if end < len(text) and (m := self.pattern.match(text, end)) else []
         if self.branches:
             alive = tuple(i for i, needs in enumerate(self.branches[2]) if _met(text, held, needs))
             if not alive:
-                return text
+                return []
             if len(alive) < len(self.branches[1]):
-                pattern = self._with(alive)
-        return pattern.sub(self.by, text)
+                return list(self._with(alive).finditer(text))
+        return list((self.sought if len(text) > self.SHORT else self.pattern).finditer(text))
+
+    def replaced(self, match: re.Match) -> str:
+        return match.expand(self.by) if "\\" in self.by else self.by
+
+    def __call__(self, text: str, held: set[str]) -> str:
+        out, at = [], 0
+        for m in self.matches(text, held):
+            out += [text[at : m.start()], self.replaced(m)]
+            at = m.end()
+        return "".join([*out, text[at:]])
+
+
+@functools.cache
+def _joining() -> frozenset[str]:
+    """Characters that can compose or change places with what stands before them."""
+    out = {chr(c) for c in [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]}
+    for c in map(chr, range(0x300, 0x110000)):
+        if unicodedata.combining(c):
+            out.add(c)
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and parts[0][0] != "<":
+            out.add(chr(int(parts[1], 16)))
+    return frozenset(out)
+
+
+def spliced(text: str, edits: list[tuple[int, int, str]]) -> str:
+    """``nfkc_text`` of a text with stretches replaced, which is in that form itself: only places where parts meet can
+    need a change, unless one begins with a character that joins the one before it."""
+    out, at, last = [], 0, " "
+    for start, stop, by in [*edits, (len(text), len(text), "")]:
+        for part in (text[at:start], by):
+            if not part:
+                continue
+            if part[0] >= "\u0300" and part[0] in _joining() or part is by and (not by.isascii() and not unicodedata.is_normalized("NFKC", by) or "  " in by or " ".join(by.split()) != by.strip(" ")):
+                return nfkc_text("".join([*(x for a, b, y in _parts(text, edits) for x in (text[a:b], y))]))
+            if part[0] == " " and last == " ":
+                part = part.lstrip(" ")
+            if part:
+                out.append(part)
+                last = part[-1]
+        at = stop
+    return "".join(out).rstrip(" ")
+
+
+def _parts(text: str, edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    ends = [0, *(stop for _, stop, _ in edits)]
+    return [(a, start, by) for a, (start, _, by) in zip(ends, [*edits, (len(text), len(text), "")], strict=True)]
 
 
 def cascade_text(text: str, rules: list[Rule]) -> str:
-    """Every rule in order, each followed by NFKC and collapsing (which change nothing the second time)."""
+    """Every rule in order, each followed by NFKC and collapsing. Once that has been done, it is needed only where a rule has
+    changed something, and ``held`` need not forget characters, which only rules out rules."""
     held, normal = set(text), False
     for rule in rules:
-        after = rule(text, held)
-        if normal and after == text:
-            continue
-        text, normal = nfkc_text(after), True
-        held = set(text)
+        if not normal:
+            text, normal = nfkc_text(rule(text, held)), True
+            held = set(text)
+        elif matches := rule.matches(text, held):
+            edits = [(m.start(), m.end(), rule.replaced(m)) for m in matches]
+            text = spliced(text, edits)
+            if any(by for _, _, by in edits) or len(text) < 64:
+                held = set(text)
     return text
 
 
@@ -220,9 +250,20 @@ def _mapped(function):
     return run.asNondeterministic()
 
 
-def chained(text: Column, steps: list[Callable[[str], str]]) -> Column:
-    """Steps on texts in order, as one function."""
-    return _mapped(lambda t: functools.reduce(lambda x, step: step(x), steps, t))(text)
+def chained(text: Column, steps: list[Callable[[str], str] | Strip]) -> Column:
+    """Steps on texts in order, as one function; a ``Strip`` takes a whole batch at once."""
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        for whole, group in itertools.groupby(steps, lambda step: isinstance(step, Strip)):
+            if whole:
+                texts = functools.reduce(lambda x, step: step(x), group, texts)
+            else:
+                own = list(group)
+                texts = pa.array([None if t is None else functools.reduce(lambda x, step: step(x), own, t) for t in texts.to_pylist()], pa.string())
+        return texts
+
+    return run.asNondeterministic()(text)
 
 
 def nfkc(text: Column) -> Column:
@@ -235,7 +276,7 @@ def nfkc_if_any(text: Column) -> Column:
 
 
 def strip_delimited(text: Column, left: str, right: str, by: str = "", keep: bool = False, unclosed: str = "reference") -> Column:
-    return _mapped(lambda t: delimited_text(t, left, right, by, keep, unclosed))(text)
+    return chained(text, [Strip(left, right, by, keep, unclosed)])
 
 
 def mask_english(text: Column) -> Column:

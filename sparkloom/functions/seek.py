@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import product
+from itertools import chain, product
 from re import _compiler, _parser
 from re import _constants as sre
 
@@ -74,6 +74,14 @@ def _outside(state, items, flags: int) -> re.Pattern | None:
     return _compiler.compile(_parser.SubPattern(state, [*test, _ANYTHING]), flags)
 
 
+def _found(text: str, part: str) -> list[int]:
+    out, at = [], text.find(part)
+    while at >= 0:
+        out.append(at)
+        at = text.find(part, at + 1)
+    return out
+
+
 class Sought:
     """A pattern by the strings that each of its matches holds."""
 
@@ -139,7 +147,7 @@ class Sought:
             yield from self.pattern.finditer(text)
             return
         if places is None:
-            places = [m.start() for m in re.finditer("(?=" + "|".join(map(re.escape, self.strings)) + ")", text)]
+            places = sorted(chain.from_iterable(_found(text, x) for x in self.strings))
         if not places:
             return
         last = [self._last(p, text, places[0]) for p in self.behind]

@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrow, columns
+from ..functions.delimiters import Strip
 from ..operators.entities import Recogniser, Tag, recognise, replace_entities
 from ..operators.extract import Options, extract, quarantine, readable
 from ..operators.relops import dedup_first, merge_parsed, merge_raw, reject_nulls, split_chunks
 
 Stage = Callable[[DataFrame], DataFrame]
-TextStep = Callable[[str], str]
+TextStep = Callable[[str], str] | Strip
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,7 @@ def _texts(df: DataFrame, chain: list[TextStep], first: bool) -> DataFrame:
 
 def stages(p: Preprocess) -> list[tuple[str, TextStep | None, Stage | None]]:
     """The stages asked for, in their fixed order, each on texts or on the table; NFKC is always the first."""
-    strip = lambda a, b: lambda t: arrow.delimited_text(t, a, b, unclosed=p.unclosed)
+    strip = lambda a, b: Strip(a, b, unclosed=p.unclosed)
     gone = lambda pattern: lambda t: pattern.sub("", t)
     entities = bool(p.tags or p.dates)
     if entities and p.recogniser is None:
@@ -69,7 +70,7 @@ def stages(p: Preprocess) -> list[tuple[str, TextStep | None, Stage | None]]:
         ("length", p.least != 0 or p.most != -1, None, lambda df: df.filter(columns.length_between(F.col("article"), p.least, p.most))),
         ("entities", entities, None, lambda df: replace_entities(recognise(df, p.recogniser, p.batch_size), p.tags, p.dates)),
         ("english", p.english, arrow.english_text, None),
-        ("guillemet", p.guillemets, lambda t: arrow.delimited_text(t, "《", "》", "<unk>", True, p.unclosed), None),
+        ("guillemet", p.guillemets, Strip("《", "》", "<unk>", True, p.unclosed), None),
         ("number", p.numbers, lambda t: arrow.number_text(t, tags), None),
     ]
     return [(name, change, stage) for name, wanted, change, stage in listed if wanted]

@@ -62,6 +62,31 @@ def _flat(a: str, b: str) -> str:
 
 
 
+_DELIMITED = {"paren_filter": "()", "bracket_filter": "[]", "curly_filter": "{}", "lenticular_filter": "【】"}
+
+
+def _delimiting(article: Column, marks: str) -> Column:
+    """Texts whose letters n and s are delimiters, so that they are nested, unclosed and stray."""
+    return F.translate(article, "ns", marks)
+
+
+def _delimited_sql(a: str, b: str, by: str = "", left: str = "") -> str:
+    """A running depth over characters. What an opening that never closes leaves stands twice from the last stretch to it."""
+    return f"""
+WITH d AS (SELECT doc_id, translate({_ARTICLE}, 'ns', '{a}{b}') AS t FROM documents),
+c AS (SELECT doc_id, unnest(string_split(t, '')) AS c, generate_subscripts(string_split(t, ''), 1) AS i FROM d),
+s AS (SELECT *, sum(CASE c WHEN '{a}' THEN 1 WHEN '{b}' THEN -1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM c),
+h AS (SELECT doc_id, c, i, s - least(0, min(s) OVER (PARTITION BY doc_id ORDER BY i)) AS depth FROM s),
+p AS (SELECT *, coalesce(lag(depth) OVER (PARTITION BY doc_id ORDER BY i), 0) AS before FROM h),
+m AS (SELECT doc_id, max(i) FILTER (depth = 0 AND before = 1) AS done, max(i) FILTER (depth = 1 AND before = 0) AS opened, arg_max(depth, i) > 0 AS lost FROM p GROUP BY doc_id),
+w AS (
+  SELECT doc_id, string_agg(CASE WHEN depth = 0 AND before = 1 THEN '{by}' WHEN depth = 0 THEN c ELSE '' END, '' ORDER BY i) AS t
+  FROM p JOIN m USING (doc_id) WHERE NOT lost OR i < opened GROUP BY doc_id)
+SELECT d.doc_id AS id, CASE WHEN lost THEN coalesce(w.t, '') || '{left}' || substr(d.t, coalesce(done, 0)::BIGINT + 1) ELSE coalesce(w.t, '') END AS article
+FROM d LEFT JOIN m USING (doc_id) LEFT JOIN w USING (doc_id)
+"""
+
+
 def _nfkc(text: str) -> str:
     """DuckDB has NFC alone; on these texts only the ending's circled digit changes."""
     return "trim(" + _gone(f"replace({text}, '①', '1')", _WS + "+", " ") + ")"
@@ -339,16 +364,13 @@ QUERIES: dict[str, Query] = {
     "collapse_ws": _text(columns.collapse_ws),
     "nfkc": _text(arrow.nfkc),
     "url_filter": _text(columns.strip_urls),
-    "paren_filter": _text(lambda c: arrow.strip_delimited(c, "(", ")", unclosed="keep")),
-    "bracket_filter": _text(lambda c: arrow.strip_delimited(c, "[", "]", unclosed="keep")),
-    "curly_filter": _text(lambda c: arrow.strip_delimited(c, "{", "}", unclosed="keep")),
-    "lenticular_filter": _text(lambda c: arrow.strip_delimited(c, "【", "】")),
+    **{name: _text(lambda c, d=own: arrow.strip_delimited(_delimiting(c, d), *d)) for name, own in _DELIMITED.items()},
     "emoji_filter": _text(columns.strip_emoji),
     "non_cjk_filter": _text(columns.strip_non_cjk),
     "length_filter": lambda s, d: _documents(s, d).filter(columns.length_between(F.col("article"), 300, 2000)).select("id"),
     "english_replacer": _text(arrow.mask_english),
     "number_replacer": _text(lambda c: arrow.mask_numbers(c)),
-    "guillemet_replacer": _text(arrow.mask_guillemets),
+    "guillemet_replacer": _text(lambda c: arrow.mask_guillemets(_delimiting(c, "《》"))),
     "end_sentence": _text(lambda c: columns.end_sentence(F.trim(c))),
     "dedup_first": dedup_first,
     "dedup_target": dedup_target,
@@ -412,16 +434,16 @@ ORACLES: dict[str, str] = {
     "collapse_ws": _article_sql("trim(" + _gone(_ARTICLE, _WS + "+", " ") + ")"),
     "nfkc": _article_sql(_nfkc(_ARTICLE)),
     "url_filter": _article_sql(_gone(_ARTICLE, _URL)),
-    "paren_filter": _article_sql(_gone(_ARTICLE, _flat("(", ")"))),
-    "bracket_filter": _article_sql(_gone(_ARTICLE, _flat("[", "]"))),
-    "curly_filter": _article_sql(_gone(_ARTICLE, _flat("{", "}"))),
-    "lenticular_filter": _article_sql(_gone(_ARTICLE, _flat("【", "】"))),
+    "paren_filter": _delimited_sql("(", ")"),
+    "bracket_filter": _delimited_sql("[", "]"),
+    "curly_filter": _delimited_sql("{", "}"),
+    "lenticular_filter": _delimited_sql("【", "】"),
     "emoji_filter": _article_sql(_gone(_ARTICLE, _EMOJI)),
     "non_cjk_filter": _article_sql(_gone(_ARTICLE, _NOT_KEPT)),
     "length_filter": f"SELECT id FROM {_PARSED} WHERE length(article) BETWEEN 300 AND 2000",
     "english_replacer": _article_sql(_gone(_ARTICLE, r"[a-zA-z][a-zA-z\s\d\p{Z}\p{Nd}]+", "<en>")),
     "number_replacer": _article_sql(_gone(_ARTICLE, r"\p{Nd}+", "<num>")),
-    "guillemet_replacer": _article_sql(_gone(_ARTICLE, "《[^《》]*》", "《<unk>》")),
+    "guillemet_replacer": _delimited_sql("《", "》", "《<unk>》", "《"),
     "end_sentence": f"SELECT id, CASE WHEN a <> '' AND NOT regexp_matches(a, '[。!?]$') THEN a || '。' ELSE a END AS article FROM (SELECT doc_id AS id, trim({_ARTICLE}) AS a FROM documents)",
     "dedup_first": "SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS r FROM documents) WHERE r = 1",
     "dedup_target": f"""WITH r AS (SELECT * FROM {_KEYED})

@@ -1,10 +1,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.functions import arrow, columns, html
+from sparkloom.functions.delimiters import Strip
 from sparkloom.functions.rules import cna, epochtimes, ettoday, ntdtv, storm
 from sparkloom.operators import entities
 from sparkloom.schemas import COMPANIES
@@ -133,3 +135,49 @@ def test_patterns_agree_in_both_notations(spark, pattern):
     texts = ["".join(draw.choice(pool) for _ in range(30)) for _ in range(300)]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.regexp_replace("t", getattr(columns, pattern), "").alias("u")).collect()
     assert all(getattr(arrow, pattern).sub("", r["t"]) == r["u"] for r in rows)
+
+
+def _scanned(text, left, right, by, keep, unclosed):
+    """Delimited stretches by a walk over the characters."""
+    out, done, depth, opened = "", 0, 0, 0
+    for i, c in enumerate(text):
+        if c == left:
+            opened = opened if depth else i
+            depth += 1
+        elif c == right and depth:
+            depth -= 1
+            if not depth:
+                out += text[done:opened] + (left + by + right if keep else by)
+                done = i + 1
+    return out + (text[done : opened + keep] if depth and unclosed == "reference" else "") + text[done:]
+
+
+def test_delimiters_of_batches():
+    rng = random.Random(6)
+    for _ in range(1500):
+        left, right, by, keep = rng.choice([("(", ")", "", False), ("《", "》", "<unk>", True), ("【", "】", "", False)])
+        unclosed = rng.choice(["reference", "keep"])
+        texts = [None if rng.random() < 0.1 else "".join(rng.choice([left, right, "a", "é", "書", " "]) for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(0, 9))]
+        got = Strip(left, right, by, keep, unclosed)(pa.array(["x" + left, *texts], pa.string()).slice(1))
+        assert got.to_pylist() == [None if t is None else _scanned(t, left, right, by, keep, unclosed) for t in texts]
+    long = "(" * 200_000 + "x" + ")" * 200_000 + "y"
+    assert Strip("(", ")")(pa.array([long, long[:-200_000]])).to_pylist() == ["y", _scanned(long[:-200_000], "(", ")", "", False, "reference")]
+
+
+def test_delimiters_with_either_treatment_of_unclosed(spark):
+    rows = spark.createDataFrame([("a(b)c(d",), (None,), ("",), ("((x)",)], "t string")
+    for unclosed in ("reference", "keep"):
+        got = [r[0] for r in rows.select(arrow.strip_delimited(F.col("t"), "(", ")", unclosed=unclosed)).collect()]
+        assert got == [None if t is None else _scanned(t, "(", ")", "", False, unclosed) for t in ("a(b)c(d", None, "", "((x)")]
+
+
+def test_spliced_texts_are_normal():
+    rng, letters = random.Random(5), "ab é́각가ｶﾞ̧ͅ 　①"
+    for _ in range(4000):
+        text = arrow.nfkc_text("".join(rng.choice(letters) for _ in range(rng.randint(0, 9))))
+        cuts = sorted(rng.randint(0, len(text)) for _ in range(2 * rng.randint(0, 2)))
+        edits = [(a, b, rng.choice(["", " ", "x", "́", "é ", "  ", "①", "\n"])) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        want, at = "", 0
+        for start, stop, by in edits:
+            want, at = want + text[at:start] + by, stop
+        assert arrow.spliced(text, edits) == arrow.nfkc_text(want + text[at:])
