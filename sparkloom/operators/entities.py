@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import TOKEN
@@ -62,7 +62,7 @@ def recognise(df: DataFrame, recogniser: Recogniser, batch_size: int = 8) -> Dat
 
 
 def replace_spans(title: str, article: str, title_tokens: list, article_tokens: list, config: dict[str, Tag]) -> tuple[str, str]:
-    """Both texts with tags for tokens. Ids count from 0 for each tag, title first, the same word has the same id."""
+    """One record's texts with tags for tokens, as ``replace_entities`` gives them. Ids count from 0 for each tag, title first, the same word has the same id."""
     ids: dict[tuple[str, str], int] = {}
     next_id: dict[str, int] = {}
     out = []
@@ -91,20 +91,74 @@ def date_mask(word: str) -> str | None:
     return "<num>月<num>日" if re.match(".*?月.*?日", word) else None
 
 
+def _date_mask(word: Column) -> Column:
+    """``date_mask`` of a column."""
+    return F.when(word.rlike("(?d)^.*?年.*?月.*?日"), "<num>年<num>月<num>日").when(word.rlike("(?d)^.*?月.*?日"), "<num>月<num>日")
+
+
+def _tagged(tokens: Column, config: dict[str, Tag]) -> Column:
+    """Tokens with a tag, by their start; of equal starts in their order."""
+    by_name = F.create_map(*[F.lit(v) for name, own in config.items() for v in (name, own.tag)])
+    made = F.transform(
+        F.coalesce(tokens, F.array().cast(TOKEN)),
+        lambda t, i: F.struct(t["start"].alias("start"), i.alias("nth"), t["end"].alias("end"), F.coalesce(t["word"], F.lit("\0")).alias("word"), F.element_at(by_name, t["ner"]).alias("tag")),
+    )
+    return F.array_sort(F.filter(made, lambda t: t["tag"].isNotNull() & t["start"].isNotNull() & t["end"].isNotNull()))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _shown(chars: Column, tokens: Column, ids: Column, numbers: dict[str, str]) -> Column:
+    """A text with tags for tokens: what stands between each and the one before it, and its tag. ``chars`` are the text's
+    characters: a slice of them takes as long as it is, whereas a substring looks for its place from the text's beginning."""
+    ends = F.transform(tokens, lambda t: t["end"])
+    each = F.arrays_zip(tokens.alias("t"), F.concat(F.array(F.lit(0)), ends).alias("done"))
+
+    def piece(x: Column) -> Column:
+        t, number = x["t"], F.lit("")
+        for tag, place in numbers.items():
+            number = F.when(t["tag"] == tag, (F.array_position(ids[place], t["word"]) - 1).cast("string")).otherwise(number)
+        between = F.array_join(F.slice(chars, x["done"] + 1, F.greatest(F.coalesce(t["start"] - x["done"], F.size(chars)), F.lit(0))), "")
+        return F.when(t.isNull(), between).otherwise(F.concat(between, F.lit("<"), t["tag"], number, F.lit(">")))
+
+    return F.array_join(F.transform(each, piece), "")
+
+
+def _showing(tokens: Column, ids: Column, numbers: dict[str, str]) -> Callable[[Column], Column]:
+    return lambda chars: _shown(chars, tokens, ids, numbers)
+
+
 def replace_entities(df: DataFrame, config: dict[str, Tag], dates: bool = False) -> DataFrame:
-    """Title and article with tags, and with masked dates where asked for; the tokens go."""
-
-    @F.pandas_udf("struct<title:string,article:string>")
-    def both(title: pd.Series, article: pd.Series, title_tokens: pd.Series, article_tokens: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t, a, tt, at in zip(title, article, title_tokens, article_tokens, strict=True):
-            t, a, tt, at = t or "", a or "", list(tt) if tt is not None else [], list(at) if at is not None else []
-            new = replace_spans(t, a, tt, at, config) if config else (t, a)
-            for token in [*tt, *at] if dates else ():
-                if token["ner"] == "DATE" and (mask := date_mask(token["word"])):
-                    new = tuple(x.replace(token["word"], mask) for x in new)
-            rows.append(new)
-        return pd.DataFrame(rows, columns=["title", "article"])
-
-    made = df.withColumn("_new", both.asNondeterministic()("title", "article", "title_tokens", "article_tokens"))
-    return made.withColumn("title", F.col("_new.title")).withColumn("article", F.col("_new.article")).drop("_new", "title_tokens", "article_tokens")
+    """Title and article with tags, and with masked dates where asked for; the tokens go. No Python worker takes part.
+
+    Ids count from 0 for each tag, in order of first appearance, the title's tokens first; the same word has the same id. Where
+    tokens overlap, text between them that is negative in length is empty. After that each DATE token's word is
+    replaced by its mask wherever it stands in either text. Null texts are empty; null token lists, and tokens without a
+    tag, a start or an end, change nothing; a null word is a word of its own.
+    """
+    old = [c for c in df.columns if c not in ("title_tokens", "article_tokens")]
+    named = df.select("*", *(F.coalesce(c, F.lit("")).alias(f"_{c}") for c in ("title", "article")))
+    if config:
+        counted = sorted({t.tag for t in config.values() if t.need_id})
+        numbers = {tag: f"w{i}" for i, tag in enumerate(counted)}
+
+        def with_ids(tags: Column) -> Column:
+            every = F.concat(tags["title"], tags["article"])
+            of_tag = lambda tag: F.array_distinct(F.transform(F.filter(every, lambda t: t["tag"] == tag), lambda t: t["word"]))
+            ids = F.struct(F.lit(0).alias("none"), *(of_tag(tag).alias(numbers[tag]) for tag in counted))
+            return _let(ids, lambda words: F.struct(*(_let(F.split(F.col(f"_{c}"), ""), _showing(tags[c], words, numbers)).alias(c) for c in ("title", "article"))))
+
+        tags = F.struct(*(_tagged(F.col(f"{c}_tokens"), config).alias(c) for c in ("title", "article")))
+        named = named.withColumn("_new", _let(tags, with_ids))
+        named = named.select(*df.columns, *(F.col(f"_new.{c}").alias(f"_{c}") for c in ("title", "article")))
+    if dates:
+        empty = F.array().cast(TOKEN)
+        every = F.concat(F.coalesce("title_tokens", empty), F.coalesce("article_tokens", empty))
+        found = F.filter(every, lambda t: (t["ner"] == "DATE") & _date_mask(t["word"]).isNotNull())
+        both = F.struct(F.col("_title").alias("title"), F.col("_article").alias("article"))
+        fold = lambda s, t: F.struct(*(F.replace(s[c], t["word"], _date_mask(t["word"])).alias(c) for c in ("title", "article")))
+        named = named.select("*", F.aggregate(found, both, fold).alias("_both")).withColumn("_title", F.col("_both.title")).withColumn("_article", F.col("_both.article"))
+    return named.select(*(F.col(f"_{c}").alias(c) if c in ("title", "article") else F.col(c) for c in old))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import KEY
 
@@ -51,17 +52,25 @@ def merge_parsed(frames: list[DataFrame], target: DataFrame | None = None) -> Da
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "n") -> DataFrame:
-    """Rows numbered from 1 in a total order, whose first column is a number, without gathering them in one task.
+    """Rows numbered from 1 in a total order, without gathering them in one task.
 
-    Cut points from the first column's quantiles deal the rows out; each part's count tells where the next
-    begins. A row's part follows from its values alone, so a part that is computed again is the same. Rows equal in the
-    first column share a part: it should have few of them, as ids do.
+    Quantiles of the first column, which is a number, cut the rows into ranges. A value that more rows share than a range has is
+    cut again by quantiles of the second column, if that is a number too: ranges are then pairs. The rows of the ranges
+    before, summed up over the counts of all ranges, tell where one begins. A row's range follows from its values
+    alone, so one that is computed again is the same. Nulls come first. There are twice as many cuts as shuffle partitions at most.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = F.col(order[0])
-    cuts = df.agg(F.percentile_approx(first, [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("c")).first()["c"] or []
-    part = F.lit(0) if not cuts else F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]), lambda c: c < first)), F.lit(0))
-    placed = df.withColumn("_part", part)
+    first, fine = F.col(order[0]), F.lit(0)
+    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.NumericType):
+        share = df.count() / parts
+        quantiles = F.percentile_approx(order[1], [i / parts for i in range(1, parts)] or [0.5], 10_000)
+        tied = df.groupBy(first.alias("v")).agg(F.count("*").alias("k"), quantiles.alias("c")).filter(F.col("k") > share).collect()
+        for r in tied:  # fewer than ``parts`` values have as many rows as that
+            step = max(1, int(parts * share / r["k"]))
+            own = F.array(*map(F.lit, sorted(set((r["c"] or [0])[step - 1 :: step]) or {0})))
+            fine = F.when(first.eqNullSafe(F.lit(r["v"])), F.when(F.col(order[1]).isNull(), 1).otherwise(2 + _part(F.col(order[1]), own))).otherwise(fine)
+    # Of the values of a range, one that many rows share is the last, for it is a cut; null is a range of its own.
+    placed = df.withColumn("_part", F.struct(F.when(first.isNull(), -1).otherwise(_parts(df, order[0])).alias("a"), fine.alias("b")))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_size")
     within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
@@ -106,10 +115,51 @@ def error_histogram(df: DataFrame, error: str = "error") -> DataFrame:
 
 
 def failure_cutoff(log: DataFrame, most: int, group: list[str], seq: str = "seq", ok: str = "ok") -> DataFrame:
-    """The successes of each group before its first run of ``most`` failures in a row, by ``seq``."""
-    whole = Window.partitionBy(*group).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    runs = log.withColumn("_run", F.sum(F.col(ok).cast("int")).over(whole))
-    within = Window.partitionBy(*group, "_run").orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    streaks = runs.withColumn("_streak", F.sum((~F.col(ok)).cast("int")).over(within))
-    stop = F.min(F.when(F.col("_streak") >= most, F.col(seq))).over(Window.partitionBy(*group))
-    return streaks.withColumn("_stop", stop).filter(F.col(ok) & (F.col("_stop").isNull() | (F.col(seq) < F.col("_stop")))).drop("_run", "_streak", "_stop")
+    """The successes of each group before its first run of ``most`` failures in a row, by ``seq``; without ``group`` all rows are one.
+
+    A segmented scan: the log is cut into ranges of ``seq``, and each range of a group is scanned apart. What it hands on, its rows,
+    and the failures at its end behind its last success, combines from range to range to the failures in a row that
+    the next one begins with; only these sums, a row for each range and group, meet in one place. Rows equal in ``seq`` are
+    in one range. Other columns than the group, ``seq`` and ``ok`` are joined to the cut alone. A null ``ok`` is neither.
+    """
+    names = [f"_g{i}" for i in range(len(group))]
+    narrow = log.select(*(F.col(g).alias(n) for g, n in zip(group, names, strict=True)), F.col(seq).alias("_seq"), F.coalesce(F.col(ok), F.lit(False)).alias("_ok"), F.coalesce(~F.col(ok), F.lit(False)).alias("_bad"))
+    placed = narrow.withColumn("_part", _parts(narrow, "_seq"))
+    within = Window.partitionBy(*names, "_part").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
+    seen = placed.withColumn("_run", F.sum(F.col("_ok").cast("int")).over(within))
+    bad = F.sum(F.col("_bad").cast("int"))
+    streaks = seen.withColumn("_streak", bad.over(Window.partitionBy(*names, "_part", "_run").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)))
+    handed = placed.groupBy(*names, "_part").agg(bad.alias("_n"), F.max(F.when(F.col("_ok"), F.col("_seq"))).alias("_last"))
+    tails = placed.join(handed.select(*(F.col(n).alias(f"{n}h") for n in names), F.col("_part").alias("_parth"), F.col("_last").alias("_lasth")), _alike([*names, "_part"], "h"))
+    tails = tails.filter(F.col("_lasth").isNotNull() & (F.col("_seq") > F.col("_lasth"))).groupBy(*names, "_part").agg(bad.alias("_tail"))
+    parts = handed.alias("p").join(tails.select(*(F.col(n).alias(f"{n}t") for n in names), F.col("_part").alias("_partt"), "_tail"), _alike([*names, "_part"], "t"), "left")
+    earlier = Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*names).orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.select(*names, "_part", F.col("_last").isNotNull().alias("_any"), "_n", F.coalesce("_tail", F.lit(0)).alias("_tail")).withColumn("_sum", F.sum("_n").over(upto))
+    since = F.last(F.when(F.col("_any"), F.col("_tail") - F.col("_sum")), ignorenulls=True).over(earlier)
+    parts = parts.withColumn("_carry", F.coalesce(F.col("_sum") - F.col("_n") + F.coalesce(since, F.lit(0)), F.lit(0)))
+    parts = parts.select(*(F.col(n).alias(f"{n}c") for n in names), F.col("_part").alias("_partc"), "_carry")
+    whole = F.col("_streak") + F.when(F.col("_run") == 0, F.col("_carry")).otherwise(0)
+    reached = streaks.join(parts, _alike([*names, "_part"], "c")).filter(F.col("_bad") & (whole >= most))
+    stops = reached.groupBy(*names).agg(F.min("_seq").alias("_stop"))
+    if not group:
+        stop = stops.first()["_stop"]
+        return log.filter(ok) if stop is None else log.filter(F.col(ok) & (F.col(seq) < F.lit(stop)))
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names, strict=True)])
+    return log.join(stops, same, "left").filter(F.col(ok) & (F.col("_stop").isNull() | (F.col(seq) < F.col("_stop")))).drop("_stop", *names)
+
+
+def _alike(names: list[str], ending: str) -> Column:
+    return reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"{n}{ending}")) for n in names])
+
+
+def _parts(df: DataFrame, number: str) -> Column:
+    """Ranges of a column of numbers, about as many as there are shuffle partitions, by its quantiles; 0 for null."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = df.agg(F.percentile_approx(number, [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("c")).first()["c"] or []
+    return _part(F.col(number), F.array(*[F.lit(c) for c in sorted(set(cuts))])) if cuts else F.lit(0)
+
+
+def _part(value: Column, cuts: Column) -> Column:
+    """How many of ``cuts`` are below ``value``."""
+    return F.coalesce(F.size(F.filter(cuts, lambda c: c < value)), F.lit(0))

@@ -172,6 +172,17 @@ def failure_cutoff(spark, d):
     return relops.failure_cutoff(_events(spark, d), 2, ["user_id"]).select("user_id", "seq")
 
 
+def failure_cutoff_whole(spark, d):
+    """All events as one log."""
+    return relops.failure_cutoff(_events(spark, d), 5, []).select("seq")
+
+
+def split_ties(spark, d):
+    """Numbered by a column of four values, then by id."""
+    rows = _documents(spark, d).select("id", (F.ascii("category") % 4).alias("kind"))
+    return relops.split_chunks(rows, 64, ["kind", "id"])
+
+
 def company_lookup(spark, d):
     names = F.array(*[F.lit(n) for n, *_ in COMPANIES])
     rows = _documents(spark, d).select("id", "company_id").withColumn("name", F.get(names, F.col("company_id")))
@@ -384,6 +395,8 @@ QUERIES: dict[str, Query] = {
     "datetime_text": lambda s, d: _events(s, d).select("seq", columns.epoch_text(F.col("timestamp")).alias("stamp")),
     "error_histogram": lambda s, d: relops.error_histogram(_events(s, d), "event_type"),
     "failure_cutoff": failure_cutoff,
+    "failure_cutoff_whole": failure_cutoff_whole,
+    "split_ties": split_ties,
     "company_lookup": company_lookup,
     "compress_url": compress_url,
     "migrate_v1": migrate_v1,
@@ -462,6 +475,11 @@ ORACLES: dict[str, str] = {
         s AS (SELECT *, sum((NOT ok)::INT) OVER (PARTITION BY user_id, run ORDER BY seq) AS streak FROM r),
         t AS (SELECT *, min(CASE WHEN streak >= 2 THEN seq END) OVER (PARTITION BY user_id) AS stop FROM s)
         SELECT user_id, seq FROM t WHERE ok AND (stop IS NULL OR seq < stop)""",
+    "failure_cutoff_whole": f"""WITH r AS (SELECT seq, ok, sum(ok::INT) OVER (ORDER BY seq) AS run FROM {_EVENTS}),
+        s AS (SELECT *, sum((NOT ok)::INT) OVER (PARTITION BY run ORDER BY seq) AS streak FROM r)
+        SELECT seq FROM s WHERE ok AND seq < coalesce((SELECT min(seq) FROM s WHERE streak >= 5), 9223372036854775807)""",
+    "split_ties": """SELECT id, kind, chunk, chunk * 64 + 1 AS start, least((chunk + 1) * 64, total) AS "end"
+        FROM (SELECT doc_id AS id, ascii(lang) % 4 AS kind, (row_number() OVER (ORDER BY ascii(lang) % 4 NULLS FIRST, doc_id) - 1) // 64 AS chunk, count(*) OVER () AS total FROM documents)""",
     "company_lookup": "SELECT id, name, company_id, base_url FROM "
     + _PARSED
     + " JOIN (VALUES "

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom import queries, schemas
-from sparkloom.operators import extract, frontier, relops
+from sparkloom.operators import entities, extract, frontier, relops
 from sparkloom.plans import cli, crawl, jobs
 from sparkloom.sources import newsdb
 from sparkloom.streaming.ingest import append_stream
@@ -310,3 +310,63 @@ def test_stream_adds_each_key_once(spark, tmp_path):
         stream = spark.readStream.schema(schema).parquet(source)
         append_stream(stream, target, str(tmp_path / "check"), ["id"]).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [1, 4]
+
+
+def test_entities_in_catalyst_are_the_plain_ones(spark):
+    """Overlaps, shared tags, ties, nulls and dates."""
+    rng = random.Random(12)
+    config = entities.tag_config({"GPE": "loc", "LAW": "law"}, {"ORG": "org", "PERSON": "org", "FAC": "f"})
+    rows = []
+    for i in range(150):
+        row = [i, *("".join(rng.choice("ab年月日1é𝄞 ") for _ in range(rng.randint(0, 25))) if rng.random() < 0.95 else None for _ in range(2))]
+        for text in row[1:3]:
+            tokens = None if rng.random() < 0.1 else []
+            for _ in range(rng.randint(0, 5) if tokens is not None else 0):
+                start = rng.randint(0, 20)
+                end = start + rng.randint(0, 8)
+                kind = rng.choice(["GPE", "LAW", "ORG", "PERSON", "FAC", "DATE", "NONE"])
+                tokens.append(((text or "")[start:end] if kind != "DATE" else rng.choice(["1年1月1日", "a月b日", "x"]), kind, start, end))
+            row.append(tokens)
+        rows.append(tuple(row))
+    df = spark.createDataFrame(rows, "id int, title string, article string, title_tokens array<struct<word:string,ner:string,start:int,end:int>>, article_tokens array<struct<word:string,ner:string,start:int,end:int>>")
+    for dates in (False, True):
+        made = entities.replace_entities(df, config, dates)
+        assert made.columns == ["id", "title", "article"] and "Python" not in made._jdf.queryExecution().toString()
+        for r in made.collect():
+            _, title, article, *tokens = rows[r["id"]]
+            tokens = [[dict(zip(("word", "ner", "start", "end"), t, strict=True)) for t in own or []] for own in tokens]
+            want = entities.replace_spans(title or "", article or "", *tokens, config)
+            for t in [*tokens[0], *tokens[1]] if dates else ():
+                if t["ner"] == "DATE" and (mask := entities.date_mask(t["word"])):
+                    want = tuple(x.replace(t["word"], mask) for x in want)
+            assert (r["title"], r["article"]) == want
+    assert entities.replace_entities(df, {}, False).count() == 150
+
+
+def _first_run(rows, most, group):
+    out = []
+    for g in {r[0] if group else 0 for r in rows}:
+        streak = 0
+        for own, seq, ok, _ in rows:
+            if group and own != g or ok is None:
+                continue
+            streak = 0 if ok else streak + 1
+            if streak >= most:
+                break
+            out += [seq] * ok
+    return sorted(out)
+
+
+def test_cutoff_over_ranges_and_numbers_under_ties(spark):
+    rng = random.Random(4)
+    for chance, n, most in ((0.3, 1, 1), (0.6, 300, 4), (0.9, 300, 9), (0.8, 60, 2)):
+        rows = [(rng.choice(["a", "b", None]), 2 * i, None if rng.random() < 0.05 else rng.random() > chance, "x") for i in range(n)]
+        log = spark.createDataFrame(rows, "g string, seq long, ok boolean, _seq string").repartition(3)
+        for group in (["g"], []):
+            got = relops.failure_cutoff(log.withColumnRenamed("_seq", "body"), most, group)
+            assert sorted(r["seq"] for r in got.collect()) == _first_run(rows, most, group) and got.columns == ["g", "seq", "ok", "body"]
+        tied = spark.createDataFrame([(rng.choice([None, 1, 1, 1, 1, 5]), rng.choice([None, *range(40)]), i) for i in range(n)], "a int, b int, c long").repartition(3)
+        got = [tuple(r) for r in relops.numbered(tied, ["a", "b", "c"]).orderBy("n").collect()]
+        want = sorted((tuple(r) for r in tied.collect()), key=lambda r: tuple((x is not None, x or 0) for x in r))
+        assert got == [(*r, i) for i, r in enumerate(want, 1)]
+    assert relops.failure_cutoff(log.withColumnRenamed("_seq", "body").limit(0), 1, []).count() == 0
