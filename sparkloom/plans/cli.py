@@ -33,8 +33,9 @@ def parser() -> argparse.ArgumentParser:
     for name in ("parse", "preprocess", "merge", "split", "migrate"):
         p = sub.add_parser(name)
         p.add_argument("--db", nargs="+", required=True, help="absolute paths of files or folders")
-        p.add_argument("--save", required=True, help="absolute path of the file to append to; for split, the folder")
+        p.add_argument("--save", required=name != "parse", help="absolute path of the file to append to; for split, the folder")
         if name == "parse":
+            p.add_argument("--parquet", help="new folder for articles, counts of errors and all pages by outcome, written by tasks")
             p.add_argument("--host-zone", default="Asia/Taipei")
             p.add_argument("--corrected", action="store_true")
             p.add_argument("--strict", action="store_true")
@@ -69,13 +70,24 @@ def main(argv: list[str] | None = None) -> None:
         sink = lambda rows: write_database(rows, args.save, "raw_news", ["id"])
         crawl(spark, args.source, sink, _named(args.fetcher) if args.fetcher else http_get, args.past, args.current, args.first, args.latest)
         return
+    if args.job == "parse" and not (args.save or args.parquet):
+        raise SystemExit("parse needs --save or --parquet")
     files = find_databases(args.db)
     if not files:
         return
     table = {"parse": "raw_news", "preprocess": "parsed_news", "migrate": "news"}.get(args.job) or f"{args.kind}_news"
     rows = read_databases(spark, files, table)
     if args.job == "parse":
-        done, _ = jobs.parse(rows, Options(args.host_zone, args.corrected, args.strict))
+        options = Options(args.host_zone, args.corrected, args.strict)
+        if args.parquet:  # by tasks, and with what could not be read
+            done, lost, counts = jobs.parse_to(rows, f"{args.parquet}/pages", options)
+            done.write.parquet(f"{args.parquet}/articles")
+            lost.groupBy("error").count().write.parquet(f"{args.parquet}/errors")
+            print(f"{counts['read']} pages read, {counts['lost']} lost")
+            if not args.save:
+                return
+        else:
+            done, _ = jobs.parse(rows, options)
         write_database(done, args.save, "parsed_news", ["file_ord", "id"])
     elif args.job == "preprocess":
         write_database(jobs.preprocess(rows, preprocess_config(args)), args.save, args.table, ["file_ord", "id"])

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import arrow, columns
@@ -42,6 +43,9 @@ class Preprocess:
     unclosed: str = "reference"
 
 
+REQUIRED = ["article", "company_id", "timestamp", "title", "url_pattern"]
+
+
 def _texts(df: DataFrame, chain: list[TextStep], first: bool) -> DataFrame:
     """Title and article through ``chain``, each in one function, and with the first chain category and reporter through NFKC."""
     new = {c: arrow.chained(F.col(c), chain) for c in ("title", "article")}
@@ -100,12 +104,28 @@ def parse(raw: DataFrame, options: Options | None = None) -> tuple[DataFrame, Da
     Both come from one extraction; save or cache it where both are wanted.
     """
     done = extract(raw, options)
-    good, bad = reject_nulls(readable(done), ["article", "company_id", "timestamp", "title", "url_pattern"])
+    good, bad = reject_nulls(readable(done), REQUIRED)
     lost = quarantine(done)
     lost = lost.unionByName(bad.withColumn("error", F.lit("null in a required column")).select(*lost.columns))
     return dedup_first(good, _order(good)), lost
 
 
+def parse_to(raw: DataFrame, folder: str, options: Options | None = None) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """As ``parse``, from one extraction that is written to ``folder`` by outcome (Parquet): articles, the pages that could not be read,
+    and how many pages were read and lost, counted while they were written. ``folder`` must not exist; a task that runs
+    again replaces its own files. An empty table gives two empty ones.
+    """
+    done = extract(raw, options)
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in REQUIRED])
+    done = done.withColumn("error", F.when(F.col("error").isNull() & missing, "null in a required column").otherwise(F.col("error")))
+    seen = Observation("parse")
+    outcome = F.when(F.col("error").isNull(), "article").otherwise("quarantine").alias("outcome")
+    done.observe(seen, F.count("*").alias("read"), F.count("error").alias("lost")).select("*", outcome).write.partitionBy("outcome").parquet(folder)
+    whole = raw.sparkSession.read.schema(done.schema.add("outcome", "string")).parquet(folder)
+    good = whole.filter("outcome = 'article'").drop("outcome", "error")
+    return dedup_first(good, _order(good)), quarantine(whole.filter("outcome = 'quarantine'")), seen.get
+
+
 def migrate_v1(legacy: DataFrame) -> DataFrame:
     """Raw rows of a table with names and whole addresses."""
     company = columns.company_id(F.col("company"))

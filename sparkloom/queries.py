@@ -6,6 +6,8 @@ nothing that most filters remove, so both sides add the same ending to each text
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .functions import arrow, columns
 from .functions.html import parse as parse_html
-from .operators import entities, extract, frontier, relops
+from .operators import entities, extract, frontier, gazetteer, relops
 from .plans import jobs
 from .schemas import COMPANIES
 
@@ -246,7 +248,7 @@ _MARKUP = {
 }
 
 
-def extract_pages(spark, d):
+def _marked_up(spark, d):
     """Pages in the markup of the eleven sources by turns; every twelfth belongs to none."""
     company, page, key = F.col("page_id") % 12, F.coalesce("html", F.lit("")), F.col("page_id").cast("string")
     raw, url = page, key
@@ -254,7 +256,19 @@ def extract_pages(spark, d):
         a, b = form.split("{}")
         raw = F.when(company == i, F.concat(F.lit(before), page, F.lit(after))).otherwise(raw)
         url = F.when(company == i, F.concat(F.lit(a), key, F.lit(b))).otherwise(url)
-    return extract.extract(_table(spark, d, "pages").select(F.col("page_id").alias("id"), company.cast("int").alias("company_id"), raw.alias("raw_xml"), url.alias("url_pattern")))
+    return _table(spark, d, "pages").select(F.col("page_id").alias("id"), company.cast("int").alias("company_id"), raw.alias("raw_xml"), url.alias("url_pattern"))
+
+
+def extract_pages(spark, d):
+    return extract.extract(_marked_up(spark, d))
+
+
+def parse_outcomes(spark, d):
+    """Articles and lost pages by company, from one extraction that is written by outcome in the shared folder."""
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="sparkloom-")
+    good, lost, _ = jobs.parse_to(_marked_up(spark, d), f"{place.rstrip('/')}/outcomes-{uuid.uuid4().hex}")
+    both = good.select("company_id", F.lit("article").alias("outcome"), "id").unionByName(lost.select("company_id", F.lit("quarantine").alias("outcome"), "id"))
+    return both.groupBy("company_id", "outcome").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
 
 def rewrite_cascades(spark, d):
@@ -273,6 +287,16 @@ def entity_tags(spark, d):
     return entities.replace_entities(rows, entities.tag_config({"GPE": "loc"}, {"ORG": "org"}), dates=True).select("id", "title", "article")
 
 
+def gazetteer_tags(spark, d):
+    """Names are the first words of all documents, those of letters alone; each document with what stands for its names."""
+    docs = _documents(spark, d)
+    word = F.regexp_extract("title", "^([A-Za-z]{3,})", 1)
+    names = docs.select(word.alias("name"), F.when(F.length(word) % 2 == 0, "GPE").otherwise("ORG").alias("ner")).filter("name <> ''").distinct()
+    found = gazetteer.recognise_names(docs.select("id", "title", "article"), names)
+    words = F.array_join(F.transform("article_tokens", lambda t: F.concat(t["ner"], F.lit(" "), t["word"])), "|")
+    return found.select("id", F.size("article_tokens").cast("long").alias("n_tokens"), F.md5(words).alias("tokens_md5"))
+
+
 def preprocess_news(spark, d):
     """The flagship: NFKC, strippers, length filter, masks and first-wins dedup."""
     config = jobs.Preprocess(urls=True, parens=True, brackets=True, curlies=True, lenticulars=True, emoji=True, least=200, most=5000, english=True, guillemets=True, numbers=True)
@@ -281,21 +305,27 @@ def preprocess_news(spark, d):
 
 
 def day_frontier(spark, d):
-    return frontier.day_frontier(spark, "2021-09-28", "2021-10-12")
+    """From the newest day of the events to the oldest."""
+    past, current = _events(spark, d).agg(F.min("day").cast("string"), F.max("day").cast("string")).first()
+    return frontier.day_frontier(spark, past, current)
+
+
+def _days(spark: SparkSession, d: str) -> DataFrame:
+    return _events(spark, d).select("day").distinct()
 
 
 def index_frontier(spark, d):
-    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-11", "2021-10-12"), "cna").select("day", "idx", "url")
+    return frontier.index_frontier(_days(spark, d), "cna").select("day", "idx", "url")
 
 
 def grid_frontier(spark, d):
-    """The whole grid of a day, of whose addresses some answer: the first that does for each number."""
-    grid = frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "chinatimes")
+    """The whole grid of the events' newest day, of whose addresses some answer: the first that does for each number."""
+    grid = frontier.index_frontier(_events(spark, d).agg(F.max("day").alias("day")), "chinatimes")
     return frontier.first_hit(grid.withColumn("ok", (F.col("idx") * 31 + F.col("rank") * 17) % 97 == 0), ["idx"])
 
 
 def hex_frontier(spark, d):
-    return frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "ftv").select("category", "idx", "url")
+    return frontier.index_frontier(_days(spark, d), "ftv").select("category", "idx", "url")
 
 
 def first_hit(spark, d):
@@ -356,7 +386,7 @@ def url_date(spark, d):
 
 
 def ordered_distinct_join(spark, d):
-    parts = F.split(F.coalesce("title", F.lit("")), " ")
+    parts = F.split("article", " ")
     return _documents(spark, d).select("id", columns.ordered_distinct_join(parts).alias("joined"))
 
 
@@ -405,8 +435,10 @@ QUERIES: dict[str, Query] = {
     "page_title": page_title,
     "page_links": page_links,
     "extract_pages": extract_pages,
+    "parse_outcomes": parse_outcomes,
     "rewrite_cascades": rewrite_cascades,
     "entity_tags": entity_tags,
+    "gazetteer_tags": gazetteer_tags,
     "day_frontier": day_frontier,
     "index_frontier": index_frontier,
     "grid_frontier": grid_frontier,
@@ -488,12 +520,12 @@ ORACLES: dict[str, str] = {
     "compress_url": f"SELECT page_id AS id, {_COMPRESSED} AS url_pattern FROM pages",
     "migrate_v1": f"""SELECT id, company_id, raw_xml, url_pattern FROM (SELECT page_id AS id, (page_id % 11)::INTEGER AS company_id, trim({_gone("html", _WS + "+", " ")}) AS raw_xml, {_COMPRESSED} AS url_pattern,
         row_number() OVER (PARTITION BY page_id % 11, {_COMPRESSED} ORDER BY page_id) AS n FROM pages) WHERE n = 1""",
-    "day_frontier": "SELECT (row_number() OVER (ORDER BY d DESC) - 1)::INTEGER AS place, d::DATE AS day FROM generate_series(DATE '2021-09-28', DATE '2021-10-12', INTERVAL 1 DAY) t(d)",
-    "index_frontier": "SELECT d::DATE AS day, i::INTEGER AS idx, 'https://www.cna.com.tw/news/aipl/' || strftime(d, '%Y%m%d') || lpad(i::VARCHAR, 4, '0') || '.aspx' AS url FROM generate_series(DATE '2021-10-11', DATE '2021-10-12', INTERVAL 1 DAY) t(d), range(10000) r(i)",
-    "grid_frontier": "SELECT idx, min(rank) AS rank, arg_min(url, rank) AS url FROM (SELECT i::INTEGER AS idx, (2 * c + p)::INTEGER AS rank, 'https://www.chinatimes.com/' || ['newspapers', 'realtimenews'][p + 1] || '/20211012' || lpad(i::VARCHAR, 6, '0') || '-' || ["
+    "day_frontier": "SELECT (row_number() OVER (ORDER BY d DESC) - 1)::INTEGER AS place, d::DATE AS day FROM (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS d FROM events)",
+    "index_frontier": "SELECT d::DATE AS day, i::INTEGER AS idx, 'https://www.cna.com.tw/news/aipl/' || strftime(d, '%Y%m%d') || lpad(i::VARCHAR, 4, '0') || '.aspx' AS url FROM (SELECT DISTINCT ts::DATE AS d FROM events), range(10000) r(i)",
+    "grid_frontier": "SELECT idx, min(rank) AS rank, arg_min(url, rank) AS url FROM (SELECT i::INTEGER AS idx, (2 * c + p)::INTEGER AS rank, 'https://www.chinatimes.com/' || ['newspapers', 'realtimenews'][p + 1] || strftime(d, '/%Y%m%d') || lpad(i::VARCHAR, 6, '0') || '-' || ["
     + ", ".join(f"'{c}'" for c in frontier.CATEGORIES["chinatimes"])
-    + "][c + 1] AS url FROM range(100000) r(i), range(30) s(c), range(2) t(p) WHERE (i * 31 + (2 * c + p) * 17) % 97 = 0) GROUP BY idx",
-    "hex_frontier": "SELECT category, i::INTEGER AS idx, 'https://www.ftvnews.com.tw/news/detail/2021A12' || category || lpad(i::VARCHAR, CASE WHEN category = 'W' THEN 4 ELSE 2 END, '0') || CASE WHEN category = 'W' THEN '' ELSE 'M1' END AS url FROM (SELECT unnest(string_split('A C F I J L N P R S U W', ' ')) AS category), range(1, 10000) r(i) WHERE i <= CASE WHEN category = 'W' THEN 9999 ELSE 30 END",
+    + "][c + 1] AS url FROM (SELECT max(ts)::DATE AS d FROM events), range(100000) r(i), range(30) s(c), range(2) t(p) WHERE (i * 31 + (2 * c + p) * 17) % 97 = 0) GROUP BY idx",
+    "hex_frontier": "SELECT category, i::INTEGER AS idx, 'https://www.ftvnews.com.tw/news/detail/' || strftime(d, '%Y') || hex(month(d)) || strftime(d, '%d') || category || lpad(i::VARCHAR, CASE WHEN category = 'W' THEN 4 ELSE 2 END, '0') || CASE WHEN category = 'W' THEN '' ELSE 'M1' END AS url FROM (SELECT DISTINCT ts::DATE AS d FROM events), (SELECT unnest(string_split('A C F I J L N P R S U W', ' ')) AS category), range(1, 10000) r(i) WHERE i <= CASE WHEN category = 'W' THEN 9999 ELSE 30 END",
     "first_hit": f"SELECT user_id, 'u' || min(seq) AS url, min(seq) AS rank FROM {_EVENTS} WHERE ok GROUP BY user_id",
     "start_page": f"""WITH b AS (SELECT max(seq) AS top, min(day) + 10 AS past, max(day) - 10 AS now FROM {_EVENTS}),
         g AS (SELECT (top - seq) // 20 + 1 AS page, max(day) AS newest, bool_or(day BETWEEN past AND now) AS hit, any_value(past) AS past FROM {_EVENTS}, b GROUP BY 1),
@@ -511,7 +543,12 @@ ORACLES: dict[str, str] = {
     "json_field": "SELECT event_id, json_extract_string(props, '$.k') AS k, length(props)::INTEGER AS n FROM events",
     "local_epoch": "SELECT event_id AS seq, (epoch(make_timestamp(2021, 11, 1 + (event_id % 9)::INTEGER, 0, 0, 0.0)) - 28800)::BIGINT AS epoch FROM events",
     "page_links": """SELECT page_id, len(links) AS n_links, links[1] AS first_link FROM (SELECT page_id, list_transform(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href="(/[^"]*)"', 1), lambda x: replace(x, '&amp;', '&')) AS links FROM pages) WHERE len(links) > 0""",
-    "ordered_distinct_join": f"""SELECT id, string_agg(x, ',' ORDER BY p) AS joined FROM (SELECT id, x, min(p) AS p FROM (SELECT id, unnest(xs) AS x, generate_subscripts(xs, 1) AS p FROM (SELECT id, string_split(title, ' ') AS xs FROM {_PARSED})) GROUP BY id, x) GROUP BY id""",
+    "ordered_distinct_join": f"""SELECT id, string_agg(x, ',' ORDER BY p) AS joined FROM (SELECT id, x, min(p) AS p FROM (SELECT id, unnest(xs) AS x, generate_subscripts(xs, 1) AS p FROM (SELECT id, string_split(article, ' ') AS xs FROM {_PARSED})) GROUP BY id, x) GROUP BY id""",
+    "parse_outcomes": "SELECT (page_id % 12)::INTEGER AS company_id, CASE WHEN page_id % 12 = 11 THEN 'quarantine' ELSE 'article' END AS outcome, count(*) AS n, sum(page_id)::BIGINT AS ids FROM pages GROUP BY ALL",
+    "gazetteer_tags": f"""WITH n AS (SELECT DISTINCT regexp_extract(title, '^([A-Za-z]{{3,}})', 1) AS w FROM {_PARSED}),
+        p AS (SELECT string_agg(w, '|' ORDER BY length(w) DESC, w) AS pattern FROM n WHERE w <> ''),
+        f AS (SELECT id, regexp_extract_all(article, pattern) AS ws FROM {_PARSED}, p)
+        SELECT id, len(ws)::BIGINT AS n_tokens, md5(array_to_string(list_transform(ws, lambda w: (CASE WHEN length(w) % 2 = 0 THEN 'GPE ' ELSE 'ORG ' END) || w), '|')) AS tokens_md5 FROM f""",
     "entity_tags": f"""SELECT id, replace(replace(title, 'the', '<org0>'), 'de', '<loc>') AS title,
         replace(replace(replace(article, 'the', '<org0>'), 'de', '<loc>'), '快訊', CASE WHEN contains(article, 'the') THEN '<org1>' ELSE '<org0>' END) AS article FROM {_PARSED}""",
     "parse_files": """SELECT id, file_ord, '20141108' || k AS url_pattern, 't' || page_id AS title, (epoch(TIMESTAMP '2014-11-08') - 28800)::BIGINT AS "timestamp"

@@ -1,14 +1,17 @@
 import json
 import random
+import re
 import sqlite3
+import time
 import zlib
 from datetime import UTC, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sparkloom import queries, schemas
-from sparkloom.operators import entities, extract, frontier, relops
+from sparkloom.operators import entities, extract, frontier, gazetteer, relops
 from sparkloom.plans import cli, crawl, jobs
 from sparkloom.sources import newsdb
 from sparkloom.streaming.ingest import append_stream
@@ -155,14 +158,21 @@ def test_frontier(spark):
     assert frontier.listed_items(items).first()["url"] == "https://udn.com/n/1"
 
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
 def test_frontier_queries_cover_the_days(spark):
-    days, cna = ("2021-10-11", "2021-10-12"), "https://www.cna.com.tw/news/aipl/"
+    """All numbers of all days of the events."""
+    days = {str(r[0]) for r in spark.read.parquet(f"{SF_DIR}/events.parquet").select(F.to_date("ts")).distinct().collect()}
+    cna = "https://www.cna.com.tw/news/aipl/"
     want = {(day, i, f"{cna}{day.replace('-', '')}{i:04}.aspx") for day in days for i in range(10_000)}
-    got = queries.index_frontier(spark, "").collect()
+    got = queries.index_frontier(spark, SF_DIR).collect()
     assert len(got) == len(want) and {(str(r["day"]), r["idx"], r["url"]) for r in got} == want
-    want = {(c, i, f"https://www.ftvnews.com.tw/news/detail/2021A12{c}{i:0{4 if c == 'W' else 2}}{'' if c == 'W' else 'M1'}") for c in "ACFIJLNPRSUW" for i in range(1, 10_000 if c == "W" else 31)}
-    got = queries.hex_frontier(spark, "").collect()
+    code = lambda day: f"{day[:4]}{int(day[5:7]):X}{day[8:]}"
+    want = {(c, i, f"https://www.ftvnews.com.tw/news/detail/{code(day)}{c}{i:0{4 if c == 'W' else 2}}{'' if c == 'W' else 'M1'}") for day in days for c in "ACFIJLNPRSUW" for i in range(1, 10_000 if c == "W" else 31)}
+    got = queries.hex_frontier(spark, SF_DIR).collect()
     assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert [str(r["day"]) for r in queries.day_frontier(spark, SF_DIR).orderBy("place").collect()] == sorted(days, reverse=True)
     grid = frontier.index_frontier(frontier.day_frontier(spark, "2021-10-12", "2021-10-12"), "chinatimes").select("idx", "rank", "url")
     choices = [(p, c) for c in frontier.CATEGORIES["chinatimes"] for p in frontier.PATHS["chinatimes"]]
     make = lambda i, rank: f"https://www.chinatimes.com/{choices[rank][0]}/20211012{i:06}-{choices[rank][1]}"
@@ -173,7 +183,8 @@ def test_frontier_queries_cover_the_days(spark):
 @pytest.mark.parametrize("name", ["index_frontier", "grid_frontier", "hex_frontier"])
 def test_frontier_queries_match_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
-    got = queries.QUERIES[name](spark, "")
+    events = duckdb.read_parquet(f"{SF_DIR}/events.parquet")  # noqa: F841 - read by the SQL
+    got = queries.QUERIES[name](spark, SF_DIR)
     columns = sorted(got.columns)
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(duckdb.sql(f"SELECT {', '.join(columns)} FROM ({queries.ORACLES[name]})").fetchall())
 
@@ -370,3 +381,50 @@ def test_cutoff_over_ranges_and_numbers_under_ties(spark):
         want = sorted((tuple(r) for r in tied.collect()), key=lambda r: tuple((x is not None, x or 0) for x in r))
         assert got == [(*r, i) for i, r in enumerate(want, 1)]
     assert relops.failure_cutoff(log.withColumnRenamed("_seq", "body").limit(0), 1, []).count() == 0
+
+
+def test_names_are_the_leftmost_longest(spark):
+    """Over all texts, in one pass and in several, against an alternation of the names, the longest first."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(r["doc_id"], r["text"].split("\n")[0], f"{r['text']} 𝄞{r['text'][:40]}") for r in docs.collect() if r["text"]] + [(-1, None, ""), (-2, "é", None)]
+    listed = sorted({w.strip(".,") for r in rows[:-2] for w in r[1].split()[:3]} | {"the", "then", "e", "𝄞", "he n"} - {""})
+    names = spark.createDataFrame([(w, "ORG" if len(w) % 2 else "GPE") for w in listed] + [("the", "AAA"), ("", "ORG"), (None, "ORG"), ("x", None)], "name string, ner string")
+    kinds = {w: "AAA" if w == "the" else "ORG" if len(w) % 2 else "GPE" for w in listed}
+    df = spark.createDataFrame(rows, "id long, title string, article string").withColumn("found", F.lit(1))
+    either = re.compile("|".join(map(re.escape, sorted(listed, key=len, reverse=True))))
+    for most in (gazetteer.PASS_BYTES, 400):
+        got = gazetteer.recognise_names(df, names, pass_bytes=most).collect()
+        assert len(got) == len(rows) and got[0]["found"] == 1
+        for r in got:
+            for c in ("title", "article"):
+                want = [(m[0], kinds[m[0]], m.start(), m.end()) for m in either.finditer(r[c] or "")]
+                assert [tuple(t) for t in r[f"{c}_tokens"]] == want
+    assert all(not r["title_tokens"] for r in gazetteer.recognise_names(df, names.limit(0)).collect())
+
+
+def test_a_trie_of_many_names():
+    rng = random.Random(3)
+    names = sorted({"".join(rng.choice("abcdefgh ") for _ in range(rng.randint(3, 14))) for _ in range(200_000)})
+    began = time.time()
+    trie = gazetteer.Trie.build(names)
+    assert time.time() - began < 20 and trie.edges.nbytes + trie.to.nbytes + trie.name.nbytes < 64 << 20
+    text = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+    points = gazetteer._points(text)
+    at, size, which = trie.longest(points, np.full(len(points), len(points)))
+    known = set(names)
+    want = {i: max((n for n in range(3, 15) if text[i : i + n] in known and i + n <= len(text)), default=0) for i in range(len(text))}
+    assert {i: n for i, n in want.items() if n} == dict(zip(at.tolist(), size.tolist(), strict=True))
+    assert all(names[k] == text[i : i + n] for i, n, k in zip(at.tolist(), size.tolist(), which.tolist(), strict=True))
+
+
+def test_outcomes_of_one_extraction(spark, tmp_path):
+    page = CNA.replace("標題★", "一")
+    rows = [(1, 1, page, "202110120001", 0), (2, 1, page, "202110120001", 0), (3, 99, page, "x", 0), (4, 1, page, "bad", 1), (5, None, None, None, 1), (6, 1, page, None, 1)]
+    raw = spark.createDataFrame(rows, "id long, company_id int, raw_xml string, url_pattern string, file_ord int")
+    good, lost, counts = jobs.parse_to(raw, f"{tmp_path}/a")
+    want_good, want_lost = jobs.parse(raw)
+    assert sorted(map(tuple, good.select(*want_good.columns).collect())) == sorted(map(tuple, want_good.collect()))
+    key = lambda rows: sorted((r["id"], r["error"]) for r in rows)
+    assert key(lost.collect()) == key(want_lost.collect()) and counts == {"read": 6, "lost": 4}
+    good, lost, counts = jobs.parse_to(raw.limit(0), f"{tmp_path}/b")
+    assert good.count() == lost.count() == 0 and counts == {"read": 0, "lost": 0}
