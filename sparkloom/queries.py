@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .functions import arrow, columns
 from .functions.html import parse as parse_html
-from .operators import entities, extract, frontier, gazetteer, relops
+from .operators import entities, extract, frontier, gazetteer, keyindex, relops
 from .plans import jobs
 from .schemas import COMPANIES
 
@@ -117,6 +117,21 @@ def dedup_target(spark, d):
     return relops.dedup_first(rows.filter("half"), ["id"], target=rows.filter("not half")).select("id", "company_id", "url_pattern")
 
 
+def _shared_folder(spark: SparkSession, name: str) -> str:
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="sparkloom-")
+    return f"{place.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def append_pruned(spark, d):
+    """Documents as a target of files by ranges of keys, and a batch of the newest tenth: what of it is new."""
+    rows = _keyed(spark, d).select("id", "company_id", "url_pattern", "half")
+    top = rows.agg(F.max("id")).first()[0]
+    target = _shared_folder(spark, "target")
+    rows.filter("half").repartitionByRange(8, "id").write.parquet(target)
+    keyindex.index_files(spark, target, rows.schema)
+    return keyindex.new_rows(rows.filter(F.col("id") >= F.lit(top * 9 // 10)), target, ["id"]).select("id", "company_id", "url_pattern")
+
+
 def _cut_in_two(rows: DataFrame) -> list[DataFrame]:
     return [rows.filter("half"), rows.filter("not half").unionByName(rows.filter("id % 9 = 0"))]
 
@@ -265,8 +280,7 @@ def extract_pages(spark, d):
 
 def parse_outcomes(spark, d):
     """Articles and lost pages by company, from one extraction that is written by outcome in the shared folder."""
-    place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="sparkloom-")
-    good, lost, _ = jobs.parse_to(_marked_up(spark, d), f"{place.rstrip('/')}/outcomes-{uuid.uuid4().hex}")
+    good, lost, _ = jobs.parse_to(_marked_up(spark, d), _shared_folder(spark, "outcomes"))
     both = good.select("company_id", F.lit("article").alias("outcome"), "id").unionByName(lost.select("company_id", F.lit("quarantine").alias("outcome"), "id"))
     return both.groupBy("company_id", "outcome").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
@@ -415,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "end_sentence": _text(lambda c: columns.end_sentence(F.trim(c))),
     "dedup_first": dedup_first,
     "dedup_target": dedup_target,
+    "append_pruned": append_pruned,
     "merge_by_time": merge_by_time,
     "merge_raw": merge_raw,
     "split_chunks": split_chunks,
@@ -544,6 +559,8 @@ ORACLES: dict[str, str] = {
     "local_epoch": "SELECT event_id AS seq, (epoch(make_timestamp(2021, 11, 1 + (event_id % 9)::INTEGER, 0, 0, 0.0)) - 28800)::BIGINT AS epoch FROM events",
     "page_links": """SELECT page_id, len(links) AS n_links, links[1] AS first_link FROM (SELECT page_id, list_transform(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li><a href="(/[^"]*)"', 1), lambda x: replace(x, '&amp;', '&')) AS links FROM pages) WHERE len(links) > 0""",
     "ordered_distinct_join": f"""SELECT id, string_agg(x, ',' ORDER BY p) AS joined FROM (SELECT id, x, min(p) AS p FROM (SELECT id, unnest(xs) AS x, generate_subscripts(xs, 1) AS p FROM (SELECT id, string_split(article, ' ') AS xs FROM {_PARSED})) GROUP BY id, x) GROUP BY id""",
+    "append_pruned": f"""WITH r AS (SELECT *, id >= max(id) OVER () * 9 // 10 AS late FROM {_KEYED})
+        SELECT min(id) AS id, company_id, url_pattern FROM r WHERE late AND NOT EXISTS (SELECT 1 FROM r h WHERE h.half AND h.company_id = r.company_id AND h.url_pattern = r.url_pattern) GROUP BY company_id, url_pattern""",
     "parse_outcomes": "SELECT (page_id % 12)::INTEGER AS company_id, CASE WHEN page_id % 12 = 11 THEN 'quarantine' ELSE 'article' END AS outcome, count(*) AS n, sum(page_id)::BIGINT AS ids FROM pages GROUP BY ALL",
     "gazetteer_tags": f"""WITH n AS (SELECT DISTINCT regexp_extract(title, '^([A-Za-z]{{3,}})', 1) AS w FROM {_PARSED}),
         p AS (SELECT string_agg(w, '|' ORDER BY length(w) DESC, w) AS pattern FROM n WHERE w <> ''),

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom import queries, schemas
-from sparkloom.operators import entities, extract, frontier, gazetteer, relops
+from sparkloom.operators import entities, extract, frontier, gazetteer, keyindex, relops
 from sparkloom.plans import cli, crawl, jobs
 from sparkloom.sources import newsdb
 from sparkloom.streaming.ingest import append_stream
@@ -428,3 +428,24 @@ def test_outcomes_of_one_extraction(spark, tmp_path):
     assert key(lost.collect()) == key(want_lost.collect()) and counts == {"read": 6, "lost": 4}
     good, lost, counts = jobs.parse_to(raw.limit(0), f"{tmp_path}/b")
     assert good.count() == lost.count() == 0 and counts == {"read": 0, "lost": 0}
+
+
+def test_only_files_that_may_hold_keys_are_read(spark, tmp_path):
+    """The files read follow the batch, and what is appended is what a plain first-wins append gives."""
+    target = f"{tmp_path}/t"
+    schema = "id long, company_id int, url_pattern string"
+    rows = spark.range(20_000).select("id", (F.col("id") % 11).cast("int").alias("company_id"), F.concat(F.lit("u"), (F.col("id") / 2).cast("long")).alias("url_pattern"))
+    rows.repartitionByRange(10, "id").write.parquet(target)
+    assert keyindex.index_files(spark, target, rows.schema) == 10 and keyindex.index_files(spark, target, rows.schema) == 0
+    small, large = rows.filter("id between 4010 and 4019"), rows.filter("id % 500 = 0")
+    news = spark.createDataFrame([(1, 1, "new"), (2, 1, "new"), (3, None, "new"), (4, None, "new"), (5, 1, None)], schema)
+    assert len(keyindex.files_with(small, target)) <= 2 and len(keyindex.files_with(large, target)) == 10 and len(keyindex.files_with(news, target)) <= 1
+    assert len(keyindex.files_with(small, target, most_keys=3)) == 10
+    for batch, ids in ((small, []), (news.unionByName(small), [1, 3, 5]), (news, []), (news.limit(0), [])):
+        before = spark.read.parquet(target).count()
+        assert sorted(r["id"] for r in keyindex.new_rows(batch, target, ["id"]).collect()) == ids
+        keyindex.append_new(batch, target, ["id"])
+        assert spark.read.parquet(target).count() == before + len(ids)
+    spark.createDataFrame([(9, 9, "unindexed")], schema).write.mode("append").parquet(target)
+    again = spark.createDataFrame([(10, 9, "unindexed"), (11, 9, "fresh")], schema)
+    assert [r["id"] for r in keyindex.new_rows(again, target, ["id"]).collect()] == [11]
