@@ -115,7 +115,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch.path("archives")
     files = scratch.save(write_warc(_table(spark, sf_dir, "pages"), folder), "files")
     page = lambda name: F.nullif(F.regexp_extract(name, "^<urn:page:(.*)>$", 1), F.lit("")).cast("long")
-    read = read_warc(files, folder, with_payload=False).filter("kind in ('response', 'revisit')")
+    whole = F.when(F.col("kind") == "gap", F.raise_error(F.concat(F.lit("damaged archive: "), "path", F.lit(": "), "reason")).cast("boolean"))
+    read = read_warc(files, folder, with_payload=False).filter(whole.otherwise(F.col("kind").isin("response", "revisit")))
     return read.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), page("refers_to").alias("refers_to"))
 
 

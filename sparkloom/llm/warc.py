@@ -18,7 +18,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = b"WARC/1.1\r\n"
@@ -309,9 +309,18 @@ def salvage(stream) -> Iterator[Record | Gap]:
             yield Gap(start, at, str(e))
 
 
+def _at(spark: SparkSession, folder: str) -> str:
+    """The folder as an address on the file system that Spark itself would use for it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return whole if "://" in whole else whole.replace(":/", ":///", 1)
+
+
 def _write(folder: str):
+    """``folder``: an address with its file system, as ``_at`` gives it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
         stream, paths, sizes, counts, size = None, [], [], [], 0
         for batch in batches:
@@ -343,7 +352,8 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame
 
     The payload is the html in UTF-8; null is empty. Of the rows with equal payloads of ``least_bytes`` bytes or
     more, those with the smallest page_id are responses and the others revisits that refer to it; rows without
-    page_id, and smaller payloads, are responses. Other columns are ignored. The list is lazy: save it.
+    page_id, and smaller payloads, are responses. Other columns are ignored. Repeated rows are records of their own; an empty
+    table writes no file. ``folder`` without a scheme is on Spark's default file system. The list is lazy: save it.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload"))
@@ -353,7 +363,7 @@ def write_warc(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame
     often, rarer = F.broadcast(first.filter(hot).drop("n")), first.filter(~hot).drop("n")
     rows = rows.join(often, "sha").unionByName(rows.join(often.select("sha"), "sha", "left_anti").join(rarer, "sha", "left")).withColumn("revisit", F.coalesce(F.col("page_id") > F.col("first_id"), F.lit(False)))
     rows = rows.select("page_id", "url", "payload", F.col("first_id").alias("refers_to"), "revisit")
-    return rows.mapInArrow(_write(folder), "path string, records long, bytes long")
+    return rows.mapInArrow(_write(_at(pages.sparkSession, folder)), "path string, records long, bytes long")
 
 
 def _http(block: bytes) -> tuple[int | None, bytes]:
@@ -363,7 +373,7 @@ def _http(block: bytes) -> tuple[int | None, bytes]:
     return (int(said[0]) if said and said[0].isdigit() else None), payload
 
 
-def _read(folder: str | None, with_payload: bool):
+def _read(folder: str, with_payload: bool):
     names = [x.split()[0] for x in READ_SCHEMA.split(", ")]
     kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     types = [kinds[x.split()[1]] for x in READ_SCHEMA.split(", ")]
@@ -373,10 +383,10 @@ def _read(folder: str | None, with_payload: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
+        system = fs.FileSystem.from_uri(folder)[0]
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                system, name = (fs.FileSystem.from_uri(folder)[0], path) if folder and "://" in folder or (folder or "").startswith("file:") else (fs.LocalFileSystem(), path)
-                with system.open_input_stream(name, compression=None) as stream:
+                with system.open_input_stream(path, compression=None) as stream:
                     for x in salvage(stream):
                         if isinstance(x, Gap):
                             rows.append((path, x.at, x.until, "gap", x.reason, *[None] * 6))
@@ -400,7 +410,8 @@ def _read(folder: str | None, with_payload: bool):
 
 
 def read_warc(files: DataFrame, folder: str | None = None, with_payload: bool = True) -> DataFrame:
-    """Records and gaps of the archives that ``files`` (path) lists; ``folder`` names their file system.
+    """Records and gaps of the archives that ``files`` (path) lists; ``folder`` names their file system, Spark's own
+    default without a scheme or without a folder.
 
     A row for each record (kind is its type) or gap (kind ``gap``, with the reason), by READ_SCHEMA. Damage costs the records
     it hits; in a gzip member of several records also those that can't be decompressed after it, or have no digest (``salvage``).
@@ -408,4 +419,4 @@ def read_warc(files: DataFrame, folder: str | None = None, with_payload: bool =
     """
     spark = files.sparkSession
     spread = files.select("path").repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
-    return spread.mapInArrow(_read(folder, with_payload), READ_SCHEMA)
+    return spread.mapInArrow(_read(_at(spark, folder or "/"), with_payload), READ_SCHEMA)
