@@ -251,7 +251,7 @@ def test_crawl_by_id_and_list(spark, monkeypatch):
     assert [[x[1] for x in c] for c in _crawled(spark, "ettoday", pages)] == [["1", "4"], ["15"]]  # nothing from 21 to 30
     monkeypatch.setitem(frontier.CHUNK, "tvbs", 10)
     monkeypatch.setitem(frontier.CATEGORIES, "tvbs", ["1"])
-    monkeypatch.setattr(crawl, "TVBS_NAMES", ["local"])
+    monkeypatch.setattr(frontier, "TVBS_LISTS", {"local": "1"})
     base = "https://news.tvbs.com.tw/"
     ids = [3, 7, 8, 12, 19, 20]
     lists = {crawl.TVBS_LIST.format(base=base, number="1", category="local", idx=i): json.dumps({"news_id_list": "".join(f",'{x}'" for x in sorted(ids, reverse=True) if x < i)[:11]}) for i in range(30)}
