@@ -125,7 +125,7 @@ class Rule:
     """
 
     #: Branches from which on a pattern is cut down to a text; texts that a pattern is tried on everywhere.
-    MANY, SHORT = 6, 10_000
+    MANY, SHORT = 6, 200_000
 
     def __init__(self, pattern: str, by: str):
         self.pattern, self.by = re.compile(pattern), by
