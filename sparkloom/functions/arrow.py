@@ -9,11 +9,11 @@ import functools
 import itertools
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from re import _compiler, _parser
 from re import _constants as sre
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,6 +25,8 @@ from .seek import Sought
 # What the english and number replacers look for.
 ENGLISH = re.compile(r"[a-zA-z][a-zA-z\s\d]+")
 NUMBER = re.compile(r"\d+")
+#: Of a batch that Spark sends, what is worked on at once.
+PIECE_BYTES, PIECE_ROWS = 1 << 20, 1024
 
 
 def nfkc_text(text: str) -> str:
@@ -242,30 +244,51 @@ def cascade_text(text: str, rules: list[Rule]) -> str:
     return text
 
 
-def _mapped(function):
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(function, na_action="ignore")
+def pieces(texts: pa.Array, most: int = 0) -> Iterator[pa.Array]:
+    """Runs of whole texts of about ``most`` bytes, ``PIECE_BYTES`` unless given, in order; a longer text is one of its own."""
+    most = most or PIECE_BYTES
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    if not len(texts) or texts.buffers()[1] is None:
+        yield texts
+        return
+    ends = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1]
+    lo = 0
+    while lo < len(texts):
+        # Nulls and empty texts count too, by rows.
+        hi = min(max(lo + 1, int(np.searchsorted(ends, int(ends[lo]) + most, side="right")) - 1), lo + PIECE_ROWS, len(texts))
+        yield texts.slice(lo, hi - lo)
+        lo = hi
 
-    return run.asNondeterministic()
+
+def _piece_stepped(texts: pa.Array, steps: list[Callable[[str], str] | Strip]) -> pa.Array:
+    for whole, group in itertools.groupby(steps, lambda step: isinstance(step, Strip)):
+        if whole:
+            texts = functools.reduce(lambda x, step: step(x), group, texts)
+        else:
+            own = list(group)
+            texts = pa.array([None if t is None else functools.reduce(lambda x, step: step(x), own, t) for t in texts.to_pylist()], pa.string())
+    return texts
+
+
+def stepped(texts: pa.Array, steps: list[Callable[[str], str] | Strip]) -> pa.Array:
+    """Steps on a batch's texts in order, a piece at a time: the rest of the batch is held as its bytes alone, not as strings."""
+    return pa.concat_arrays([_piece_stepped(piece, steps) for piece in pieces(texts)])
 
 
 def chained(text: Column, steps: list[Callable[[str], str] | Strip]) -> Column:
-    """Steps on texts in order, as one function; a ``Strip`` takes a whole batch at once."""
+    """Steps on texts in order, as one function; a ``Strip`` takes a whole piece of a batch at once."""
 
     @F.arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:
-        for whole, group in itertools.groupby(steps, lambda step: isinstance(step, Strip)):
-            if whole:
-                texts = functools.reduce(lambda x, step: step(x), group, texts)
-            else:
-                own = list(group)
-                texts = pa.array([None if t is None else functools.reduce(lambda x, step: step(x), own, t) for t in texts.to_pylist()], pa.string())
-        return texts
+        return stepped(texts, steps)
 
     return run.asNondeterministic()(text)
 
 
+def _mapped(function: Callable[[str], str]) -> Callable[[Column], Column]:
+    return lambda text: chained(text, [function])
+
+
 def nfkc(text: Column) -> Column:
     return _mapped(nfkc_text)(text)
 

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -10,6 +11,7 @@ from sparkloom.functions import arrow, columns, html
 from sparkloom.functions.delimiters import Strip
 from sparkloom.functions.rules import cna, epochtimes, ettoday, ntdtv, storm
 from sparkloom.operators import entities
+from sparkloom.plans import jobs
 from sparkloom.schemas import COMPANIES
 
 
@@ -201,3 +203,27 @@ def test_page_titles_are_those_of_sql(spark, tmp_path):
     got = queries.QUERIES["page_title"](spark, str(tmp_path)).collect()
     want = duckdb.sql(queries.ORACLES["page_title"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")).fetchall()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_batches_go_through_steps_in_pieces(monkeypatch):
+    texts = pa.array([None, "", "ü 12", *["(x)" + "😀 month 345 " * 300] * 4000, "7" * 3000, None, "(8)"])
+    steps = [arrow.number_text, Strip("(", ")"), lambda t: t + "9", arrow.number_text]
+    want = [None if t is None else arrow.number_text(arrow.delimited_text(arrow.number_text(t), "(", ")") + "9") for t in texts[:5].to_pylist() + texts[-3:].to_pylist()]
+    tracemalloc.start()
+    got = arrow.stepped(texts, steps)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[:5].to_pylist() + got[-3:].to_pylist() == want
+    assert peak < 30e6 < 57e6 < 4 * 12 * 300 * 4000  # the last is what all texts take as strings
+    monkeypatch.setattr(arrow, "PIECE_BYTES", 10)
+    odd = pa.array(["12345678901", "", None, "1", "22", "", "333", "4444444444444", None]).slice(1)
+    assert [p.to_pylist() for p in arrow.pieces(odd)] == [["", None, "1", "22", "", "333"], ["4444444444444"], [None]]
+    assert arrow.stepped(odd, [str]).to_pylist() == odd.to_pylist()
+    assert arrow.stepped(odd.slice(0, 0), [str]).to_pylist() == [] and arrow.stepped(pa.array([None, None], pa.string()), [str]).to_pylist() == [None, None]
+
+
+def test_functions_of_a_table_share_a_worker(spark):
+    """One step of the plan, as each has a Python process of its own in every task."""
+    rows = jobs.preprocess(spark.createDataFrame([(1, "a 1", "b", None, "")], "id int, title string, article string, category string, reporter string"), jobs.Preprocess(urls=True))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert tuple(rows.first()) == (1, "a 1", "b", None, "")
