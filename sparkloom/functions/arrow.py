@@ -9,7 +9,7 @@ import functools
 import itertools
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from re import _compiler, _parser
 from re import _constants as sre
 
@@ -244,22 +244,40 @@ def cascade_text(text: str, rules: list[Rule]) -> str:
     return text
 
 
-def pieces(texts: pa.Array, most: int = 0) -> Iterator[pa.Array]:
-    """Runs of whole texts of about ``most`` bytes, ``PIECE_BYTES`` unless given, in order; a longer text is one of its own."""
-    most = most or PIECE_BYTES
-    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
-    if not len(texts) or texts.buffers()[1] is None:
-        yield texts
-        return
-    ends = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1]
+def _runs(columns: list[pa.Array], most: int, step: int = 1) -> Iterator[tuple[int, int]]:
+    """First row and row after the last of runs of whole rows of about ``most`` bytes in the string columns, of a multiple of
+    ``step`` rows but for the last; a longer row is one of its own."""
+    n = len(columns[0])
+    ends = np.zeros(n + 1, np.int64)
+    for texts in columns:
+        large = pa.types.is_large_string(texts.type)
+        if n and (large or pa.types.is_string(texts.type)) and texts.buffers()[1] is not None:
+            ends += np.frombuffer(texts.buffers()[1], np.int64 if large else np.int32)[texts.offset : texts.offset + n + 1]
     lo = 0
-    while lo < len(texts):
-        # Nulls and empty texts count too, by rows.
-        hi = min(max(lo + 1, int(np.searchsorted(ends, int(ends[lo]) + most, side="right")) - 1), lo + PIECE_ROWS, len(texts))
-        yield texts.slice(lo, hi - lo)
+    while lo < n:
+        # Rows count too, where texts are null or empty.
+        rows = min(max(1, int(np.searchsorted(ends, int(ends[lo]) + most, side="right")) - 1 - lo), PIECE_ROWS)
+        hi = min(lo + -(-rows // step) * step, n)
+        yield lo, hi
         lo = hi
 
 
+def pieces(texts: pa.Array) -> list[pa.Array]:
+    """Runs of whole texts of about ``PIECE_BYTES``, in order."""
+    return [texts.slice(lo, hi - lo) for lo, hi in _runs([texts], PIECE_BYTES)]
+
+
+def frame_pieces(batch: pa.RecordBatch, texts: list[str], most: int = PIECE_BYTES, step: int = 1) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in runs by the bytes of its columns ``texts``."""
+    return (batch.slice(lo, hi - lo) for lo, hi in _runs([batch.column(c) for c in texts], most, step))
+
+
+def lists(rows: Iterable[list], kind: pa.DataType) -> pa.Array:
+    """An array of lists, of which a few at a time are Python objects."""
+    made = [pa.array(own, kind) for own in itertools.batched(rows, 16)]
+    return pa.concat_arrays(made) if made else pa.array([], kind)
+
+
 def _piece_stepped(texts: pa.Array, steps: list[Callable[[str], str] | Strip]) -> pa.Array:
     for whole, group in itertools.groupby(steps, lambda step: isinstance(step, Strip)):
         if whole:
@@ -272,7 +290,9 @@ def _piece_stepped(texts: pa.Array, steps: list[Callable[[str], str] | Strip]) -
 
 def stepped(texts: pa.Array, steps: list[Callable[[str], str] | Strip]) -> pa.Array:
     """Steps on a batch's texts in order, a piece at a time: the rest of the batch is held as its bytes alone, not as strings."""
-    return pa.concat_arrays([_piece_stepped(piece, steps) for piece in pieces(texts)])
+    done = pa.concat_arrays([_piece_stepped(piece, steps) for piece in pieces(texts)] or [texts])
+    pa.default_memory_pool().release_unused()
+    return done
 
 
 def chained(text: Column, steps: list[Callable[[str], str] | Strip]) -> Column:

@@ -227,3 +227,21 @@ def test_functions_of_a_table_share_a_worker(spark):
     rows = jobs.preprocess(spark.createDataFrame([(1, "a 1", "b", None, "")], "id int, title string, article string, category string, reporter string"), jobs.Preprocess(urls=True))
     assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     assert tuple(rows.first()) == (1, "a 1", "b", None, "")
+
+
+def test_cascades_of_a_batch_in_pieces(spark):
+    """A batch of Spark's, of which all texts at once would be 150 MB of strings; every text comes out as it does alone."""
+    own = ["【快訊】★" + "月 mars 😀 Ende. " * 900 + f"{i}(更新)●" for i in range(7)]
+    rules = storm.ARTICLE + storm.TITLE
+    held = arrow._compiled(tuple(rules))
+    steps = [lambda t: arrow.cascade_text(t, held)]
+    want = [steps[0](t) for t in own]
+    texts = pa.array([*own, None] * 400)
+    tracemalloc.start()
+    got = arrow.stepped(texts, steps)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.equals(pa.array([*want, None] * 400)) and peak < 40e6 < 150e6 < 4 * 15 * 900 * 2800
+    table = spark.range(3000).select("id", F.element_at(F.array(*map(F.lit, own)), (F.col("id") % 7 + 1).cast("int")).alias("t"))
+    done = table.select("id", *(arrow.rewrite(F.col("t"), r).alias(n) for n, r in (("a", rules), ("b", cna.ARTICLE)))).filter("id in (5, 2998)").orderBy("id").collect()
+    assert [r["a"] for r in done] == [want[5], want[2998 % 7]]
