@@ -7,6 +7,7 @@ import zlib
 from datetime import UTC, datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -449,3 +450,29 @@ def test_only_files_that_may_hold_keys_are_read(spark, tmp_path):
     spark.createDataFrame([(9, 9, "unindexed")], schema).write.mode("append").parquet(target)
     again = spark.createDataFrame([(10, 9, "unindexed"), (11, 9, "fresh")], schema)
     assert [r["id"] for r in keyindex.new_rows(again, target, ["id"]).collect()] == [11]
+
+
+def _in_pieces(run, columns: dict, texts: list[str]) -> list[pa.RecordBatch]:
+    """What a function over Arrow batches gives for one batch; none of its own batches may hold much of it."""
+    whole = pa.RecordBatch.from_pydict(columns)
+    got = list(run(iter([whole])))
+    assert sum(b.num_rows for b in got) == whole.num_rows and len(got) > 3
+    size = sum(whole.column(c).nbytes for c in texts)
+    assert max(b.num_rows for b in got) < whole.num_rows / 2 and size > 4 << 20
+    return got
+
+
+def test_pages_of_a_batch_are_read_in_pieces(spark, monkeypatch):
+    seen = []
+    frame = spark.createDataFrame([], "id long, company_id int, raw_xml string, url_pattern string, file_ord int")
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: seen.append(run))
+    extract.extract(frame)
+    page = '<div class="centralContent"><h1><span>t</span></h1><div class="paragraph"><p>' + "a b. " * 400 + "</p></div></div>"
+    n = 3000
+    raw = [None if i % 7 == 0 else page for i in range(n)]
+    columns = {"id": range(n), "company_id": pa.array([1 if i % 5 else None for i in range(n)], pa.int32()), "raw_xml": raw, "url_pattern": [f"20141108{i}" for i in range(n)], "file_ord": pa.array([0] * n, pa.int32())}
+    got = pa.Table.from_batches(_in_pieces(seen[0], columns, ["raw_xml"])).to_pylist()
+    for i in (0, 1, 5, 7, n - 1):
+        article, category, reporter, timestamp, title, error = extract.extract_one(columns["company_id"][i].as_py(), raw[i], f"20141108{i}", extract.Options())
+        assert got[i] == {"id": i, "article": article, "category": category, "company_id": columns["company_id"][i].as_py(), "reporter": reporter, "timestamp": timestamp, "title": title, "url_pattern": f"20141108{i}", "error": error, "file_ord": 0}
+    assert got[1]["title"] == "t" and "unknown company" in got[5]["error"]
