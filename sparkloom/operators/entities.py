@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.arrow import frame_pieces, lists
 from ..schemas import TOKEN
 
+ARROW_TOKEN = pa.list_(pa.struct([("word", pa.string()), ("ner", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
 # The classes that may be replaced.
 CLASSES = ("GPE", "PERSON", "ORG", "NORP", "LOC", "FAC", "PRODUCT", "WORK_OF_ART", "EVENT", "LAW")
 
@@ -49,16 +54,26 @@ def dictionary_recogniser(words: dict[str, str], dates: bool = True) -> Recognis
 
 
 def recognise(df: DataFrame, recogniser: Recogniser, batch_size: int = 8) -> DataFrame:
-    """title_tokens and article_tokens by a recogniser that is set up once for each task."""
-
-    @F.pandas_udf(TOKEN)
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            found = [x for at in range(0, len(texts), batch_size) for x in recogniser(texts.iloc[at : at + batch_size].tolist())]
-            yield pd.Series([[{"word": w, "ner": c, "start": a, "end": b} for w, c, a, b in own] for own in found])
-
-    tokens = tokens.asNondeterministic()
-    return df.withColumn("title_tokens", tokens("title")).withColumn("article_tokens", tokens("article"))
+    """title_tokens and article_tokens by a recogniser that is set up once for each task, both in one Python process; texts
+    and tokens of a batch are Python objects a piece at a time."""
+
+    texts, out = ("title", "article"), ("title_tokens", "article_tokens")
+
+    def found(column: pa.Array) -> Iterator[list[dict]]:
+        own = column.to_pylist()
+        for at in range(0, len(own), batch_size):
+            for tokens in recogniser(own[at : at + batch_size]):
+                yield [{"word": w, "ner": c, "start": a, "end": b} for w, c, a, b in tokens]
+
+    @F.arrow_udf(T.StructType([T.StructField(c, TOKEN) for c in out]))
+    def tokens(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for whole in batches:
+            for batch in frame_pieces(pa.RecordBatch.from_arrays(list(whole), names=list(texts)), texts, step=batch_size):
+                yield pa.StructArray.from_arrays([lists(found(c), ARROW_TOKEN) for c in batch.columns], names=list(out))
+
+    both = f"tokens_{uuid.uuid4().hex}"
+    rows = df.withColumn(both, tokens.asNondeterministic()(*texts))
+    return rows.withColumns({c: F.col(both)[c] for c in out}).drop(both)
 
 
 def replace_spans(title: str, article: str, title_tokens: list, article_tokens: list, config: dict[str, Tag]) -> tuple[str, str]:

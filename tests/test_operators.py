@@ -476,3 +476,18 @@ def test_pages_of_a_batch_are_read_in_pieces(spark, monkeypatch):
         article, category, reporter, timestamp, title, error = extract.extract_one(columns["company_id"][i].as_py(), raw[i], f"20141108{i}", extract.Options())
         assert got[i] == {"id": i, "article": article, "category": category, "company_id": columns["company_id"][i].as_py(), "reporter": reporter, "timestamp": timestamp, "title": title, "url_pattern": f"20141108{i}", "error": error, "file_ord": 0}
     assert got[1]["title"] == "t" and "unknown company" in got[5]["error"]
+
+
+def test_tokens_of_a_batch_come_in_pieces(spark):
+    """One Python process for both texts; the recogniser's batches stay whole, and every row has its own tokens."""
+    def of(texts):
+        return [[(str(len(texts)), "ORG", 0, len(t or ""))] for t in texts]
+
+    n = 1500
+    rows = spark.range(0, n, 1, 1).select("id", F.lit(None).cast("string").alias("title"), F.repeat(F.lit("ab"), (F.col("id") % 5 * 1000).cast("int")).alias("article"))
+    done = entities.recognise(rows, of, 7)
+    assert done.columns == ["id", "title", "article", "title_tokens", "article_tokens"]
+    assert done._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    got = done.select("id", F.col("article_tokens")[0]["word"].alias("k"), F.col("article_tokens")[0]["end"].alias("n"), F.col("title_tokens")[0]["end"].alias("m")).orderBy("id").collect()
+    assert [(r["id"], r["n"], r["m"]) for r in got] == [(i, i % 5 * 2000, 0) for i in range(n)]
+    assert {r["k"] for r in got} <= {"7", str(n % 7)} and [r["k"] for r in got][: n - n % 7] == ["7"] * (n - n % 7)
