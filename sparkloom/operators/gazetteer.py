@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrow import frame_pieces, lists
 from ..schemas import TOKEN
+from .entities import ARROW_TOKEN
 
 #: Bytes of names in a pass, and code points of texts that step down together.
-PASS_BYTES, AT_ONCE = 8 << 20, 1 << 20
+PASS_BYTES, AT_ONCE = 8 << 20, 1 << 18
 _FOUND = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("ner", T.StringType())]))
 _ARROW_FOUND = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32()), ("ner", pa.string())]))
-_ARROW_TOKEN = pa.list_(pa.struct([("word", pa.string()), ("ner", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _points(text: str) -> np.ndarray:
@@ -101,17 +102,18 @@ def _leftmost(found: list[tuple[int, int, str]], text: str) -> list[dict]:
 def _search(shared: Broadcast, columns: list[str], texts: list[str], state: list[str], last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, kinds = shared.value
-        for batch in batches:
-            arrays = []
-            for text, kept in zip(texts, state, strict=True):
-                own = [t or "" for t in batch.column(text).to_pylist()]
-                known = batch.column(kept).to_pylist() if kept in batch.schema.names else [None] * len(own)
-                found = [_merged(new, [(x["start"], x["size"], x["ner"]) for x in old or []]) for new, old in zip(_places(trie, own, kinds), known, strict=True)]
-                if last:
-                    arrays.append(pa.array([_leftmost(f, t) for f, t in zip(found, own, strict=True)], _ARROW_TOKEN))
-                else:
-                    arrays.append(pa.array([[{"start": a, "size": n, "ner": k} for a, n, k in f] for f in found], _ARROW_FOUND))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *arrays], names=[*columns, *(f"{t}_tokens" if last else s for t, s in zip(texts, state, strict=True))])
+        for whole in batches:
+            for batch in frame_pieces(whole, texts, AT_ONCE):
+                arrays = []
+                for text, kept in zip(texts, state, strict=True):
+                    own = [t or "" for t in batch.column(text).to_pylist()]
+                    known = batch.column(kept).to_pylist() if kept in batch.schema.names else [None] * len(own)
+                    found = (_merged(new, [(x["start"], x["size"], x["ner"]) for x in old or []]) for new, old in zip(_places(trie, own, kinds), known, strict=True))
+                    if last:
+                        arrays.append(lists((_leftmost(f, t) for f, t in zip(found, own, strict=True)), ARROW_TOKEN))
+                    else:
+                        arrays.append(lists(([{"start": a, "size": n, "ner": k} for a, n, k in f] for f in found), _ARROW_FOUND))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *arrays], names=[*columns, *(f"{t}_tokens" if last else s for t, s in zip(texts, state, strict=True))])
 
     return run
 

@@ -478,6 +478,19 @@ def test_pages_of_a_batch_are_read_in_pieces(spark, monkeypatch):
     assert got[1]["title"] == "t" and "unknown company" in got[5]["error"]
 
 
+def test_names_of_a_batch_are_sought_in_pieces():
+    class Shared:
+        value = (gazetteer.Trie.build(["aa", "aab", "c"]), ["X", "Y", "Z"])
+
+    n = 3000
+    columns = {"id": range(n), "title": ["aab" if i % 2 else None for i in range(n)], "article": [("aab caa é " * 200) + str(i) for i in range(n)]}
+    for last, out in ((True, "article_tokens"), (False, "f1")):
+        run = gazetteer._search(Shared, ["id", "title", "article"], ["title", "article"], ["f0", "f1"], last)
+        got = pa.Table.from_batches(_in_pieces(run, columns, ["article"]))
+        assert got["id"].to_pylist() == list(range(n)) and len(got[out][n - 1].as_py()) == 600
+    assert got["f0"][:2].to_pylist() == [[], [{"start": 0, "size": 3, "ner": "Y"}]]
+
+
 def test_tokens_of_a_batch_come_in_pieces(spark):
     """One Python process for both texts; the recogniser's batches stay whole, and every row has its own tokens."""
     def of(texts):
