@@ -245,3 +245,12 @@ def test_cascades_of_a_batch_in_pieces(spark):
     table = spark.range(3000).select("id", F.element_at(F.array(*map(F.lit, own)), (F.col("id") % 7 + 1).cast("int")).alias("t"))
     done = table.select("id", *(arrow.rewrite(F.col("t"), r).alias(n) for n, r in (("a", rules), ("b", cna.ARTICLE)))).filter("id in (5, 2998)").orderBy("id").collect()
     assert [r["a"] for r in done] == [want[5], want[2998 % 7]]
+
+
+def test_the_flagship_needs_two_functions(spark):
+    """One on each side of the length filter; each function of another kind is a Python process more in every task."""
+    rows = spark.createDataFrame([(1, "題 1", "(x)" + "a文 " * 9, "ｃ", None)], "id int, title string, article string, category string, reporter string")
+    done = jobs.preprocess(rows, jobs.Preprocess(urls=True, parens=True, brackets=True, emoji=True, least=5, most=500, english=True, guillemets=True, numbers=True))
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython", plan)) == 2
+    assert tuple(done.first())[1:] == ("題 <num>", "a文 " * 8 + "a文", "c", None)
