@@ -10,13 +10,16 @@ import itertools
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from re import _compiler, _parser
 from re import _constants as sre
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import columns
 from .delimiters import Strip
@@ -305,6 +308,58 @@ def chained(text: Column, steps: list[Callable[[str], str] | Strip]) -> Column:
     return run.asNondeterministic()(text)
 
 
+def pieced(texts: list[Column], kind: T.StructType, work: Callable[..., list[pa.Array]]) -> Column:
+    """A struct of what ``work`` makes of a piece of the columns' texts, all in one Python process; results go back to Spark piece by
+    piece, so that of a batch only what came in is held whole."""
+    names = [str(i) for i in range(len(texts))]
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for whole in batches:
+            whole = whole if isinstance(whole, tuple) else (whole,)
+            for piece in frame_pieces(pa.RecordBatch.from_arrays(list(whole), names=names), names):
+                yield pa.StructArray.from_arrays(work(*piece.columns), names=kind.names)
+            pa.default_memory_pool().release_unused()
+
+    return run.asNondeterministic()(*texts)
+
+
+@dataclass(frozen=True)
+class Between:
+    """A step on rows: those stay whose article is as long as ``columns.length_between`` has it."""
+
+    least: int = 0
+    most: int = -1
+
+    def __post_init__(self):
+        columns.check_bounds(self.least, self.most)
+
+    def __call__(self, articles: pa.Array) -> pa.Array:
+        chars = pc.utf8_length(articles)
+        kept = pc.greater_equal(chars, self.least)
+        return pc.fill_null(kept if self.most == -1 else pc.and_(kept, pc.less_equal(chars, self.most)), False)
+
+
+def cleaned_piece(title: pa.Array, article: pa.Array, steps: list[Callable[[str], str] | Strip | Between]) -> list[pa.Array]:
+    """Titles and articles after all steps, and which rows stay; the texts of others are null from there on."""
+    kept = pa.repeat(True, len(article))
+    for bound, group in itertools.groupby(steps, lambda step: isinstance(step, Between)):
+        own = list(group)
+        if bound:
+            kept = functools.reduce(lambda k, step: pc.and_(k, step(article)), own, kept)
+            title, article = (pc.if_else(kept, x, pa.scalar(None, x.type)) for x in (title, article))
+        else:
+            title, article = (_piece_stepped(x, own) for x in (title, article))
+    return [title, article, kept]
+
+
+def cleaned(title: Column, article: Column, steps: list[Callable[[str], str] | Strip | Between], others: dict[str, Column] | None = None) -> Column:
+    """A struct of title and article after all steps, of ``kept``, whether the row stays, and of ``others`` as ``nfkc_if_any`` has them."""
+    others = others or {}
+    kind = T.StructType([T.StructField(c, T.BooleanType() if c == "kept" else T.StringType()) for c in ("title", "article", "kept", *others)])
+    return pieced([title, article, *others.values()], kind, lambda t, a, *more: [*cleaned_piece(t, a, steps), *(_piece_stepped(x, [_nfkc_if_any]) for x in more)])
+
+
 def _mapped(function: Callable[[str], str]) -> Callable[[Column], Column]:
     return lambda text: chained(text, [function])
 
@@ -313,9 +368,13 @@ def nfkc(text: Column) -> Column:
     return _mapped(nfkc_text)(text)
 
 
+def _nfkc_if_any(text: str) -> str:
+    return nfkc_text(text) if text else text
+
+
 def nfkc_if_any(text: Column) -> Column:
     """NFKC of texts that aren't null or empty; those stay as they are."""
-    return _mapped(lambda t: nfkc_text(t) if t else t)(text)
+    return _mapped(_nfkc_if_any)(text)
 
 
 def strip_delimited(text: Column, left: str, right: str, by: str = "", keep: bool = False, unclosed: str = "reference") -> Column:

@@ -47,10 +47,14 @@ def strip_flat_brackets(text: Column, kind: str) -> Column:
     return strip_pattern(text, f"{a}[^{a}{b}]*{b}")
 
 
-def length_between(text: Column, least: int = 0, most: int = -1) -> Column:
-    """Code points from ``least`` to ``most``, both included; -1 is no upper bound."""
+def check_bounds(least: int, most: int) -> None:
     if least < 0 or most < -1:
         raise ValueError("bounds must not be negative, but for -1 as the upper one")
+
+
+def length_between(text: Column, least: int = 0, most: int = -1) -> Column:
+    """Code points from ``least`` to ``most``, both included; -1 is no upper bound."""
+    check_bounds(least, most)
     kept = F.length(text) >= least
     return kept if most == -1 else kept & (F.length(text) <= most)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -17,7 +18,7 @@ from ..operators.extract import Options, extract, quarantine, readable
 from ..operators.relops import dedup_first, merge_parsed, merge_raw, reject_nulls, split_chunks
 
 Stage = Callable[[DataFrame], DataFrame]
-TextStep = Callable[[str], str] | Strip
+TextStep = Callable[[str], str] | Strip | arrow.Between
 
 
 @dataclass(frozen=True)
@@ -47,15 +48,19 @@ REQUIRED = ["article", "company_id", "timestamp", "title", "url_pattern"]
 
 
 def _texts(df: DataFrame, chain: list[TextStep], first: bool) -> DataFrame:
-    """Title and article through ``chain``, each in one function, and with the first chain category and reporter through NFKC."""
-    new = {c: arrow.chained(F.col(c), chain) for c in ("title", "article")}
-    if first:
-        new |= {c: arrow.nfkc_if_any(F.col(c)) for c in ("category", "reporter")}
-    return df.withColumns(new)
+    """Title and article through ``chain`` in one function, without the rows that a length rules out, and with the first chain
+    category and reporter through NFKC: in the same function, or of the rows that stay in one that Spark leaves out where neither is used."""
+    done = f"done_{uuid.uuid4().hex}"
+    short = ["category", "reporter"] if first else []
+    bound = any(isinstance(step, arrow.Between) for step in chain)
+    df = df.withColumn(done, arrow.cleaned(F.col("title"), F.col("article"), chain, {} if bound else {c: F.col(c) for c in short}))
+    df = df.filter(F.col(done)["kept"]) if bound else df
+    new = {c: arrow.nfkc_if_any(F.col(c)) if bound else F.col(done)[c] for c in short}
+    return df.withColumns({c: F.col(done)[c] for c in ("title", "article")} | new).drop(done)
 
 
 def stages(p: Preprocess) -> list[tuple[str, TextStep | None, Stage | None]]:
-    """The stages asked for, in their fixed order, each on texts or on the table; NFKC is always the first."""
+    """The stages asked for, in their fixed order, each on texts, with the length of articles among them, or on the table; NFKC is always the first."""
     strip = lambda a, b: Strip(a, b, unclosed=p.unclosed)
     gone = lambda pattern: lambda t: pattern.sub("", t)
     entities = bool(p.tags or p.dates)
@@ -71,7 +76,7 @@ def stages(p: Preprocess) -> list[tuple[str, TextStep | None, Stage | None]]:
         ("lenticular", p.lenticulars, strip("【", "】"), None),
         ("emoji", p.emoji, gone(arrow.EMOJI), None),
         ("non_cjk", p.non_cjk, gone(arrow.NOT_KEPT), None),
-        ("length", p.least != 0 or p.most != -1, None, lambda df: df.filter(columns.length_between(F.col("article"), p.least, p.most))),
+        ("length", p.least != 0 or p.most != -1, arrow.Between(p.least, p.most), None),
         ("entities", entities, None, lambda df: replace_entities(recognise(df, p.recogniser, p.batch_size), p.tags, p.dates)),
         ("english", p.english, arrow.english_text, None),
         ("guillemet", p.guillemets, Strip("《", "》", "<unk>", True, p.unclosed), None),

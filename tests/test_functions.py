@@ -5,6 +5,7 @@ import tracemalloc
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkloom import queries
 from sparkloom.functions import arrow, columns, html
@@ -254,3 +255,34 @@ def test_the_flagship_needs_two_functions(spark):
     plan = done._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"ArrowEvalPython", plan)) == 2
     assert tuple(done.first())[1:] == ("題 <num>", "a文 " * 8 + "a文", "c", None)
+
+
+def test_the_flagship_has_one_python_process_a_task(spark, tmp_path):
+    """Its length filter is a step of the function, and category and reporter, which it doesn't use, have none."""
+    texts = spark.range(3).select(F.col("id").alias("doc_id"), F.repeat(F.lit("月 "), F.col("id").cast("int") * 100).alias("text"), F.lit("zh").alias("lang"), F.lit("src1").alias("source"))
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    done = queries.preprocess_news(spark, str(tmp_path))
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r["id"], r["company_id"], r["article"][:3]) for r in done.collect()) == [(1, 1, "月 月"), (2, 1, "月 月")]
+
+
+def test_lengths_as_a_step_keep_what_the_filter_keeps(spark):
+    texts = [None, "", "a", "(x)", "ab", "😀é", "a(b)c", "abc", "月月月", "abcd", "😀" * 4, " ab ", "ＡＢ１"]
+    rows = spark.createDataFrame([(i, t, t, t, None) for i, t in enumerate(texts)], "id int, title string, article string, category string, reporter string")
+    for least, most in [(0, -1), (1, -1), (0, 0), (2, 3), (3, 2), (4, -1)]:
+        got = jobs.preprocess(rows, jobs.Preprocess(parens=True, least=least, most=most, english=True, numbers=True)).collect()
+        plain = jobs.preprocess(rows, jobs.Preprocess(parens=True)).filter(columns.length_between(F.col("article"), least, most) if (least, most) != (0, -1) else F.lit(True))
+        want = jobs.preprocess(plain, jobs.Preprocess(english=True, numbers=True)).collect()
+        assert sorted(got) == sorted(want) and ((least, most) != (2, 3) or {r["id"] for r in got} == {4, 5, 6, 7, 8, 11, 12})
+    with pytest.raises(ValueError):
+        jobs.preprocess(rows, jobs.Preprocess(least=-1))
+
+
+def test_results_go_back_in_pieces(spark):
+    """No piece of what a function gives back holds more than about ``PIECE_BYTES``, whatever the batch; a batch of Spark's has 10000 rows here."""
+    table = spark.range(0, 20000, 1, 1).select("id", F.repeat(F.lit("月1 "), 200).alias("t"))
+    kind = T.StructType([T.StructField("t", T.StringType()), T.StructField("n", T.IntegerType())])
+    seen = table.select("id", arrow.pieced([F.col("t")], kind, lambda t: [t, pa.repeat(pa.scalar(len(t), pa.int32()), len(t))]).alias("x"))
+    rows = seen.select("id", "x.*").collect()
+    assert [r["id"] for r in rows] == list(range(20000)) and {r["t"] for r in rows} == {"月1 " * 200}
+    assert max(r["n"] for r in rows) <= arrow.PIECE_ROWS < 10000 and max(r["n"] for r in rows) * 1000 <= arrow.PIECE_BYTES
