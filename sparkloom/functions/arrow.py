@@ -401,3 +401,14 @@ def _compiled(rules: tuple[tuple[str, str], ...]) -> list[Rule]:
 def rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
     """A whole cascade of (pattern, replacement) in one function."""
     return _mapped(lambda t: cascade_text(t, _compiled(tuple(rules))))(text)
+
+
+def rewrites(text: Column, packs: dict[str, list[tuple[str, str]]]) -> Column:
+    """A struct of the results of several cascades over the same text, of which a piece at a time is held."""
+
+    def work(texts: pa.Array) -> list[pa.Array]:
+        own = texts.to_pylist()
+        held = [_compiled(tuple(rules)) for rules in packs.values()]
+        return [pa.array([None if t is None else cascade_text(t, rules) for t in own], pa.string()) for rules in held]
+
+    return pieced([text], T.StructType([T.StructField(name, T.StringType()) for name in packs]), work)

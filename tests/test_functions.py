@@ -286,3 +286,20 @@ def test_results_go_back_in_pieces(spark):
     rows = seen.select("id", "x.*").collect()
     assert [r["id"] for r in rows] == list(range(20000)) and {r["t"] for r in rows} == {"月1 " * 200}
     assert max(r["n"] for r in rows) <= arrow.PIECE_ROWS < 10000 and max(r["n"] for r in rows) * 1000 <= arrow.PIECE_BYTES
+
+
+def test_cascades_of_a_text_share_a_function_that_gives_back_pieces(spark, tmp_path, monkeypatch):
+    """Spark's batch of 10000 rows comes back in pieces, not as five whole columns."""
+    texts = [None, "", "【快訊】★月 mars 😀 Ende.(更新)●", "a  b"]
+    packs = {"a": storm.ARTICLE + storm.TITLE, "b": cna.ARTICLE, "empty": []}
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = rows.select("id", arrow.rewrites(F.col("t"), packs).alias("x")).select("id", "x.*").orderBy("id").collect()
+    want = [(i, *(None if t is None else arrow.cascade_text(t, arrow._compiled(tuple(r))) for r in packs.values())) for i, t in enumerate(texts)]
+    assert [tuple(r) for r in got] == want
+    rows.select(F.col("id").alias("doc_id"), F.col("t").alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    used = []
+    pieced = arrow.pieced
+    monkeypatch.setattr(arrow, "pieced", lambda *a: used.append(a) or pieced(*a))
+    done = queries.rewrite_cascades(spark, str(tmp_path))
+    assert len(used) == 1 and done._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert done.columns == ["id", "cna", "epochtimes", "ettoday", "ntdtv", "storm"] and done.count() == 4
